@@ -81,3 +81,6 @@ SCORE_DECIMALS = 2
 
 # --- fixed values: JDBC partitioned scan -----------------------------------------
 BUCKET_COLUMN = "id_mod"
+
+# --- fixed values: dress-length export/check order -------------------------------
+DRESS_LENGTH_CHECK_ORDER = ["AbovetheKnee", "Mini", "Long_Maxi", "Midi_Tea_Length", "KneeLength"]
