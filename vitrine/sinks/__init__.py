@@ -1 +1,65 @@
-"""sinks."""
+"""Sinks: per-label JSON, enriched JSON, vector text, label list, model weights, landing.
+
+Every sink is a DataFrame writer (tasks write their own files in parallel); nothing is
+gathered on the driver. Where a single-file shape is wanted (a label list, a JSON array
+per label) the rows are first bounded (K labels; a per-label cap).
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.vectors import to_csv
+
+
+def write_json_by_label(df: DataFrame, path: str, label_col: str = "label",
+                        mode: str = "overwrite") -> None:
+    """JSON lines, one folder per label (``label=<value>``); NULL fields are omitted,
+    so an absent key stays absent."""
+    df.write.mode(mode).partitionBy(label_col).json(path)
+
+
+def write_json_arrays_by_label(df: DataFrame, path: str, label_col: str = "label",
+                               order_cols: list[str] | None = None, mode: str = "overwrite") -> None:
+    """One JSON *array* per label (text file per label folder). Only for capped input:
+    each label's rows are gathered into one value."""
+    cols = [c for c in df.columns if c != label_col]
+    payload = F.struct(*cols)
+    arr = F.collect_list(payload)
+    if order_cols:
+        arr = F.transform(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order_cols],
+                                                               payload.alias("_p")))),
+                          lambda s: s["_p"])
+    (df.groupBy(label_col).agg(F.to_json(arr).alias("value"))
+     .repartition(label_col)
+     .write.mode(mode).partitionBy(label_col).text(path))
+
+
+def write_vectors_text(df: DataFrame, path: str, key_col: str = "key",
+                       features_col: str = "features", mode: str = "overwrite") -> None:
+    """``key<TAB>v1,v2,...`` text lines."""
+    (df.select(F.concat_ws("\t", F.col(key_col).cast("string"), to_csv(features_col)).alias("value"))
+     .write.mode(mode).text(path))
+
+
+def write_label_list(labels: DataFrame, path: str, id_col: str = "label_id",
+                     label_col: str = "label", mode: str = "overwrite") -> None:
+    """One label per line in class-id order, one file (the list has K rows)."""
+    (labels.orderBy(id_col).select(F.col(label_col).alias("value"))
+     .coalesce(1).write.mode(mode).text(path))
+
+
+def write_model(model_table: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """(label_id, label, weights, bias) as parquet."""
+    model_table.coalesce(1).write.mode(mode).parquet(path)
+
+
+def land_by_label(df: DataFrame, path: str, label_col: str = "label", fmt: str = "parquet",
+                  mode: str = "overwrite") -> None:
+    """Label-partitioned landing of a manifest (or image rows with a ``content`` column).
+
+    Rows are range-partitioned on (label, row hash) first: each task holds few labels, so
+    each label folder gets few files, and a hot label is still spread over many tasks."""
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    (df.repartitionByRange(F.col(label_col), spread)
+     .write.mode(mode).partitionBy(label_col).format(fmt).save(path))
