@@ -1,9 +1,9 @@
 """All registered queries (callable(spark, sf_dir) -> DataFrame) and their oracle SQL."""
 from __future__ import annotations
 
-from . import catalog_queries, model_queries, scoring_queries, split_queries
+from . import catalog_queries, io_queries, model_queries, scoring_queries, split_queries
 
-_MODULES = [catalog_queries, split_queries, scoring_queries, model_queries]
+_MODULES = [catalog_queries, split_queries, scoring_queries, model_queries, io_queries]
 
 
 def queries():

@@ -12,10 +12,11 @@ MANIFEST_SCHEMA = ("productId int, imageUrl string, imagePath string, colorNorma
 
 
 def read_json_arrays(spark: SparkSession, paths: str | list[str], schema: str = MANIFEST_SCHEMA,
-                     source_col: str = "source_file") -> DataFrame:
-    """Files holding one JSON array each (or JSON lines). An absent key reads as NULL; the
-    file each row came from is kept (e.g. the label a per-label file stands for)."""
-    df = spark.read.option("multiLine", True).schema(schema).json(paths)
+                     source_col: str = "source_file", array_files: bool = True) -> DataFrame:
+    """Files holding one JSON array each (``array_files``) or JSON lines. An absent key
+    reads as NULL; the file each row came from is kept (e.g. the label a per-label file
+    stands for). An array file is parsed whole by one task; files are the parallel unit."""
+    df = spark.read.option("multiLine", array_files).schema(schema).json(paths)
     return df.withColumn(source_col, F.col("_metadata.file_path"))
 
 
