@@ -5,6 +5,12 @@ with one group holding a third of the rows that task is the whole job. Here the
 range-partitioned on (g, k) instead (balanced by sampling, so a hot group spans many
 partitions), each partition numbers its rows in sort order, and a small table of
 per-(partition, group) counts supplies each partition's starting offset within the group.
+
+The numbered rows are materialised once with a reliable ``checkpoint()`` (the shared
+``spark.checkpoint.dir``) before the counts are taken: partition ids and positions are
+only meaningful for one physical execution, and AQE may coalesce the same shuffle
+differently in two branches of a plan. After the checkpoint both sides read the same
+fixed rows, and a lost executor cannot renumber them.
 """
 from __future__ import annotations
 
@@ -12,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ensure_checkpoint_dir
+
 
 
 def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -24,6 +32,8 @@ def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[st
     tagged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     pieces = (tagged.groupBy("_pid", *group_cols)
               .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     w = (Window.partitionBy(*group_cols).orderBy("_pid")

@@ -42,9 +42,7 @@ def balanced_draws(spark: SparkSession, pool: DataFrame, n_draws: int, split: st
                    labels: list[str] | None = None) -> DataFrame:
     """(draw_id, class_id, label, image_index, idx, key) for n_draws draws."""
     classes = class_table(pool, split, labels)
-    # (aggregate, not count(): a count() as first action on a persisted frame of this
-    # shape returned 1 on Spark 4.1 — see tests/test_sampling.py)
-    n_classes = classes.agg(F.count(F.lit(1)).alias("k")).first()["k"]
+    n_classes = classes.count()                     # one row per class
     if n_classes == 0:
         return spark.createDataFrame([], "draw_id bigint, class_id int, label string, "
                                          "image_index int, idx bigint, key string")
