@@ -1,0 +1,131 @@
+"""Gradient vs NumPy, SGD and L-BFGS training, feature cache, augmentation, streaming."""
+import os
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from vitrine import fixed_values as FV
+from vitrine.functions import vectors as V
+from vitrine.operators import augment as AU
+from vitrine.operators import features as FE
+from vitrine.operators import scoring as SC
+from vitrine.operators import splits as S
+from vitrine.operators import training as T
+from vitrine.plans import scoring_queries as SQ
+
+SF = "/root/testdata/sf0.01"
+
+
+def _numpy_grad(X, y, W, b):
+    Z = X @ W.T + b
+    Z -= Z.max(axis=1, keepdims=True)
+    P = np.exp(Z)
+    P /= P.sum(axis=1, keepdims=True)
+    P[np.arange(len(y)), y] -= 1
+    return P.T @ X / len(y), P.mean(axis=0)
+
+
+def test_gradient_matches_numpy(spark):
+    f = SQ.features(spark, SF).repartition(5)
+    m = SQ.model()
+    g = {(r.class_id, r.dim): r.grad for r in T.gradient(f, m).collect()}
+    rows = f.select("features", "true_id").collect()
+    X = np.array([r.features for r in rows], dtype=np.float64)
+    y = np.array([r.true_id for r in rows])
+    gw, gb = _numpy_grad(X, y, np.array(m.weights), np.array(m.bias))
+    for c in range(len(m.labels)):
+        assert abs(g[(c, -1)] - gb[c]) < 1e-9
+        for d in range(X.shape[1]):
+            assert abs(g[(c, d)] - gw[c, d]) < 1e-9
+
+
+def test_lbfgs_fits_training_split(spark):
+    data = S.assign_split(SQ.features(spark, SF).withColumn("key", F.col("vec_id").cast("string")), "key")
+    m = T.train_lbfgs(data.filter(F.col("split") == "training"), FV.SHIPPED_LABELS, max_iter=30)
+    assert len(m.weights) == 5 and len(m.weights[0]) == 64
+    metrics = {r.split: r for r in T.evaluate(data, m, ["split"]).collect()}
+    base = {r.split: r for r in T.evaluate(data, SC.fixed_model(FV.SHIPPED_LABELS, 64), ["split"]).collect()}
+    assert metrics["training"].mean_xent < base["training"].mean_xent
+
+
+def test_sgd_steps_reduce_loss(spark):
+    from vitrine.operators.ranking import index_within_group
+    data = S.assign_split(SQ.features(spark, SF).withColumn("key", F.col("vec_id").cast("string")), "key")
+    labelled = data.withColumn("label", F.element_at(F.array(*[F.lit(x) for x in FV.SHIPPED_LABELS]),
+                                                     F.col("true_id") + 1))
+    pool = index_within_group(labelled.select("label", "split", "key"), ["label", "split"], ["key"])
+    feats = data.select("key", "features")
+    init = T.init_model(FV.SHIPPED_LABELS, 64, seed=3)
+    model, metrics = T.train_sgd(spark, pool, feats, FV.SHIPPED_LABELS, steps=3, batch=200,
+                                 learning_rate=0.05, eval_interval=2, validation_batch=20, init=init)
+    steps = [r.step for r in metrics.orderBy("step").collect()]
+    assert steps == [0, 2]
+    before = T.evaluate(data, init, []).first().mean_xent
+    after = T.evaluate(data, model, []).first().mean_xent
+    assert after < before
+
+
+def test_init_model_truncated():
+    m = T.init_model(["a", "b", "c"], 100, seed=1)
+    w = np.array(m.weights)
+    assert w.shape == (3, 100) and np.abs(w).max() <= 2 * FV.INIT_STDDEV and m.bias == [0.0] * 3
+
+
+def test_feature_cache_is_incremental(spark, tmp_dir):
+    cache = os.path.join(tmp_dir, "cache")
+    idx = spark.createDataFrame([(i, "text " * i) for i in range(40)], "doc_id long, text string")
+    fac = FE.text_histogram_factory(16)
+    assert FE.fill_cache(spark, idx, cache, "doc_id", ["text"], fac, "v1", 16) == 40
+    assert FE.fill_cache(spark, idx, cache, "doc_id", ["text"], fac, "v1", 16) == 0
+    more = idx.unionByName(spark.createDataFrame([(100, "new")], "doc_id long, text string"))
+    assert FE.fill_cache(spark, more, cache, "doc_id", ["text"], fac, "v1", 16) == 1
+    assert FE.fill_cache(spark, idx, cache, "doc_id", ["text"], fac, "v2", 16) == 40
+    assert FE.read_cache(spark, cache).filter("model_version = 'v1'").count() == 41
+
+
+def test_should_distort():
+    assert not FE.should_distort(False, 0, 0, 0)
+    assert FE.should_distort(True, 0, 0, 0) and FE.should_distort(False, 0, 5, 0)
+
+
+def test_crop_flip_brighten_golden(spark):
+    img = [[float(r * 4 + c) for c in range(4)] for r in range(4)]
+    df = spark.createDataFrame([(1, img, True, 1, 2, 2.0)],
+                               "k int, img array<array<double>>, flip boolean, crop_y int, crop_x int, brightness double")
+    out = AU.crop_flip_brighten(df, "img", (2, 2)).first().augmented
+    # crop rows 1-2, cols 2-3: [[6,7],[10,11]] -> flip -> [[7,6],[11,10]] -> x2
+    assert out == [[14.0, 12.0], [22.0, 20.0]]
+
+
+def test_bilinear_resize():
+    a = np.arange(16, dtype=float).reshape(4, 4)
+    assert np.allclose(AU.resize_bilinear(a, 4, 4), a)
+    up = AU.resize_bilinear(a, 8, 8)
+    assert up.shape == (8, 8) and up[0, 0] == 0 and abs(up[0, 1] - 0.5) < 1e-12
+
+
+def test_augment_params_ranges(spark):
+    df = spark.range(2000).withColumnRenamed("id", "d")
+    p = AU.augment_params(df, "d", "s", (8, 8), (6, 6), True, 10, 20, 30).collect()
+    assert all(0.7 <= r.brightness <= 1.3 for r in p)
+    assert all(1.1 - 1e-12 <= r.scale <= 1.1 * 1.2 + 1e-12 for r in p)
+    assert all(0 <= r.crop_y <= r.scaled_h - 6 for r in p)
+    flips = sum(r.flip for r in p)
+    assert 800 < flips < 1200
+
+
+def test_feature_stream_fills_new_files(spark, tmp_dir):
+    from vitrine.streaming.feature_stream import start_feature_stream
+    src = os.path.join(tmp_dir, "incoming")
+    cache = os.path.join(tmp_dir, "cache")
+    schema = "doc_id long, text string"
+    spark.createDataFrame([(i, f"t{i}") for i in range(10)], schema).write.parquet(os.path.join(src, "b1"))
+    q = start_feature_stream(spark, os.path.join(src, "*"), schema, cache, "doc_id", ["text"],
+                             FE.text_histogram_factory(8), "v1", 8, checkpoint=os.path.join(tmp_dir, "ck"))
+    q.awaitTermination(120)
+    assert FE.read_cache(spark, cache).count() == 10
+    spark.createDataFrame([(i, f"t{i}") for i in range(5, 15)], schema).write.parquet(os.path.join(src, "b2"))
+    q = start_feature_stream(spark, os.path.join(src, "*"), schema, cache, "doc_id", ["text"],
+                             FE.text_histogram_factory(8), "v1", 8, checkpoint=os.path.join(tmp_dir, "ck"))
+    q.awaitTermination(120)
+    assert FE.read_cache(spark, cache).count() == 15
