@@ -21,20 +21,26 @@ Extractor = Callable[[pd.DataFrame], np.ndarray]
 _LOADED: dict[str, Extractor] = {}
 
 
-def _loaded(name: str, factory: Callable[[], Extractor]) -> Extractor:
-    """Load a model once per Python worker process."""
-    if name not in _LOADED:
-        _LOADED[name] = factory()
-    return _LOADED[name]
+def _factory_key(name: str, factory: Callable[[], Extractor], dim: int) -> str:
+    cells = tuple(repr(c.cell_contents) for c in (getattr(factory, "__closure__", None) or ()))
+    return f"{name}|{dim}|{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', '')}|{cells}"
+
+
+def _loaded(key: str, factory: Callable[[], Extractor]) -> Extractor:
+    """Load a model once per Python worker process (workers are reused across tasks)."""
+    if key not in _LOADED:
+        _LOADED[key] = factory()
+    return _LOADED[key]
 
 
 def extract_features(df: DataFrame, factory: Callable[[], Extractor], name: str,
                      key_col: str, input_cols: list[str], dim: int) -> DataFrame:
     """(key, features array<float>) for every row of df, computed in Arrow batches."""
     schema = f"{key_col} {df.schema[key_col].dataType.simpleString()}, features array<float>"
+    key = _factory_key(name, factory, dim)
 
     def run(batches):
-        fn = _loaded(name, factory)
+        fn = _loaded(key, factory)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
