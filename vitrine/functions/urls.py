@@ -26,10 +26,12 @@ def image_url(image_id: Column | str, suffix: str | Column = FV.IMAGE_ROLE_SUFFI
     iid = iid.cast("bigint")
     pre = F.lit(prefix) if isinstance(prefix, str) else prefix
     suf = F.lit(suffix) if isinstance(suffix, str) else suffix
-    shard = F.regexp_replace(
-        F.lpad((iid % F.lit(FV.URL_SHARD_MODULUS)).cast("string"), FV.URL_SHARD_DIGITS, "0"),
-        "(..)(..)(..)(..)", "/$1/$2/$3/$4/")
-    url = F.concat(pre, shard, F.lit(FV.URL_FINAL_SEGMENT), iid.cast("string"), F.lit("-"), suf)
+    padded = F.lpad((iid % F.lit(FV.URL_SHARD_MODULUS)).cast("string"), FV.URL_SHARD_DIGITS, "0")
+    # "/d8d7/d6d5/d4d3/d2d1/" by fixed-position substrings (no regex per row)
+    pieces = []
+    for start in range(1, FV.URL_SHARD_DIGITS + 1, 2):
+        pieces += [F.lit("/"), F.substring(padded, start, 2)]
+    url = F.concat(pre, *pieces, F.lit("/" + FV.URL_FINAL_SEGMENT), iid.cast("string"), F.lit("-"), suf)
     return F.when(iid >= 0, url)
 
 
@@ -41,6 +43,12 @@ def role_suffix_map() -> Column:
     return F.create_map(*items)
 
 
+def expected_file_name(image_id: Column | str, suffix: str = FV.IMAGE_ROLE_SUFFIX[FV.DEFAULT_ROLE]) -> Column:
+    """``<id>-<suffix>``: the last URL segment, built from the id (NULL for negative ids)."""
+    iid = (F.col(image_id) if isinstance(image_id, str) else image_id).cast("bigint")
+    return F.when(iid >= 0, F.concat(iid.cast("string"), F.lit("-" + suffix)))
+
+
 def file_name(url: Column | str) -> Column:
     """Last '/' segment of a URL."""
     u = F.col(url) if isinstance(url, str) else url

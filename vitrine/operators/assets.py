@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as FV
-from ..functions.urls import file_name
+from ..functions.urls import expected_file_name
 
 DEFAULT_ASSET_ROOT = "assets"
 
@@ -38,17 +38,31 @@ def path_label(label: Column | str) -> Column:
     return F.replace(F.replace(c, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))
 
 
+def landed_image_ids(assets: DataFrame, suffix: str = FV.IMAGE_ROLE_SUFFIX[FV.DEFAULT_ROLE]) -> DataFrame:
+    """Distinct image ids whose ``<id>-<suffix>`` file is in the asset listing. The id is
+    parsed on the listing side and only canonical names count (the exact string match)."""
+    id_text = F.substring_index(F.col("file_name"), "-", 1)
+    return (assets.select("file_name")
+            .withColumn("image_id", id_text.try_cast("bigint"))
+            .filter((F.col("image_id") >= 0)
+                    & (F.col("file_name") == F.concat(F.col("image_id").cast("string"), F.lit("-" + suffix))))
+            .select("image_id").distinct())
+
+
 def attach_assets(manifest: DataFrame, assets: DataFrame, label_col: str = "label",
-                  root: str = DEFAULT_ASSET_ROOT) -> DataFrame:
-    """Left join the expected file name to the landed-asset listing.
+                  root: str = DEFAULT_ASSET_ROOT,
+                  suffix: str = FV.IMAGE_ROLE_SUFFIX[FV.DEFAULT_ROLE]) -> DataFrame:
+    """Left join of the manifest to the landed-asset listing on the image id.
 
+    Equivalent to matching the URL's file name against the listing, but the join key is
+    the numeric id the manifest already has: no string is built per fact row to join.
     ``image_path`` = root/label/file_name when the asset landed, else NULL; rows are
-    never dropped here (a flag, not a filter). The listing is de-duplicated first so the
-    left join cannot multiply manifest rows.
+    never dropped here (a flag, not a filter). The listing side is distinct on the id,
+    so the left join cannot multiply manifest rows.
     """
-    landed = assets.select("file_name").distinct().withColumn("_landed", F.lit(True))
-    out = (manifest.withColumn("file_name", file_name("image_url"))
-           .join(landed, "file_name", "left"))
+    landed = landed_image_ids(assets, suffix).withColumn("_landed", F.lit(True))
+    out = (manifest.join(landed, "image_id", "left")
+           .withColumn("file_name", expected_file_name("image_id", suffix)))
     return (out.withColumn("has_asset", F.coalesce(F.col("_landed"), F.lit(False)))
             .withColumn("image_path",
                         F.when(F.col("has_asset"),

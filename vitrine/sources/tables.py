@@ -11,8 +11,6 @@ filters into the parquet reader through them.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +20,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one table. The resolved relation is memoised per session and path:
+    a query touching a table several times resolves its schema and file list once (the
+    plan is still lazy; Catalyst prunes columns and pushes filters per use)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 # p_type -> dress-length attribute text; PROMO deliberately has no enum (quarantine path)
@@ -44,81 +54,107 @@ def _case_map(col: Column, mapping: dict[str, str]) -> Column:
     return expr
 
 
-@dataclass
 class Catalogue:
-    product: DataFrame
-    product_attribute: DataFrame
-    product_image: DataFrame
-    channel: DataFrame
-    product_type: DataFrame
-    upc: DataFrame
-    product_colorway: DataFrame
-    product_colorway_image: DataFrame
-    image: DataFrame
-    landed_assets: DataFrame
+    """The catalogue views. Each view is built on first use only."""
+
+    VIEWS = ("product", "product_attribute", "product_image", "channel", "product_type", "upc",
+             "product_colorway", "product_colorway_image", "image", "landed_assets")
+
+    def __init__(self, builders: dict):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.VIEWS:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    @classmethod
+    def from_frames(cls, **frames: DataFrame) -> "Catalogue":
+        """Views supplied directly (e.g. JDBC subquery scans)."""
+        return cls({k: (lambda v=v: v) for k, v in frames.items()})
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> "Catalogue":
-        part = read_table(spark, sf_dir, "part")
-        lineitem = read_table(spark, sf_dir, "lineitem")
-        orders = read_table(spark, sf_dir, "orders")
-        nation = read_table(spark, sf_dir, "nation")
-        customer = read_table(spark, sf_dir, "customer")
-
-        product = part.select(
-            F.col("p_partkey").cast("bigint").alias("product_id"),
-            F.col("p_name").alias("product_desc"),
-            F.col("p_brand").alias("vendor_code"),
-            (F.col("p_size") % 25).cast("bigint").alias("product_type_id"),
-            (F.col("p_size") % 3).cast("bigint").alias("state_id"),
-            F.col("p_type").alias("category"),
-        )
-        # entity-attribute-value table: two attribute rows per product
-        attr_category = part.select(
-            F.col("p_partkey").cast("bigint").alias("product_id"),
-            F.lit(FV.ATTR_TYPE_CATEGORY).cast("bigint").alias("attribute_type_id"),
-            F.col("p_type").alias("varchar_value"),
-        )
-        attr_length = part.select(
-            F.col("p_partkey").cast("bigint").alias("product_id"),
-            F.lit(FV.ATTR_TYPE_DRESS_LENGTH).cast("bigint").alias("attribute_type_id"),
-            _case_map(F.col("p_type"), STANDIN_LENGTH_TEXT).alias("varchar_value"),
-        )
-        product_attribute = attr_category.unionByName(attr_length)
-        product_image = lineitem.select(
-            F.col("l_partkey").cast("bigint").alias("product_id"),
-            F.col("l_orderkey").cast("bigint").alias("image_id"),
-        )
-        channel = lineitem.select(
-            F.col("l_partkey").cast("bigint").alias("product_id"),
-            F.when(F.col("l_returnflag") == "A", "Y").otherwise("N").alias("publish_flag"),
-            F.when(F.col("l_linestatus") == "O", "Y").otherwise("N").alias("current_flag"),
-        )
-        product_type = nation.select(
-            F.col("n_nationkey").cast("bigint").alias("product_type_id"),
-            F.col("n_name").alias("product_type_name"),
-            F.col("n_name").alias("short_description"),
-            F.col("n_name").alias("product_type_description"),
-        )
-        upc = lineitem.select(
-            F.col("l_partkey").cast("bigint").alias("product_id"),
-            F.col("l_orderkey").cast("bigint").alias("product_colorway_id"),
-        )
-        product_colorway = orders.select(F.col("o_orderkey").cast("bigint").alias("product_colorway_id"))
-        product_colorway_image = orders.select(
-            F.col("o_orderkey").cast("bigint").alias("product_colorway_id"),
-            F.col("o_custkey").cast("bigint").alias("product_image_id"),
-        )
-        image = customer.select(
-            F.col("c_custkey").cast("bigint").alias("product_image_id"),
-            F.col("c_custkey").cast("bigint").alias("image_id"),
-        )
-        landed_assets = orders.filter(F.col("o_orderstatus") == "F").select(
-            F.concat(F.col("o_orderkey").cast("string"), F.lit("-" + FV.IMAGE_ROLE_SUFFIX["CPRI"]))
-            .alias("file_name"),
-        )
-        return cls(product, product_attribute, product_image, channel, product_type, upc,
-                   product_colorway, product_colorway_image, image, landed_assets)
+        memo_key = (id(spark), sf_dir.rstrip("/"))
+        hit = _CATALOGUES.get(memo_key)
+        if hit is not None and hit[0] is spark:
+            return hit[1]
+
+        def t(name: str) -> DataFrame:
+            return read_table(spark, sf_dir, name)
+
+        def product():
+            return t("part").select(
+                F.col("p_partkey").cast("bigint").alias("product_id"),
+                F.col("p_name").alias("product_desc"),
+                F.col("p_brand").alias("vendor_code"),
+                (F.col("p_size") % 25).cast("bigint").alias("product_type_id"),
+                (F.col("p_size") % 3).cast("bigint").alias("state_id"),
+                F.col("p_type").alias("category"))
+
+        def product_attribute():
+            # entity-attribute-value table: two attribute rows per product
+            part = t("part")
+            attr_category = part.select(
+                F.col("p_partkey").cast("bigint").alias("product_id"),
+                F.lit(FV.ATTR_TYPE_CATEGORY).cast("bigint").alias("attribute_type_id"),
+                F.col("p_type").alias("varchar_value"))
+            attr_length = part.select(
+                F.col("p_partkey").cast("bigint").alias("product_id"),
+                F.lit(FV.ATTR_TYPE_DRESS_LENGTH).cast("bigint").alias("attribute_type_id"),
+                _case_map(F.col("p_type"), STANDIN_LENGTH_TEXT).alias("varchar_value"))
+            return attr_category.unionByName(attr_length)
+
+        def product_image():
+            return t("lineitem").select(F.col("l_partkey").cast("bigint").alias("product_id"),
+                                        F.col("l_orderkey").cast("bigint").alias("image_id"))
+
+        def channel():
+            return t("lineitem").select(
+                F.col("l_partkey").cast("bigint").alias("product_id"),
+                F.when(F.col("l_returnflag") == "A", "Y").otherwise("N").alias("publish_flag"),
+                F.when(F.col("l_linestatus") == "O", "Y").otherwise("N").alias("current_flag"))
+
+        def product_type():
+            return t("nation").select(
+                F.col("n_nationkey").cast("bigint").alias("product_type_id"),
+                F.col("n_name").alias("product_type_name"),
+                F.col("n_name").alias("short_description"),
+                F.col("n_name").alias("product_type_description"))
+
+        def upc():
+            return t("lineitem").select(F.col("l_partkey").cast("bigint").alias("product_id"),
+                                        F.col("l_orderkey").cast("bigint").alias("product_colorway_id"))
+
+        def product_colorway():
+            return t("orders").select(F.col("o_orderkey").cast("bigint").alias("product_colorway_id"))
+
+        def product_colorway_image():
+            return t("orders").select(F.col("o_orderkey").cast("bigint").alias("product_colorway_id"),
+                                      F.col("o_custkey").cast("bigint").alias("product_image_id"))
+
+        def image():
+            return t("customer").select(F.col("c_custkey").cast("bigint").alias("product_image_id"),
+                                        F.col("c_custkey").cast("bigint").alias("image_id"))
+
+        def landed_assets():
+            return t("orders").filter(F.col("o_orderstatus") == "F").select(
+                F.concat(F.col("o_orderkey").cast("string"),
+                         F.lit("-" + FV.IMAGE_ROLE_SUFFIX["CPRI"])).alias("file_name"))
+
+        cat = cls(dict(product=product, product_attribute=product_attribute,
+                       product_image=product_image, channel=channel, product_type=product_type,
+                       upc=upc, product_colorway=product_colorway,
+                       product_colorway_image=product_colorway_image, image=image,
+                       landed_assets=landed_assets))
+        _CATALOGUES[memo_key] = (spark, cat)
+        return cat
+
+
+_CATALOGUES: dict[tuple[int, str], tuple[SparkSession, Catalogue]] = {}
 
 
 # SQL text of the same views, for the DuckDB oracle (kept beside the DataFrame form).
