@@ -40,17 +40,21 @@ def _case(col: str, values: list[str]) -> str:
     return "CASE " + col + " " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " ELSE '' END"
 
 
-LOGITS_SQL = f"""
+def logits_sql(k: int) -> str:
+    return f"""
 e AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS d
       FROM embeddings),
-cls AS (SELECT range AS c FROM range(0, {K})),
+cls AS (SELECT range AS c FROM range(0, {k})),
 z AS (SELECT e.vec_id, cls.c AS class_id,
              sum(CAST(e.x AS DOUBLE) * (CAST(((cls.c * 31 + e.d * 17) % 13) - 6 AS DOUBLE) / 10.0)) AS z
       FROM e CROSS JOIN cls GROUP BY e.vec_id, cls.c),
 zm AS (SELECT *, max(z) OVER (PARTITION BY vec_id) AS mz FROM z),
 p AS (SELECT vec_id, class_id, z, mz,
              exp(z - mz) / sum(exp(z - mz)) OVER (PARTITION BY vec_id) AS score,
-             mz + ln(sum(exp(z - mz)) OVER (PARTITION BY vec_id)) AS lse FROM zm),
+             mz + ln(sum(exp(z - mz)) OVER (PARTITION BY vec_id)) AS lse FROM zm)"""
+
+
+LOGITS_SQL = logits_sql(K) + f""",
 truth AS (SELECT vec_id, CAST(label % {K} AS INTEGER) AS true_id,
                  {_case(f'label % {K}', FV.DRESS_LENGTH_CHECK_ORDER)} AS source_label FROM embeddings)"""
 
@@ -149,7 +153,42 @@ SQL["one_hot"] = f"""SELECT vec_id, CAST(label % {K} AS INTEGER) AS label_id,
     AS one_hot, CAST(1.0 AS DOUBLE) AS n_hot FROM embeddings"""
 
 
+# ---------------------------------------------------------------- colour check
+# Colour model: one class per palette colour, named as training names its folders
+# (normalised); the expected colour of a vector is palette[label].
+COLOR_LABELS = [" ".join(c.lower().split("_")) for c in FV.COLOR_PALETTE]
+
+
+def color_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings")
+    m = SC.fixed_model(COLOR_LABELS, DIM)
+    f = emb.select("vec_id", F.col("embedding").alias("features"),
+                   F.element_at(F.array(*[F.lit(c) for c in FV.COLOR_PALETTE]),
+                                (F.col("label") % len(FV.COLOR_PALETTE) + 1).cast("int")).alias("expected"))
+    top = SC.first_two(SC.score(f, m), m, "color")
+    lit = R.color_warning(top, "expected", "color1", literal=True).withColumnRenamed("warning", "warning_literal")
+    out = R.color_warning(lit, "expected", "color1")
+    return out.select("vec_id", "expected", "color1", F.round("score1", DEC).alias("score1"),
+                      "color2", F.round("score2", DEC).alias("score2"), "warning_literal", "warning")
+
+
+SQL["color_check"] = f"""WITH {logits_sql(len(COLOR_LABELS))},
+r AS (SELECT *, {_case('class_id', COLOR_LABELS)} AS lab,
+             row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class_id DESC) AS rank FROM p),
+two AS (SELECT vec_id, max(CASE WHEN rank = 1 THEN lab END) AS color1,
+               max(CASE WHEN rank = 1 THEN score END) AS score1,
+               max(CASE WHEN rank = 2 THEN lab END) AS color2,
+               max(CASE WHEN rank = 2 THEN score END) AS score2 FROM r GROUP BY vec_id),
+ex AS (SELECT vec_id, {_case(f'label % {len(FV.COLOR_PALETTE)}', FV.COLOR_PALETTE)} AS expected FROM embeddings)
+SELECT two.vec_id, expected, color1, round(score1, {DEC}) AS score1, color2, round(score2, {DEC}) AS score2,
+       color1 <> lower(expected) AS warning_literal,
+       regexp_replace(lower(color1), '[^a-z0-9]+', ' ', 'g')
+         <> regexp_replace(lower(expected), '[^a-z0-9]+', ' ', 'g') AS warning
+FROM two JOIN ex USING (vec_id)"""
+
+
 QUERIES = {
+    "color_check": color_check,
     "softmax_scores": softmax_scores,
     "topk_labels": topk_labels,
     "validated_predictions": validated_predictions,
