@@ -83,8 +83,12 @@ def colorway_images(cat: Catalogue, category: str, modulus: int = DEFAULT_MODULU
                      "product_type_id")
                .drop("product_type_id")
                .distinct())
+    # products that survive the filters and have a type row: a cheap id-only semi filter
+    eligible = (prod.select("product_id", "product_type_id")
+                .join(cat.product_type.select("product_type_id"), "product_type_id", "left_semi")
+                .select("product_id"))
     pairs = (cat.upc.select("product_id", "product_colorway_id")
-             .join(details.select("product_id"), "product_id", "left_semi")
+             .join(eligible, "product_id", "left_semi")
              .join(cat.product_colorway.select("product_colorway_id"), "product_colorway_id",
                    "left_semi")
              .join(cat.product_colorway_image.select("product_colorway_id", "product_image_id"),
@@ -101,10 +105,14 @@ def colorway_images(cat: Catalogue, category: str, modulus: int = DEFAULT_MODULU
 def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
                                   modulus: int = DEFAULT_MODULUS,
                                   state_id: int = FV.PUBLISHED_STATE_ID,
-                                  desc_like: str | None = None) -> DataFrame:
+                                  desc_like: str | None = None,
+                                  max_copies: int | None = None) -> DataFrame:
     """The inner-join rows *before* DISTINCT (one row per matching channel row).
 
-    Only needed where a row cap is applied below the DISTINCT."""
+    Only needed where a row cap is applied below the DISTINCT. The channel side is
+    pre-aggregated to a count per product; each image row is repeated that many times.
+    With a cap of n rows downstream, ``max_copies=n`` is exact: identical copies sort
+    together, so copies beyond the n-th can never be among the first n rows."""
     p = cat.product.filter(F.col("state_id") == state_id)
     if desc_like is not None:
         p = p.filter(F.col("product_desc").like(desc_like))
@@ -114,11 +122,14 @@ def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
     dim = (attribute_values(cat, attribute_type_id)
            .join(p.select("product_id"), "product_id")
            .join(live, "product_id"))
+    copies = F.col("_n").cast("int")
+    if max_copies is not None:
+        copies = F.least(copies, F.lit(max_copies))
     rows = (cat.product_image.select("product_id", "image_id")
             .join(dim, "product_id")
             .select("product_id", "image_id", "varchar_value",
                     bucket("product_id", modulus).alias(FV.BUCKET_COLUMN),
-                    F.expr("explode(array_repeat(1, CAST(_n AS INT)))").alias("_copy")))
+                    F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")))
     return rows.drop("_copy")
 
 

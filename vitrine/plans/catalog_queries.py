@@ -145,7 +145,7 @@ SELECT label, product_id, image_id, image_url, image_path FROM (
 def capped_then_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = Catalogue.from_tables(spark, sf_dir)
     rows = C.joined_rows_with_multiplicity(cat, FV.ATTR_TYPE_DRESS_LENGTH, MODULUS,
-                                           desc_like=DESC_LIKE)
+                                           desc_like=DESC_LIKE, max_copies=ROW_CAP)
     capped = C.cap_then_distinct(rows, ROW_CAP,
                                  ["product_id", "image_id", "varchar_value", FV.BUCKET_COLUMN])
     return capped
