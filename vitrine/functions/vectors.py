@@ -4,6 +4,8 @@ All are array expressions evaluated inside the JVM; a model is a small K x D lit
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,29 +38,48 @@ def dot(x: Column, w: Column) -> Column:
                        F.lit(0.0).cast("double"), lambda acc, v: acc + v)
 
 
+def matrix_literal(rows: list[list[float]]) -> Column:
+    """array<array<double>> literal from one JSON string (two JVM calls whatever the size;
+    the optimizer folds it to a single constant). Values round-trip exactly."""
+    text = json.dumps([[float(v) for v in r] for r in rows])
+    return F.from_json(F.lit(text), "array<array<double>>")
+
+
+def vector_literal(values: list[float]) -> Column:
+    return F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda column): Catalyst may
+    otherwise inline an expensive expression at every reference inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def linear(x: Column | str, weights: list[list[float]], bias: list[float]) -> Column:
     """x . W^T + b for a K x D weight literal -> array<double> of K logits."""
     xv = _c(x)
-    w_lit = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in weights])
-    b_lit = F.array(*[F.lit(float(v)) for v in bias])
-    z = F.transform(w_lit, lambda w: dot(xv, w))
-    return F.zip_with(z, b_lit, lambda a, b: a + b)
+    w_lit = matrix_literal(weights)
+    b_lit = vector_literal(bias)
+    return let(xv, lambda xx: F.zip_with(F.transform(w_lit, lambda w: dot(xx, w)), b_lit,
+                                         lambda a, b: a + b))
 
 
 def softmax(z: Column | str) -> Column:
-    """exp(z - max z) / sum(exp(z - max z))."""
-    zc = _c(z)
-    m = F.array_max(zc)
-    e = F.transform(zc, lambda v: F.exp(v - m))
-    s = F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / s)
+    """exp(z - max z) / sum(exp(z - max z)); z, the shifted exponentials and their sum
+    are each computed once per row."""
+    def with_z(zz):
+        return let(F.transform(zz, lambda v: F.exp(v - F.array_max(zz))),
+                   lambda e: let(F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, v: acc + v),
+                                 lambda s: F.transform(e, lambda v: v / s)))
+    return let(_c(z), with_z)
 
 
 def log_sum_exp(z: Column | str) -> Column:
-    zc = _c(z)
-    m = F.array_max(zc)
-    return m + F.log(F.aggregate(F.transform(zc, lambda v: F.exp(v - m)),
-                                 F.lit(0.0).cast("double"), lambda acc, v: acc + v))
+    def with_z(zz):
+        return let(F.array_max(zz), lambda m: m + F.log(
+            F.aggregate(F.transform(zz, lambda v: F.exp(v - m)),
+                        F.lit(0.0).cast("double"), lambda acc, v: acc + v)))
+    return let(_c(z), with_z)
 
 
 def argmax(v: Column | str) -> Column:

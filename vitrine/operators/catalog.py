@@ -3,10 +3,10 @@
 Plan shape (all three jobs): the per-product side (attribute row, product state,
 published channel) is reduced first on product-sized data — semi joins and map-side
 pre-aggregated DISTINCTs keyed by ``product_id`` — and the image fact table is joined
-exactly once. That one fact join is a single two-input join, so AQE can either turn it
-into a broadcast join from runtime sizes or split skewed product partitions
-(``spark.sql.adaptive.skewJoin.enabled``); the final DISTINCT is keyed by every output
-column, so a hot product spreads over ``image_id``.
+exactly once, through ``skew_split_join``: products holding more than ``hot_rows`` image
+rows are joined by broadcasting their (bounded) dimension rows, the rest by an ordinary
+shuffle join that AQE may still turn into a broadcast from measured sizes. The final
+DISTINCT is keyed by every output column, so a hot product spreads over ``image_id``.
 """
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from .. import fixed_values as FV
 from ..functions.urls import image_url
 from ..sources.tables import Catalogue
+from .joins import DEFAULT_HOT_ROWS, skew_split_join
 
 DEFAULT_MODULUS = 16
 
@@ -51,13 +52,14 @@ def attribute_values(cat: Catalogue, attribute_type_id: int) -> DataFrame:
 
 def labelled_images(cat: Catalogue, attribute_type_id: int = FV.ATTR_TYPE_CATEGORY,
                     modulus: int = DEFAULT_MODULUS, state_id: int = FV.PUBLISHED_STATE_ID,
-                    desc_like: str | None = None) -> DataFrame:
+                    desc_like: str | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """DISTINCT (product_id, image_id, varchar_value, id_mod) of published products
     carrying the given attribute (the category job: 708; the dress-length job: 10643)."""
     eligible = (attribute_values(cat, attribute_type_id)
                 .join(published_products(cat, state_id, desc_like), "product_id", "left_semi"))
-    return (cat.product_image.select("product_id", "image_id")
-            .join(eligible, "product_id")
+    joined = skew_split_join(cat.product_image.select("product_id", "image_id"), eligible,
+                             "product_id", hot_rows)
+    return (joined
             .select("product_id", "image_id", "varchar_value",
                     bucket("product_id", modulus).alias(FV.BUCKET_COLUMN))
             .distinct())
@@ -125,8 +127,7 @@ def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
     copies = F.col("_n").cast("int")
     if max_copies is not None:
         copies = F.least(copies, F.lit(max_copies))
-    rows = (cat.product_image.select("product_id", "image_id")
-            .join(dim, "product_id")
+    rows = (skew_split_join(cat.product_image.select("product_id", "image_id"), dim, "product_id")
             .select("product_id", "image_id", "varchar_value",
                     bucket("product_id", modulus).alias(FV.BUCKET_COLUMN),
                     F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")))
