@@ -58,8 +58,9 @@ def test_sgd_steps_reduce_loss(spark):
     init = T.init_model(FV.SHIPPED_LABELS, 64, seed=3)
     model, metrics = T.train_sgd(spark, pool, feats, FV.SHIPPED_LABELS, steps=3, batch=200,
                                  learning_rate=0.05, eval_interval=2, validation_batch=20, init=init)
-    steps = [r.step for r in metrics.orderBy("step").collect()]
-    assert steps == [0, 2]
+    rows = metrics.orderBy("step").collect()
+    assert [r.step for r in rows] == [0, 2]
+    assert rows[0].test_accuracy is None and rows[-1].test_accuracy is not None
     before = T.evaluate(data, init, []).first().mean_xent
     after = T.evaluate(data, model, []).first().mean_xent
     assert after < before
@@ -129,3 +130,28 @@ def test_feature_stream_fills_new_files(spark, tmp_dir):
                              FE.text_histogram_factory(8), "v1", 8, checkpoint=os.path.join(tmp_dir, "ck"))
     q.awaitTermination(120)
     assert FE.read_cache(spark, cache).count() == 15
+
+
+def test_sgd_with_augmentation(spark):
+    from vitrine.operators.ranking import index_within_group
+    data = S.assign_split(SQ.features(spark, SF).withColumn("key", F.col("vec_id").cast("string")), "key")
+    labelled = data.withColumn("label", F.element_at(F.array(*[F.lit(x) for x in FV.SHIPPED_LABELS]),
+                                                     F.col("true_id") + 1))
+    pool = index_within_group(labelled.select("label", "split", "key"), ["label", "split"], ["key"])
+    pixels = data.select("key", V.reshape("features", 8, 8).alias("pixels"))
+
+    def mean_pool_factory():
+        def fn(pdf):
+            flat = np.stack(pdf.iloc[:, 0].to_numpy())
+            return np.concatenate([flat, np.zeros((len(flat), 64 - flat.shape[1]))], axis=1)
+        return fn
+
+    aug = dict(flip_left_right=True, random_crop=0, random_scale=0, random_brightness=10)
+    model, metrics = T.train_sgd(spark, pool, data.select("key", "features"), FV.SHIPPED_LABELS,
+                                 steps=2, batch=40, learning_rate=0.05, eval_interval=1,
+                                 validation_batch=20, test_batch=20, pixels=pixels, augment=aug,
+                                 extractor_factory=mean_pool_factory,
+                                 init=T.init_model(FV.SHIPPED_LABELS, 64, seed=5))
+    rows = metrics.orderBy("step").collect()
+    assert [r.step for r in rows] == [0, 1] and rows[-1].test_accuracy is not None
+    assert len(model.weights) == 5 and len(model.weights[0]) == 64

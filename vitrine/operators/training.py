@@ -147,40 +147,91 @@ def evaluate(df: DataFrame, model: SoftmaxModel, group_cols: list[str],
                  F.avg("_xent").alias("mean_xent")))
 
 
+def _augmented_batch(spark: SparkSession, draws: DataFrame, pixels: DataFrame, key_col: str,
+                     augment: dict, seed: str, factory, model_version: str, dim: int,
+                     features_col: str) -> DataFrame:
+    """Fresh vectors for drawn images after random scale / crop / flip / brightness."""
+    from . import augment as AU
+    from .features import extract_features
+
+    img = draws.join(pixels.select(key_col, "pixels"), key_col)
+    first = pixels.select("pixels").first()["pixels"]
+    size = (len(first), len(first[0]))
+    out_size = tuple(augment.get("out_size", size))
+    params = {k: augment.get(k, 0) for k in ("random_crop", "random_scale", "random_brightness")}
+    p = AU.augment_params(img, "draw_id", seed, size, out_size,
+                          bool(augment.get("flip_left_right", False)), **params)
+    keep = ["draw_id", key_col, "class_id", "flip", "crop_y", "crop_x", "brightness",
+            "scaled_h", "scaled_w"]
+    if params["random_crop"] or params["random_scale"]:
+        p = AU.scale_images(p, "pixels", keep, "pixels")
+    a = AU.crop_flip_brighten(p, "pixels", out_size, "augmented")
+    flat = a.select("draw_id", "class_id", F.flatten("augmented").alias("flat"))
+    vecs = extract_features(flat, factory, model_version, "draw_id", ["flat"], dim)
+    return (vecs.join(flat.select("draw_id", "class_id"), "draw_id")
+            .select(F.col("features").alias(features_col), F.col("class_id").alias("true_id")))
+
+
 def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels: list[str],
               steps: int = FV.TRAINING_STEPS, batch: int = FV.TRAIN_BATCH,
               learning_rate: float = FV.LEARNING_RATE, eval_interval: int = FV.EVAL_INTERVAL,
-              validation_batch: int = FV.VALIDATION_BATCH, seed: str = "sgd",
-              key_col: str = "key", features_col: str = "features",
-              init: SoftmaxModel | None = None) -> tuple[SoftmaxModel, DataFrame]:
+              validation_batch: int = FV.VALIDATION_BATCH, test_batch: int = FV.TEST_BATCH,
+              seed: str = "sgd", key_col: str = "key", features_col: str = "features",
+              init: SoftmaxModel | None = None, pixels: DataFrame | None = None,
+              augment: dict | None = None, extractor_factory=None,
+              model_version: str = "aug") -> tuple[SoftmaxModel, DataFrame]:
     """Mini-batch gradient descent. ``pool`` is the indexed split list
-    (label, split, key, idx); ``features`` is (key, features). Returns the model and a
-    metrics table (step, train_accuracy, cross_entropy, validation_accuracy).
-
+    (label, split, key, idx); ``features`` is the cached (key, features) table. Returns
+    the model and a metrics table (step, train_accuracy, cross_entropy,
+    validation_accuracy, test_accuracy) with a row every ``eval_interval`` steps and at
+    the last step; the final test accuracy is on the last row.
+
+    With any augmentation on (``augment`` flags, see ``features.should_distort``) each
+    training draw gets a freshly augmented image from ``pixels`` (key, pixels) passed
+    through ``extractor_factory``; validation and test always use the cached vectors.
     The driver loops over *steps* (a parameter), never over data: each step is one
     distributed gradient over a hash-drawn batch."""
+    from .features import should_distort
     from .sampling import balanced_draws
 
+    distort = augment is not None and should_distort(
+        bool(augment.get("flip_left_right", False)), augment.get("random_crop", 0),
+        augment.get("random_scale", 0), augment.get("random_brightness", 0))
+    if distort and (pixels is None or extractor_factory is None):
+        raise ValueError("augmentation needs pixels and an extractor")
     dim = len(features.select(features_col).first()[0])
     model = init or init_model(labels, dim)
-    class_of = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("label")) - 1
     feats = features.select(key_col, features_col)
+
+    def cached_batch(n: int, split: str, tag: str) -> DataFrame:
+        d = balanced_draws(spark, pool, n, split, f"{seed}:{tag}", labels)
+        return d.join(feats, key_col).select(features_col, F.col("class_id").alias("true_id"))
+
     metrics = []
     for step in range(steps):
-        draws = balanced_draws(spark, pool, batch, "training", f"{seed}:{step}", labels)
-        b = draws.join(feats, key_col).withColumn("true_id", class_of.cast("int"))
+        if distort:
+            d = balanced_draws(spark, pool, batch, "training", f"{seed}:{step}", labels)
+            b = _augmented_batch(spark, d, pixels, key_col, augment, f"{seed}:a{step}",
+                                 extractor_factory, model_version, dim, features_col)
+        else:
+            b = cached_batch(batch, "training", str(step))
         b = b.persist()
         grads = gradient(b, model, features_col).collect()      # K x (D+1) rows
         model = apply_step(model, grads, learning_rate)
         last = step + 1 == steps
         if step % eval_interval == 0 or last:
             tr = evaluate(b, model, [], features_col).first()
-            vd = balanced_draws(spark, pool, validation_batch, "validation", f"{seed}:v{step}", labels)
-            vb = vd.join(feats, key_col).withColumn("true_id", class_of.cast("int"))
-            va = evaluate(vb, model, [], features_col).first()
+            va = evaluate(cached_batch(validation_batch, "validation", f"v{step}"), model, [],
+                          features_col).first()
+            te = None
+            if last:
+                te = evaluate(cached_batch(test_batch, "testing", "test"), model, [],
+                              features_col).first()
             metrics.append((step, float(tr["accuracy"] or 0.0), float(tr["mean_xent"] or 0.0),
-                            float(va["accuracy"] or 0.0) if va else None))
+                            float(va["accuracy"]) if va and va["accuracy"] is not None else None,
+                            float(te["accuracy"]) if te and te["accuracy"] is not None else None))
         b.unpersist()
     mdf = spark.createDataFrame(
-        metrics, "step int, train_accuracy double, cross_entropy double, validation_accuracy double")
+        metrics, "step int, train_accuracy double, cross_entropy double, "
+                 "validation_accuracy double, test_accuracy double")
     return model, mdf
