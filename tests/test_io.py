@@ -59,13 +59,13 @@ def test_attach_label_unknown_is_empty(spark):
 def test_json_arrays_absent_keys(spark, tmp_dir):
     d = os.path.join(tmp_dir, "json")
     os.makedirs(d)
-    with open(os.path.join(d, "bcomDressesMini.json"), "w") as f:
+    with open(os.path.join(d, "dresses_Mini.json"), "w") as f:
         json.dump([{"productId": 1, "imageUrl": "u1", "imagePath": "/x/1.jpg", "colorNormalId": 0},
                    {"productId": 2, "imageUrl": "u2", "colorNormalId": 0}], f)
     df = SRC.read_json_arrays(spark, d)
     rows = {r.productId: r for r in df.collect()}
     assert rows[1].imagePath == "/x/1.jpg" and rows[2].imagePath is None
-    assert rows[1].source_file.endswith("bcomDressesMini.json")
+    assert rows[1].source_file.endswith("dresses_Mini.json")
 
 
 def test_json_array_sink_per_label(spark, tmp_dir):
