@@ -121,3 +121,45 @@ def test_landing_by_label(spark, tmp_dir):
     sinks.land_by_label(df, out)
     back = spark.read.parquet(out)
     assert sorted((r.image_id, r.label) for r in back.collect()) == [(1, "Long/Maxi"), (2, "Mini"), (3, "Mini")]
+
+
+def test_enriched_json_keeps_unscored_rows(spark, tmp_dir):
+    from vitrine.operators import rules as R
+    man = spark.createDataFrame([(1, "u1", "/p/1.jpg"), (2, "u2", None)],
+                                "productId int, imageUrl string, imagePath string")
+    res = spark.createDataFrame([(1, "short", "0.91", False)],
+                                "productId int, cvResult string, cvScore string, warning boolean")
+    out = os.path.join(tmp_dir, "enriched")
+    R.enrich(man, res, "productId").coalesce(1).write.json(out)
+    recs = {}
+    for fn in os.listdir(out):
+        if fn.endswith(".json"):
+            with open(os.path.join(out, fn)) as f:
+                for line in f:
+                    d = json.loads(line)
+                    recs[d["productId"]] = d
+    assert recs[1] == {"productId": 1, "imageUrl": "u1", "imagePath": "/p/1.jpg", "cvResult": "short",
+                       "cvScore": "0.91", "warning": False}
+    assert recs[2] == {"productId": 2, "imageUrl": "u2"}
+
+
+def test_path_helpers(spark):
+    from vitrine.functions import text as TX
+    df = spark.createDataFrame([("root", "long", "a.jpg")], "r string, l string, b string")
+    r = df.select(TX.join_path("r", "l", "b").alias("p"),
+                  TX.cache_path(TX.join_path("r", "l", "b")).alias("c")).first()
+    assert r.p == "root/long/a.jpg" and r.c == "root/long/a.jpg.txt"
+    r2 = spark.createDataFrame([(r.p,)], "p string").select(
+        TX.label_from_path("p").alias("l"), TX.base_name("p").alias("b")).first()
+    assert (r2.l, r2.b) == ("long", "a.jpg")
+
+
+def test_class_count_guard(spark):
+    import pytest
+    from vitrine.operators.splits import check_class_count
+    one = spark.createDataFrame([("a", "k1"), ("a", "k2")], "label string, key string")
+    with pytest.raises(ValueError):
+        check_class_count(one)
+    with pytest.raises(ValueError):
+        check_class_count(one.filter("label = 'z'"))
+    assert check_class_count(one.unionByName(spark.createDataFrame([("b", "k3")], "label string, key string"))) == 2

@@ -48,3 +48,12 @@ def score_text(score: Column | str, decimals: int = FV.SCORE_DECIMALS) -> Column
     For the JSON sink only; computations keep the numeric score."""
     s = F.col(score) if isinstance(score, str) else score
     return F.replace(F.format_number(s, decimals), F.lit(","), F.lit(""))
+
+
+def enrich(manifest: DataFrame, results: DataFrame, key_col: str) -> DataFrame:
+    """Every manifest row, with the result columns added where a result exists (rows that
+    were not scored — no image, no asset — keep only their own fields; NULL fields are
+    omitted by the JSON sink, so their records look exactly as they came in)."""
+    extra = results.select(key_col, *[c for c in results.columns
+                                      if c != key_col and c not in manifest.columns])
+    return manifest.join(extra, key_col, "left")

@@ -53,3 +53,13 @@ def collect_split_lists(df: DataFrame, label_col: str = "label", key_col: str =
         raise ValueError(f"a split list has {largest} items (> {max_items}); use the long form")
     return (df.groupBy(label_col).pivot("split", SPLITS)
             .agg(F.sort_array(F.collect_list(key_col))))
+
+
+def check_class_count(index: DataFrame, label_col: str = "label") -> int:
+    """Number of labels with at least one image; training needs two or more."""
+    n = index.select(label_col).distinct().count()
+    if n == 0:
+        raise ValueError("no labelled images found")
+    if n == 1:
+        raise ValueError("only one label found: classification needs at least two")
+    return n

@@ -199,6 +199,9 @@ def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels:
         augment.get("random_scale", 0), augment.get("random_brightness", 0))
     if distort and (pixels is None or extractor_factory is None):
         raise ValueError("augmentation needs pixels and an extractor")
+    from .splits import check_class_count
+
+    check_class_count(pool.filter(F.col("split") == "training"), "label")
     dim = len(features.select(features_col).first()[0])
     model = init or init_model(labels, dim)
     feats = features.select(key_col, features_col)
