@@ -3,10 +3,12 @@
 Plan shape (all three jobs): the per-product side (attribute row, product state,
 published channel) is reduced first on product-sized data — semi joins and map-side
 pre-aggregated DISTINCTs keyed by ``product_id`` — and the image fact table is joined
-exactly once, through ``skew_split_join``: products holding more than ``hot_rows`` image
-rows are joined by broadcasting their (bounded) dimension rows, the rest by an ordinary
-shuffle join that AQE may still turn into a broadcast from measured sizes. The final
-DISTINCT is keyed by every output column, so a hot product spreads over ``image_id``.
+exactly once, through ``skew_split_join``: a product holding more than ``hot_rows`` image
+rows is salted over ceil(rows / hot_rows) buckets (its few dimension rows repeated per
+bucket), and one ordinary join on (product, bucket) follows, which AQE may still turn
+into a broadcast from measured sizes. Image pairs
+and attribute rows are made DISTINCT before the join (copies collapse map-side), so the
+join output is already distinct.
 """
 from __future__ import annotations
 
@@ -56,13 +58,15 @@ def labelled_images(cat: Catalogue, attribute_type_id: int = FV.ATTR_TYPE_CATEGO
     """DISTINCT (product_id, image_id, varchar_value, id_mod) of published products
     carrying the given attribute (the category job: 708; the dress-length job: 10643)."""
     eligible = (attribute_values(cat, attribute_type_id)
-                .join(published_products(cat, state_id, desc_like), "product_id", "left_semi"))
-    joined = skew_split_join(cat.product_image.select("product_id", "image_id"), eligible,
-                             "product_id", hot_rows)
-    return (joined
-            .select("product_id", "image_id", "varchar_value",
-                    bucket("product_id", modulus).alias(FV.BUCKET_COLUMN))
-            .distinct())
+                .join(published_products(cat, state_id, desc_like), "product_id", "left_semi")
+                .distinct())                          # product-sized
+    # DISTINCT image pairs first: partial aggregation collapses copies map-side, so a
+    # group of identical rows never reaches one task; distinct pairs joined to distinct
+    # attribute rows are already distinct, so no DISTINCT is needed after the join
+    pairs = cat.product_image.select("product_id", "image_id").distinct()
+    joined = skew_split_join(pairs, eligible, "product_id", hot_rows)
+    return joined.select("product_id", "image_id", "varchar_value",
+                         bucket("product_id", modulus).alias(FV.BUCKET_COLUMN))
 
 
 def with_image_url(df: DataFrame, prefix: str | None = None,
@@ -124,13 +128,17 @@ def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
     dim = (attribute_values(cat, attribute_type_id)
            .join(p.select("product_id"), "product_id")
            .join(live, "product_id"))
-    copies = F.col("_n").cast("int")
+    # copies of an image row are counted, not carried: a group of identical rows is one
+    # row with a count after the map-side partial aggregation
+    pairs = (cat.product_image.select("product_id", "image_id")
+             .groupBy("product_id", "image_id").agg(F.count(F.lit(1)).alias("_c")))
+    copies = (F.col("_c") * F.col("_n")).cast("bigint")
     if max_copies is not None:
-        copies = F.least(copies, F.lit(max_copies))
-    rows = (skew_split_join(cat.product_image.select("product_id", "image_id"), dim, "product_id")
+        copies = F.least(copies, F.lit(max_copies).cast("bigint"))
+    rows = (skew_split_join(pairs, dim, "product_id")
             .select("product_id", "image_id", "varchar_value",
                     bucket("product_id", modulus).alias(FV.BUCKET_COLUMN),
-                    F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")))
+                    F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias("_copy")))
     return rows.drop("_copy")
 
 

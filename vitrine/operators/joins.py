@@ -3,16 +3,22 @@
 A shuffle join sends every row of a key to one task; with one product holding a third of
 the image rows that task is the job. AQE's skew-join split only applies when both join
 inputs are separate shuffle stages, which a dimension side built from co-partitioned
-semi joins is not. So the hot keys are handled explicitly:
+semi joins is not (and a ``repartition`` on the same key is optimised away). So hot keys
+are salted explicitly, per key and exactly:
 
 1. rows per key are counted (map-side partial aggregation; the shuffle carries one row
    per key and task);
-2. keys above ``hot_rows`` are hot. There are at most N / hot_rows of them, so the hot
-   key set — and the dimension rows of those keys — have a size bound by construction
-   and are broadcast;
-3. fact rows of hot keys join the broadcast dimension rows where they are (no shuffle
-   of the hot rows at all); all other rows take the ordinary shuffle join;
-4. the two parts are unioned.
+2. a key with more than ``hot_rows`` rows gets ``ceil(rows / hot_rows)`` salt buckets.
+   There are at most N / hot_rows hot keys, so this table has a size bound by
+   construction and is broadcast;
+3. each fact row of a hot key takes the bucket ``xxhash64(row) mod buckets`` (cold rows:
+   bucket 0); the dimension rows of a hot key are repeated once per bucket (hot keys x
+   buckets rows: bounded);
+4. one ordinary equi-join on (key, bucket): every (key, bucket) group holds about
+   ``hot_rows`` fact rows or fewer, and AQE may still broadcast the dimension side from
+   its measured size.
+
+The fact is read twice (counts, join); no row is dropped or duplicated.
 """
 from __future__ import annotations
 
@@ -23,15 +29,31 @@ DEFAULT_HOT_ROWS = 5_000_000
 
 
 def hot_keys(fact: DataFrame, key: str, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(key, _buckets) for keys with more than hot_rows rows."""
     return (fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > hot_rows).select(key))
+            .filter(F.col("_rows") > hot_rows)
+            .select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_buckets")))
+
+
+def salted_sides(fact: DataFrame, dim: DataFrame, key: str,
+                 hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Fact and dimension with a ``_salt`` column, ready to join on (key, _salt)."""
+    hot = F.broadcast(hot_keys(fact, key, hot_rows))
+    spread = F.xxhash64(*[F.col(c) for c in fact.columns])
+    f = (fact.join(hot, key, "left")
+         .withColumn("_salt", F.when(F.col("_buckets").isNotNull(),
+                                     F.pmod(spread, F.col("_buckets"))).otherwise(F.lit(0)).cast("int"))
+         .drop("_buckets"))
+    d = (dim.join(hot, key, "left")
+         .withColumn("_salt", F.explode(F.when(F.col("_buckets").isNotNull(),
+                                               F.sequence(F.lit(0), F.col("_buckets") - 1))
+                                        .otherwise(F.array(F.lit(0)))))
+         .drop("_buckets"))
+    return f, d
 
 
 def skew_split_join(fact: DataFrame, dim: DataFrame, key: str,
                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Inner equi-join ``fact JOIN dim USING (key)``, balanced under hot keys."""
-    hot = F.broadcast(hot_keys(fact, key, hot_rows))
-    cold_part = fact.join(hot, key, "left_anti").join(dim, key)
-    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-    hot_part = fact.join(hot, key, "left_semi").join(hot_dim, key)
-    return cold_part.unionByName(hot_part)
+    f, d = salted_sides(fact, dim, key, hot_rows)
+    return f.join(d, [key, "_salt"]).drop("_salt")
