@@ -76,7 +76,8 @@ def with_image_url(df: DataFrame, prefix: str | None = None,
 
 
 def colorway_images(cat: Catalogue, category: str, modulus: int = DEFAULT_MODULUS,
-                    state_id: int = FV.PUBLISHED_STATE_ID) -> DataFrame:
+                    state_id: int = FV.PUBLISHED_STATE_ID,
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Six-table chain product -> type, -> UPC -> colourway -> colourway image -> image.
 
     The id chain is reduced to DISTINCT (product_id, image_id) first; descriptive product
@@ -93,13 +94,18 @@ def colorway_images(cat: Catalogue, category: str, modulus: int = DEFAULT_MODULU
     eligible = (prod.select("product_id", "product_type_id")
                 .join(cat.product_type.select("product_type_id"), "product_type_id", "left_semi")
                 .select("product_id"))
-    pairs = (cat.upc.select("product_id", "product_colorway_id")
-             .join(eligible, "product_id", "left_semi")
-             .join(cat.product_colorway.select("product_colorway_id"), "product_colorway_id",
-                   "left_semi")
-             .join(cat.product_colorway_image.select("product_colorway_id", "product_image_id"),
-                   "product_colorway_id")
-             .join(cat.image.select("product_image_id", "image_id"), "product_image_id")
+    # colourway -> image side (colourway/image sized), built on its own
+    colorway_image = (cat.product_colorway_image.select("product_colorway_id", "product_image_id")
+                      .join(cat.product_colorway.select("product_colorway_id"), "product_colorway_id",
+                            "left_semi")
+                      .join(cat.image.select("product_image_id", "image_id"), "product_image_id")
+                      .select("product_colorway_id", "image_id")
+                      .distinct())
+    # the UPC fact: distinct (product, colourway) pairs of eligible products, then one
+    # salted join on the colourway (a hot colourway cannot land in one task)
+    upc = (cat.upc.select("product_id", "product_colorway_id").distinct()
+           .join(eligible, "product_id", "left_semi"))
+    pairs = (skew_split_join(upc, colorway_image, "product_colorway_id", hot_rows)
              .select("product_id", "image_id")
              .distinct())
     return (pairs.join(details, "product_id")

@@ -18,7 +18,9 @@ are salted explicitly, per key and exactly:
    ``hot_rows`` fact rows or fewer, and AQE may still broadcast the dimension side from
    its measured size.
 
-The fact is read twice (counts, join); no row is dropped or duplicated.
+The counts read the fact a second time unless the fact is itself a shuffle output (a
+DISTINCT or aggregate), whose stage AQE reuses; with no hot key AQE drops the join to the
+empty key table at runtime. No row is dropped or duplicated.
 """
 from __future__ import annotations
 
