@@ -102,3 +102,10 @@ def test_reshape_and_wrap(spark):
     df = spark.createDataFrame([(list(range(6)), 70000, 3)], "v array<int>, i int, n int")
     r = df.select(V.reshape("v", 2, 3).alias("m"), V.wrap_index("i", "n").alias("w")).first()
     assert r.m == [[0, 1, 2], [3, 4, 5]] and r.w == 70000 % 3
+
+
+def test_to_id_never_wraps(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(Decimal("123"),), (Decimal("99999999999999999999"),), (None,)],
+                               "n decimal(38,0)")
+    assert [r.i for r in df.select(U.to_id("n").alias("i")).collect()] == [123, None, None]

@@ -21,7 +21,6 @@ from pyspark.sql.window import Window
 from ..session import ensure_checkpoint_dir
 
 
-
 def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
                        index_col: str = "idx", num_partitions: int | None = None) -> DataFrame:
     """Add ``index_col`` = 0-based position of each row inside its group in
