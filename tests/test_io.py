@@ -163,3 +163,12 @@ def test_class_count_guard(spark):
     with pytest.raises(ValueError):
         check_class_count(one.filter("label = 'z'"))
     assert check_class_count(one.unionByName(spark.createDataFrame([("b", "k3")], "label string, key string"))) == 2
+
+
+def test_jdbc_table_scan_query():
+    q = J.table_scan_query("PRODUCT_IMAGE", "PRODUCT_ID", 16, ["t.PRODUCT_ID", "t.IMAGE_ID"])
+    assert q == "SELECT t.PRODUCT_ID, t.IMAGE_ID, mod(t.PRODUCT_ID, 16) AS id_mod FROM PRODUCT_IMAGE t"
+    opts = J.source_options({"url": "jdbc:x", "driver": "d"}, q, 16)
+    assert opts["dbtable"].startswith("(SELECT t.PRODUCT_ID") and opts["dbtable"].endswith(") q")
+    assert set(J.CATALOGUE_TABLES) >= {"product", "product_attribute", "product_image", "channel",
+                                       "product_type", "upc", "product_colorway", "product_colorway_image"}

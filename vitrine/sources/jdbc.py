@@ -50,3 +50,33 @@ def profile(url: str, driver: str, user: str | None = None, password: str | None
     if password is not None:
         out["password"] = password
     return out
+
+
+# catalogue view -> (database table, numeric column the scan is split on)
+CATALOGUE_TABLES = {
+    "product": ("PRODUCT", "PRODUCT_ID"),
+    "product_attribute": ("PRODUCT_ATTRIBUTE", "PRODUCT_ID"),
+    "product_image": ("PRODUCT_IMAGE", "PRODUCT_ID"),
+    "channel": ("PRODUCT_DESTINATION_CHANNEL", "PRODUCT_ID"),
+    "product_type": ("PRODUCT_TYPE", "PRODUCT_TYPE_ID"),
+    "upc": ("UPC", "PRODUCT_ID"),
+    "product_colorway": ("PRODUCT_COLORWAY", "PRODUCT_COLORWAY_ID"),
+    "product_colorway_image": ("PRODUCT_COLORWAY_IMAGE", "PRODUCT_COLORWAY_ID"),
+}
+
+
+def table_scan_query(table: str, split_column: str, num_partitions: int,
+                     columns: list[str] | None = None) -> str:
+    """``SELECT <columns>, mod(<split>, N) AS id_mod FROM <table>`` for a bucketed scan."""
+    cols = ", ".join(columns) if columns else "t.*"
+    return f"SELECT {cols}, mod(t.{split_column}, {num_partitions}) AS {FV.BUCKET_COLUMN} FROM {table} t"
+
+
+def read_table_bucketed(spark: SparkSession, profile: dict[str, str], table: str, split_column: str,
+                        num_partitions: int | None = None, columns: list[str] | None = None) -> DataFrame:
+    """One database table as N parallel range reads on its modulo bucket; column names are
+    lower-cased and the bucket column dropped after the read."""
+    n = num_partitions or spark.sparkContext.defaultParallelism
+    df = read_subquery(spark, profile, table_scan_query(table, split_column, n, columns), n)
+    df = df.drop(FV.BUCKET_COLUMN).drop(FV.BUCKET_COLUMN.upper())
+    return df.toDF(*[c.lower() for c in df.columns])

@@ -76,6 +76,34 @@ class Catalogue:
         """Views supplied directly (e.g. JDBC subquery scans)."""
         return cls({k: (lambda v=v: v) for k, v in frames.items()})
 
+    @classmethod
+    def from_jdbc(cls, spark: SparkSession, profile: dict[str, str], num_partitions: int | None = None,
+                  tables: dict[str, tuple[str, str]] | None = None,
+                  assets: DataFrame | None = None, image: DataFrame | None = None) -> "Catalogue":
+        """Views read from a relational catalogue: each table is a bucketed subquery scan
+        (``mod(key, N)`` split into N partitions). ``tables`` maps view -> (table, split
+        column); numeric ids are narrowed to bigint without wrapping. The landed-asset
+        listing and the image table come from elsewhere (files, another source)."""
+        from .jdbc import CATALOGUE_TABLES, read_table_bucketed
+
+        spec = dict(CATALOGUE_TABLES, **(tables or {}))
+
+        def view(name: str):
+            def build() -> DataFrame:
+                table, split = spec[name]
+                df = read_table_bucketed(spark, profile, table, split, num_partitions)
+                ids = [c for c in df.columns if c.endswith("_id")]
+                return df.select(*[F.col(c).try_cast("bigint").alias(c) if c in ids else F.col(c)
+                                   for c in df.columns])
+            return build
+
+        builders = {name: view(name) for name in spec}
+        if assets is not None:
+            builders["landed_assets"] = lambda: assets
+        if image is not None:
+            builders["image"] = lambda: image
+        return cls(builders)
+
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> "Catalogue":
         memo_key = (id(spark), sf_dir.rstrip("/"))
