@@ -75,15 +75,15 @@ def with_image_url(df: DataFrame, prefix: str | None = None,
     return df.withColumn("image_url", image_url("image_id", FV.IMAGE_ROLE_SUFFIX[role], **kw))
 
 
-def colorway_images(cat: Catalogue, category: str, modulus: int = DEFAULT_MODULUS,
+def colorway_images(cat: Catalogue, category, modulus: int = DEFAULT_MODULUS,
                     state_id: int = FV.PUBLISHED_STATE_ID,
-                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                    hot_rows: int = DEFAULT_HOT_ROWS, category_col: str = "category") -> DataFrame:
     """Six-table chain product -> type, -> UPC -> colourway -> colourway image -> image.
 
     The id chain is reduced to DISTINCT (product_id, image_id) first; descriptive product
     and type columns (product-sized) are attached once at the end.
     """
-    prod = cat.product.filter((F.col("state_id") == state_id) & (F.col("category") == category))
+    prod = cat.product.filter((F.col("state_id") == state_id) & (F.col(category_col) == category))
     details = (prod.select("product_id", "product_desc", "vendor_code", "product_type_id")
                .join(cat.product_type.select("product_type_id", "product_type_name",
                                              "short_description", "product_type_description"),
