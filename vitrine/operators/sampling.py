@@ -15,7 +15,6 @@ from pyspark.sql.window import Window
 
 from ..functions.hashing import uniform16
 from ..functions.vectors import wrap_index
-from .guards import checked_broadcast
 
 MAX_CLASSES = 100_000
 
@@ -46,7 +45,8 @@ def balanced_draws(spark: SparkSession, pool: DataFrame, n_draws: int, split: st
     if n_classes == 0:
         return spark.createDataFrame([], "draw_id bigint, class_id int, label string, "
                                          "image_index int, idx bigint, key string")
-    classes = checked_broadcast(classes, MAX_CLASSES)
+    # the count above is the size check: broadcast only a proven-small class table
+    classes = F.broadcast(classes) if n_classes <= MAX_CLASSES else classes
     draws = (spark.range(n_draws).withColumnRenamed("id", "draw_id")
              .withColumn("label_pos", F.pmod(uniform16(seed, "draw_id", "label"), F.lit(n_classes)).cast("int"))
              .withColumn("image_index", uniform16(seed, "draw_id", "image")))
