@@ -183,7 +183,7 @@ def augment_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("brightness", DEC).alias("brightness"))
 
 
-def _params_sql(cfg: dict) -> str:
+def _params_sql(cfg: dict, out: tuple[int, int] = CROP) -> str:
     crop_f = repr(1.0 + cfg["random_crop"] / 100.0)
     sc = repr(cfg["random_scale"] / 100.0)
     b0 = repr(1.0 - cfg["random_brightness"] / 100.0)
@@ -195,8 +195,10 @@ prm0 AS (SELECT vec_id, embedding, {_unit(AUG_SEED, 'vec_id', 'flip')} < 0.5 AS
                 {b0} + {b1} * {_unit(AUG_SEED, 'vec_id', 'brightness')} AS brightness,
                 {_u16(AUG_SEED, 'vec_id', 'crop_y')} AS uy, {_u16(AUG_SEED, 'vec_id', 'crop_x')} AS ux
          FROM embeddings),
-prm AS (SELECT *, CAST(uy % greatest(CAST(floor(scale * {float(IMG[0])}) AS INTEGER) - {CROP[0]} + 1, 1) AS INTEGER) AS crop_y,
-                  CAST(ux % greatest(CAST(floor(scale * {float(IMG[1])}) AS INTEGER) - {CROP[1]} + 1, 1) AS INTEGER) AS crop_x
+prm AS (SELECT *, CAST(floor(scale * {float(IMG[0])}) AS INTEGER) AS scaled_h,
+                  CAST(floor(scale * {float(IMG[1])}) AS INTEGER) AS scaled_w,
+                  CAST(uy % greatest(CAST(floor(scale * {float(IMG[0])}) AS INTEGER) - {out[0]} + 1, 1) AS INTEGER) AS crop_y,
+                  CAST(ux % greatest(CAST(floor(scale * {float(IMG[1])}) AS INTEGER) - {out[1]} + 1, 1) AS INTEGER) AS crop_x
         FROM prm0)"""
 
 
@@ -235,6 +237,10 @@ def augment_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size(F.get("augmented", 0)).alias("cols"))
 
 
+SQL["augment_scale"] = f"""WITH {_params_sql(AUG_DRAW, IMG)}
+SELECT vec_id, scaled_h, scaled_w, crop_y, crop_x, {IMG[0]} AS "rows", {IMG[1]} AS cols FROM prm"""
+
+
 QUERIES = {
     "softmax_gradient_step": softmax_gradient_step,
     "balanced_draws": balanced_draws,
