@@ -8,7 +8,6 @@ Images are rows x cols (x channels folded into the value) nested arrays.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -9,6 +9,7 @@ from .. import fixed_values as FV
 from .. import sinks
 from ..functions.text import normalize_label
 from ..operators import rules as R
+from ..operators import scoring as SC
 from ..session import scratch_path
 from ..sources import files as SRC
 from ..sources.tables import STANDIN_SQL_CTES, Catalogue
@@ -43,10 +44,7 @@ SQL["json_label_export"] = CQ.SQL["capped_per_label"].replace(
 
 def validated_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated predictions with 2-decimal score text -> JSON by source label -> back."""
-    v = SQ.validated_predictions(spark, sf_dir)
-    two = SQ.scored(spark, sf_dir)
-    from ..operators import scoring as SC
-    t = SC.first_two(two, SQ.model(), "cvResult")
+    t = SC.first_two(SQ.scored(spark, sf_dir), SQ.model(), "cvResult")
     out = (R.length_warning(t, "source_label", "cvResult1")
            .select("vec_id", "source_label", F.col("cvResult1").alias("cvResult"),
                    R.score_text("score1").alias("cvScore"), F.col("cvResult2"),
@@ -55,7 +53,6 @@ def validated_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_json_by_label(out, path, "source_label")
     schema = "vec_id bigint, cvResult string, cvScore string, cvResult2 string, cvScore2 string, warning boolean"
     back = spark.read.schema(schema).json(path)
-    del v
     return back.select("vec_id", "source_label", "cvResult", "cvScore", "cvResult2", "cvScore2", "warning")
 
 
