@@ -172,3 +172,22 @@ def test_jdbc_table_scan_query():
     assert opts["dbtable"].startswith("(SELECT t.PRODUCT_ID") and opts["dbtable"].endswith(") q")
     assert set(J.CATALOGUE_TABLES) >= {"product", "product_attribute", "product_image", "channel",
                                        "product_type", "upc", "product_colorway", "product_colorway_image"}
+
+
+def test_image_bytes_attach_and_binary_landing(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "img")
+    os.makedirs(os.path.join(root, "Mini"))
+    for i in range(3):
+        with open(os.path.join(root, "Mini", f"{i}-214x261.jpg"), "wb") as f:
+            f.write(bytes([0xFF, 0xD8, i]))
+    man = spark.createDataFrame([(0, "Mini", os.path.join(root, "Mini", "0-214x261.jpg")),
+                                 (2, "Mini", os.path.join(root, "Mini", "2-214x261.jpg")),
+                                 (9, "Mini", os.path.join(root, "Mini", "9-214x261.jpg"))],
+                                "image_id int, label string, image_path string")
+    got = SRC.attach_image_bytes(man, spark, root)
+    by_id = {r.image_id: (bytes(r.content) if r.content is not None else None) for r in got.collect()}
+    assert by_id == {0: bytes([0xFF, 0xD8, 0]), 2: bytes([0xFF, 0xD8, 2]), 9: None}
+    out = os.path.join(tmp_dir, "landed")
+    sinks.land_by_label(got.filter(F.col("content").isNotNull()), out)
+    back = {r.image_id: bytes(r.content) for r in spark.read.parquet(out).collect()}
+    assert back == {0: bytes([0xFF, 0xD8, 0]), 2: bytes([0xFF, 0xD8, 2])}

@@ -70,6 +70,18 @@ def read_image_bytes(spark: SparkSession, root: str, extensions: list[str] | Non
             .select("path", "content"))
 
 
+def attach_image_bytes(manifest: DataFrame, spark: SparkSession, root: str, path_col: str = "image_path",
+                       extensions: list[str] | None = None) -> DataFrame:
+    """Manifest rows with the bytes of their image file (``content``; NULL when the file
+    is absent). The folder is scanned by the ``binaryFile`` source and joined on the file
+    path — no list of paths passes through the driver. Paths are compared without the
+    ``file:`` scheme prefix the source adds."""
+    files = (read_image_bytes(spark, root, extensions)
+             .select(F.regexp_replace("path", "^file:", "").alias("_p"), "content"))
+    return (manifest.join(files, F.regexp_replace(F.col(path_col), "^file:", "") == F.col("_p"), "left")
+            .drop("_p"))
+
+
 def read_vector_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """``key<sep>v1,v2,...`` lines -> (key, features array<float>)."""
     lines = spark.read.text(path)
