@@ -51,14 +51,15 @@ def extract_features(df: DataFrame, factory: Callable[[], Extractor], name: str,
 
 
 def text_histogram_factory(dim: int = 64) -> Callable[[], Extractor]:
-    """Deterministic stand-in extractor for tests: byte histogram of the whole text,
-    folded to ``dim`` buckets and normalised by length."""
+    """Deterministic stand-in extractor for tests: byte histogram of the whole text (or
+    of raw image bytes), folded to ``dim`` buckets and normalised by length."""
     def factory() -> Extractor:
         def fn(pdf: pd.DataFrame) -> np.ndarray:
             col = pdf.iloc[:, 0]
             out = np.zeros((len(col), dim), dtype=np.float64)
             for i, t in enumerate(col):
-                raw = np.frombuffer((t or "").encode("utf-8"), dtype=np.uint8)
+                data = t if isinstance(t, (bytes, bytearray)) else (t or "").encode("utf-8")
+                raw = np.frombuffer(data, dtype=np.uint8)
                 if raw.size:
                     out[i] = np.bincount(raw % dim, minlength=dim) / raw.size
             return out
@@ -93,8 +94,9 @@ def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col:
     batch_id = uuid.uuid4().hex
     cache = read_cache(spark, cache_path, key_type).filter(F.col("model_version") == model_version)
     keyed = index.select(F.col(key_col).cast(key_type).alias(key_col), *input_cols)
-    todo = missing_keys(keyed.dropDuplicates([key_col]),
-                        cache, key_col, "key")
+    # anti join first, then de-duplicate: the dedup reuses the join's partitioning by key,
+    # so the index (with its texts or bytes) is shuffled once
+    todo = missing_keys(keyed, cache, key_col, "key").dropDuplicates([key_col])
     new = (extract_features(todo, factory, model_version, key_col, input_cols, dim)
            .select(F.col(key_col).cast(key_type).alias("key"),
                    F.lit(model_version).alias("model_version"),
