@@ -97,7 +97,55 @@ SQL["landing_by_label"] = CQ.SQL["asset_attach"].replace(
     "       CASE WHEN has_asset")
 
 
+# ---------------------------------------------------------------- two-hop class lookup
+def _lookup_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Spark-derived lookup files in the classifier formats: ``uid<TAB>name`` lines from
+    nation, and ``target_class`` / ``target_class_string`` record pairs for every nation
+    (resolvable) and every region (uids with no name: the error report)."""
+    from ..sources.tables import read_table
+
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    names_path = scratch_path(spark, "synsets")
+    (nation.select(F.concat_ws("\t", F.concat(F.lit("n"), F.lpad(F.col("n_nationkey").cast("string"), 8, "0")),
+                               F.col("n_name")).alias("value"))
+     .write.text(names_path))
+    records = nation.select((F.col("n_nationkey") + 100).alias("c"),
+                            F.concat(F.lit("n"), F.lpad(F.col("n_nationkey").cast("string"), 8, "0")).alias("u")
+                            ).unionByName(
+        region.select((F.col("r_regionkey") + 900).alias("c"),
+                      F.concat(F.lit("r"), F.lpad(F.col("r_regionkey").cast("string"), 8, "0")).alias("u")))
+    map_path = scratch_path(spark, "class-map")
+    (records.select(F.concat(F.lit("entry {\n  target_class: "), F.col("c").cast("string"),
+                             F.lit('\n  target_class_string: "'), F.col("u"), F.lit('"\n}')).alias("value"))
+     .write.text(map_path))
+    return names_path, map_path
+
+
+def label_two_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import lookup as LK
+    names_path, map_path = _lookup_files(spark, sf_dir)
+    ok, _ = LK.two_hop_labels(SRC.read_class_uids(spark, map_path), SRC.read_synset_names(spark, names_path))
+    return ok
+
+
+def label_two_hop_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import lookup as LK
+    names_path, map_path = _lookup_files(spark, sf_dir)
+    _, missing = LK.two_hop_labels(SRC.read_class_uids(spark, map_path), SRC.read_synset_names(spark, names_path))
+    return missing
+
+
+SQL["label_two_hop"] = """
+SELECT CAST(n_nationkey + 100 AS INTEGER) AS class_id, n_name AS label FROM nation"""
+SQL["label_two_hop_missing"] = """
+SELECT CAST(r_regionkey + 900 AS INTEGER) AS class_id, 'r' || lpad(CAST(r_regionkey AS VARCHAR), 8, '0') AS uid
+FROM region"""
+
+
 QUERIES = {
+    "label_two_hop": label_two_hop,
+    "label_two_hop_missing": label_two_hop_missing,
     "json_label_export": json_label_export,
     "validated_json": validated_json,
     "label_list_roundtrip": label_list_roundtrip,
