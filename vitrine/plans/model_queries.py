@@ -61,7 +61,7 @@ FROM g"""
 
 # ---------------------------------------------------------------- balanced draws
 def balanced_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = SPQ.split_lists(spark, sf_dir).persist()
+    pool = SPQ.split_lists(spark, sf_dir)       # numbered rows are already checkpointed
     n = pool.filter(F.col("split") == "training").count()       # one draw per pool image
     return SA.balanced_draws(spark, pool, n, "training", DRAW_SEED)
 
