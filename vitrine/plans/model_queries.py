@@ -161,7 +161,7 @@ def train_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _training_frame(spark, sf_dir).persist()
+    data = _training_frame(spark, sf_dir)       # the fit caches its own training instances
     model = T.train_lbfgs(data.filter(F.col("split") == "training"), FV.SHIPPED_LABELS,
                           max_iter=50)
     return T.evaluate(data, model, ["split"])
