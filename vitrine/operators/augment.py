@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 from ..functions.hashing import uniform16, uniform_unit
 
 
@@ -79,6 +81,7 @@ def scale_images(df: DataFrame, img_col: str, keep_cols: list[str],
                  out_col: str = "scaled") -> DataFrame:
     """Resize each image to (scaled_h, scaled_w) — NumPy per Arrow batch. ``keep_cols``
     (scalar columns) pass through unchanged, so no join back is needed."""
+    ship_package(df.sparkSession)
     keep = [c for c in keep_cols if c not in (img_col, out_col)]
     schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep]
                        + [f"{out_col} array<array<double>>"])

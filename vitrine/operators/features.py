@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 from .. import fixed_values as FV
 
 # extractor: pandas frame of input columns -> (n x dim) float array
@@ -36,6 +38,7 @@ def _loaded(key: str, factory: Callable[[], Extractor]) -> Extractor:
 def extract_features(df: DataFrame, factory: Callable[[], Extractor], name: str,
                      key_col: str, input_cols: list[str], dim: int) -> DataFrame:
     """(key, features array<float>) for every row of df, computed in Arrow batches."""
+    ship_package(df.sparkSession)
     schema = f"{key_col} {df.schema[key_col].dataType.simpleString()}, features array<float>"
     key = _factory_key(name, factory, dim)
 

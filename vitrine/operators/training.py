@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 from .. import fixed_values as FV
 from ..functions import vectors as V
 from .scoring import SoftmaxModel
@@ -69,6 +71,7 @@ def bounded_partitions(df: DataFrame, spark: SparkSession | None = None) -> Data
 def gradient(df: DataFrame, model: SoftmaxModel, features_col: str = "features",
              class_col: str = "true_id") -> DataFrame:
     """(class_id, dim, grad): mean gradient of the cross-entropy; dim -1 is the bias."""
+    ship_package(df.sparkSession)
     rows = bounded_partitions(df.select(features_col, class_col)
                               .filter(F.col(class_col).between(0, model.num_classes - 1)))
     partials = rows.mapInPandas(_partials_fn(model.weights, model.bias, features_col, class_col),

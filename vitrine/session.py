@@ -62,3 +62,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/vitrine/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vitrine`` importable in the Python workers (``addPyFile`` of a zip of the
+    package, once per SparkContext) — what ``--py-files`` does for a submitted job. Tasks
+    that run Python (``mapInPandas``) unpickle functions of this package by reference."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="vitrine-pyfiles-")      # driver-side build artifact
+    zip_path = os.path.join(out_dir, "vitrine.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for fn in files:
+                if fn.endswith(".py"):
+                    full = os.path.join(root, fn)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(id(sc))
