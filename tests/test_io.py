@@ -191,3 +191,15 @@ def test_image_bytes_attach_and_binary_landing(spark, tmp_dir):
     sinks.land_by_label(got.filter(F.col("content").isNotNull()), out)
     back = {r.image_id: bytes(r.content) for r in spark.read.parquet(out).collect()}
     assert back == {0: bytes([0xFF, 0xD8, 0]), 2: bytes([0xFF, 0xD8, 2])}
+
+
+def test_label_collisions_reported(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "coll")
+    for label in ["Long_Maxi", "long-maxi", "Mini"]:
+        os.makedirs(os.path.join(root, label))
+        with open(os.path.join(root, label, "a.jpg"), "wb") as f:
+            f.write(b"x")
+    listing = SRC.list_images(spark, root)
+    rows = SRC.label_collisions(listing).collect()
+    assert [(r.label, r.dirs) for r in rows] == [("long maxi", ["Long_Maxi", "long-maxi"])]
+    assert listing.filter("label = 'long maxi'").count() == 2      # merged, not overwritten

@@ -63,6 +63,13 @@ def list_images(spark: SparkSession, root: str, extensions: list[str] | None = N
             .select("label", "dir", "path", "base_name", "length"))
 
 
+def label_collisions(listing: DataFrame) -> DataFrame:
+    """Labels that several folders normalise to (e.g. ``Long_Maxi`` and ``long-maxi``):
+    (label, dirs). Their images are merged under the one label; this is the report."""
+    return (listing.groupBy("label").agg(F.sort_array(F.collect_set("dir")).alias("dirs"))
+            .filter(F.size("dirs") > 1))
+
+
 def read_image_bytes(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
     exts = extensions or FV.IMAGE_EXTENSIONS
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
