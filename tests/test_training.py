@@ -155,3 +155,15 @@ def test_sgd_with_augmentation(spark):
     rows = metrics.orderBy("step").collect()
     assert [r.step for r in rows] == [0, 1] and rows[-1].test_accuracy is not None
     assert len(model.weights) == 5 and len(model.weights[0]) == 64
+
+
+def test_feature_cache_content_hash(spark, tmp_dir):
+    cache = os.path.join(tmp_dir, "cache_h")
+    idx = spark.createDataFrame([(i, f"img{i}") for i in range(10)], "doc_id long, content string")
+    idx = idx.withColumn("h", F.sha2("content", 256))
+    fac = FE.text_histogram_factory(8)
+    assert FE.fill_cache(spark, idx, cache, "doc_id", ["content"], fac, "v1", 8, content_hash_col="h") == 10
+    assert FE.fill_cache(spark, idx, cache, "doc_id", ["content"], fac, "v1", 8, content_hash_col="h") == 0
+    changed = idx.withColumn("content", F.when(F.col("doc_id") == 3, F.lit("new")).otherwise(F.col("content"))) \
+                 .withColumn("h", F.sha2("content", 256))
+    assert FE.fill_cache(spark, changed, cache, "doc_id", ["content"], fac, "v1", 8, content_hash_col="h") == 1

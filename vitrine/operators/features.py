@@ -1,6 +1,6 @@
 """Feature vectors: pluggable extraction and an incremental cache table.
 
-The cache is a parquet table (key, model_version, batch_id, features). Filling it is
+The cache is a parquet table (key, model_version, content_hash, batch_id, features). Filling it is
 ``index LEFT ANTI JOIN cache`` -> extractor (``mapInPandas``, one model load per Python
 worker) -> append. Running it again computes nothing new; adding images computes only
 those. The table is the lineage cut: later jobs read it instead of recomputing.
@@ -36,10 +36,14 @@ def _loaded(key: str, factory: Callable[[], Extractor]) -> Extractor:
 
 
 def extract_features(df: DataFrame, factory: Callable[[], Extractor], name: str,
-                     key_col: str, input_cols: list[str], dim: int) -> DataFrame:
-    """(key, features array<float>) for every row of df, computed in Arrow batches."""
+                     key_col: str, input_cols: list[str], dim: int,
+                     keep_cols: list[str] | None = None) -> DataFrame:
+    """(key, *keep_cols, features array<float>) for every row of df, computed in Arrow
+    batches; ``keep_cols`` pass through unchanged (no join back)."""
     ship_package(df.sparkSession)
-    schema = f"{key_col} {df.schema[key_col].dataType.simpleString()}, features array<float>"
+    keep = [c for c in (keep_cols or []) if c != key_col]
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in [key_col, *keep]]
+                       + ["features array<float>"])
     key = _factory_key(name, factory, dim)
 
     def run(batches):
@@ -48,9 +52,12 @@ def extract_features(df: DataFrame, factory: Callable[[], Extractor], name: str,
             if len(pdf) == 0:
                 continue
             vecs = np.asarray(fn(pdf[input_cols]), dtype=np.float32).reshape(len(pdf), dim)
-            yield pd.DataFrame({key_col: pdf[key_col].to_numpy(), "features": list(vecs)})
+            out = pdf[[key_col, *keep]].copy()
+            out["features"] = list(vecs)
+            yield out
 
-    return df.select(key_col, *input_cols).mapInPandas(run, schema)
+    cols = list(dict.fromkeys([key_col, *input_cols, *keep]))
+    return df.select(*cols).mapInPandas(run, schema)
 
 
 def text_histogram_factory(dim: int = 64) -> Callable[[], Extractor]:
@@ -76,7 +83,8 @@ def missing_keys(index: DataFrame, cache: DataFrame, index_key: str, cache_key:
     return index.join(c, index_key, "left_anti")
 
 
-CACHE_SCHEMA = "key {key_type}, model_version string, batch_id string, features array<float>"
+CACHE_SCHEMA = ("key {key_type}, model_version string, content_hash string, batch_id string, "
+                "features array<float>")
 
 
 def read_cache(spark: SparkSession, path: str, key_type: str = "string") -> DataFrame:
@@ -89,20 +97,31 @@ def read_cache(spark: SparkSession, path: str, key_type: str = "string") -> Data
 
 def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col: str,
                input_cols: list[str], factory: Callable[[], Extractor], model_version: str,
-               dim: int, key_type: str = "string") -> int:
-    """Compute and append vectors for index keys missing from the cache (for this model
-    version). Returns the number of vectors added by this call."""
+               dim: int, key_type: str = "string", content_hash_col: str | None = None) -> int:
+    """Compute and append vectors for index keys missing from the cache for this model
+    version (and, with ``content_hash_col``, for this image content: a changed image is
+    recomputed). Returns the number of vectors added by this call."""
     import uuid
 
     batch_id = uuid.uuid4().hex
     cache = read_cache(spark, cache_path, key_type).filter(F.col("model_version") == model_version)
-    keyed = index.select(F.col(key_col).cast(key_type).alias(key_col), *input_cols)
+    chash = F.col(content_hash_col).cast("string") if content_hash_col else F.lit(None).cast("string")
+    keyed = index.select(F.col(key_col).cast(key_type).alias(key_col), *input_cols,
+                         chash.alias("_content_hash"))
     # anti join first, then de-duplicate: the dedup reuses the join's partitioning by key,
     # so the index (with its texts or bytes) is shuffled once
-    todo = missing_keys(keyed, cache, key_col, "key").dropDuplicates([key_col])
-    new = (extract_features(todo, factory, model_version, key_col, input_cols, dim)
+    if content_hash_col:
+        cached = cache.select(F.col("key").alias(key_col), F.col("content_hash").alias("_content_hash"))
+        todo = keyed.join(cached, [key_col, "_content_hash"], "left_anti")
+    else:
+        todo = missing_keys(keyed, cache, key_col, "key")
+    todo = todo.dropDuplicates([key_col])
+    vecs = extract_features(todo, factory, model_version, key_col, input_cols, dim,
+                            keep_cols=["_content_hash"])
+    new = (vecs
            .select(F.col(key_col).cast(key_type).alias("key"),
                    F.lit(model_version).alias("model_version"),
+                   F.col("_content_hash").alias("content_hash"),
                    F.lit(batch_id).alias("batch_id"), "features"))
     new.write.mode("append").parquet(cache_path)
     return read_cache(spark, cache_path, key_type).filter(F.col("batch_id") == batch_id).count()
