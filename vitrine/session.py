@@ -50,10 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="vitrine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", conf)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)     # informational only
+        except Exception:  # noqa: BLE001 - a core conf some sessions refuse to change
+            pass
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf
 
