@@ -3,8 +3,8 @@
 * ``gradient`` — one gradient of the mean softmax cross-entropy. Each task folds its rows
   into a K x (D+1) partial sum with NumPy (``mapInPandas``); the partials are reduced by
   one small aggregation keyed by (class, dim). The input is first coalesced to at most
-  the cluster's parallelism, so the number of partials (and the shuffle) is bounded by
-  cores x K x D, not by the number of input splits.
+  max(parallelism, shuffle partitions) tasks, so the number of partials (and the shuffle)
+  is bounded by that times K x D, not by the number of input splits.
 * ``train_lbfgs`` — the default trainer: ``pyspark.ml`` multinomial logistic regression
   (distributed L-BFGS over tree aggregation).
 * ``train_sgd`` — the mini-batch gradient-descent schedule (steps, batch, rate, eval
@@ -62,9 +62,12 @@ def _partials_fn(weights, bias, features_col: str, class_col: str):
 
 
 def bounded_partitions(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Coalesce (no shuffle) to at most the cluster's default parallelism."""
+    """Coalesce (no shuffle) to at most max(default parallelism, shuffle partitions)
+    tasks. The shuffle-partition setting is sized for the cluster and, unlike the default
+    parallelism, does not shrink while dynamic allocation is still adding executors."""
     spark = spark or df.sparkSession
-    target = max(1, spark.sparkContext.defaultParallelism)
+    target = max(1, spark.sparkContext.defaultParallelism,
+                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
 
 
