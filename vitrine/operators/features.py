@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 
-from .. import fixed_values as FV
 
 # extractor: pandas frame of input columns -> (n x dim) float array
 Extractor = Callable[[pd.DataFrame], np.ndarray]
@@ -131,7 +130,3 @@ def should_distort(flip_left_right: bool, random_crop: int, random_scale: int,
                    random_brightness: int) -> bool:
     """Any augmentation on -> vectors are recomputed per draw instead of cached."""
     return bool(flip_left_right or random_crop != 0 or random_scale != 0 or random_brightness != 0)
-
-
-def width() -> int:
-    return FV.FEATURE_WIDTH

@@ -51,7 +51,3 @@ def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[st
     return (tagged.join(offsets, ["_pid", *group_cols])
             .withColumn(index_col, (F.col("_pos") - F.col("_first") + F.col("_offset")).cast("bigint"))
             .drop("_pid", "_pos", "_first", "_offset"))
-
-
-def group_sizes(df: DataFrame, group_cols: list[str], size_col: str = "n") -> DataFrame:
-    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(size_col))

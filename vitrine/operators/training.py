@@ -22,6 +22,7 @@ from ..session import ship_package
 
 from .. import fixed_values as FV
 from ..functions import vectors as V
+from .guards import literal_broadcast
 from .scoring import SoftmaxModel
 
 GRAD_SCHEMA = "class_id int, dim int, g double, n bigint"
@@ -102,7 +103,8 @@ def gradient_step(df: DataFrame, model: SoftmaxModel, learning_rate: float = FV.
     w0 = model.to_table(df.sparkSession).select(
         F.col("label_id").alias("class_id"),
         F.posexplode(F.concat(F.array(F.col("bias")), F.col("weights"))).alias("pos", "w0"))
-    w0 = F.broadcast(w0.select("class_id", (F.col("pos") - 1).cast("int").alias("dim"), "w0"))
+    # K x (D+1) rows built from the model literal: a size fixed by the model
+    w0 = literal_broadcast(w0.select("class_id", (F.col("pos") - 1).cast("int").alias("dim"), "w0"))
     return (g.join(w0, ["class_id", "dim"])
             .select("class_id", "dim", "grad",
                     (F.col("w0") - F.lit(learning_rate) * F.col("grad")).alias("weight")))
