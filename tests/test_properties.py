@@ -66,3 +66,24 @@ def test_score_text_property(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "s double")
     for r in df.select("s", R.score_text("s").alias("t")).collect():
         assert r.t == format(r.s, f".{FV.SCORE_DECIMALS}f")
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", "c", "d"]),
+                          st.integers(0, 10_000)), min_size=1, max_size=400),
+       st.integers(1, 12))
+def test_index_within_group_property(spark, rows, parts):
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+    from vitrine.operators.ranking import index_within_group
+    # unique order key per group (the index is defined on a total order)
+    seen, data = set(), []
+    for g, k in rows:
+        if (g, k) not in seen:
+            seen.add((g, k))
+            data.append((g, k))
+    df = spark.createDataFrame(data, "g string, k int")
+    got = {(r.g, r.k): r.idx for r in index_within_group(df, ["g"], ["k"], num_partitions=parts).collect()}
+    want = {(r.g, r.k): r.idx for r in df.withColumn(
+        "idx", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1).collect()}
+    assert got == want
