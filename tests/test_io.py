@@ -203,3 +203,28 @@ def test_label_collisions_reported(spark, tmp_dir):
     rows = SRC.label_collisions(listing).collect()
     assert [(r.label, r.dirs) for r in rows] == [("long maxi", ["Long_Maxi", "long-maxi"])]
     assert listing.filter("label = 'long maxi'").count() == 2      # merged, not overwritten
+
+
+def test_catalogue_from_jdbc_views(spark, monkeypatch):
+    from decimal import Decimal
+    from vitrine.sources import jdbc as JD
+    from vitrine.sources.tables import Catalogue
+    calls = []
+
+    def fake_scan(spark_, profile, table, split, n=None, columns=None):
+        calls.append((table, split, n))
+        if table == "PRODUCT":
+            return spark_.createDataFrame([(Decimal(5), "a ring", Decimal(2))],
+                                          "product_id decimal(38,0), product_desc string, state_id decimal(38,0)")
+        return spark_.createDataFrame([(Decimal(5), Decimal(99999999999999999999))],
+                                      "product_id decimal(38,0), image_id decimal(38,0)")
+
+    monkeypatch.setattr(JD, "read_table_bucketed", fake_scan)
+    assets = spark.createDataFrame([("5-214x261.jpg",)], "file_name string")
+    cat = Catalogue.from_jdbc(spark, {"url": "jdbc:x", "driver": "d"}, 16, assets=assets)
+    p = cat.product.first()
+    assert (p.product_id, p.state_id) == (5, 2) and cat.product.schema["product_id"].dataType.simpleString() == "bigint"
+    img = cat.product_image.first()
+    assert img.image_id is None                           # does not fit a bigint: NULL, never wrapped
+    assert cat.landed_assets.count() == 1
+    assert ("PRODUCT", "PRODUCT_ID", 16) in calls and ("PRODUCT_IMAGE", "PRODUCT_ID", 16) in calls
