@@ -10,6 +10,8 @@ import pandas as pd
 from vitrine.sources.tables import TABLES
 
 DEC = 6
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -51,6 +53,12 @@ def compare(spark, name: str, qfn, sql: str, sf_dir: str) -> tuple[bool, str]:
     d_rows = res.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(d_cols, res.types)}
+    if s_types != d_types:
+        diff = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
+        return False, f"column types differ: {diff}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = canon(s_rows, s_cols), canon(d_rows, d_cols)
