@@ -54,3 +54,27 @@ def test_train_from_index(spark, tmp_dir):
     m = {r.split: r for r in res.metrics.collect()}
     assert set(m) <= {"training", "testing", "validation"} and m["training"].accuracy > 0
     assert SC.SoftmaxModel.from_table(spark.read.parquet(os.path.join(tmp_dir, "model"))).labels == labels
+
+
+def test_validate_colors(spark, tmp_dir):
+    import json as _json
+    src = os.path.join(tmp_dir, "colors")
+    os.makedirs(src)
+    with open(os.path.join(src, "Blackproduct.json"), "w") as f:
+        _json.dump([{"imageName": "a.jpg", "brand": "x"}, {"imageName": "missing.jpg"}], f)
+    with open(os.path.join(src, "Ivory_Creamproduct.json"), "w") as f:
+        _json.dump([{"imageName": "b.jpg"}], f)
+    labels = ["black", "ivory cream", "red"]
+    model = SC.fixed_model(labels, 4)
+    feats = spark.createDataFrame([("a.jpg", [1.0, 0.0, 0.0, 0.0]), ("b.jpg", [0.0, 1.0, 0.0, 0.0])],
+                                  "imageName string, features array<float>")
+    out = flows.validate_colors(spark, src, feats, model, os.path.join(tmp_dir, "out"),
+                                schema="imageName string, brand string")
+    rows = {r.imageName: r for r in out.collect()}
+    assert set(rows) == {"a.jpg", "missing.jpg", "b.jpg"}
+    assert rows["missing.jpg"].color1 is None and rows["missing.jpg"].warning is None
+    assert rows["a.jpg"].brand == "x" and rows["a.jpg"].color1 in labels
+    assert rows["a.jpg"].warning == (rows["a.jpg"].color1 != "black")
+    assert rows["b.jpg"].warning == (rows["b.jpg"].color1 != "ivory_cream")   # literal compare
+    back = spark.read.json(os.path.join(tmp_dir, "out"))
+    assert back.count() == 3

@@ -7,6 +7,8 @@
    -> enriched JSON (rows that could not be scored pass through unchanged).
 3. ``train_from_index``  image index -> stable split -> feature cache fill -> softmax
    training -> per-split metrics, model table and label list.
+4. ``validate_colors``  per-colour JSON arrays -> scored top-2 colours + warning against
+   the file's colour -> enriched JSON (all colours in one pass).
 
 Each flow is one lazy plan per sink; nothing is gathered on the driver except the model
 (K x D, size-checked) and scalar counts.
@@ -115,3 +117,30 @@ def train_from_index(spark: SparkSession, index: DataFrame, cache_path: str, mod
     sinks.write_model(model.to_table(spark), model_path)
     sinks.write_label_list(classes, labels_path)
     return TrainingResult(model, metrics, added)
+
+
+COLOR_FILE_PATTERN = r"([^/]+?)product\.json$"     # <Colour>product.json
+COLOR_RECORD_SCHEMA = "imageName string"
+
+
+def validate_colors(spark: SparkSession, json_path: str, features: DataFrame,
+                    model: SC.SoftmaxModel, out_path: str, literal: bool = True,
+                    file_pattern: str = COLOR_FILE_PATTERN,
+                    schema: str = COLOR_RECORD_SCHEMA) -> DataFrame:
+    """Colour check over per-colour JSON arrays: the expected colour is the file's name
+    (``<Colour>product.json``); records whose ``imageName`` has a vector (``features``:
+    imageName, features) get color1/score1/color2/score2 (2-decimal text) and ``warning``
+    (color1 != lower(expected) when ``literal``, else normalised labels differ); the
+    other records pass through unchanged. All colours are checked in one pass."""
+    recs = (SRC.read_json_arrays(spark, json_path, schema)
+            .withColumn("_expected", F.regexp_extract("source_file", file_pattern, 1))
+            .drop("source_file"))
+    scorable = recs.join(features.select("imageName", "features"), "imageName")
+    top = SC.first_two(SC.score(scorable, model), model, "color")
+    checked = R.color_warning(top, "_expected", "color1", literal=literal)
+    results = checked.select("imageName", "color1", R.score_text("score1").alias("score1"),
+                             "color2", R.score_text("score2").alias("score2"), "warning")
+    out = R.enrich(recs, results, "imageName")
+    sinks.write_json_by_label(out.withColumn("colour", F.col("_expected")).drop("_expected"),
+                              out_path, "colour")
+    return out.drop("_expected")
