@@ -122,9 +122,10 @@ def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
     """The inner-join rows *before* DISTINCT (one row per matching channel row).
 
     Only needed where a row cap is applied below the DISTINCT. The channel side is
-    pre-aggregated to a count per product; each image row is repeated that many times.
-    With a cap of n rows downstream, ``max_copies=n`` is exact: identical copies sort
-    together, so copies beyond the n-th can never be among the first n rows."""
+    pre-aggregated to a count per product and image-row copies to a count per row; each
+    joined row is repeated (copies x channel rows) times. With a cap of n rows downstream,
+    ``max_copies=n`` is exact: identical copies sort together, so copies beyond the n-th
+    can never be among the first n rows."""
     p = cat.product.filter(F.col("state_id") == state_id)
     if desc_like is not None:
         p = p.filter(F.col("product_desc").like(desc_like))
@@ -151,8 +152,8 @@ def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
 def cap_then_distinct(rows: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
     """ROWNUM-style cap applied once, below the DISTINCT, in a total order.
 
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: a per-partition top-n and a
-    merge of at most n rows per partition; nothing unbounded reaches one task."""
+    ``orderBy().limit()`` plans as TakeOrderedAndProject: each partition keeps its top n,
+    and one final merge streams those (n per partition) through a bounded n-row queue."""
     return rows.orderBy(*order_cols).limit(n).distinct()
 
 
