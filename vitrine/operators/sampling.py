@@ -1,7 +1,8 @@
 """Reproducible class-balanced draws with replacement.
 
-Each draw picks a label uniformly among the labels whose split is non-empty, then an
-image index uniformly in [0, 65536), wrapped by the label's list size. Both choices are
+Each draw picks a label among the labels whose split is non-empty (a 16-bit hash mod
+the label count: uniform up to a bias of at most count / 65536), then an image index
+uniformly in [0, 65536), wrapped by the label's list size. Both choices are
 sha1 hashes of (seed, draw id, stream), so a draw is a pure function of its id: the draws
 table is ``spark.range(n)`` plus columns, any task can recompute any draw, and the
 result can be checked by SQL. The draws then meet the indexed list by an equi-join on
