@@ -228,3 +228,10 @@ def test_catalogue_from_jdbc_views(spark, monkeypatch):
     assert img.image_id is None                           # does not fit a bigint: NULL, never wrapped
     assert cat.landed_assets.count() == 1
     assert ("PRODUCT", "PRODUCT_ID", 16) in calls and ("PRODUCT_IMAGE", "PRODUCT_ID", 16) in calls
+
+
+def test_json_array_sink_refuses_uncapped_labels(spark, tmp_dir):
+    import pytest
+    df = spark.range(50).selectExpr("id", "'Mini' AS label")
+    with pytest.raises(ValueError):
+        sinks.write_json_arrays_by_label(df, os.path.join(tmp_dir, "big"), "label", ["id"], max_per_label=10)

@@ -20,9 +20,15 @@ def write_json_by_label(df: DataFrame, path: str, label_col: str = "label",
 
 
 def write_json_arrays_by_label(df: DataFrame, path: str, label_col: str = "label",
-                               order_cols: list[str] | None = None, mode: str = "overwrite") -> None:
-    """One JSON *array* per label (text file per label folder). Only for capped input:
-    each label's rows are gathered into one value."""
+                               order_cols: list[str] | None = None, mode: str = "overwrite",
+                               max_per_label: int = 100_000) -> None:
+    """One JSON *array* per label (text file per label folder). Each label's rows are
+    gathered into one value, so the input must be capped per label: the largest label is
+    checked against ``max_per_label`` first (use ``write_json_by_label`` beyond that)."""
+    largest = (df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.max("n").alias("m")).first()["m"]) or 0
+    if largest > max_per_label:
+        raise ValueError(f"a label has {largest} rows (> {max_per_label}); write JSON lines instead")
     cols = [c for c in df.columns if c != label_col]
     payload = F.struct(*cols)
     arr = F.collect_list(payload)
