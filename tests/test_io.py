@@ -235,3 +235,21 @@ def test_json_array_sink_refuses_uncapped_labels(spark, tmp_dir):
     df = spark.range(50).selectExpr("id", "'Mini' AS label")
     with pytest.raises(ValueError):
         sinks.write_json_arrays_by_label(df, os.path.join(tmp_dir, "big"), "label", ["id"], max_per_label=10)
+
+
+def test_landing_splits_a_hot_label(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("l"), (F.col("id") % 7).cast("string")))
+        .alias("label"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        out = os.path.join(tmp_dir, "land_hot")
+        sinks.land_by_label(df, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = [f for f in os.listdir(os.path.join(out, "label=hot")) if f.endswith(".parquet")]
+    small_files = [f for f in os.listdir(os.path.join(out, "label=l1")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1 and len(small_files) <= len(hot_files)
+    assert spark.read.parquet(out).count() == 60_000

@@ -64,8 +64,8 @@ def land_by_label(df: DataFrame, path: str, label_col: str = "label", fmt: str =
                   mode: str = "overwrite") -> None:
     """Label-partitioned landing of a manifest (or image rows with a ``content`` column).
 
-    Rows are range-partitioned on (label, row hash) first: each task holds few labels, so
-    each label folder gets few files, and a hot label is still spread over many tasks."""
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    (df.repartitionByRange(F.col(label_col), spread)
-     .write.mode(mode).partitionBy(label_col).format(fmt).save(path))
+    ``REBALANCE(label)``: rows are hash-partitioned by label and AQE, from the shuffle's
+    own statistics, splits a hot label into advisory-size tasks and merges small labels.
+    Each label folder therefore gets few files of sensible size, a hot label still spans
+    many tasks, and no sampling job recomputes the input (as range partitioning would)."""
+    df.hint("rebalance", label_col).write.mode(mode).partitionBy(label_col).format(fmt).save(path)
