@@ -8,7 +8,7 @@ from . import catalog_queries, io_queries, model_queries, scoring_queries, split
 _MODULES = [catalog_queries, split_queries, scoring_queries, model_queries, io_queries]
 
 
-def _shipped(fn):
+def shipped(fn):
     def run(spark, sf_dir):
         ship_package(spark)             # Python stages must import this package
         return fn(spark, sf_dir)
@@ -20,7 +20,7 @@ def _shipped(fn):
 def queries():
     out = {}
     for m in _MODULES:
-        out.update({k: _shipped(v) for k, v in m.QUERIES.items()})
+        out.update({k: shipped(v) for k, v in m.QUERIES.items()})
     return out
 
 
