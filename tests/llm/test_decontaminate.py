@@ -1,0 +1,89 @@
+import random
+
+import pytest
+
+from vitrine.llm import decontaminate as d
+
+
+def slow_tiles(item, doc, least):
+    """Longest free match first, found anew each time."""
+    fi, fd, out = [x != 0 for x in item], [x != 0 for x in doc], []
+    while True:
+        best = (0, 0, 0)
+        for p in range(len(item)):
+            for t in range(len(doc)):
+                n = 0
+                while p + n < len(item) and t + n < len(doc) and fi[p + n] and fd[t + n] and item[p + n] == doc[t + n]:
+                    n += 1
+                if n > best[2]:
+                    best = (p, t, n)
+        p, t, n = best
+        if n < least:
+            return out
+        fi[p:p + n] = fd[t:t + n] = [False] * n
+        out.append(best)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_tiles_against_slow(seed):
+    rng = random.Random(seed)
+    words = rng.choice([2, 3, 6])
+    item = [rng.randint(1, words) for _ in range(rng.randint(1, 24))]
+    doc = [rng.randint(0, words) for _ in range(rng.randint(1, 24))]
+    if seed % 3 == 0:
+        cut = rng.randint(0, len(item))
+        doc = doc[:4] + item[cut:] + [0] + item[:cut]
+    for least in (1, 2, 4):
+        assert d.tiles(item, doc, least) == slow_tiles(item, doc, least)
+
+
+BENCH = [(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "Red green, blue!"), (3, None), (4, ""),
+         (5, "one two three four five six seven eight nine ten eleven twelve"), (5, "one two three four five six seven eight nine ten eleven twelve")]
+TEXTS = [(1, "nothing of it here"), (2, "x ALPHA beta gamma delta epsilon zeta eta theta iota kappa lambda mu y"),
+         (3, "eta theta iota kappa lambda mu and then alpha beta gamma delta epsilon zeta"),        # reordered
+         (4, "alpha beta gamma delta epsilon only five words"), (5, "a red green blue"), (6, "red green"), (7, None), (8, ""),
+         (9, "seven eight nine ten eleven twelve, one two three four five six alpha beta gamma delta epsilon zeta eta"),
+         (9, "seven eight nine ten eleven twelve, one two three four five six alpha beta gamma delta epsilon zeta eta")]
+
+
+def test_planted_leaks(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    want = sorted([(2, 1), (3, 1), (5, 2), (9, 1), (9, 1), (9, 5), (9, 5)])
+    for block in (16 << 20, 100):                              # one block, and several
+        got = d.find_leaks(docs, bench, block_bytes=block)
+        assert sorted((r.doc_id, r.item_id) for r in got.collect()) == want
+        kept = d.drop_leaks(docs, bench, block_bytes=block)
+        assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 7, 8]
+    three = d.find_leaks(docs.filter("doc_id = 3"), bench).first()
+    assert three.n_tiles == 2 and three.coverage == 1.0
+
+
+def test_whole_table_against_slow(spark):
+    """Every pair of the smallest tables that shares a seed, tiled whole."""
+    import duckdb
+
+    at = "/root/testdata/sf0.001"
+    docs, items = (duckdb.sql(f"select * from '{at}/{t}.parquet'").fetchall() for t in ("documents", "benchmark"))
+    want = set()
+    for doc_id, text, *_ in docs:
+        words = d.words_of(text)
+        grams = {tuple(words[i:i + 5]) for i in range(len(words))}
+        for item_id, item in items:
+            own = d.words_of(item)
+            if any(tuple(own[i:i + 5]) in grams for i in range(len(own) - 4)):
+                ids = {w: i + 1 for i, w in enumerate(dict.fromkeys(own))}
+                covered = sum(n for *_, n in d.tiles([ids[w] for w in own], [ids.get(w, 0) for w in words], 5))
+                if covered / len(own) >= 0.5:
+                    want.add((doc_id, item_id, round(covered / len(own), 9)))
+    got = d.find_leaks(spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/benchmark.parquet"))
+    assert {(r.doc_id, r.item_id, round(r.coverage, 9)) for r in got.collect()} == want
+
+
+def test_edge_rows(spark, edge_docs, empty_docs):
+    bench = spark.createDataFrame([(1, "the same text of some words here"), (2, None)], "item_id long, text string")
+    kept = d.drop_leaks(edge_docs, bench)
+    assert kept.columns == edge_docs.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 2, 3, 4, 5, 6, 8, 9, 10]
+    assert d.drop_leaks(edge_docs, bench.filter("false")).count() == edge_docs.count()
+    assert d.drop_leaks(empty_docs, bench).count() == 0 and d.find_leaks(empty_docs, bench).count() == 0

@@ -1,0 +1,79 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vitrine.llm import digest as g
+
+
+def slow_counts(text):
+    text = text.ljust(4, b"\0")
+    out = [0] * g.BUCKETS
+    for i in range(len(text) - 3):
+        for salt, (j, k) in enumerate(g.SPACINGS):
+            value = (text[i] | text[i + j] << 8 | text[i + k] << 16) + ((salt + 1) << 24)
+            out[(value * 2654435761 % 2 ** 32) >> 25] += 1
+    return out
+
+
+@pytest.mark.parametrize("text", [b"a", b"abcd", "héllo wörld".encode() * 9, bytes(range(256)) * 3])
+def test_counts_against_slow(text):
+    assert g.bucket_counts(text).tolist() == slow_counts(text)
+
+
+def test_pieces_of_a_long_text():
+    text = np.random.default_rng(1).integers(97, 123, (1 << 20) + 50, dtype=np.uint8).tobytes()
+    rows = [g.bucket_counts(text)[b] for b in range(3)]
+    a = np.frombuffer(text, np.uint8).astype(np.uint64)
+    n = len(a) - 3
+    every = np.concatenate([((a[:n] | a[j:n + j] << 8 | a[k:n + k] << 16) + ((s + 1) << 24)) * 2654435761 % 2 ** 32 >> 25
+                            for s, (j, k) in enumerate(g.SPACINGS)])
+    assert rows == np.bincount(every.astype(int), minlength=128)[:3].tolist()
+
+
+def test_likeness_falls_with_edits():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(400)]
+    text = " ".join(rng.choices(words, k=600))
+    one = text.replace(words[0], words[1])
+    other = " ".join("".join(rng.choices("klmnopqrst", k=6)) for _ in range(600))
+    a, b, c = (g.digest(t.encode()) for t in (text, one, other))
+    assert g.likeness(a, a) == 1.0 and g.likeness(a, b) > 0.8 > 0.4 > g.likeness(a, c) >= 0
+    assert g.likeness(a, c) == g.likeness(c, a)
+    assert g.digest(b"") == "0" * 68 and len(a) == 68
+    for x in (a, c, g.digest(b"x"), g.digest(b"")):
+        for y in (a, b, "f" * 68):
+            assert 0 <= g.difference(x, y) <= g.MOST
+
+
+def slow_rows(rows):
+    """rows: (doc_id, text) in order of id, then text."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    out = []
+    for i, (doc_id, text) in enumerate(order):
+        text, after = text or "", order[(i + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        a, b, c = (g.digest(x.encode()) for x in (text, edited, after))
+        out.append((doc_id, len(text), a, hashlib.sha256(edited.encode()).hexdigest(), b, g.likeness(a, b), g.likeness(a, c)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_neighbours_against_slow(spark, edge_docs, empty_docs, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
+        assert sorted(map(tuple, g.digest_neighbours(edge_docs).collect()), key=str) == slow_rows(rows)
+        assert g.digest_neighbours(empty_docs).count() == 0
+        one = edge_docs.filter("doc_id = 8")
+        assert [tuple(r) for r in g.digest_neighbours(one).collect()] == slow_rows([tuple(one.select("doc_id", "text").first())])
+        table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+        mixed = table.withColumn("doc_id", F.col("doc_id") * 1_000_003 - 10 ** 8).repartition(7)
+        rows = [tuple(r) for r in mixed.select("doc_id", "text").collect()]
+        assert sorted(map(tuple, g.digest_neighbours(mixed).collect()), key=str) == slow_rows(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

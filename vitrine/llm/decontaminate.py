@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from heapq import heapify, heappop, heappush
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -84,17 +86,33 @@ def tiles(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, i
         if longest > 2 * size:
             size = longest
             continue
-        marked = False
-        for p, t, n in sorted(found, key=lambda m: (-m[2], m[0], m[1])):
-            if all(free_i[p:p + n]) and all(free_d[t:t + n]):
+        queue = [(-n, p, t) for p, t, n in found]
+        heapify(queue)
+        while queue:                          # the longest first, then by start
+            n, p, t = heappop(queue)
+            n = -n
+            free = [free_i[p + x] and free_d[t + x] for x in range(n)]
+            if all(free):
                 free_i[p:p + n] = free_d[t:t + n] = [False] * n
                 out.append((p, t, n))
-                marked = True
-        # an overlapped match may leave a piece of this size: look again before going down
-        if not marked:
-            if size == least:
-                return out
-            size = max(least, size // 2)
+                continue
+            for at, run in runs(free):        # what other tiles leave of it
+                if run >= size:
+                    heappush(queue, (-run, p + at, t + at))
+        if size == least:
+            return out
+        size = max(least, size // 2)
+
+
+def runs(flags: list[bool]) -> list[tuple[int, int]]:
+    """(start, length) of each run of true flags."""
+    out, at = [], 0
+    for on, group in groupby(flags):
+        n = len(list(group))
+        if on:
+            out.append((at, n))
+        at += n
+    return out
 
 
 class Matcher:
