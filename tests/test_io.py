@@ -72,7 +72,7 @@ def test_json_array_sink_per_label(spark, tmp_dir):
     df = spark.createDataFrame([(3, "u3", "Mini"), (1, "u1", "Mini"), (2, None, "Long_Maxi")],
                                "productId int, imageUrl string, label string")
     out = os.path.join(tmp_dir, "arr")
-    sinks.write_json_arrays_by_label(df, out, "label", ["productId"])
+    sinks.write_json_arrays_by_label(df, out, 10, ["productId"])
     mini = [f for f in os.listdir(os.path.join(out, "label=Mini")) if f.endswith(".txt")]
     with open(os.path.join(out, "label=Mini", mini[0])) as f:
         arr = json.loads(f.read())
@@ -123,24 +123,49 @@ def test_landing_by_label(spark, tmp_dir):
     assert sorted((r.image_id, r.label) for r in back.collect()) == [(1, "Long/Maxi"), (2, "Mini"), (3, "Mini")]
 
 
-def test_enriched_json_keeps_unscored_rows(spark, tmp_dir):
-    from vitrine.operators import rules as R
-    man = spark.createDataFrame([(1, "u1", "/p/1.jpg"), (2, "u2", None)],
-                                "productId int, imageUrl string, imagePath string")
-    res = spark.createDataFrame([(1, "short", "0.91", False)],
-                                "productId int, cvResult string, cvScore string, warning boolean")
-    out = os.path.join(tmp_dir, "enriched")
-    R.enrich(man, res, "productId").coalesce(1).write.json(out)
-    recs = {}
-    for fn in os.listdir(out):
-        if fn.endswith(".json"):
-            with open(os.path.join(out, fn)) as f:
-                for line in f:
-                    d = json.loads(line)
-                    recs[d["productId"]] = d
-    assert recs[1] == {"productId": 1, "imageUrl": "u1", "imagePath": "/p/1.jpg", "cvResult": "short",
-                       "cvScore": "0.91", "warning": False}
-    assert recs[2] == {"productId": 2, "imageUrl": "u2"}
+def fixed_vectors(spark, key_col, keys):
+    from vitrine.operators import scoring as SC
+    rows = [(k, [float(i + j) for j in range(3)]) for i, k in enumerate(keys)]
+    return spark.createDataFrame(rows, f"{key_col} string, features array<float>"), SC.fixed_model(["short", "long", "red"], 3)
+
+
+def test_length_check_keeps_every_record_once(spark, tmp_dir):
+    """Records that share an image, records without an image or a vector, and keys of their own."""
+    from vitrine.plans import flows as FL
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    recs = [{"productId": 3_000_000_000, "imagePath": "/p/1.jpg", "dressLengthValue": "Mini", "brand": "b", "n": {"x": 1}},
+            {"productId": 2, "imagePath": "/p/1.jpg", "dressLengthValue": "Mini"}, {"productId": 2, "imagePath": "/p/1.jpg", "dressLengthValue": "Mini"},
+            {"productId": 4, "imageUrl": "u"}, {"productId": 5, "imagePath": "/p/none.jpg", "dressLengthValue": "Long_Maxi"}]
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        json.dump(recs, f)
+    vectors, model = fixed_vectors(spark, "imagePath", ["/p/1.jpg", "/p/1.jpg", None])
+    FL.validate_exports(spark, src, vectors, model, out)
+    back = []
+    for root, _, files in os.walk(out):
+        for fn in files:
+            if fn.endswith(".json"):
+                with open(os.path.join(root, fn)) as f:
+                    back += [json.loads(line) for line in f]
+    added = {"cvResult", "cvScore", "cvResult2", "cvScore2", "warning"}
+    plain = [{k: v for k, v in r.items() if k not in added} for r in back]
+    label = {r["productId"]: r.get("dressLengthValue") for r in recs}
+    key = lambda r: json.dumps(r, sort_keys=True)
+    assert sorted(map(key, plain)) == sorted(key({k: v for k, v in r.items()}) for r in recs), label
+    assert all((added <= set(r)) == (r.get("imagePath") == "/p/1.jpg") and bool(added & set(r)) == (added <= set(r)) for r in back)
+
+
+def test_color_check_is_by_file(spark):
+    """One image in two colours' files: a record each, with its own file's warning."""
+    from vitrine.plans import flows as FL
+    recs = spark.createDataFrame([("a.jpg", "Short", "x"), ("a.jpg", "Long", "y"), ("b.jpg", "Red", None)],
+                                 "imageName string, want string, brand string")
+    vectors, model = fixed_vectors(spark, "imageName", ["a.jpg"])
+    rows = {(r.imageName, r.want): r for r in FL.check_colors(recs, "want", vectors, model).collect()}
+    assert len(rows) == 3 and rows["b.jpg", "Red"].warning is None and rows["b.jpg", "Red"].color1 is None
+    first = rows["a.jpg", "Short"].color1
+    assert [rows["a.jpg", c].warning for c in ("Short", "Long")] == [first != "short", first != "long"]
+    assert rows["a.jpg", "Long"].brand == "y"
 
 
 def test_path_helpers(spark):
@@ -222,19 +247,92 @@ def test_catalogue_from_jdbc_views(spark, monkeypatch):
     monkeypatch.setattr(JD, "read_table_bucketed", fake_scan)
     assets = spark.createDataFrame([("5-214x261.jpg",)], "file_name string")
     cat = Catalogue.from_jdbc(spark, {"url": "jdbc:x", "driver": "d"}, 16, assets=assets)
-    p = cat.product.first()
-    assert (p.product_id, p.state_id) == (5, 2) and cat.product.schema["product_id"].dataType.simpleString() == "bigint"
-    img = cat.product_image.first()
-    assert img.image_id is None                           # does not fit a bigint: NULL, never wrapped
+    from vitrine.operators import catalog as C
+    # the filter is on the column as the database has it, so it can be pushed down
+    plan = cat.product.filter(F.col("state_id") == 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(state_id" not in plan
+    got = C.labelled_images(Catalogue.from_frames(
+        product=cat.product, product_image=cat.product_image,
+        channel=spark.createDataFrame([(Decimal(5), "Y", "Y")], "product_id decimal(38,0), publish_flag string, current_flag string"),
+        product_attribute=spark.createDataFrame([(Decimal(5), 708, "v")], "product_id decimal(38,0), attribute_type_id long, varchar_value string")))
+    assert got.schema["product_id"].dataType.simpleString() == "bigint"
+    row = got.first()
+    assert (row.product_id, row.image_id) == (5, None)    # does not fit a bigint: NULL, never wrapped
+    assert cat.image.columns == ["product_id", "image_id"]
     assert cat.landed_assets.count() == 1
     assert ("PRODUCT", "PRODUCT_ID", 16) in calls and ("PRODUCT_IMAGE", "PRODUCT_ID", 16) in calls
 
 
-def test_json_array_sink_refuses_uncapped_labels(spark, tmp_dir):
+def test_json_array_sink_caps_labels(spark, tmp_dir):
+    df = spark.range(5_000).selectExpr("id", "if(id % 10 = 0, 'Mini', 'Long') AS label")
+    out = os.path.join(tmp_dir, "big")
+    sinks.write_json_arrays_by_label(df, out, 1_200, ["id"])
+    back = SRC.read_json_arrays(spark, out, "id long")
+    assert sorted(r.id for r in back.filter("label = 'Mini'").collect()) == list(range(0, 5_000, 10))
+    assert back.filter("label = 'Long'").agg(F.count("id"), F.max("id")).first() == (1_200, 1_333)
+
+
+def test_landing_keeps_labels_as_they_are(spark, tmp_dir):
+    labels = ["007", "1e3", "", "a/b", "2024-01-01", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(labels)], "id long, label string")
+    out = os.path.join(tmp_dir, "labels")
+    sinks.land_by_label(df, out)
+    back = sinks.read_landing(spark, out, df.schema)
+    assert back.columns == ["id", "label"]
+    assert [r.label for r in back.orderBy("id").collect()] == labels
+
+
+def test_class_uids_pair_by_adjacency(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "map.pbtxt")
+    with open(path, "w") as f:
+        f.write('entry {\n  target_class: 1\n}\nentry {\n  target_class: 2\n  target_class_string: "n2"\n}\n'
+                'entry {\n  target_class: 3\n  other: 9\n  target_class_string: "n3"\n}\n'
+                'entry {\n  target_class: 3\n  target_class_string: "n3b"\n}\nentry {\n  target_class_string: "n4"\n}\n')
+    got = {r.class_id: r.uid for r in SRC.read_class_uids(spark, path).collect()}
+    assert got == {2: "n2", 3: "n3b"}
+
+
+def test_listing_is_one_folder_deep(spark, tmp_dir):
+    for name in ("top.jpg", "Mini/a.jpg", "Mini/deep/b.jpg"):
+        os.makedirs(os.path.dirname(os.path.join(tmp_dir, name)), exist_ok=True)
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(name.encode())
+    rows = SRC.list_images(spark, tmp_dir).collect()
+    assert [(r.dir, r.base_name) for r in rows] == [("Mini", "a.jpg")]
+    some = spark.createDataFrame([(rows[0].path,), ("s3a://bucket" + os.path.join(tmp_dir, "Mini/a.jpg"),), ("/none",), (None,)], "image_path string")
+    got = {r.image_path: r.content for r in SRC.attach_image_bytes(some, spark, tmp_dir).collect()}
+    assert [bytes(v) if v else None for v in got.values()].count(b"Mini/a.jpg") == 2 and len(got) == 4
+
+
+def test_read_table_sees_appended_files(spark, tmp_dir):
+    from vitrine.sources.tables import Catalogue, read_table
+    path = os.path.join(tmp_dir, "part.parquet")
+    rows = spark.range(5).selectExpr("id p_partkey", "'n' p_name", "'b' p_brand", "1L p_size", "'MEDIUM' p_type")
+    rows.write.parquet(path)
+    assert read_table(spark, tmp_dir, "part").count() == Catalogue.from_tables(spark, tmp_dir).product.count() == 5
+    rows.write.mode("append").parquet(path)
+    assert read_table(spark, tmp_dir, "part").count() == Catalogue.from_tables(spark, tmp_dir).product.count() == 10
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
     import pytest
-    df = spark.range(50).selectExpr("id", "'Mini' AS label")
-    with pytest.raises(ValueError):
-        sinks.write_json_arrays_by_label(df, os.path.join(tmp_dir, "big"), "label", ["id"], max_per_label=10)
+    from vitrine import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
 
 
 def test_landing_splits_a_hot_label(spark, tmp_dir):
@@ -249,7 +347,7 @@ def test_landing_splits_a_hot_label(spark, tmp_dir):
         sinks.land_by_label(df, out)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    hot_files = [f for f in os.listdir(os.path.join(out, "label=hot")) if f.endswith(".parquet")]
-    small_files = [f for f in os.listdir(os.path.join(out, "label=l1")) if f.endswith(".parquet")]
+    hot_files = [f for f in os.listdir(os.path.join(out, "label_folder=hot")) if f.endswith(".parquet")]
+    small_files = [f for f in os.listdir(os.path.join(out, "label_folder=l1")) if f.endswith(".parquet")]
     assert len(hot_files) > 1 and len(small_files) <= len(hot_files)
     assert spark.read.parquet(out).count() == 60_000

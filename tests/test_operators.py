@@ -83,7 +83,10 @@ def test_first_n_per_label_plan_and_result(spark):
 
 def test_cap_then_distinct(spark):
     df = spark.createDataFrame([(1, "a")] * 3 + [(2, "b")] * 3 + [(3, "c")], "id int, v string")
-    assert sorted(tuple(r) for r in C.cap_then_distinct(df, 4, ["id", "v"]).collect()) == [(1, "a"), (2, "b")]
+    counted = df.groupBy("id", "v").agg(F.count("*").alias("copies"))
+    for n, want in ((0, 0), (1, 1), (3, 1), (4, 2), (6, 2), (7, 3), (100, 3)):
+        assert C.cap_then_distinct(counted, n, ["id", "v"]).count() == want
+    assert sorted(tuple(r) for r in C.cap_then_distinct(counted, 4, ["id", "v"]).collect()) == [(1, "a"), (2, "b")]
     assert sorted(tuple(r) for r in C.distinct_then_cap(df, 2, ["id", "v"]).collect()) == [(1, "a"), (2, "b")]
 
 
@@ -141,8 +144,49 @@ def test_model_table_roundtrip(spark):
     m = SC.fixed_model(["a", "b"], 3)
     back = SC.SoftmaxModel.from_table(m.to_table(spark))
     assert back.labels == ["a", "b"] and back.weights == m.weights and back.bias == [0.0, 0.0]
-    with pytest.raises(ValueError):
-        SC.SoftmaxModel.from_table(m.to_table(spark), max_cells=5)
+    rows = spark.createDataFrame([([1.0, 2.0, 3.0],), (None,)], "features array<float>")
+    z = [r.z for r in rows.select(m.logits("features").alias("z")).collect()]
+    assert z[0] == pytest.approx([sum(a * b for a, b in zip(w, (1, 2, 3))) for w in m.weights]) and z[1] is None
+
+
+def test_draws_reach_all_labels_and_images(spark):
+    """More labels, and more images of a label, than 16 bits can number."""
+    n = 70_000
+    wide = spark.range(n).select(F.format_string("l%07d", "id").alias("label"), F.lit("training").alias("split"),
+                                 F.col("id").cast("string").alias("key"), F.lit(0).cast("long").alias("idx"))
+    got = SA.balanced_draws(spark, wide, 40_000, "training", "s").agg(F.max("class_id"), F.countDistinct("class_id")).first()
+    assert got[0] > 65_535 and got[1] > 25_000
+    deep = spark.range(100_000).select(F.lit("a").alias("label"), F.lit("training").alias("split"),
+                                       F.col("id").cast("string").alias("key"), F.col("id").alias("idx"))
+    assert SA.balanced_draws(spark, deep, 2_000, "training", "s").agg(F.max("idx")).first()[0] > 95_000
+    assert SA.balanced_draws(spark, deep, 2_000, "training", "s", index_range=65_536).agg(F.max("idx")).first()[0] < 65_536
+    with pytest.raises(ValueError, match="class list"):
+        SA.balanced_draws(spark, deep, 10, "training", "s", labels=["b"])
+
+
+def test_distinct_comes_after_the_selective_join(spark):
+    """Without broadcasts, the image fact meets the eligible products below its DISTINCT."""
+    from vitrine.sources.tables import Catalogue
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = C.labelled_images(Catalogue.from_tables(spark, "/root/testdata/sf0.001"))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    depth = {}
+    for line in plan:
+        for word in ("Aggregate", "Join Inner"):
+            if word in line:
+                depth.setdefault(word, len(line) - len(line.lstrip(" :+-|")))
+    assert depth["Aggregate"] < depth["Join Inner"]
+
+
+def test_first_n_per_label_at_any_n(spark):
+    df = spark.range(9_000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("label"))
+    for n in (1, 1_000, 1_001, 2_500):
+        got = C.first_n_per_label(df, "label", n, ["id"]).groupBy("label").agg(F.count("*"), F.max("id")).collect()
+        assert {r[0]: tuple(r[1:]) for r in got} == {"hot": (n, 3 * (n - 1)), "cold": (n, 3 * ((n - 1) // 2) + 1 + (n - 1) % 2)}
 
 
 def test_balanced_draws_skip_empty_labels(spark):

@@ -51,3 +51,21 @@ def test_hot_product_is_split(spark):
     assert d.filter(F.col("product_id") == 7).count() == -(-(n // 3) // 10_000)
     assert rows == n            # every image row is distinct and its product eligible
     assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
+
+
+def test_hot_image_is_salted_in_the_asset_join(spark):
+    """A third of the manifest's rows show one image: the left join keeps every row once and splits them."""
+    from vitrine.operators import assets as A
+    n = 60_000
+    manifest = spark.range(n).select(F.col("id").alias("product_id"),
+                                     F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000 + 100).alias("image_id"),
+                                     F.lit("Mini").alias("label"))
+    assets = spark.range(0, 500).select(F.concat(F.col("id").cast("string"), F.lit("-214x261.jpg")).alias("file_name"))
+    out = A.attach_assets(manifest, assets, hot_rows=5_000)
+    assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+    plain = A.attach_assets(manifest, assets)
+    assert out.count() == n and out.exceptAll(plain).count() == 0
+    assert out.filter("image_id = 7 and has_asset").count() == n // 3
+    from vitrine.operators.joins import salted_sides
+    f, _ = salted_sides(manifest, A.landed_image_ids(assets), "image_id", 5_000)
+    assert f.groupBy("image_id", "_salt").count().agg(F.max("count")).first()[0] <= 5_000 * 1.2

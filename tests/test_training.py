@@ -84,35 +84,113 @@ def test_feature_cache_is_incremental(spark, tmp_dir):
     assert FE.read_cache(spark, cache).filter("model_version = 'v1'").count() == 41
 
 
-def test_should_distort():
-    assert not FE.should_distort(False, 0, 0, 0)
-    assert FE.should_distort(True, 0, 0, 0) and FE.should_distort(False, 0, 5, 0)
+def test_cache_follows_changing_content(spark, tmp_dir):
+    """A, B, A: one current row, of the last content; a NULL hash is a content like any other."""
+    cache, fac = os.path.join(tmp_dir, "aba"), FE.text_histogram_factory(8)
 
+    def fill(content, h):
+        idx = spark.createDataFrame([(1, content, h)], "doc_id long, content string, h string")
+        return FE.fill_cache(spark, idx, cache, "doc_id", ["content"], fac, "v1", 8, content_hash_col="h")
 
-def test_crop_flip_brighten_golden(spark):
-    img = [[float(r * 4 + c) for c in range(4)] for r in range(4)]
-    df = spark.createDataFrame([(1, img, True, 1, 2, 2.0)],
-                               "k int, img array<array<double>>, flip boolean, crop_y int, crop_x int, brightness double")
-    out = AU.crop_flip_brighten(df, "img", (2, 2)).first().augmented
-    # crop rows 1-2, cols 2-3: [[6,7],[10,11]] -> flip -> [[7,6],[11,10]] -> x2
-    assert out == [[14.0, 12.0], [22.0, 20.0]]
+    assert [fill("aaa", "A"), fill("aaa", "A"), fill("b", "B"), fill("aaa", "A"), fill("c", None), fill("c", None)] == [1, 0, 1, 1, 1, 0]
+    rows = FE.read_cache(spark, cache).collect()
+    assert len(rows) == 1 and rows[0].content_hash is None and rows[0].features[ord("c") % 8] == 1.0
+    assert FE.read_cache_rows(spark, cache).count() == 4
 
 
-def test_bilinear_resize():
-    a = np.arange(16, dtype=float).reshape(4, 4)
-    assert np.allclose(AU.resize_bilinear(a, 4, 4), a)
-    up = AU.resize_bilinear(a, 8, 8)
-    assert up.shape == (8, 8) and up[0, 0] == 0 and abs(up[0, 1] - 0.5) < 1e-12
+def test_cache_takes_one_of_several_contents(spark, tmp_dir):
+    cache = os.path.join(tmp_dir, "several")
+    idx = spark.createDataFrame([(1, "b", "2"), (1, "a", "1"), (1, "c", "3")], "doc_id long, content string, h string")
+    for order in (idx, idx.orderBy(F.desc("h"))):
+        FE.fill_cache(spark, order, cache, "doc_id", ["content"], FE.text_histogram_factory(8), "v1", 8, content_hash_col="h")
+    assert [r.content_hash for r in FE.read_cache_rows(spark, cache).collect()] == ["1"]
+
+
+def test_cache_errors_are_raised(spark):
+    import pytest
+    with pytest.raises(Exception, match="nostore"):
+        FE.read_cache(spark, "nostore://x/y").count()
+
+
+def test_two_extractors_of_one_version(spark):
+    """What a factory closes over is part of the loaded model's identity."""
+    import functools
+
+    def make(value):
+        weights = np.full(10_000, value)
+
+        def factory():
+            return lambda pdf: np.full((len(pdf), 1), weights.mean())
+        return factory
+
+    def build(value):
+        return lambda pdf: np.full((len(pdf), 1), value)
+
+    df = spark.createDataFrame([(1, "x")], "k long, t string").coalesce(1)
+    for made in (make, lambda v: functools.partial(build, v)):
+        got = [FE.extract_features(df, made(v), "v1", "k", ["t"], 1).first().features[0] for v in (1.0, 2.0)]
+        assert got == [1.0, 2.0]
+
+
+def test_gradient_refuses_unknown_classes(spark):
+    import pytest
+    model = T.init_model(["a", "b"], 2)
+    for bad in (2, -1, None):
+        df = spark.createDataFrame([([1.0, 2.0], 0), ([1.0, 2.0], bad)], "features array<float>, true_id int")
+        with pytest.raises(Exception, match="not a class"):
+            T.gradient(df, model).collect()
+
+
+def test_lbfgs_gradient_is_small(spark):
+    data = SQ.features(spark, SF)
+    model = T.train_lbfgs(data, FV.SHIPPED_LABELS, max_iter=200, reg_param=0.0, tol=1e-9)
+    at_start = T.gradient(data, T.init_model(FV.SHIPPED_LABELS, 64)).agg(F.sqrt(F.sum(F.col("grad") ** 2))).first()[0]
+    at_end = T.gradient(data, model).agg(F.sqrt(F.sum(F.col("grad") ** 2))).first()[0]
+    assert at_end < 0.02 * at_start
+
+
+def slow_resize(img, out_h, out_w):
+    h, w = img.shape[:2]
+    out = np.zeros((out_h, out_w, *img.shape[2:]))
+    for r in range(out_h):
+        for c in range(out_w):
+            y, x = r * h / out_h, c * w / out_w
+            y0, x0 = int(y), int(x)
+            y1, x1 = min(y0 + 1, h - 1), min(x0 + 1, w - 1)
+            out[r, c] = ((img[y0, x0] * (1 - (x - x0)) + img[y0, x1] * (x - x0)) * (1 - (y - y0))
+                         + (img[y1, x0] * (1 - (x - x0)) + img[y1, x1] * (x - x0)) * (y - y0))
+    return out
+
+
+def test_augmented_images_of_any_size_and_channels(spark):
+    rng = np.random.default_rng(0)
+    how = AU.Augmentation(4, 5, flip=True, crop=10, scale=30, brightness=20)
+    for deep in ((), (3,)):
+        images = [rng.random((h, w, *deep)) for h, w in ((8, 8), (3, 9), (12, 4), (8, 8), (1, 1))] + [None]
+        kind = "array<array<array<double>>>" if deep else "array<array<double>>"
+        df = spark.createDataFrame([(i, None if x is None else x.tolist()) for i, x in enumerate(images)], f"k long, img {kind}")
+        params = AU.augment_params(df, "k", "s", how)
+        rows = AU.augment_images(params, "img", how).collect()
+        assert len(rows) == 6
+        for r in rows:
+            x = images[r.k]
+            if x is None:
+                assert r.augmented is None
+                continue
+            want = slow_resize(x, r.scaled_h, r.scaled_w)[r.crop_y:r.crop_y + 4, r.crop_x:r.crop_x + 5]
+            want = (want[:, ::-1] if r.flip else want) * r.brightness
+            assert np.allclose(np.array(r.augmented), want)
 
 
 def test_augment_params_ranges(spark):
     df = spark.range(2000).withColumnRenamed("id", "d")
-    p = AU.augment_params(df, "d", "s", (8, 8), (6, 6), True, 10, 20, 30).collect()
+    how = AU.Augmentation(6, 6, flip=True, crop=10, scale=20, brightness=30)
+    p = AU.augment_params(df, "d", "s", how).collect()
     assert all(0.7 <= r.brightness <= 1.3 for r in p)
     assert all(1.1 - 1e-12 <= r.scale <= 1.1 * 1.2 + 1e-12 for r in p)
-    assert all(0 <= r.crop_y <= r.scaled_h - 6 for r in p)
-    flips = sum(r.flip for r in p)
-    assert 800 < flips < 1200
+    assert all(0 <= r.crop_y <= r.scaled_h - 6 and r.scaled_h == int(r.scale * 6) for r in p)
+    assert 800 < sum(r.flip for r in p) < 1200
+    assert how.varies and not AU.Augmentation(6, 6).varies
 
 
 def test_feature_stream_fills_new_files(spark, tmp_dir):
@@ -146,7 +224,7 @@ def test_sgd_with_augmentation(spark):
             return np.concatenate([flat, np.zeros((len(flat), 64 - flat.shape[1]))], axis=1)
         return fn
 
-    aug = dict(flip_left_right=True, random_crop=0, random_scale=0, random_brightness=10)
+    aug = AU.Augmentation(8, 8, flip=True, brightness=10)
     model, metrics = T.train_sgd(spark, pool, data.select("key", "features"), FV.SHIPPED_LABELS,
                                  steps=2, batch=40, learning_rate=0.05, eval_interval=1,
                                  validation_batch=20, test_batch=20, pixels=pixels, augment=aug,
@@ -167,3 +245,23 @@ def test_feature_cache_content_hash(spark, tmp_dir):
     changed = idx.withColumn("content", F.when(F.col("doc_id") == 3, F.lit("new")).otherwise(F.col("content"))) \
                  .withColumn("h", F.sha2("content", 256))
     assert FE.fill_cache(spark, changed, cache, "doc_id", ["content"], fac, "v1", 8, content_hash_col="h") == 1
+
+
+def test_jobs_per_step(spark):
+    """Batches are drawn and joined once; after that a step is a job, and an evaluation a few."""
+    data = S.assign_split(SQ.features(spark, SF).withColumn("key", F.col("vec_id").cast("string")), "key")
+    labelled = data.withColumn("label", SQ.model().label_of("true_id"))
+    pool = S.indexed_split_lists(labelled, "label", "key")
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(steps):
+        group = f"sgd-{steps}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            T.train_sgd(spark, pool, data.select("key", "features"), FV.SHIPPED_LABELS, steps=steps, batch=20, eval_interval=100,
+                        validation_batch=10, test_batch=10, init=SQ.model())
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert jobs(12) - jobs(2) <= 3 * 10

@@ -34,6 +34,12 @@ def uniform16(seed: str, draw_id: Column | str, stream: str) -> Column:
     return sha1_low16(F.concat_ws(":", F.lit(seed), _c(draw_id).cast("string"), F.lit(stream)))
 
 
+def hash60(seed: str, draw_id: Column | str, stream: str) -> Column:
+    """Reproducible draw in [0, 2 ** 60): the last 15 hex digits of the sha1 of ``seed:draw_id:stream``."""
+    text = F.concat_ws(":", F.lit(seed), _c(draw_id).cast("string"), F.lit(stream))
+    return F.conv(F.substring(F.sha1(text), 26, 15), 16, 10).cast("bigint")
+
+
 def uniform_unit(seed: str, draw_id: Column | str, stream: str) -> Column:
     """Reproducible draw in [0, 1): uniform16 / 65536."""
     return uniform16(seed, draw_id, stream).cast("double") / F.lit(float(FV.HASH_BUCKETS))

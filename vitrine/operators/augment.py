@@ -1,100 +1,122 @@
-"""Image augmentation on pixel arrays: random scale, crop, horizontal flip, brightness.
-
-Every random choice is a seeded hash of the draw id (reproducible, recomputable by any
-task). Crop, flip and brightness are nested-array expressions in the JVM; the bilinear
-resize of the random scale runs in NumPy over Arrow batches (``mapInPandas``).
-Images are rows x cols (x channels folded into the value) nested arrays.
+"""Image augmentation: resize to the model's input size, random scale, crop, flip, brightness.
+
+Every random choice is a seeded hash of the draw id (reproducible, recomputable by any task).
+An image of any size is resized (bilinear) to ``scale`` times the model's input size, a window
+of the input size is cut out of that at a random place, flipped from left to right by a coin
+and multiplied by a random brightness. The choices are columns; the pixels are computed in
+NumPy over Arrow batches, all images of one size and target together. Images are rows x
+columns, or rows x columns x channels, nested arrays.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from ..session import ship_package
+from pyspark.sql import types as T
 
 from ..functions.hashing import uniform16, uniform_unit
+from ..session import ship_package
 
 
-def augment_params(df: DataFrame, draw_col: str, seed: str, in_size: tuple[int, int],
-                   out_size: tuple[int, int], flip_left_right: bool, random_crop: int,
-                   random_scale: int, random_brightness: int) -> DataFrame:
-    """Adds flip (bool), scale (double), crop_y / crop_x (int), brightness (double).
+@dataclass(frozen=True)
+class Augmentation:
+    """How training images vary, in percent, and the size they must have in the end."""
 
-    scale = (1 + crop/100) * U(1, 1 + scale/100); the crop offsets are uniform over the
-    positions an out_size window can take in the scaled image; brightness is
-    U(1 - b/100, 1 + b/100)."""
-    d = F.col(draw_col)
-    scale = (F.lit(1.0 + random_crop / 100.0)
-             * (F.lit(1.0) + F.lit(random_scale / 100.0) * uniform_unit(seed, d, "scale")))
-    h = F.floor(scale * F.lit(float(in_size[0]))).cast("int")
-    w = F.floor(scale * F.lit(float(in_size[1]))).cast("int")
-    flip = (uniform_unit(seed, d, "flip") < F.lit(0.5)) if flip_left_right else F.lit(False)
-    bright = (F.lit(1.0 - random_brightness / 100.0)
-              + F.lit(2.0 * random_brightness / 100.0) * uniform_unit(seed, d, "brightness"))
-    return (df.withColumn("flip", flip)
-            .withColumn("scale", scale)
-            .withColumn("scaled_h", h).withColumn("scaled_w", w)
-            .withColumn("crop_y", F.pmod(uniform16(seed, d, "crop_y"),
-                                         F.greatest(h - F.lit(out_size[0]) + 1, F.lit(1))).cast("int"))
-            .withColumn("crop_x", F.pmod(uniform16(seed, d, "crop_x"),
-                                         F.greatest(w - F.lit(out_size[1]) + 1, F.lit(1))).cast("int"))
-            .withColumn("brightness", bright))
+    height: int
+    width: int
+    flip: bool = False
+    crop: float = 0                           # how much larger than needed before the crop
+    scale: float = 0                          # how much larger still, at random
+    brightness: float = 0
 
+    @property
+    def varies(self) -> bool:
+        """Whether two draws of an image can differ; vectors of such images are not cached."""
+        return self.flip or any((self.crop, self.scale, self.brightness))
 
-def crop(img: Column, y: Column, x: Column, h: int, w: int) -> Column:
-    return F.transform(F.slice(img, y + 1, h), lambda row: F.slice(row, x + 1, w))
 
+def augment_params(df: DataFrame, draw_col: str, seed: str, how: Augmentation) -> DataFrame:
+    """Adds scale, scaled_h, scaled_w, crop_y, crop_x, flip and brightness.
 
-def flip_horizontal(img: Column, flip: Column) -> Column:
-    return F.when(flip, F.transform(img, lambda row: F.reverse(row))).otherwise(img)
+    scale = (1 + crop/100) * U(1, 1 + scale/100), of the model's size; the crop offsets are
+    uniform over the places a window of the model's size has in the scaled image; brightness
+    is U(1 - b/100, 1 + b/100)."""
+    d = F.col(draw_col)
+    scale = (F.lit(1.0 + how.crop / 100.0)
+             * (F.lit(1.0) + F.lit(how.scale / 100.0) * uniform_unit(seed, d, "scale")))
+    out = df.withColumn("scale", scale)
+    for name, size in (("h", how.height), ("w", how.width)):
+        out = out.withColumn(f"scaled_{name}", F.floor(F.col("scale") * F.lit(float(size))).cast("int"))
+    for name, size, scaled in (("y", how.height, "scaled_h"), ("x", how.width, "scaled_w")):
+        out = out.withColumn(f"crop_{name}", F.pmod(uniform16(seed, d, f"crop_{name}"),
+                                                    F.col(scaled) - F.lit(size) + 1).cast("int"))
+    bright = (F.lit(1.0 - how.brightness / 100.0)
+              + F.lit(2.0 * how.brightness / 100.0) * uniform_unit(seed, d, "brightness"))
+    return (out.withColumn("flip", (uniform_unit(seed, d, "flip") < F.lit(0.5)) if how.flip else F.lit(False))
+            .withColumn("brightness", bright))
 
 
-def brighten(img: Column, m: Column) -> Column:
-    """Multiply every value by m (no clipping)."""
-    return F.transform(img, lambda row: F.transform(row, lambda v: v.cast("double") * m))
+def resize_bilinear(images: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
+    """Bilinear resize of (images, rows, columns, channels), corners not aligned:
+    source = dest * (in / out)."""
+    in_h, in_w = images.shape[1:3]
+    ys = np.arange(out_h) * (in_h / out_h)
+    xs = np.arange(out_w) * (in_w / out_w)
+    y0, x0 = np.floor(ys).astype(int), np.floor(xs).astype(int)
+    y1, x1 = np.minimum(y0 + 1, in_h - 1), np.minimum(x0 + 1, in_w - 1)
+    dy, dx = (ys - y0)[:, None, None], (xs - x0)[None, :, None]
+    upper, lower = images[:, y0], images[:, y1]
+    top = upper[:, :, x0] * (1 - dx) + upper[:, :, x1] * dx
+    bottom = lower[:, :, x0] * (1 - dx) + lower[:, :, x1] * dx
+    return top * (1 - dy) + bottom * dy
 
 
-def crop_flip_brighten(df: DataFrame, img_col: str, out_size: tuple[int, int],
-                       out_col: str = "augmented") -> DataFrame:
-    c = crop(F.col(img_col), F.col("crop_y"), F.col("crop_x"), out_size[0], out_size[1])
-    return df.withColumn(out_col, brighten(flip_horizontal(c, F.col("flip")), F.col("brightness")))
+def augmented(images: np.ndarray, scaled_h: int, scaled_w: int, crop_y: np.ndarray, crop_x: np.ndarray,
+              flip: np.ndarray, brightness: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Images of one size that are scaled to one size, each with its own crop, flip and brightness."""
+    scaled = resize_bilinear(images, scaled_h, scaled_w)
+    columns = np.where(flip[:, None], np.arange(width)[::-1], np.arange(width)) + crop_x[:, None]
+    rows = np.arange(height) + crop_y[:, None]
+    cut = scaled[np.arange(len(scaled))[:, None, None], rows[:, :, None], columns[:, None, :]]
+    return cut * brightness[:, None, None, None]
 
 
-def resize_bilinear(img: np.ndarray, out_h: int, out_w: int) -> np.ndarray:
-    """Bilinear resize, corners not aligned: source = dest * (in / out)."""
-    in_h, in_w = img.shape
-    ys = np.arange(out_h) * (in_h / out_h)
-    xs = np.arange(out_w) * (in_w / out_w)
-    y0 = np.floor(ys).astype(int)
-    x0 = np.floor(xs).astype(int)
-    y1 = np.minimum(y0 + 1, in_h - 1)
-    x1 = np.minimum(x0 + 1, in_w - 1)
-    dy = (ys - y0)[:, None]
-    dx = (xs - x0)[None, :]
-    top = img[y0][:, x0] * (1 - dx) + img[y0][:, x1] * dx
-    bottom = img[y1][:, x0] * (1 - dx) + img[y1][:, x1] * dx
-    return top * (1 - dy) + bottom * dy
+PARAMS = ["scaled_h", "scaled_w", "crop_y", "crop_x", "flip", "brightness"]
 
 
-def scale_images(df: DataFrame, img_col: str, keep_cols: list[str],
-                 out_col: str = "scaled") -> DataFrame:
-    """Resize each image to (scaled_h, scaled_w) — NumPy per Arrow batch. ``keep_cols``
-    (scalar columns) pass through unchanged, so no join back is needed."""
+def augment_images(df: DataFrame, img_col: str, how: Augmentation, out_col: str = "augmented",
+                   keep_cols: list[str] | None = None) -> DataFrame:
+    """``keep_cols`` (default: all but the image) and the augmented image of each row that
+    ``augment_params`` has prepared. A NULL or empty image stays NULL."""
     ship_package(df.sparkSession)
-    keep = [c for c in keep_cols if c not in (img_col, out_col)]
-    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep]
-                       + [f"{out_col} array<array<double>>"])
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for img, h, w in zip(pdf[img_col], pdf["scaled_h"], pdf["scaled_w"]):
-                a = np.stack([np.asarray(r, dtype=np.float64) for r in img])
-                out.append([list(r) for r in resize_bilinear(a, int(h), int(w))])
-            res = pdf[keep].copy()
-            res[out_col] = out
-            yield res
-
-    cols = list(dict.fromkeys([*keep, img_col, "scaled_h", "scaled_w"]))
-    return df.select(*cols).mapInPandas(run, schema)
+    keep = [c for c in (df.columns if keep_cols is None else keep_cols) if c not in (img_col, out_col)]
+    kind = df.schema[img_col].dataType
+    deep = isinstance(kind.elementType.elementType, T.ArrayType)
+    value = T.ArrayType(T.DoubleType()) if deep else T.DoubleType()
+    field = T.StructField(out_col, T.ArrayType(T.ArrayType(value)))
+    schema = T.StructType([*[df.schema[c] for c in keep], field])
+    arrow = pa.list_(pa.list_(pa.list_(pa.float64()) if deep else pa.float64()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
+            p = {n: column[n].to_numpy(zero_copy_only=False) for n in PARAMS}
+            images = [np.array(x, dtype=np.float64) if x else None for x in column[img_col].to_pylist()]
+            out: list = [None] * len(images)
+            groups: dict[tuple, list[int]] = {}
+            for i, x in enumerate(images):
+                if x is not None:
+                    groups.setdefault((x.shape, p["scaled_h"][i], p["scaled_w"][i]), []).append(i)
+            for (shape, h, w), at in groups.items():
+                block = np.stack([images[i] for i in at]).reshape(len(at), *shape[:2], -1)
+                done = augmented(block, int(h), int(w), *[p[n][at] for n in PARAMS[2:]], how.height, how.width)
+                done = done if deep else done[..., 0]
+                for i, x in zip(at, done):
+                    out[i] = x.tolist()
+            yield pa.RecordBatch.from_arrays([*[column[n] for n in keep], pa.array(out, arrow)], names=[*keep, out_col])
+
+    return df.select(*dict.fromkeys([*keep, img_col, *PARAMS])).mapInArrow(run, schema)

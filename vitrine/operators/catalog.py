@@ -2,13 +2,14 @@
 
 Plan shape (all three jobs): the per-product side (attribute row, product state,
 published channel) is reduced first on product-sized data — semi joins and map-side
-pre-aggregated DISTINCTs keyed by ``product_id`` — and the image fact table is joined
-exactly once, through ``skew_split_join``: a product holding more than ``hot_rows`` image
-rows is salted over ceil(rows / hot_rows) buckets (its few dimension rows repeated per
-bucket), and one ordinary join on (product, bucket) follows, which AQE may still turn
-into a broadcast from measured sizes. Image pairs
-and attribute rows are made DISTINCT before the join (copies collapse map-side), so the
-join output is already distinct.
+pre-aggregated DISTINCTs keyed by ``product_id`` — and the image fact is joined to it before
+anything else happens to the fact, so only rows of eligible products are shuffled further.
+The join is ``skew_split_join``: a product holding more than ``hot_rows`` image rows is
+salted over ceil(rows / hot_rows) buckets. The DISTINCT comes after it and is partially
+aggregated on the map side, where copies collapse.
+
+Ids are compared as the source has them, so that filters reach the source, and narrowed to
+bigint where they are returned.
 """
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import fixed_values as FV
-from ..functions.urls import image_url
+from ..functions.urls import image_url, to_id
 from ..sources.tables import Catalogue
 from .joins import DEFAULT_HOT_ROWS, skew_split_join
 
@@ -27,7 +28,7 @@ DEFAULT_MODULUS = 16
 def bucket(col: Column | str, modulus: int) -> Column:
     """``mod(product_id, N)`` — sign follows the dividend, as in SQL ``mod``."""
     c = F.col(col) if isinstance(col, str) else col
-    return (c % F.lit(modulus)).cast("bigint")
+    return (to_id(c) % F.lit(modulus)).cast("bigint")
 
 
 def published_products(cat: Catalogue, state_id: int = FV.PUBLISHED_STATE_ID,
@@ -60,13 +61,9 @@ def labelled_images(cat: Catalogue, attribute_type_id: int = FV.ATTR_TYPE_CATEGO
     eligible = (attribute_values(cat, attribute_type_id)
                 .join(published_products(cat, state_id, desc_like), "product_id", "left_semi")
                 .distinct())                          # product-sized
-    # DISTINCT image pairs first: partial aggregation collapses copies map-side, so a
-    # group of identical rows never reaches one task; distinct pairs joined to distinct
-    # attribute rows are already distinct, so no DISTINCT is needed after the join
-    pairs = cat.product_image.select("product_id", "image_id").distinct()
-    joined = skew_split_join(pairs, eligible, "product_id", hot_rows)
-    return joined.select("product_id", "image_id", "varchar_value",
-                         bucket("product_id", modulus).alias(FV.BUCKET_COLUMN))
+    joined = skew_split_join(cat.product_image.select("product_id", "image_id"), eligible, "product_id", hot_rows)
+    return (joined.select(to_id("product_id").alias("product_id"), to_id("image_id").alias("image_id"), "varchar_value",
+                          bucket("product_id", modulus).alias(FV.BUCKET_COLUMN)).distinct())
 
 
 def with_image_url(df: DataFrame, prefix: str | None = None,
@@ -80,8 +77,10 @@ def colorway_images(cat: Catalogue, category, modulus: int = DEFAULT_MODULUS,
                     hot_rows: int = DEFAULT_HOT_ROWS, category_col: str = "category") -> DataFrame:
     """Six-table chain product -> type, -> UPC -> colourway -> colourway image -> image.
 
-    The id chain is reduced to DISTINCT (product_id, image_id) first; descriptive product
-    and type columns (product-sized) are attached once at the end.
+    The bucket is of the image row's product id, which need not be the product's. Eligible
+    products are found first; the UPC fact is filtered by them, the colourway side by the
+    colourways that remain, each before its own DISTINCT. Descriptive product and type
+    columns (product-sized) are attached once at the end.
     """
     prod = cat.product.filter((F.col("state_id") == state_id) & (F.col(category_col) == category))
     details = (prod.select("product_id", "product_desc", "vendor_code", "product_type_id")
@@ -90,84 +89,82 @@ def colorway_images(cat: Catalogue, category, modulus: int = DEFAULT_MODULUS,
                      "product_type_id")
                .drop("product_type_id")
                .distinct())
-    # products that survive the filters and have a type row: a cheap id-only semi filter
-    eligible = (prod.select("product_id", "product_type_id")
-                .join(cat.product_type.select("product_type_id"), "product_type_id", "left_semi")
-                .select("product_id"))
-    # colourway -> image side (colourway/image sized), built on its own
+    upc = (skew_split_join(cat.upc.select("product_id", "product_colorway_id"),
+                           details.select("product_id").distinct(), "product_id", hot_rows)
+           .distinct())
+    wanted = upc.select("product_colorway_id").distinct()
     colorway_image = (cat.product_colorway_image.select("product_colorway_id", "product_image_id")
+                      .join(wanted, "product_colorway_id", "left_semi")
                       .join(cat.product_colorway.select("product_colorway_id"), "product_colorway_id",
-                            "left_semi")
-                      .join(cat.image.select("product_image_id", "image_id"), "product_image_id")
-                      .select("product_colorway_id", "image_id")
-                      .distinct())
-    # the UPC fact: distinct (product, colourway) pairs of eligible products, then one
-    # salted join on the colourway (a hot colourway cannot land in one task)
-    upc = (cat.upc.select("product_id", "product_colorway_id").distinct()
-           .join(eligible, "product_id", "left_semi"))
-    pairs = (skew_split_join(upc, colorway_image, "product_colorway_id", hot_rows)
-             .select("product_id", "image_id")
+                            "left_semi"))
+    images = (skew_split_join(colorway_image,
+                              cat.image.select("product_image_id", "image_id", F.col("product_id").alias("_owner")),
+                              "product_image_id", hot_rows)
+              .select("product_colorway_id", "image_id", "_owner")
+              .distinct())
+    pairs = (skew_split_join(upc, images, "product_colorway_id", hot_rows)
+             .select("product_id", "image_id", bucket("_owner", modulus).alias(FV.BUCKET_COLUMN))
              .distinct())
-    return (pairs.join(details, "product_id")
-            .withColumn(FV.BUCKET_COLUMN, bucket("product_id", modulus))
-            .select("product_id", "product_desc", "vendor_code", "image_id", "product_type_name",
+    return (skew_split_join(pairs, details, "product_id", hot_rows)
+            .select(to_id("product_id").alias("product_id"), "product_desc", "vendor_code",
+                    to_id("image_id").alias("image_id"), "product_type_name",
                     "short_description", "product_type_description", FV.BUCKET_COLUMN))
 
 
-def joined_rows_with_multiplicity(cat: Catalogue, attribute_type_id: int,
-                                  modulus: int = DEFAULT_MODULUS,
-                                  state_id: int = FV.PUBLISHED_STATE_ID,
-                                  desc_like: str | None = None,
-                                  max_copies: int | None = None) -> DataFrame:
-    """The inner-join rows *before* DISTINCT (one row per matching channel row).
-
-    Only needed where a row cap is applied below the DISTINCT. The channel side is
-    pre-aggregated to a count per product and image-row copies to a count per row; each
-    joined row is repeated (copies x channel rows) times. With a cap of n rows downstream,
-    ``max_copies=n`` is exact: identical copies sort together, so copies beyond the n-th
-    can never be among the first n rows."""
+def joined_rows_with_copies(cat: Catalogue, attribute_type_id: int, modulus: int = DEFAULT_MODULUS,
+                            state_id: int = FV.PUBLISHED_STATE_ID, desc_like: str | None = None,
+                            hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """The distinct rows of the inner join with ``copies``, how often the join repeats each (one
+    row per matching channel row, attribute row and image row). Only needed where a row cap is
+    applied below the DISTINCT. Copies are counted, never made."""
     p = cat.product.filter(F.col("state_id") == state_id)
     if desc_like is not None:
         p = p.filter(F.col("product_desc").like(desc_like))
     live = (cat.channel
             .filter((F.col("publish_flag") == "Y") & (F.col("current_flag") == "Y"))
             .groupBy("product_id").agg(F.count(F.lit(1)).alias("_n")))
+    products = p.groupBy("product_id").agg(F.count(F.lit(1)).alias("_p"))
     dim = (attribute_values(cat, attribute_type_id)
-           .join(p.select("product_id"), "product_id")
-           .join(live, "product_id"))
-    # copies of an image row are counted, not carried: a group of identical rows is one
-    # row with a count after the map-side partial aggregation
-    pairs = (cat.product_image.select("product_id", "image_id")
-             .groupBy("product_id", "image_id").agg(F.count(F.lit(1)).alias("_c")))
-    copies = (F.col("_c") * F.col("_n")).cast("bigint")
-    if max_copies is not None:
-        copies = F.least(copies, F.lit(max_copies).cast("bigint"))
-    rows = (skew_split_join(pairs, dim, "product_id")
-            .select("product_id", "image_id", "varchar_value",
-                    bucket("product_id", modulus).alias(FV.BUCKET_COLUMN),
-                    F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias("_copy")))
-    return rows.drop("_copy")
-
-
-def cap_then_distinct(rows: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
-    """ROWNUM-style cap applied once, below the DISTINCT, in a total order.
-
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: each partition keeps its top n,
-    and one final merge streams those (n per partition) through a bounded n-row queue."""
-    return rows.orderBy(*order_cols).limit(n).distinct()
+           .groupBy("product_id", "varchar_value").agg(F.count(F.lit(1)).alias("_a"))
+           .join(products, "product_id")
+           .join(live, "product_id")
+           .select("product_id", "varchar_value", (F.col("_a") * F.col("_p") * F.col("_n")).alias("_n")))
+    rows = skew_split_join(cat.product_image.select("product_id", "image_id"), dim, "product_id", hot_rows)
+    return (rows.groupBy(to_id("product_id").alias("product_id"), to_id("image_id").alias("image_id"), "varchar_value",
+                         bucket("product_id", modulus).alias(FV.BUCKET_COLUMN))
+            .agg(F.sum("_n").alias("copies")))
+
+
+def cap_then_distinct(rows: DataFrame, n: int, order_cols: list[str], copies_col: str = "copies") -> DataFrame:
+    """ROWNUM-style cap of ``n`` applied below a DISTINCT, in a total order: of distinct ``rows``
+    with their numbers of copies, those that have a copy among the first n.
+
+    Every row counts at least once, so the first n rows suffice: ``orderBy().limit()`` plans as
+    TakeOrderedAndProject, and the running sum of copies is over those n rows."""
+    first = rows.orderBy(*order_cols).limit(n)
+    before = (Window.partitionBy().orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1))
+    return (first.withColumn("_before", F.coalesce(F.sum(copies_col).over(before), F.lit(0)))
+            .filter(F.col("_before") < n).drop("_before", copies_col))
 
 
 def distinct_then_cap(rows: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
     return rows.distinct().orderBy(*order_cols).limit(n)
 
 
-def first_n_per_label(df: DataFrame, label_col: str, n: int, order_cols: list[str]) -> DataFrame:
-    """First n rows per label in a total order.
+LABEL_SALTS = 64
+
+
+def first_n_per_label(df: DataFrame, label_col: str, n: int, order_cols: list[str],
+                      salts: int = LABEL_SALTS) -> DataFrame:
+    """First n rows per label in a total order, whatever n.
 
-    ``row_number() <= n`` is planned with a partial WindowGroupLimit before the shuffle,
-    so each map task forwards at most n rows per label: a hot label never reaches one
-    task whole."""
-    w = Window.partitionBy(label_col).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= n)
-            .drop("_rn"))
+    In two steps, so that a hot label is not ranked in one task: the first n of each of
+    ``salts`` shares of the label (by a hash of the order columns), then the first n of
+    those, at most n * salts rows."""
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    share = F.pmod(F.xxhash64(*order_cols), F.lit(salts)).cast("int")
+    some = (df.withColumn("_share", share)
+            .withColumn("_rn", F.row_number().over(Window.partitionBy(label_col, "_share").orderBy(*order)))
+            .filter(F.col("_rn") <= n).drop("_share", "_rn"))
+    return (some.withColumn("_rn", F.row_number().over(Window.partitionBy(label_col).orderBy(*order)))
+            .filter(F.col("_rn") <= n).drop("_rn"))

@@ -1,17 +1,21 @@
 """Feature vectors: pluggable extraction and an incremental cache table.
 
-The cache is a parquet table (key, model_version, content_hash, batch_id, features). Filling it is
-``index LEFT ANTI JOIN cache`` -> extractor (``mapInPandas``, one model load per Python
-worker) -> append. Running it again computes nothing new; adding images computes only
-those. The table is the lineage cut: later jobs read it instead of recomputing.
+The cache is a parquet table (key, model_version, content_hash, batch_id, seq, features), only
+ever appended to. A key's current row for a model version is the one of the largest ``seq``,
+the number of the fill that wrote it; ``read_cache`` returns these alone. Filling computes the
+index rows that have no current row, or one of another content: running it again computes
+nothing, adding images computes only those, and an image that changes back is computed again.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -23,8 +27,8 @@ _LOADED: dict[str, Extractor] = {}
 
 
 def _factory_key(name: str, factory: Callable[[], Extractor], dim: int) -> str:
-    cells = tuple(repr(c.cell_contents) for c in (getattr(factory, "__closure__", None) or ()))
-    return f"{name}|{dim}|{getattr(factory, '__module__', '')}.{getattr(factory, '__qualname__', '')}|{cells}"
+    """Identity of a loaded model: the factory's pickled form, with all that it closes over."""
+    return hashlib.sha256(cloudpickle.dumps((name, dim, factory))).hexdigest()
 
 
 def _loaded(key: str, factory: Callable[[], Extractor]) -> Extractor:
@@ -64,14 +68,12 @@ def text_histogram_factory(dim: int = 64) -> Callable[[], Extractor]:
     of raw image bytes), folded to ``dim`` buckets and normalised by length."""
     def factory() -> Extractor:
         def fn(pdf: pd.DataFrame) -> np.ndarray:
-            col = pdf.iloc[:, 0]
-            out = np.zeros((len(col), dim), dtype=np.float64)
-            for i, t in enumerate(col):
-                data = t if isinstance(t, (bytes, bytearray)) else (t or "").encode("utf-8")
-                raw = np.frombuffer(data, dtype=np.uint8)
-                if raw.size:
-                    out[i] = np.bincount(raw % dim, minlength=dim) / raw.size
-            return out
+            data = [t if isinstance(t, (bytes, bytearray)) else (t or "").encode("utf-8") for t in pdf.iloc[:, 0]]
+            size = np.array([len(t) for t in data], dtype=np.int64)
+            raw = np.frombuffer(b"".join(data), dtype=np.uint8) % dim
+            cell = np.repeat(np.arange(len(data)) * dim, size) + raw
+            counts = np.bincount(cell, minlength=len(data) * dim).reshape(len(data), dim)
+            return counts / np.maximum(size, 1)[:, None]
         return fn
     return factory
 
@@ -82,51 +84,64 @@ def missing_keys(index: DataFrame, cache: DataFrame, index_key: str, cache_key:
     return index.join(c, index_key, "left_anti")
 
 
-CACHE_SCHEMA = ("key {key_type}, model_version string, content_hash string, batch_id string, "
+CACHE_SCHEMA = ("key {key_type}, model_version string, content_hash string, batch_id string, seq bigint, "
                 "features array<float>")
 
 
-def read_cache(spark: SparkSession, path: str, key_type: str = "string") -> DataFrame:
+def read_cache_rows(spark: SparkSession, path: str, key_type: str = "string") -> DataFrame:
+    """Every row ever appended; none where no table has been written yet."""
     schema = CACHE_SCHEMA.format(key_type=key_type)
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - no table yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
+def read_cache(spark: SparkSession, path: str, key_type: str = "string",
+               model_version: str | None = None) -> DataFrame:
+    """The current row of each key and model version (of rows that a first fill wrote twice, the one
+    of the largest batch id). Rows written without ``seq`` count as the oldest."""
+    rows = read_cache_rows(spark, path, key_type)
+    if model_version is not None:
+        rows = rows.filter(F.col("model_version") == model_version)
+    newest = F.struct(F.coalesce("seq", F.lit(0)), "batch_id", F.xxhash64("features"))
+    keys = ["key"] if model_version is not None else ["key", "model_version"]
+    current = rows.groupBy(*keys).agg(
+        F.max_by(F.struct("model_version", "content_hash", "batch_id", "seq", "features"), newest).alias("_r"))
+    return current.select("key", "_r.*")
+
+
 def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col: str,
                input_cols: list[str], factory: Callable[[], Extractor], model_version: str,
                dim: int, key_type: str = "string", content_hash_col: str | None = None) -> int:
-    """Compute and append vectors for index keys missing from the cache for this model
-    version (and, with ``content_hash_col``, for this image content: a changed image is
-    recomputed). Returns the number of vectors added by this call."""
+    """Compute and append vectors for index keys without a current row for this model version
+    (and, with ``content_hash_col``, of this content; a NULL hash equals a NULL hash). A key
+    that the index has more than once is taken once, with the smallest content hash, then
+    inputs. Returns the number of vectors added."""
     import uuid
 
     batch_id = uuid.uuid4().hex
-    cache = read_cache(spark, cache_path, key_type).filter(F.col("model_version") == model_version)
+    rows = read_cache_rows(spark, cache_path, key_type).filter(F.col("model_version") == model_version)
+    seq = 1 + (rows.agg(F.max("seq")).first()[0] or 0)
+    cache = read_cache(spark, cache_path, key_type, model_version)
     chash = F.col(content_hash_col).cast("string") if content_hash_col else F.lit(None).cast("string")
-    keyed = index.select(F.col(key_col).cast(key_type).alias(key_col), *input_cols,
-                         chash.alias("_content_hash"))
-    # anti join first, then de-duplicate: the dedup reuses the join's partitioning by key,
-    # so the index (with its texts or bytes) is shuffled once
+    first = F.min(F.struct(chash.alias("_content_hash"), *input_cols)).alias("_first")
+    keyed = (index.groupBy(F.col(key_col).cast(key_type).alias(key_col)).agg(first)
+             .select(key_col, "_first.*"))
+    cached = cache.select(F.col("key").alias("_key"), F.col("content_hash").alias("_cached"))
+    same = F.col(key_col) == F.col("_key")
     if content_hash_col:
-        cached = cache.select(F.col("key").alias(key_col), F.col("content_hash").alias("_content_hash"))
-        todo = keyed.join(cached, [key_col, "_content_hash"], "left_anti")
-    else:
-        todo = missing_keys(keyed, cache, key_col, "key")
-    todo = todo.dropDuplicates([key_col])
+        same = same & F.col("_content_hash").eqNullSafe(F.col("_cached"))
+    todo = keyed.join(cached, same, "left_anti")
     vecs = extract_features(todo, factory, model_version, key_col, input_cols, dim,
                             keep_cols=["_content_hash"])
-    new = (vecs
-           .select(F.col(key_col).cast(key_type).alias("key"),
-                   F.lit(model_version).alias("model_version"),
-                   F.col("_content_hash").alias("content_hash"),
-                   F.lit(batch_id).alias("batch_id"), "features"))
-    new.write.mode("append").parquet(cache_path)
-    return read_cache(spark, cache_path, key_type).filter(F.col("batch_id") == batch_id).count()
-
-
-def should_distort(flip_left_right: bool, random_crop: int, random_scale: int,
-                   random_brightness: int) -> bool:
-    """Any augmentation on -> vectors are recomputed per draw instead of cached."""
-    return bool(flip_left_right or random_crop != 0 or random_scale != 0 or random_brightness != 0)
+    added = Observation()
+    (vecs.select(F.col(key_col).cast(key_type).alias("key"),
+                 F.lit(model_version).alias("model_version"),
+                 F.col("_content_hash").alias("content_hash"),
+                 F.lit(batch_id).alias("batch_id"), F.lit(seq).cast("bigint").alias("seq"), "features")
+     .observe(added, F.count(F.lit(1)).alias("n"))
+     .write.mode("append").parquet(cache_path))
+    return added.get["n"]

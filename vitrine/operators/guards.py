@@ -1,24 +1,10 @@
-"""Size checks in front of broadcasts.
-
-A broadcast is only requested for a side whose row count was checked (or that is built
-from literals). Beyond the bound the join is left to the planner (shuffle join / AQE).
-"""
+"""Hints for tables whose size the code fixes."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when df has at most max_rows rows; reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only if the side is proven small; otherwise the plain DataFrame."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def literal_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a table built from code literals (size fixed by the code)."""
     return F.broadcast(df)

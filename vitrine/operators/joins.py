@@ -9,8 +9,8 @@ are salted explicitly, per key and exactly:
 1. rows per key are counted (map-side partial aggregation; the shuffle carries one row
    per key and task);
 2. a key with more than ``hot_rows`` rows gets ``ceil(rows / hot_rows)`` salt buckets.
-   There are at most N / hot_rows hot keys, so this table has a size bound by
-   construction and is broadcast;
+   At most ``MAX_HOT_KEYS`` keys are, so this table is small by construction and is
+   broadcast; keys beyond those have too small a share to matter, and take one bucket;
 3. each fact row of a hot key takes the bucket ``xxhash64(row) mod buckets`` (cold rows:
    bucket 0); the dimension rows of a hot key are repeated once per bucket (hot keys x
    buckets rows: bounded);
@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 5_000_000
+MAX_HOT_KEYS = 100_000                       # of 16 bytes each: what is broadcast has a bound
 
 
 def hot_keys(fact: DataFrame, key: str, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """(key, _buckets) for keys with more than hot_rows rows."""
+    """(key, _buckets) for keys with more than hot_rows rows, the ``MAX_HOT_KEYS`` hottest at most
+    (a key beyond these has under a MAX_HOT_KEYS-th of the rows)."""
     return (fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > hot_rows)
+            .filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
             .select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_buckets")))
 
 
@@ -55,7 +57,10 @@ def salted_sides(fact: DataFrame, dim: DataFrame, key: str,
 
 
 def skew_split_join(fact: DataFrame, dim: DataFrame, key: str,
-                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Inner equi-join ``fact JOIN dim USING (key)``, balanced under hot keys."""
+                    hot_rows: int = DEFAULT_HOT_ROWS, how: str = "inner") -> DataFrame:
+    """Equi-join ``fact JOIN dim USING (key)``, balanced under hot keys; ``how`` is inner, left
+    or left_semi (a fact row meets every dimension row of its key, whatever its salt)."""
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"not a join that keeps to the fact's side: {how}")
     f, d = salted_sides(fact, dim, key, hot_rows)
-    return f.join(d, [key, "_salt"]).drop("_salt")
+    return f.join(d, [key, "_salt"], how).drop("_salt")

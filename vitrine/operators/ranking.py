@@ -19,10 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
-from .guards import checked_broadcast
-
-OFFSETS_BROADCAST_ROWS = 2_000_000
-
 
 def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
                        index_col: str = "idx", num_partitions: int | None = None) -> DataFrame:
@@ -43,11 +39,8 @@ def index_within_group(df: DataFrame, group_cols: list[str], order_cols: list[st
     # one row per (partition, group) piece: at most partitions + groups rows
     offsets = (pieces.withColumn("_offset", F.sum("_cnt").over(w) - F.col("_cnt"))
                .select("_pid", *group_cols, "_first", "_offset"))
-    # At most partitions + groups rows, computed from the checkpointed rows (cheap to
-    # count): broadcast behind that check, so the numbered rows are not shuffled again;
-    # beyond the bound the join stays a shuffle join on (partition, group), which a hot
-    # group cannot skew (it spans many partitions).
-    offsets = checked_broadcast(offsets, OFFSETS_BROADCAST_ROWS)
+    # AQE broadcasts the offsets by their measured size; a shuffle join on (partition, group)
+    # is not skewed by a hot group either, which spans many partitions
     return (tagged.join(offsets, ["_pid", *group_cols])
             .withColumn(index_col, (F.col("_pos") - F.col("_first") + F.col("_offset")).cast("bigint"))
             .drop("_pid", "_pos", "_first", "_offset"))

@@ -50,10 +50,11 @@ def score_text(score: Column | str, decimals: int = FV.SCORE_DECIMALS) -> Column
     return F.replace(F.format_number(s, decimals), F.lit(","), F.lit(""))
 
 
-def enrich(manifest: DataFrame, results: DataFrame, key_col: str) -> DataFrame:
-    """Every manifest row, with the result columns added where a result exists (rows that
-    were not scored — no image, no asset — keep only their own fields; NULL fields are
-    omitted by the JSON sink, so their records look exactly as they came in)."""
-    extra = results.select(key_col, *[c for c in results.columns
-                                      if c != key_col and c not in manifest.columns])
-    return manifest.join(extra, key_col, "left")
+def one_vector(features: DataFrame, key_col: str) -> DataFrame:
+    """(key, features) with one row a key; of several vectors the one of the largest hash."""
+    return features.groupBy(key_col).agg(F.max_by("features", F.xxhash64("features")).alias("features"))
+
+
+def only_scored(df: DataFrame, columns: list[str], features_col: str = "features") -> DataFrame:
+    """``columns`` are NULL where the row has no vector, so an unscored record stays as it came."""
+    return df.withColumns({c: F.when(F.col(features_col).isNotNull(), F.col(c)) for c in columns})

@@ -1,20 +1,21 @@
 """Scoring with a trained final layer: logits, softmax, top-k, labels.
 
 A model is a table (label_id, label, weights array<double>, bias double) with K rows.
-It is brought to the driver once, after its size is checked, and applied as a literal:
-scoring is then row-local (no join, no shuffle) and stays in the JVM.
+It is brought to the driver once and sent to the executors in a broadcast variable; the linear
+layer is one matrix product for each Arrow batch. Scoring is row-local: no join, no shuffle.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as FV
 from ..functions import vectors as V
-
-MAX_MODEL_CELLS = 50_000_000   # K x D doubles a model may hold (400 MB)
+from ..session import ship_package
 
 
 @dataclass
@@ -28,10 +29,7 @@ class SoftmaxModel:
         return len(self.labels)
 
     @classmethod
-    def from_table(cls, table: DataFrame, max_cells: int = MAX_MODEL_CELLS) -> "SoftmaxModel":
-        shape = table.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("weights")).alias("d")).first()
-        if shape["k"] * (shape["d"] or 0) > max_cells:
-            raise ValueError(f"model of {shape['k']} x {shape['d']} exceeds {max_cells} cells")
+    def from_table(cls, table: DataFrame) -> "SoftmaxModel":
         rows = table.orderBy("label_id").collect()
         return cls([r["label"] for r in rows], [list(r["weights"]) for r in rows],
                    [float(r["bias"]) for r in rows])
@@ -43,7 +41,23 @@ class SoftmaxModel:
             data, "label_id int, label string, weights array<double>, bias double")
 
     def logits(self, features: Column | str) -> Column:
-        return V.linear(features, self.weights, self.bias)
+        """array<double> of K logits; NULL for a NULL vector."""
+        spark = SparkSession.getActiveSession()
+        ship_package(spark)
+        model = spark.sparkContext.broadcast((np.asarray(self.weights, dtype=np.float64),
+                                              np.asarray(self.bias, dtype=np.float64)))
+
+        @F.pandas_udf("array<double>")
+        def layer(vectors: pd.Series) -> pd.Series:
+            weights, bias = model.value
+            out = pd.Series([None] * len(vectors), dtype=object)
+            known = vectors.notna().to_numpy()
+            if known.any():
+                z = np.stack(vectors[known].to_numpy()).astype(np.float64) @ weights.T + bias
+                out[known] = pd.Series(list(z), index=out.index[known], dtype=object)
+            return out
+
+        return layer(features)
 
     def label_of(self, class_id: Column | str) -> Column:
         """class id -> label; ids outside the list give '' (as the label lookup does)."""

@@ -41,20 +41,6 @@ def indexed_split_lists(df: DataFrame, label_col: str = "label", key_col: str =
     return index_within_group(df.select(label_col, "split", key_col), [label_col, "split"], [key_col])
 
 
-def collect_split_lists(df: DataFrame, label_col: str = "label", key_col: str = "key",
-                        max_items: int = 100_000) -> DataFrame:
-    """Nested shape (label -> sorted training/testing/validation lists), for consumers that
-    want it. Each label's lists are built in one task, so the largest (label, split) list
-    is checked first and must not exceed ``max_items``; use ``indexed_split_lists`` (the
-    long form) beyond that."""
-    largest = (df.groupBy(label_col, "split").agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n").alias("m")).first()["m"]) or 0
-    if largest > max_items:
-        raise ValueError(f"a split list has {largest} items (> {max_items}); use the long form")
-    return (df.groupBy(label_col).pivot("split", SPLITS)
-            .agg(F.sort_array(F.collect_list(key_col))))
-
-
 def check_class_count(index: DataFrame, label_col: str = "label") -> int:
     """Number of labels with at least one image; training needs two or more."""
     n = index.select(label_col).distinct().count()

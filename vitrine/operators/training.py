@@ -2,26 +2,26 @@
 
 * ``gradient`` — one gradient of the mean softmax cross-entropy. Each task folds its rows
   into a K x (D+1) partial sum with NumPy (``mapInPandas``); the partials are reduced by
-  one small aggregation keyed by (class, dim). The input is first coalesced to at most
-  max(parallelism, shuffle partitions) tasks, so the number of partials (and the shuffle)
-  is bounded by that times K x D, not by the number of input splits.
+  one small aggregation keyed by (class, dim).
 * ``train_lbfgs`` — the default trainer: ``pyspark.ml`` multinomial logistic regression
   (distributed L-BFGS over tree aggregation).
 * ``train_sgd`` — the mini-batch gradient-descent schedule (steps, batch, rate, eval
-  interval): each step draws a class-balanced batch by hash and applies ``gradient``.
+  interval): the class-balanced batches of all steps are drawn by hash and joined to their
+  vectors once, stored by step, and read step by step.
 * ``evaluate`` — accuracy and mean cross-entropy per split.
 """
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-
-from ..session import ship_package
+from pyspark.sql.types import ArrayType
 
 from .. import fixed_values as FV
 from ..functions import vectors as V
+from ..session import scratch_path, ship_package
+from .augment import Augmentation, augment_images, augment_params
 from .guards import literal_broadcast
 from .scoring import SoftmaxModel
 
@@ -62,39 +62,26 @@ def _partials_fn(weights, bias, features_col: str, class_col: str):
     return fold
 
 
-def bounded_partitions(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Coalesce (no shuffle) to at most max(default parallelism, shuffle partitions)
-    tasks. The shuffle-partition setting is sized for the cluster and, unlike the default
-    parallelism, does not shrink while dynamic allocation is still adding executors."""
-    spark = spark or df.sparkSession
-    target = max(1, spark.sparkContext.defaultParallelism,
-                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
+def checked_class(class_col: str, num_classes: int):
+    """The class id; a row whose id is NULL or not one of the classes fails the job, as leaving it
+    out would change the result."""
+    c = F.col(class_col)
+    wrong = F.raise_error(F.concat(F.lit(f"{class_col} is not a class below {num_classes}: "),
+                                   F.coalesce(c.cast("string"), F.lit("NULL")))).cast("int")
+    return F.when(c.between(0, num_classes - 1), c.cast("int")).otherwise(wrong).alias(class_col)
 
 
 def gradient(df: DataFrame, model: SoftmaxModel, features_col: str = "features",
              class_col: str = "true_id") -> DataFrame:
     """(class_id, dim, grad): mean gradient of the cross-entropy; dim -1 is the bias."""
     ship_package(df.sparkSession)
-    rows = bounded_partitions(df.select(features_col, class_col)
-                              .filter(F.col(class_col).between(0, model.num_classes - 1)))
+    rows = df.select(features_col, checked_class(class_col, model.num_classes))
     partials = rows.mapInPandas(_partials_fn(model.weights, model.bias, features_col, class_col),
                                 GRAD_SCHEMA)
     return (partials.groupBy("class_id", "dim")
             .agg((F.sum("g") / F.sum("n")).alias("grad")))
 
 
-def apply_step(model: SoftmaxModel, grad_rows: list, learning_rate: float) -> SoftmaxModel:
-    W = np.asarray(model.weights, dtype=np.float64).copy()
-    b = np.asarray(model.bias, dtype=np.float64).copy()
-    for r in grad_rows:
-        if r["dim"] < 0:
-            b[r["class_id"]] -= learning_rate * r["grad"]
-        else:
-            W[r["class_id"], r["dim"]] -= learning_rate * r["grad"]
-    return SoftmaxModel(model.labels, W.tolist(), b.tolist())
-
-
 def gradient_step(df: DataFrame, model: SoftmaxModel, learning_rate: float = FV.LEARNING_RATE,
                   features_col: str = "features", class_col: str = "true_id") -> DataFrame:
     """(class_id, dim, grad, weight): the gradient and the weights after one step,
@@ -155,29 +142,71 @@ def evaluate(df: DataFrame, model: SoftmaxModel, group_cols: list[str],
                  F.avg("_xent").alias("mean_xent")))
 
 
-def _augmented_batch(spark: SparkSession, draws: DataFrame, pixels: DataFrame, key_col: str,
-                     augment: dict, seed: str, factory, model_version: str, dim: int,
-                     features_col: str) -> DataFrame:
-    """Fresh vectors for drawn images after random scale / crop / flip / brightness."""
-    from . import augment as AU
+STEP_SCHEMA = "kind string, class_id int, dim int, value double"
+
+
+def _step_fn(weights, bias, features_col: str, class_col: str):
+    """One task's share of a step, in one pass: the gradient's sums, and the rows, hits and summed
+    cross-entropy of the batch."""
+    fold = _partials_fn(weights, bias, features_col, class_col)
+
+    def run(batches):
+        held = list(batches)                   # a batch of a step, or a share of it
+        for part in fold(iter(held)):
+            yield pd.DataFrame({"kind": "gradient", "class_id": part["class_id"], "dim": part["dim"], "value": part["g"]})
+        n, hits, xent = 0, 0, 0.0
+        W, b = np.asarray(weights, dtype=np.float64), np.asarray(bias, dtype=np.float64)
+        for pdf in held:
+            if len(pdf):
+                z = np.stack(pdf[features_col].to_numpy()).astype(np.float64) @ W.T + b
+                y = pdf[class_col].to_numpy().astype(np.int64)
+                top = z.max(axis=1)
+                n += len(y)
+                hits += int((z.argmax(axis=1) == y).sum())
+                xent += float((top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - z[np.arange(len(y)), y]).sum())
+        yield pd.DataFrame({"kind": ["n", "hits", "xent"], "class_id": np.int32(0), "dim": np.int32(0),
+                            "value": [float(n), float(hits), xent]})
+    return run
+
+
+def _batch_pass(df: DataFrame, model: SoftmaxModel, features_col: str) -> tuple[np.ndarray, dict[str, float]]:
+    """(mean gradient, K x (D+1) with the bias first; sums by kind) of one batch, in one job."""
+    rows = df.select(features_col, checked_class("true_id", model.num_classes))
+    k, d = np.asarray(model.weights).shape
+    grad, sums = np.zeros((k, d + 1)), {"n": 0.0, "hits": 0.0, "xent": 0.0}
+    for kind, c, dim, value in rows.mapInPandas(_step_fn(model.weights, model.bias, features_col, "true_id"),
+                                                STEP_SCHEMA).collect():
+        if kind == "gradient":
+            grad[c, dim + 1] += value
+        else:
+            sums[kind] += value
+    return grad / max(1.0, sums["n"]), sums
+
+
+def _store_batches(vectors: DataFrame, n: int, what: str) -> str:
+    """Write (step, true_id, features), a folder a step, and check that no draw lost its vector."""
+    spark = vectors.sparkSession
+    path, seen = scratch_path(spark, f"batches-{what}"), Observation()
+    (vectors.observe(seen, F.count(F.lit(1)).alias("n")).repartition("step")
+     .write.partitionBy("step").parquet(path))
+    if seen.get["n"] != n:
+        raise ValueError(f"{seen.get['n']} of {n} {what} draws have one vector")
+    return path
+
+
+def _augmented(draws: DataFrame, pixels: DataFrame, key_col: str, augment: Augmentation, seed: str, factory,
+               model_version: str, dim: int, features_col: str) -> DataFrame:
+    """(step, true_id, features): fresh vectors of the drawn images, each augmented by its draw."""
     from .features import extract_features
 
-    img = draws.join(pixels.select(key_col, "pixels"), key_col)
-    first = pixels.select("pixels").first()["pixels"]
-    size = (len(first), len(first[0]))
-    out_size = tuple(augment.get("out_size", size))
-    params = {k: augment.get(k, 0) for k in ("random_crop", "random_scale", "random_brightness")}
-    p = AU.augment_params(img, "draw_id", seed, size, out_size,
-                          bool(augment.get("flip_left_right", False)), **params)
-    keep = ["draw_id", key_col, "class_id", "flip", "crop_y", "crop_x", "brightness",
-            "scaled_h", "scaled_w"]
-    if params["random_crop"] or params["random_scale"]:
-        p = AU.scale_images(p, "pixels", keep, "pixels")
-    a = AU.crop_flip_brighten(p, "pixels", out_size, "augmented")
-    flat = a.select("draw_id", "class_id", F.flatten("augmented").alias("flat"))
-    vecs = extract_features(flat, factory, model_version, "draw_id", ["flat"], dim)
-    return (vecs.join(flat.select("draw_id", "class_id"), "draw_id")
-            .select(F.col("features").alias(features_col), F.col("class_id").alias("true_id")))
+    images = augment_params(draws.join(pixels.select(key_col, "pixels"), key_col), "draw_id", seed, augment)
+    seen = augment_images(images, "pixels", augment, keep_cols=["draw_id", "step", "class_id"])
+    flat = F.flatten("augmented")
+    if isinstance(pixels.schema["pixels"].dataType.elementType.elementType, ArrayType):
+        flat = F.flatten(flat)
+    vecs = extract_features(seen.select("draw_id", "step", "class_id", flat.alias("flat")), factory, model_version,
+                            "draw_id", ["flat"], dim, keep_cols=["step", "class_id"])
+    return vecs.select("step", F.col("class_id").alias("true_id"), F.col("features").alias(features_col))
 
 
 def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels: list[str],
@@ -186,7 +215,7 @@ def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels:
               validation_batch: int = FV.VALIDATION_BATCH, test_batch: int = FV.TEST_BATCH,
               seed: str = "sgd", key_col: str = "key", features_col: str = "features",
               init: SoftmaxModel | None = None, pixels: DataFrame | None = None,
-              augment: dict | None = None, extractor_factory=None,
+              augment: Augmentation | None = None, extractor_factory=None,
               model_version: str = "aug") -> tuple[SoftmaxModel, DataFrame]:
     """Mini-batch gradient descent. ``pool`` is the indexed split list
     (label, split, key, idx); ``features`` is the cached (key, features) table. Returns
@@ -194,54 +223,63 @@ def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels:
     validation_accuracy, test_accuracy) with a row every ``eval_interval`` steps and at
     the last step; the final test accuracy is on the last row.
 
-    With any augmentation on (``augment`` flags, see ``features.should_distort``) each
-    training draw gets a freshly augmented image from ``pixels`` (key, pixels) passed
-    through ``extractor_factory``; validation and test always use the cached vectors.
-    The driver loops over *steps* (a parameter), never over data: each step is one
-    distributed gradient over a hash-drawn batch."""
-    from .features import should_distort
+    Where augmented images vary, each training draw's image is augmented from ``pixels`` (key,
+    pixels) and passed through ``extractor_factory``; validation and test always use the cached
+    vectors. The batches of all steps are drawn, joined to their vectors and stored first, in a
+    few jobs; then a step is one job over its own folder, and an evaluation one more for each
+    of its batches. The driver loops over *steps* (a parameter), never over data."""
     from .sampling import balanced_draws
+    from .splits import check_class_count
 
-    distort = augment is not None and should_distort(
-        bool(augment.get("flip_left_right", False)), augment.get("random_crop", 0),
-        augment.get("random_scale", 0), augment.get("random_brightness", 0))
+    distort = augment is not None and augment.varies
     if distort and (pixels is None or extractor_factory is None):
         raise ValueError("augmentation needs pixels and an extractor")
-    from .splits import check_class_count
-
+    ship_package(spark)
     check_class_count(pool.filter(F.col("split") == "training"), "label")
     dim = len(features.select(features_col).first()[0])
     model = init or init_model(labels, dim)
     feats = features.select(key_col, features_col)
-
-    def cached_batch(n: int, split: str, tag: str) -> DataFrame:
-        d = balanced_draws(spark, pool, n, split, f"{seed}:{tag}", labels)
-        return d.join(feats, key_col).select(features_col, F.col("class_id").alias("true_id"))
+    measured = [s for s in range(steps) if s % eval_interval == 0 or s + 1 == steps]
+
+    def draws(n: int, size: int, split: str, what: str) -> DataFrame:
+        d = balanced_draws(spark, pool, n * size, split, f"{seed}:{what}", labels)
+        return d.withColumn("step", F.expr(f"cast(draw_id div {size} as int)")).withColumnRenamed("key", key_col)
+
+    def cached(n: int, size: int, split: str, what: str) -> str | None:
+        """Stored batches; none where the split has no images."""
+        if pool.filter(F.col("split") == split).isEmpty():
+            return None
+        d = draws(n, size, split, what).join(feats, key_col)
+        return _store_batches(d.select("step", F.col("class_id").alias("true_id"), features_col), n * size, what)
+
+    if distort:
+        vectors = _augmented(draws(steps, batch, "training", "train"), pixels, key_col, augment, f"{seed}:augment",
+                             extractor_factory, model_version, dim, features_col)
+        train = _store_batches(vectors, steps * batch, "train")
+    else:
+        train = cached(steps, batch, "training", "train")
+    validation = cached(len(measured), validation_batch, "validation", "validation")
+    test = cached(1, test_batch, "testing", "test")
+
+    def stored_batch(path: str, step: int) -> DataFrame:
+        return spark.read.parquet(f"{path}/step={step}")
+
+    def accuracy(path: str | None, step: int) -> float | None:
+        if path is None:
+            return None
+        sums = _batch_pass(stored_batch(path, step), model, features_col)[1]
+        return sums["hits"] / sums["n"]
 
     metrics = []
     for step in range(steps):
-        if distort:
-            d = balanced_draws(spark, pool, batch, "training", f"{seed}:{step}", labels)
-            b = _augmented_batch(spark, d, pixels, key_col, augment, f"{seed}:a{step}",
-                                 extractor_factory, model_version, dim, features_col)
-        else:
-            b = cached_batch(batch, "training", str(step))
-        b = b.persist()
-        grads = gradient(b, model, features_col).collect()      # K x (D+1) rows
-        model = apply_step(model, grads, learning_rate)
-        last = step + 1 == steps
-        if step % eval_interval == 0 or last:
-            tr = evaluate(b, model, [], features_col).first()
-            va = evaluate(cached_batch(validation_batch, "validation", f"v{step}"), model, [],
-                          features_col).first()
-            te = None
-            if last:
-                te = evaluate(cached_batch(test_batch, "testing", "test"), model, [],
-                              features_col).first()
-            metrics.append((step, float(tr["accuracy"] or 0.0), float(tr["mean_xent"] or 0.0),
-                            float(va["accuracy"]) if va and va["accuracy"] is not None else None,
-                            float(te["accuracy"]) if te and te["accuracy"] is not None else None))
-        b.unpersist()
+        grad, _ = _batch_pass(stored_batch(train, step), model, features_col)
+        model = SoftmaxModel(model.labels, (np.asarray(model.weights) - learning_rate * grad[:, 1:]).tolist(),
+                             (np.asarray(model.bias) - learning_rate * grad[:, 0]).tolist())
+        if step in measured:
+            seen = _batch_pass(stored_batch(train, step), model, features_col)[1]
+            metrics.append((step, seen["hits"] / seen["n"], seen["xent"] / seen["n"],
+                            accuracy(validation, measured.index(step)),
+                            accuracy(test, 0) if step + 1 == steps else None))
     mdf = spark.createDataFrame(
         metrics, "step int, train_accuracy double, cross_entropy double, "
                  "validation_accuracy double, test_accuracy double")

@@ -43,20 +43,25 @@ def published_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     FV.BUCKET_COLUMN, "image_url"))
 
 
-PUBLISHED_CORE_SQL = """
+# a product is eligible if it is in the published state and some channel row of it is live
+ELIGIBLE_SQL = """
+eligible AS (
+  SELECT product_id FROM product
+  WHERE state_id = {state} {like}
+    AND product_id IN (SELECT product_id FROM channel WHERE publish_flag = 'Y' AND current_flag = 'Y'))
+"""
+PUBLISHED_CORE_SQL = ELIGIBLE_SQL + """,
+labels_of AS (SELECT product_id, varchar_value AS label FROM product_attribute WHERE attribute_type_id = {attr}
+              INTERSECT SELECT product_id, varchar_value FROM product_attribute SEMI JOIN eligible USING (product_id)),
 core AS (
-  SELECT DISTINCT pi.product_id, pi.image_id, pa.varchar_value AS label,
-         pi.product_id % {mod} AS id_mod
-  FROM product_image pi
-  JOIN product_attribute pa ON pa.product_id = pi.product_id AND pa.attribute_type_id = {attr}
-  JOIN product p ON pi.product_id = p.product_id AND p.state_id = 2 {like}
-  JOIN channel c ON c.product_id = p.product_id AND c.publish_flag = 'Y' AND c.current_flag = 'Y')
+  SELECT product_id, image_id, label, product_id % {mod} AS id_mod
+  FROM (SELECT DISTINCT product_id, image_id FROM product_image) NATURAL JOIN labels_of)
 """
 
 
 def _core(attr: int, like: str | None = None) -> str:
-    like_sql = f"AND p.product_desc LIKE '{like}'" if like else ""
-    return PUBLISHED_CORE_SQL.format(mod=MODULUS, attr=attr, like=like_sql)
+    like_sql = f"AND product_desc LIKE '{like}'" if like else ""
+    return PUBLISHED_CORE_SQL.format(mod=MODULUS, attr=attr, like=like_sql, state=FV.PUBLISHED_STATE_ID)
 
 
 SQL = {}
@@ -72,20 +77,20 @@ def colorway_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["colorway_manifest"] = _sql(f"""
-chain AS (
-  SELECT DISTINCT p.product_id, p.product_desc, p.vendor_code, img.image_id,
-         pt.product_type_name, pt.short_description, pt.product_type_description,
-         p.product_id % {MODULUS} AS id_mod
-  FROM product p
-  JOIN product_type pt ON p.product_type_id = pt.product_type_id
-  JOIN upc ON upc.product_id = p.product_id AND p.state_id = 2
-  JOIN product_colorway pc ON pc.product_colorway_id = upc.product_colorway_id
-  JOIN product_colorway_image pci ON pci.product_colorway_id = pc.product_colorway_id
-  JOIN image img ON img.product_image_id = pci.product_image_id
-  WHERE p.category = '{CATEGORY}')
-SELECT product_id, product_desc, vendor_code, image_id, product_type_name AS label,
-       short_description, product_type_description, id_mod, {url_sql('image_id')} AS image_url
-FROM chain""")
+wanted AS (SELECT product_id, product_type_id, product_desc, vendor_code FROM product
+           WHERE state_id = {FV.PUBLISHED_STATE_ID} AND category = '{CATEGORY}'),
+colour_of AS (SELECT DISTINCT product_id, product_colorway_id FROM upc
+              WHERE product_id IN (SELECT product_id FROM wanted)
+                AND product_colorway_id IN (SELECT product_colorway_id FROM product_colorway)),
+shown AS (SELECT c.product_id, i.image_id, i.product_id % {MODULUS} AS id_mod
+          FROM colour_of c, product_colorway_image l, image i
+          WHERE l.product_colorway_id = c.product_colorway_id AND i.product_image_id = l.product_image_id),
+described AS (SELECT w.product_id, w.product_desc, w.vendor_code, t.product_type_name AS label,
+                     t.short_description, t.product_type_description
+              FROM product_type t, wanted w WHERE t.product_type_id = w.product_type_id)
+SELECT DISTINCT product_id, product_desc, vendor_code, image_id, label, short_description, product_type_description,
+       id_mod, {url_sql('image_id')} AS image_url
+FROM described NATURAL JOIN shown""")
 
 
 # ---------------------------------------------------------------- dress-length export
@@ -118,12 +123,15 @@ def _asset_path_sql(label: str, fname: str) -> str:
             f"replace(replace({label}, '%', '%25'), '/', '%2F') || '/' || {fname} END")
 
 
-def capped_per_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = attribute_label_manifest(spark, sf_dir)
     cat = Catalogue.from_tables(spark, sf_dir)
     landed = A.with_image_path_only(A.attach_assets(good, cat.landed_assets))
-    labelled = A.label_in(landed, "label", FV.DRESS_LENGTH_ENUM_ORDER)
-    capped = C.first_n_per_label(labelled, "label", CAP_PER_LABEL, ["product_id", "image_id"])
+    return A.label_in(landed, "label", FV.DRESS_LENGTH_ENUM_ORDER)
+
+
+def capped_per_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capped = C.first_n_per_label(landed_lengths(spark, sf_dir), "label", CAP_PER_LABEL, ["product_id", "image_id"])
     return capped.select("label", "product_id", "image_id", "image_url", "image_path")
 
 
@@ -144,25 +152,19 @@ SELECT label, product_id, image_id, image_url, image_path FROM (
 
 def capped_then_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = Catalogue.from_tables(spark, sf_dir)
-    rows = C.joined_rows_with_multiplicity(cat, FV.ATTR_TYPE_DRESS_LENGTH, MODULUS,
-                                           desc_like=DESC_LIKE, max_copies=ROW_CAP)
-    capped = C.cap_then_distinct(rows, ROW_CAP,
-                                 ["product_id", "image_id", "varchar_value", FV.BUCKET_COLUMN])
-    return capped
-
-
-SQL["capped_then_distinct"] = _sql(f"""
-rows_ AS (
-  SELECT pi.product_id, pi.image_id, pa.varchar_value, pi.product_id % {MODULUS} AS id_mod
-  FROM product_image pi
-  JOIN product_attribute pa ON pa.product_id = pi.product_id
-       AND pa.attribute_type_id = {FV.ATTR_TYPE_DRESS_LENGTH}
-  JOIN product p ON pi.product_id = p.product_id AND p.state_id = 2
-       AND p.product_desc LIKE '{DESC_LIKE}'
-  JOIN channel c ON c.product_id = p.product_id AND c.publish_flag = 'Y' AND c.current_flag = 'Y'
-  ORDER BY pi.product_id, pi.image_id, pa.varchar_value, id_mod
-  LIMIT {ROW_CAP})
-SELECT DISTINCT * FROM rows_""")
+    rows = C.joined_rows_with_copies(cat, FV.ATTR_TYPE_DRESS_LENGTH, MODULUS, desc_like=DESC_LIKE)
+    return C.cap_then_distinct(rows, ROW_CAP, ["product_id", "image_id", "varchar_value", FV.BUCKET_COLUMN])
+
+
+# every channel row of an eligible product repeats its images
+SQL["capped_then_distinct"] = _sql(ELIGIBLE_SQL.format(state=FV.PUBLISHED_STATE_ID, like=f"AND product_desc LIKE '{DESC_LIKE}'") + f""",
+live AS (SELECT product_id FROM channel SEMI JOIN eligible USING (product_id)
+         WHERE publish_flag = 'Y' AND current_flag = 'Y'),
+valued AS (SELECT product_id, varchar_value FROM product_attribute WHERE attribute_type_id = {FV.ATTR_TYPE_DRESS_LENGTH}),
+repeated AS (SELECT product_id, image_id, varchar_value, product_id % {MODULUS} AS id_mod
+             FROM live NATURAL JOIN valued NATURAL JOIN product_image
+             ORDER BY ALL LIMIT {ROW_CAP})
+SELECT DISTINCT * FROM repeated""")
 
 
 # ---------------------------------------------------------------- role_urls

@@ -41,9 +41,9 @@ def land_training_images(cat: Catalogue, out_path: str,
     manifest as written (read back from ``out_path``)."""
     rows = C.with_image_url(C.labelled_images(cat, attribute_type_id, modulus), prefix)
     manifest = A.attach_assets(rows.withColumnRenamed("varchar_value", "label"), cat.landed_assets)
-    sinks.land_by_label(manifest.select("product_id", "image_id", "image_url", "image_path",
-                                        "has_asset", "label"), out_path)
-    return manifest.sparkSession.read.parquet(out_path)
+    landed = manifest.select("product_id", "image_id", "image_url", "image_path", "has_asset", "label")
+    sinks.land_by_label(landed, out_path)
+    return sinks.read_landing(manifest.sparkSession, out_path, landed.schema)
 
 
 def export_length_json(cat: Catalogue, out_path: str, desc_like: str = "%Dress%",
@@ -54,15 +54,14 @@ def export_length_json(cat: Catalogue, out_path: str, desc_like: str = "%Dress%"
                                               desc_like=desc_like))
     good, bad = A.split_quarantine(rows.withColumn("label", A.enum_label("varchar_value")))
     landed = A.with_image_path_only(A.attach_assets(good, cat.landed_assets))
-    capped = C.first_n_per_label(A.label_in(landed, "label", FV.DRESS_LENGTH_ENUM_ORDER),
-                                 "label", cap, ["product_id", "image_id"])
-    records = capped.select(F.col("product_id").cast("int").alias("productId"),
+    known = A.label_in(landed, "label", FV.DRESS_LENGTH_ENUM_ORDER)
+    records = known.select(F.col("product_id").alias("productId"), F.col("image_id").alias("_image"),
                             F.col("image_url").alias("imageUrl"),
                             F.col("image_path").alias("imagePath"),
                             F.lit(0).alias("colorNormalId"),
                             F.col("label").alias("dressLengthValue"), "label")
-    sinks.write_json_arrays_by_label(records, out_path, "label", ["productId", "imageUrl"])
-    return records, bad
+    sinks.write_json_arrays_by_label(records, out_path, cap, ["productId", "_image"], hidden=("_image",))
+    return C.first_n_per_label(records, "label", cap, ["productId", "_image"]).drop("_image"), bad
 
 
 def validate_exports(spark: SparkSession, json_path: str, features: DataFrame,
@@ -72,18 +71,23 @@ def validate_exports(spark: SparkSession, json_path: str, features: DataFrame,
     and a feature vector (``features``: imagePath, features), keep the top two labels,
     set ``warning`` by the rule table, and write every record back as JSON."""
     recs = SRC.read_json_arrays(spark, json_path).drop("source_file")
-    scorable = (recs.filter(F.col("imagePath").isNotNull())
-                .join(features.select("imagePath", "features"), "imagePath"))
-    top = SC.first_two(SC.score(scorable, model), model, "cvResult")
-    checked = R.length_warning(top, "dressLengthValue", "cvResult1", rules)
-    results = checked.select("imagePath", F.col("cvResult1").alias("cvResult"),
-                             R.score_text("score1").alias("cvScore"), F.col("cvResult2"),
-                             R.score_text("score2").alias("cvScore2"), "warning")
-    out = R.enrich(recs, results, "imagePath")
+    out = check_lengths(recs, features, model, rules)
     sinks.write_json_by_label(out.withColumn("label", F.col("dressLengthValue")), out_path, "label")
     return out
 
 
+def check_lengths(recs: DataFrame, features: DataFrame, model: SC.SoftmaxModel,
+                  rules: dict[str, list[str]] | None = None) -> DataFrame:
+    """Every record once, with cvResult, cvScore, cvResult2, cvScore2 and warning where its imagePath
+    has a vector. Records are scored in place: several may share an image."""
+    vectors = R.one_vector(features.filter("imagePath is not null"), "imagePath")
+    top = SC.first_two(SC.score(recs.join(vectors, "imagePath", "left"), model), model, "cvResult")
+    checked = R.length_warning(top, "dressLengthValue", "cvResult1", rules)
+    added = {"cvResult": F.col("cvResult1"), "cvScore": R.score_text("score1"), "cvScore2": R.score_text("score2")}
+    out = R.only_scored(checked.withColumns(added), ["cvResult", "cvScore", "cvResult2", "cvScore2", "warning"])
+    return out.select(*recs.columns, "cvResult", "cvScore", "cvResult2", "cvScore2", "warning")
+
+
 @dataclass
 class TrainingResult:
     model: SC.SoftmaxModel
@@ -105,8 +109,7 @@ def train_from_index(spark: SparkSession, index: DataFrame, cache_path: str, mod
     classes = (split.select("label").distinct()
                .withColumn("label_id", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int")))
     labels = [r["label"] for r in classes.orderBy("label_id").collect()]      # K names
-    vectors = (FE.read_cache(spark, cache_path)
-               .filter(F.col("model_version") == model_version)
+    vectors = (FE.read_cache(spark, cache_path, model_version=model_version)
                .select(F.col("key").alias(key_col), "features"))
     data = (split.select(key_col, "label", "split")
             .join(F.broadcast(classes), "label")
@@ -135,12 +138,19 @@ def validate_colors(spark: SparkSession, json_path: str, features: DataFrame,
     recs = (SRC.read_json_arrays(spark, json_path, schema)
             .withColumn("_expected", F.regexp_extract("source_file", file_pattern, 1))
             .drop("source_file"))
-    scorable = recs.join(features.select("imageName", "features"), "imageName")
-    top = SC.first_two(SC.score(scorable, model), model, "color")
-    checked = R.color_warning(top, "_expected", "color1", literal=literal)
-    results = checked.select("imageName", "color1", R.score_text("score1").alias("score1"),
-                             "color2", R.score_text("score2").alias("score2"), "warning")
-    out = R.enrich(recs, results, "imageName")
+    out = check_colors(recs, "_expected", features, model, literal)
     sinks.write_json_by_label(out.withColumn("colour", F.col("_expected")).drop("_expected"),
                               out_path, "colour")
     return out.drop("_expected")
+
+
+def check_colors(recs: DataFrame, expected_col: str, features: DataFrame, model: SC.SoftmaxModel,
+                 literal: bool = True) -> DataFrame:
+    """Every record once, with color1, score1, color2, score2 and warning against its own expected
+    colour where its imageName has a vector."""
+    vectors = R.one_vector(features.filter("imageName is not null"), "imageName")
+    top = SC.first_two(SC.score(recs.join(vectors, "imageName", "left"), model), model, "color")
+    checked = R.color_warning(top, expected_col, "color1", literal=literal)
+    text = {"score1": R.score_text("score1"), "score2": R.score_text("score2")}
+    out = R.only_scored(checked.withColumns(text), ["color1", "score1", "color2", "score2", "warning"])
+    return out.select(*recs.columns, "color1", "score1", "color2", "score2", "warning")

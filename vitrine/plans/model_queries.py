@@ -30,6 +30,10 @@ def _u16(seed: str, id_sql: str, stream: str) -> str:
     return f"('0x' || right(sha1('{seed}:' || CAST({id_sql} AS VARCHAR) || ':{stream}'), 4))::INTEGER"
 
 
+def _u60(seed: str, id_sql: str, stream: str) -> str:
+    return f"('0x' || right(sha1('{seed}:' || CAST({id_sql} AS VARCHAR) || ':{stream}'), 15))::BIGINT"
+
+
 def _unit(seed: str, id_sql: str, stream: str) -> str:
     return f"(CAST({_u16(seed, id_sql, stream)} AS DOUBLE) / CAST(65536 AS DOUBLE))"
 
@@ -77,8 +81,8 @@ ne AS (SELECT s.label, s.n, a.class_id,
               CAST(row_number() OVER (ORDER BY a.class_id) - 1 AS INTEGER) AS label_pos
        FROM sizes s JOIN allc a USING (label)),
 dr AS (SELECT range AS draw_id,
-              {_u16(DRAW_SEED, 'range', 'label')} % (SELECT count(*) FROM ne) AS label_pos,
-              {_u16(DRAW_SEED, 'range', 'image')} AS image_index
+              {_u60(DRAW_SEED, 'range', 'label')} % (SELECT count(*) FROM ne) AS label_pos,
+              {_u60(DRAW_SEED, 'range', 'image')} AS image_index
        FROM range(0, (SELECT count(*) FROM pool)))
 SELECT dr.draw_id, ne.class_id, ne.label, dr.image_index,
        CAST(dr.image_index % ne.n AS BIGINT) AS idx, pool.key
@@ -98,27 +102,42 @@ SELECT doc_id, label, key, split FROM splitted s
 WHERE NOT EXISTS (SELECT 1 FROM embeddings e WHERE e.vec_id = s.doc_id)"""
 
 
+def weighted_sum(vec: str):
+    """Sum of value times place, from one."""
+    return F.aggregate(F.transform(vec, lambda v, i: v.cast("double") * (i + 1)),
+                       F.lit(0.0).cast("double"), lambda a, v: a + v)
+
+
 def feature_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed the cache with the embeddings, fill it for every document, read it back."""
+    """Seed the cache with the embeddings, fill it for every document, read it back: each
+    vector by a weighted sum of its values."""
     path = scratch_path(spark, "feature-cache")
     emb = read_table(spark, sf_dir, "embeddings")
     (emb.select(F.col("vec_id").cast("string").alias("key"), F.lit("v1").alias("model_version"),
-                F.lit("seed").alias("batch_id"), F.col("embedding").alias("features"))
+                F.lit("seed").alias("batch_id"), F.lit(0).cast("bigint").alias("seq"), F.col("embedding").alias("features"))
      .write.mode("overwrite").parquet(path))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     FE.fill_cache(spark, docs, path, "doc_id", ["text"], FE.text_histogram_factory(64), "v1", 64)
     cache = FE.read_cache(spark, path)
     return cache.select("key",
                         F.when(F.col("batch_id") == "seed", "cached").otherwise("computed").alias("origin"),
-                        F.size("features").alias("n_dims"))
+                        F.size("features").alias("n_dims"), F.round(weighted_sum("features"), 4).alias("checksum"))
 
 
+# the stand-in's vector of a document: the shares of its bytes by their value modulo 64, as floats
 SQL["feature_fill"] = """
-SELECT CAST(vec_id AS VARCHAR) AS key, 'cached' AS origin, CAST(len(embedding) AS INTEGER) AS n_dims
+WITH new AS (SELECT CAST(doc_id AS VARCHAR) AS key, hex(encode(coalesce(text, ''))) AS h FROM documents
+             WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT CAST(vec_id AS VARCHAR) FROM embeddings)),
+bytes AS (SELECT key, length(h) // 2 AS n, unnest(range(length(h) // 2)) AS i, h FROM new),
+cells AS (SELECT key, n, ('0x' || substr(h, 2 * i + 1, 2))::INTEGER % 64 AS cell, count(*) AS c
+          FROM bytes GROUP BY ALL),
+sums AS (SELECT key, sum(CAST(CAST(CAST(c AS DOUBLE) / n AS FLOAT) AS DOUBLE) * (cell + 1)) AS s
+         FROM (SELECT key, n, cell, sum(c) AS c FROM cells GROUP BY ALL) GROUP BY key)
+SELECT CAST(vec_id AS VARCHAR) AS key, 'cached' AS origin, CAST(len(embedding) AS INTEGER) AS n_dims,
+       round(list_sum(list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * i)), 4) AS checksum
 FROM embeddings
 UNION ALL
-SELECT DISTINCT CAST(doc_id AS VARCHAR), 'computed', 64 FROM documents d
-WHERE NOT EXISTS (SELECT 1 FROM embeddings e WHERE CAST(e.vec_id AS VARCHAR) = CAST(d.doc_id AS VARCHAR))"""
+SELECT key, 'computed', 64, round(coalesce(s, 0), 4) FROM new LEFT JOIN sums USING (key)"""
 
 
 def feature_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,8 +148,7 @@ def feature_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_vectors_text(emb, path)
     back = SRC.read_vector_text(spark, path)
     joined = back.join(emb.withColumnRenamed("features", "orig"), "key")
-    checksum = F.aggregate(F.transform("features", lambda v, i: v.cast("double") * (i + 1)),
-                           F.lit(0.0).cast("double"), lambda a, v: a + v)
+    checksum = weighted_sum("features")
     return joined.select(F.col("key").cast("bigint").alias("vec_id"),
                          F.size("features").alias("n_values"),
                          F.round(checksum, DEC).alias("checksum"),
@@ -145,26 +163,121 @@ FROM embeddings"""
 
 
 # ---------------------------------------------------------------- training
+SGD_SEED, SGD_STEPS, SGD_BATCH, SGD_EVAL, SGD_VALIDATION, SGD_TEST, SGD_RATE = "sgd", 3, 40, 2, 30, 50, 0.05
+
+
 def _training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = SQ.features(spark, sf_dir).withColumn("key", F.col("vec_id").cast("string"))
-    return S.assign_split(f, "key")
+    return S.assign_split(f.withColumn("label", SQ.model().label_of("true_id")), "key")
+
+
+def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.indexed_split_lists(_training_frame(spark, sf_dir), "label", "key")
+
+
+def _sgd(spark: SparkSession, sf_dir: str, **how) -> tuple:
+    vectors = _training_frame(spark, sf_dir).select("key", "features")
+    return T.train_sgd(spark, _pool(spark, sf_dir), vectors, FV.SHIPPED_LABELS, SGD_STEPS, SGD_BATCH, SGD_RATE, SGD_EVAL,
+                       SGD_VALIDATION, SGD_TEST, SGD_SEED, init=SQ.model(), **how)
+
+
+def sgd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of gradient descent from the fixed model over hash-drawn batches: the schedule's metrics."""
+    metrics = _sgd(spark, sf_dir)[1]
+    return metrics.select("step", *[F.round(c, DEC).alias(c) for c in metrics.columns if c != "step"])
 
 
 def train_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L-BFGS multinomial fit on the training split; model written and read back."""
-    data = _training_frame(spark, sf_dir)
-    model = T.train_lbfgs(data.filter(F.col("split") == "training"), FV.SHIPPED_LABELS,
-                          max_iter=50)
+    """The model after those steps, written by the model sink and read back."""
     path = scratch_path(spark, "model")
-    sinks.write_model(model.to_table(spark), path)
-    return spark.read.parquet(path)
+    sinks.write_model(_sgd(spark, sf_dir)[0].to_table(spark), path)
+    return spark.read.parquet(path).select(
+        F.col("label_id").alias("class_id"), "label",
+        F.posexplode(F.concat(F.array("bias"), "weights")).alias("at", "value")).select(
+        "class_id", "label", (F.col("at") - 1).cast("int").alias("dim"), F.round("value", DEC).alias("value"))
 
 
 def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _training_frame(spark, sf_dir)       # the fit caches its own training instances
-    model = T.train_lbfgs(data.filter(F.col("split") == "training"), FV.SHIPPED_LABELS,
-                          max_iter=50)
-    return T.evaluate(data, model, ["split"])
+    """Accuracy and cross-entropy of that model over the whole splits."""
+    out = T.evaluate(_training_frame(spark, sf_dir), _sgd(spark, sf_dir)[0], ["split"])
+    return out.select("split", "n", F.round("accuracy", DEC).alias("accuracy"), F.round("mean_xent", DEC).alias("mean_xent"))
+
+
+def _draws_sql(name: str, what: str, split: str, n: int) -> str:
+    """A class-balanced batch list: draw number, vector and class."""
+    return f"""
+{name} AS (
+  SELECT r.range AS draw_id, m.vec_id, c.class_id
+  FROM range(0, {n}) r
+  JOIN classes c ON c.split = '{split}' AND c.place = {_u60(f'{SGD_SEED}:{what}', 'r.range', 'label')} % c.n_classes
+  JOIN members m ON m.split = '{split}' AND m.class_id = c.class_id
+       AND m.place = {_u60(f'{SGD_SEED}:{what}', 'r.range', 'image')} % c.n)"""
+
+
+def _scored_sql(name: str, weights: str, rows: str) -> str:
+    """Probabilities p, hit and cross-entropy of each row of ``rows`` (id, vec_id, class_id)."""
+    return f"""
+{name}_z AS (SELECT b.id, b.vec_id, b.class_id, w.class_id AS k, sum(w.w * x.x) AS z
+             FROM ({rows}) b JOIN x USING (vec_id) JOIN {weights} w ON w.dim = x.dim GROUP BY ALL),
+{name}_p AS (SELECT *, exp(z - max(z) OVER (PARTITION BY id)) AS e, max(z) OVER (PARTITION BY id) AS top FROM {name}_z),
+{name} AS (SELECT *, e / sum(e) OVER (PARTITION BY id) AS p, top + ln(sum(e) OVER (PARTITION BY id)) AS lse,
+                  row_number() OVER (PARTITION BY id ORDER BY z DESC, k) AS place FROM {name}_p)"""
+
+
+def _accuracy_sql(name: str) -> str:
+    return f"(SELECT avg(CAST(k = class_id AS DOUBLE)) FROM {name} WHERE place = 1)"
+
+
+def _sgd_sql() -> str:
+    parts = [f"""
+keyed AS (SELECT vec_id, CAST(label % {SQ.K} AS INTEGER) AS class_id, CAST(vec_id AS VARCHAR) AS key FROM embeddings),
+parted AS (SELECT *, CAST(('0x' || right(sha1(key), 4))::INTEGER AS DOUBLE) * (CAST(100 AS DOUBLE) / CAST(65535.0 AS DOUBLE)) AS pct
+           FROM keyed),
+rows_ AS (SELECT *, CASE WHEN pct < {float(FV.DEFAULT_VALIDATION_PCT)} THEN 'validation'
+                         WHEN pct < {float(FV.DEFAULT_VALIDATION_PCT + FV.DEFAULT_TESTING_PCT)} THEN 'testing'
+                         ELSE 'training' END AS split FROM parted),
+members AS (SELECT *, row_number() OVER (PARTITION BY split, class_id ORDER BY key) - 1 AS place FROM rows_),
+classes AS (SELECT split, class_id, count(*) AS n, row_number() OVER (PARTITION BY split ORDER BY class_id) - 1 AS place,
+                   count(*) OVER (PARTITION BY split) AS n_classes FROM rows_ GROUP BY split, class_id),
+x AS (SELECT vec_id, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+      UNION ALL SELECT vec_id, -1, 1.0 FROM embeddings),
+w0 AS (SELECT CAST(c.range AS INTEGER) AS class_id, CAST(d.range AS INTEGER) AS dim,
+              CASE WHEN d.range < 0 THEN 0.0 ELSE CAST(((c.range * 31 + d.range * 17) % 13) - 6 AS DOUBLE) / 10.0 END AS w
+       FROM range(0, {SQ.K}) c, range(-1, {SQ.DIM}) d)""",
+             _draws_sql("train_draws", "train", "training", SGD_STEPS * SGD_BATCH)]
+    measured = [s for s in range(SGD_STEPS) if s % SGD_EVAL == 0 or s + 1 == SGD_STEPS]
+    parts.append(_draws_sql("validation_draws", "validation", "validation", len(measured) * SGD_VALIDATION))
+    parts.append(_draws_sql("test_draws", "test", "testing", SGD_TEST))
+    for step in range(SGD_STEPS):
+        batch = f"SELECT draw_id AS id, vec_id, class_id FROM train_draws WHERE draw_id // {SGD_BATCH} = {step}"
+        parts.append(_scored_sql(f"s{step}", f"w{step}", batch))
+        parts.append(f"""
+w{step + 1} AS (SELECT w.class_id, w.dim, w.w - {SGD_RATE} * g.g AS w
+      FROM w{step} w JOIN (SELECT s.k, x.dim, sum((s.p - CAST(s.k = s.class_id AS INTEGER)) * x.x) / {SGD_BATCH} AS g
+                           FROM s{step} s JOIN x USING (vec_id) GROUP BY s.k, x.dim) g ON g.k = w.class_id AND g.dim = w.dim)""")
+        if step in measured:
+            at = measured.index(step)
+            val = f"SELECT draw_id AS id, vec_id, class_id FROM validation_draws WHERE draw_id // {SGD_VALIDATION} = {at}"
+            parts += [_scored_sql(f"t{step}", f"w{step + 1}", batch), _scored_sql(f"v{step}", f"w{step + 1}", val)]
+    parts.append(_scored_sql("final_test", f"w{SGD_STEPS}", "SELECT draw_id AS id, vec_id, class_id FROM test_draws"))
+    parts.append(_scored_sql("every", f"w{SGD_STEPS}", "SELECT vec_id AS id, vec_id, class_id FROM rows_"))
+    return "WITH" + ",".join(parts)
+
+
+_SGD_SQL = _sgd_sql()
+SQL["sgd_steps"] = _SGD_SQL + " UNION ALL ".join(f"""
+SELECT {s} AS step, round({_accuracy_sql(f't{s}')}, {DEC}) AS train_accuracy,
+       round((SELECT avg(lse - z) FROM t{s} WHERE k = class_id), {DEC}) AS cross_entropy,
+       round({_accuracy_sql(f'v{s}')}, {DEC}) AS validation_accuracy,
+       {f"round({_accuracy_sql('final_test')}, {DEC})" if s + 1 == SGD_STEPS else 'CAST(NULL AS DOUBLE)'} AS test_accuracy"""
+                                                 for s in range(SGD_STEPS) if s % SGD_EVAL == 0 or s + 1 == SGD_STEPS)
+SQL["train_softmax"] = _SGD_SQL + f"""
+SELECT class_id, {SQ._case('class_id', FV.SHIPPED_LABELS)} AS label, dim, round(w, {DEC}) AS value FROM w{SGD_STEPS}"""
+SQL["training_metrics"] = _SGD_SQL + f"""
+SELECT r.split, count(*) AS n, round(avg(CAST(t.k = t.class_id AS DOUBLE)), {DEC}) AS accuracy,
+       round(avg(own.lse - own.z), {DEC}) AS mean_xent
+FROM rows_ r JOIN every t ON t.id = r.vec_id AND t.place = 1
+     JOIN every own ON own.id = r.vec_id AND own.k = own.class_id GROUP BY r.split"""
 
 
 # ---------------------------------------------------------------- augmentation
@@ -173,72 +286,106 @@ def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.select("vec_id", V.reshape("embedding", IMG[0], IMG[1]).alias("pixels"))
 
 
-AUG_DRAW = dict(flip_left_right=True, random_crop=10, random_scale=20, random_brightness=20)
-AUG_PLAIN = dict(flip_left_right=True, random_crop=0, random_scale=0, random_brightness=20)
+AUG_DRAW = AU.Augmentation(*CROP, flip=True, crop=10, scale=20, brightness=20)
+AUG_PLAIN = AU.Augmentation(*CROP, flip=True, brightness=20)
+AUG_SCALE = AU.Augmentation(*IMG, crop=10, scale=20)
 
 
 def augment_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = AU.augment_params(_pixels(spark, sf_dir), "vec_id", AUG_SEED, IMG, CROP, **AUG_DRAW)
-    return p.select("vec_id", "flip", F.round("scale", DEC).alias("scale"), "crop_y", "crop_x",
+    p = AU.augment_params(_pixels(spark, sf_dir), "vec_id", AUG_SEED, AUG_DRAW)
+    return p.select("vec_id", "flip", F.round("scale", DEC).alias("scale"), "scaled_h", "scaled_w", "crop_y", "crop_x",
                     F.round("brightness", DEC).alias("brightness"))
 
 
-def _params_sql(cfg: dict, out: tuple[int, int] = CROP) -> str:
-    crop_f = repr(1.0 + cfg["random_crop"] / 100.0)
-    sc = repr(cfg["random_scale"] / 100.0)
-    b0 = repr(1.0 - cfg["random_brightness"] / 100.0)
-    b1 = repr(2.0 * cfg["random_brightness"] / 100.0)
-    scale = f"({crop_f} * (1.0 + {sc} * {_unit(AUG_SEED, 'vec_id', 'scale')}))"
+def _params_sql(how: AU.Augmentation, table: str = "embeddings", key: str = "vec_id", seed: str = AUG_SEED) -> str:
+    def crop(name: str, size: int, scaled: str) -> str:
+        return f"CAST({_u16(seed, key, f'crop_{name}')} % ({scaled} - {size} + 1) AS INTEGER) AS crop_{name}"
+
+    return f"""
+prm0 AS (SELECT *, {f"{_unit(seed, key, 'flip')} < 0.5" if how.flip else 'false'} AS flip,
+                ({1.0 + how.crop / 100.0!r} * (1.0 + {how.scale / 100.0!r} * {_unit(seed, key, 'scale')})) AS scale,
+                {1.0 - how.brightness / 100.0!r} + {2.0 * how.brightness / 100.0!r} * {_unit(seed, key, 'brightness')} AS brightness
+         FROM {table}),
+prm1 AS (SELECT *, CAST(floor(scale * {float(how.height)}) AS INTEGER) AS scaled_h,
+                CAST(floor(scale * {float(how.width)}) AS INTEGER) AS scaled_w FROM prm0),
+prm AS (SELECT *, {crop('y', how.height, 'scaled_h')}, {crop('x', how.width, 'scaled_w')} FROM prm1)"""
+
+
+def _pixels_sql(how: AU.Augmentation, key: str = "vec_id") -> str:
+    """Each pixel of the augmented images: the four neighbours of its place in the source."""
+    def at(y: str, x: str) -> str:
+        return f"CAST(embedding[{y} * {IMG[1]} + {x} + 1] AS DOUBLE)"
+
     return f"""
-prm0 AS (SELECT vec_id, embedding, {_unit(AUG_SEED, 'vec_id', 'flip')} < 0.5 AS flip,
-                {scale} AS scale,
-                {b0} + {b1} * {_unit(AUG_SEED, 'vec_id', 'brightness')} AS brightness,
-                {_u16(AUG_SEED, 'vec_id', 'crop_y')} AS uy, {_u16(AUG_SEED, 'vec_id', 'crop_x')} AS ux
-         FROM embeddings),
-prm AS (SELECT *, CAST(floor(scale * {float(IMG[0])}) AS INTEGER) AS scaled_h,
-                  CAST(floor(scale * {float(IMG[1])}) AS INTEGER) AS scaled_w,
-                  CAST(uy % greatest(CAST(floor(scale * {float(IMG[0])}) AS INTEGER) - {out[0]} + 1, 1) AS INTEGER) AS crop_y,
-                  CAST(ux % greatest(CAST(floor(scale * {float(IMG[1])}) AS INTEGER) - {out[1]} + 1, 1) AS INTEGER) AS crop_x
-        FROM prm0)"""
+grid AS (SELECT CAST(a.range AS INTEGER) AS r, CAST(b.range AS INTEGER) AS c FROM range(0, {how.height}) a, range(0, {how.width}) b),
+place AS (SELECT *, (crop_y + r) * (CAST({IMG[0]} AS DOUBLE) / scaled_h) AS sy,
+                 (crop_x + CASE WHEN flip THEN {how.width - 1} - c ELSE c END) * (CAST({IMG[1]} AS DOUBLE) / scaled_w) AS sx
+          FROM prm, grid),
+corner AS (SELECT *, CAST(floor(sy) AS INTEGER) AS y0, CAST(floor(sx) AS INTEGER) AS x0, sy - floor(sy) AS dy, sx - floor(sx) AS dx,
+                  least(CAST(floor(sy) AS INTEGER) + 1, {IMG[0] - 1}) AS y1, least(CAST(floor(sx) AS INTEGER) + 1, {IMG[1] - 1}) AS x1
+           FROM place),
+pixel AS (SELECT *, (({at('y0', 'x0')} * (1 - dx) + {at('y0', 'x1')} * dx) * (1 - dy)
+                     + ({at('y1', 'x0')} * (1 - dx) + {at('y1', 'x1')} * dx) * dy) * brightness AS value FROM corner)"""
 
 
 SQL["augment_draws"] = f"""WITH {_params_sql(AUG_DRAW)}
-SELECT vec_id, flip, round(scale, {DEC}) AS scale, crop_y, crop_x, round(brightness, {DEC}) AS brightness
+SELECT vec_id, flip, round(scale, {DEC}) AS scale, scaled_h, scaled_w, crop_y, crop_x, round(brightness, {DEC}) AS brightness
 FROM prm"""
 
 
-def augment_flip_crop_brightness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = AU.augment_params(_pixels(spark, sf_dir), "vec_id", AUG_SEED, IMG, CROP, **AUG_PLAIN)
-    a = AU.crop_flip_brighten(p, "pixels", CROP)
+def _pixel_rows(spark: SparkSession, sf_dir: str, how: AU.Augmentation) -> DataFrame:
+    p = AU.augment_params(_pixels(spark, sf_dir), "vec_id", AUG_SEED, how)
+    a = AU.augment_images(p, "pixels", how, keep_cols=["vec_id"])
     rows = a.select("vec_id", F.posexplode("augmented").alias("r", "row"))
     return rows.select("vec_id", "r", F.posexplode("row").alias("c", "v")).select(
         "vec_id", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"),
         F.round("v", DEC).alias("value"))
 
 
-SQL["augment_flip_crop_brightness"] = f"""WITH {_params_sql(AUG_PLAIN)},
-grid AS (SELECT CAST(a.range AS INTEGER) AS r, CAST(b.range AS INTEGER) AS c
-         FROM range(0, {CROP[0]}) a, range(0, {CROP[1]}) b)
-SELECT vec_id, r, c,
-       round(CAST(embedding[(crop_y + r) * {IMG[1]} + crop_x
-                            + (CASE WHEN flip THEN {CROP[1] - 1} - c ELSE c END) + 1] AS DOUBLE)
-             * brightness, {DEC}) AS value
-FROM prm, grid"""
+def augment_flip_crop_brightness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No random scale: the image is resized to the model's size, then flipped and brightened."""
+    return _pixel_rows(spark, sf_dir, AUG_PLAIN)
 
 
 def augment_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random scale (bilinear resize) then random crop back to the input size."""
-    p = AU.augment_params(_pixels(spark, sf_dir), "vec_id", AUG_SEED, IMG, IMG, **AUG_DRAW)
-    scaled = AU.scale_images(p, "pixels", ["vec_id", "flip", "crop_y", "crop_x", "brightness",
-                                           "scaled_h", "scaled_w"])
-    out = AU.crop_flip_brighten(scaled, "scaled", IMG)
-    return out.select("vec_id", "scaled_h", "scaled_w", "crop_y", "crop_x",
-                      F.size("augmented").alias("rows"),
-                      F.size(F.get("augmented", 0)).alias("cols"))
+    """Random scale (bilinear resize), then a random crop to the model's size: every pixel."""
+    return _pixel_rows(spark, sf_dir, AUG_SCALE)
+
+
+for _name, _how in (("augment_flip_crop_brightness", AUG_PLAIN), ("augment_scale", AUG_SCALE)):
+    SQL[_name] = f"""WITH {_params_sql(_how)}, {_pixels_sql(_how)}
+SELECT vec_id, r, c, round(value, {DEC}) AS value FROM pixel"""
+
+
+def mean_rows_factory(dim: int):
+    """Stand-in extractor of flat pixels: the mean of each of ``dim`` equal stretches."""
+    def factory():
+        def fn(pdf):
+            import numpy as np
+
+            flat = np.stack(pdf["flat"].to_numpy())
+            return flat.reshape(len(flat), dim, -1).mean(axis=2)
+        return fn
+    return factory
+
+
+def augmented_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws of training images, each augmented afresh and passed through an extractor: what a step
+    trains on where images vary."""
+    draws = SA.balanced_draws(spark, _pool(spark, sf_dir), SGD_BATCH, "training", f"{SGD_SEED}:train", FV.SHIPPED_LABELS)
+    pixels = _pixels(spark, sf_dir).select(F.col("vec_id").cast("string").alias("key"), "pixels")
+    out = T._augmented(draws.withColumn("step", F.col("draw_id").cast("int")), pixels, "key", AUG_DRAW, AUG_SEED,
+                       mean_rows_factory(CROP[0]), "v1", CROP[0], "features")
+    return out.select(F.col("step").cast("bigint").alias("draw_id"), "true_id", F.posexplode("features").alias("dim", "v")).select(
+        "draw_id", "true_id", F.col("dim").cast("int").alias("dim"), F.round(F.col("v").cast("double"), 4).alias("value"))
 
 
-SQL["augment_scale"] = f"""WITH {_params_sql(AUG_DRAW, IMG)}
-SELECT vec_id, scaled_h, scaled_w, crop_y, crop_x, {IMG[0]} AS "rows", {IMG[1]} AS cols FROM prm"""
+SQL["augmented_batch"] = _SGD_SQL + f""",
+drawn AS (SELECT d.draw_id, d.class_id, e.embedding FROM train_draws d JOIN embeddings e USING (vec_id)
+          WHERE d.draw_id < {SGD_BATCH}),
+{_params_sql(AUG_DRAW, 'drawn', 'draw_id')}, {_pixels_sql(AUG_DRAW)}
+SELECT draw_id, class_id AS true_id, r AS dim, round(CAST(CAST(avg(value) AS FLOAT) AS DOUBLE), 4) AS value
+FROM pixel GROUP BY draw_id, class_id, r"""
 
 
 QUERIES = {
@@ -247,9 +394,11 @@ QUERIES = {
     "missing_features": missing_features,
     "feature_fill": feature_fill,
     "vector_csv": feature_csv_roundtrip,
+    "sgd_steps": sgd_steps,
     "train_softmax": train_softmax,
     "training_metrics": training_metrics,
     "augment_draws": augment_draws,
     "augment_flip_crop_brightness": augment_flip_crop_brightness,
     "augment_scale": augment_scale,
+    "augmented_batch": augmented_batch,
 }

@@ -1,13 +1,14 @@
 """Session helpers: a tuned local session for tests/bench, and the shared scratch area.
 
 On a cluster the caller owns the session; nothing here overrides settings that are
-already present. The scratch area is always the folder named by ``spark.checkpoint.dir``
-so that it is shared by every executor; a private temporary folder is only made when
-the setting is absent (local tests).
+already present in ``spark``'s configuration once it exists. The scratch area is always the
+folder named by ``spark.checkpoint.dir`` so that it is shared by every executor; a private
+temporary folder is only made for a local master. ``build_session`` is for local runs only.
 """
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for k, v in PLAN_SETTINGS.items():
@@ -46,13 +47,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a private one only when unset."""
+    """Return the shared checkpoint folder. Where none is set, a local master gets a private
+    one; any other master is refused, as executors would not see each other's files."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
         conf = tempfile.mkdtemp(prefix="vitrine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", conf)     # informational only

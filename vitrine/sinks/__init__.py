@@ -2,14 +2,19 @@
 
 Every sink is a DataFrame writer (tasks write their own files in parallel); nothing is
 gathered on the driver. Where a single-file shape is wanted (a label list, a JSON array
-per label) the rows are first bounded (K labels; a per-label cap).
+per label) the rows are bounded by the call (K labels; a per-label cap).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.vectors import to_csv
+from ..operators.catalog import first_n_per_label
+
+
+LABEL_FOLDER = "label_folder"
 
 
 def write_json_by_label(df: DataFrame, path: str, label_col: str = "label",
@@ -19,25 +24,18 @@ def write_json_by_label(df: DataFrame, path: str, label_col: str = "label",
     df.write.mode(mode).partitionBy(label_col).json(path)
 
 
-def write_json_arrays_by_label(df: DataFrame, path: str, label_col: str = "label",
-                               order_cols: list[str] | None = None, mode: str = "overwrite",
-                               max_per_label: int = 100_000) -> None:
-    """One JSON *array* per label (text file per label folder). Each label's rows are
-    gathered into one value, so the input must be capped per label: the largest label is
-    checked against ``max_per_label`` first (use ``write_json_by_label`` beyond that)."""
-    largest = (df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-               .agg(F.max("n").alias("m")).first()["m"]) or 0
-    if largest > max_per_label:
-        raise ValueError(f"a label has {largest} rows (> {max_per_label}); write JSON lines instead")
-    cols = [c for c in df.columns if c != label_col]
-    payload = F.struct(*cols)
-    arr = F.collect_list(payload)
-    if order_cols:
-        arr = F.transform(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order_cols],
-                                                               payload.alias("_p")))),
-                          lambda s: s["_p"])
-    (df.groupBy(label_col).agg(F.to_json(arr).alias("value"))
-     .repartition(label_col)
+def write_json_arrays_by_label(df: DataFrame, path: str, n: int, order_cols: list[str],
+                               label_col: str = "label", hidden: tuple[str, ...] = (),
+                               mode: str = "overwrite") -> None:
+    """One JSON *array* per label (text file per label folder) of the label's first ``n`` rows by
+    ``order_cols``, without the ``hidden`` columns. A label's array is one value, so n bounds it; ``write_json_by_label`` writes
+    whole labels. The input is evaluated once."""
+    capped = first_n_per_label(df, label_col, n, order_cols)
+    payload = F.struct(*[c for c in df.columns if c != label_col and c not in hidden])
+    arr = F.transform(F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                                                           payload.alias("_p")))),
+                      lambda s: s["_p"])
+    (capped.groupBy(label_col).agg(F.to_json(arr).alias("value"))
      .write.mode(mode).partitionBy(label_col).text(path))
 
 
@@ -67,5 +65,13 @@ def land_by_label(df: DataFrame, path: str, label_col: str = "label", fmt: str =
     ``REBALANCE(label)``: rows are hash-partitioned by label and AQE, from the shuffle's
     own statistics, splits a hot label into advisory-size tasks and merges small labels.
     Each label folder therefore gets few files of sensible size, a hot label still spans
-    many tasks, and no sampling job recomputes the input (as range partitioning would)."""
-    df.hint("rebalance", label_col).write.mode(mode).partitionBy(label_col).format(fmt).save(path)
+    many tasks, and no sampling job recomputes the input (as range partitioning would).
+    The folder is named by ``LABEL_FOLDER``; the label itself stays a column of the files, as a
+    folder name can't tell ``007`` from a number or an empty label from none."""
+    (df.withColumn(LABEL_FOLDER, F.col(label_col).cast("string")).hint("rebalance", label_col)
+     .write.mode(mode).partitionBy(LABEL_FOLDER).format(fmt).save(path))
+
+
+def read_landing(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """What ``land_by_label`` wrote, with the columns it was given."""
+    return spark.read.schema(schema).format(fmt).load(path).select(schema.names)

@@ -1,23 +1,32 @@
 """File sources: JSON-array manifests, label lists, lookup text, image folders, CSV vectors."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as FV
 from ..functions.text import base_name, label_from_path, normalize_label
 
-MANIFEST_SCHEMA = ("productId int, imageUrl string, imagePath string, colorNormalId int, "
+MANIFEST_SCHEMA = ("productId bigint, imageUrl string, imagePath string, colorNormalId int, "
                    "productType string, dressLengthValue string")
 
 
 def read_json_arrays(spark: SparkSession, paths: str | list[str], schema: str = MANIFEST_SCHEMA,
-                     source_col: str = "source_file", array_files: bool = True) -> DataFrame:
+                     source_col: str = "source_file", array_files: bool = True,
+                     other_keys: bool = True) -> DataFrame:
     """Files holding one JSON array each (``array_files``) or JSON lines. An absent key
     reads as NULL; the file each row came from is kept (e.g. the label a per-label file
-    stands for). An array file is parsed whole by one task; files are the parallel unit."""
-    df = spark.read.option("multiLine", array_files).schema(schema).json(paths)
-    return df.withColumn(source_col, F.col("_metadata.file_path"))
+    stands for). Keys that ``schema`` doesn't list come along with the types the files show,
+    unless ``other_keys`` is off; finding those reads the files once more. An array file is
+    parsed whole by one task; files are the parallel unit."""
+    known = T._parse_datatype_string(schema)
+    reader = spark.read.option("multiLine", array_files)
+    if other_keys:
+        names = {f.name for f in known}
+        found = [f for f in reader.json(paths).schema if f.name not in names and f.name != "_corrupt_record"]
+        known = T.StructType([*known, *found])
+    return reader.schema(known).json(paths).withColumn(source_col, F.col("_metadata.file_path"))
 
 
 def read_label_list(spark: SparkSession, path: str) -> DataFrame:
@@ -40,29 +49,41 @@ def read_synset_names(spark: SparkSession, path: str) -> DataFrame:
 def read_class_uids(spark: SparkSession, path: str) -> DataFrame:
     """``target_class: N`` / ``target_class_string: "uid"`` line pairs -> (class_id, uid).
 
-    Read whole per file (each pair must stay together); files are the parallel unit."""
-    whole = spark.read.text(path, wholetext=True)
-    ids = F.regexp_extract_all(F.col("value"), F.lit(r"(?m)^  target_class: (\d+)"), F.lit(1))
-    uids = F.regexp_extract_all(F.col("value"), F.lit(r'(?m)^  target_class_string: "([^"]*)"'), F.lit(1))
-    z = whole.select(F.explode(F.arrays_zip(ids.alias("i"), uids.alias("u"))).alias("p"))
-    return z.select(F.col("p.i").cast("int").alias("class_id"), F.col("p.u").alias("uid"))
+    A uid belongs to the last id above it; an id without a uid, and a uid without an id, make
+    no row. Of several uids of an id the last in its file holds (of several files, the one of
+    the largest path). Read whole per file (pairs must stay together); files are the parallel
+    unit."""
+    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_file"))
+    pair = r'(?m)^  target_class: (\d+)[^\n]*\n(?:(?!  target_class: )[^\n]*\n)*?  target_class_string: "([^"]*)"'
+    ids = F.regexp_extract_all(F.col("value"), F.lit(pair), F.lit(1))
+    uids = F.regexp_extract_all(F.col("value"), F.lit(pair), F.lit(2))
+    z = whole.select("_file", F.posexplode(F.arrays_zip(ids.alias("i"), uids.alias("u"))).alias("_pos", "p"))
+    return (z.groupBy(F.col("p.i").cast("int").alias("class_id"))
+            .agg(F.max_by(F.col("p.u"), F.struct("_file", "_pos")).alias("uid")))
 
 
 def list_images(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
-    """(label, dir, path, base_name, length) of image files one folder below ``root``;
-    the file bytes are not read. label = the normalised folder name."""
-    exts = extensions or FV.IMAGE_EXTENSIONS
-    df = (spark.read.format("binaryFile")
-          .option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.{" + ",".join(exts) + "}")
-          .load(root)
-          .select("path", "length"))
+    """(label, dir, path, base_name, length) of image files exactly one folder below ``root``
+    (files in the root itself and in nested folders are not images of a label); the file
+    bytes are not read. label = the normalised folder name."""
+    df = _one_folder_below(spark, root, extensions).select("path", "length")
     return (df.withColumn("dir", label_from_path("path"))
             .withColumn("label", normalize_label("dir"))
             .withColumn("base_name", base_name("path"))
             .select("label", "dir", "path", "base_name", "length"))
 
 
+def _one_folder_below(spark: SparkSession, root: str, extensions: list[str] | None) -> DataFrame:
+    exts = extensions or FV.IMAGE_EXTENSIONS
+    files = (spark.read.format("binaryFile")
+             .option("pathGlobFilter", "*.{" + ",".join(exts) + "}")
+             .load(root.rstrip("/") + "/*/*"))
+    # the pattern also reaches into folders below that: keep paths of two more segments than the root
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().getPath()
+    return files.filter(F.size(F.split(bare_path(F.col("path")), "/")) == len(whole.rstrip("/").split("/")) + 2)
+
+
 def label_collisions(listing: DataFrame) -> DataFrame:
     """Labels that several folders normalise to (e.g. ``Long_Maxi`` and ``long-maxi``):
     (label, dirs). Their images are merged under the one label; this is the report."""
@@ -71,22 +92,25 @@ def label_collisions(listing: DataFrame) -> DataFrame:
 
 
 def read_image_bytes(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
-    exts = extensions or FV.IMAGE_EXTENSIONS
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.{" + ",".join(exts) + "}").load(root)
-            .select("path", "content"))
+    return _one_folder_below(spark, root, extensions).select("path", "content")
+
+
+def bare_path(path: Column) -> Column:
+    """A path without scheme and authority: ``s3a://bucket/a/b``, ``file:/a/b`` and ``/a/b`` compare
+    below the same root."""
+    return F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
 
 
 def attach_image_bytes(manifest: DataFrame, spark: SparkSession, root: str, path_col: str = "image_path",
                        extensions: list[str] | None = None) -> DataFrame:
     """Manifest rows with the bytes of their image file (``content``; NULL when the file
     is absent). The folder is scanned by the ``binaryFile`` source and joined on the file
-    path — no list of paths passes through the driver. Paths are compared without the
-    ``file:`` scheme prefix the source adds."""
+    path — no list of paths passes through the driver. Only paths that the manifest has are
+    joined with their bytes; paths are compared without scheme and authority."""
+    wanted = manifest.select(bare_path(F.col(path_col)).alias("_p")).filter("_p is not null").distinct()
     files = (read_image_bytes(spark, root, extensions)
-             .select(F.regexp_replace("path", "^file:", "").alias("_p"), "content"))
-    return (manifest.join(files, F.regexp_replace(F.col(path_col), "^file:", "") == F.col("_p"), "left")
-            .drop("_p"))
+             .select(bare_path(F.col("path")).alias("_p"), "content").join(wanted, "_p", "left_semi"))
+    return manifest.join(files, bare_path(F.col(path_col)) == F.col("_p"), "left").drop("_p")
 
 
 def read_vector_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:

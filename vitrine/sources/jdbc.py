@@ -62,6 +62,7 @@ CATALOGUE_TABLES = {
     "upc": ("UPC", "PRODUCT_ID"),
     "product_colorway": ("PRODUCT_COLORWAY", "PRODUCT_COLORWAY_ID"),
     "product_colorway_image": ("PRODUCT_COLORWAY_IMAGE", "PRODUCT_COLORWAY_ID"),
+    "image": ("PRODUCT_IMAGE", "PRODUCT_ID"),
 }
 
 

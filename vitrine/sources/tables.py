@@ -20,20 +20,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table. The resolved relation is memoised per session and path:
-    a query touching a table several times resolves its schema and file list once (the
-    plan is still lazy; Catalyst prunes columns and pushes filters per use)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    """Parquet scan of one table, with the files there are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # p_type -> dress-length attribute text; PROMO deliberately has no enum (quarantine path)
@@ -82,8 +71,9 @@ class Catalogue:
                   assets: DataFrame | None = None, image: DataFrame | None = None) -> "Catalogue":
         """Views read from a relational catalogue: each table is a bucketed subquery scan
         (``mod(key, N)`` split into N partitions). ``tables`` maps view -> (table, split
-        column); numeric ids are narrowed to bigint without wrapping. The landed-asset
-        listing and the image table come from elsewhere (files, another source)."""
+        column). Columns come as the database has them, so that filters reach it; the
+        operators narrow the ids they return. The landed-asset listing comes from elsewhere
+        (files); ``image`` replaces the image table if given."""
         from .jdbc import CATALOGUE_TABLES, read_table_bucketed
 
         spec = dict(CATALOGUE_TABLES, **(tables or {}))
@@ -91,10 +81,7 @@ class Catalogue:
         def view(name: str):
             def build() -> DataFrame:
                 table, split = spec[name]
-                df = read_table_bucketed(spark, profile, table, split, num_partitions)
-                ids = [c for c in df.columns if c.endswith("_id")]
-                return df.select(*[F.col(c).try_cast("bigint").alias(c) if c in ids else F.col(c)
-                                   for c in df.columns])
+                return read_table_bucketed(spark, profile, table, split, num_partitions)
             return build
 
         builders = {name: view(name) for name in spec}
@@ -106,11 +93,6 @@ class Catalogue:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> "Catalogue":
-        memo_key = (id(spark), sf_dir.rstrip("/"))
-        hit = _CATALOGUES.get(memo_key)
-        if hit is not None and hit[0] is spark:
-            return hit[1]
-
         def t(name: str) -> DataFrame:
             return read_table(spark, sf_dir, name)
 
@@ -166,6 +148,7 @@ class Catalogue:
 
         def image():
             return t("customer").select(F.col("c_custkey").cast("bigint").alias("product_image_id"),
+                                        F.col("c_nationkey").cast("bigint").alias("product_id"),
                                         F.col("c_custkey").cast("bigint").alias("image_id"))
 
         def landed_assets():
@@ -173,16 +156,11 @@ class Catalogue:
                 F.concat(F.col("o_orderkey").cast("string"),
                          F.lit("-" + FV.IMAGE_ROLE_SUFFIX["CPRI"])).alias("file_name"))
 
-        cat = cls(dict(product=product, product_attribute=product_attribute,
+        return cls(dict(product=product, product_attribute=product_attribute,
                        product_image=product_image, channel=channel, product_type=product_type,
                        upc=upc, product_colorway=product_colorway,
                        product_colorway_image=product_colorway_image, image=image,
                        landed_assets=landed_assets))
-        _CATALOGUES[memo_key] = (spark, cat)
-        return cat
-
-
-_CATALOGUES: dict[tuple[int, str], tuple[SparkSession, Catalogue]] = {}
 
 
 # SQL text of the same views, for the DuckDB oracle (kept beside the DataFrame form).
@@ -211,7 +189,8 @@ upc AS (SELECT CAST(l_partkey AS BIGINT) AS product_id, CAST(l_orderkey AS BIGIN
 product_colorway AS (SELECT CAST(o_orderkey AS BIGINT) AS product_colorway_id FROM orders),
 product_colorway_image AS (SELECT CAST(o_orderkey AS BIGINT) AS product_colorway_id,
                                   CAST(o_custkey AS BIGINT) AS product_image_id FROM orders),
-image AS (SELECT CAST(c_custkey AS BIGINT) AS product_image_id, CAST(c_custkey AS BIGINT) AS image_id
+image AS (SELECT CAST(c_custkey AS BIGINT) AS product_image_id, CAST(c_nationkey AS BIGINT) AS product_id,
+                 CAST(c_custkey AS BIGINT) AS image_id
           FROM customer),
 landed_assets AS (SELECT CAST(o_orderkey AS VARCHAR) || '-214x261.jpg' AS file_name
                   FROM orders WHERE o_orderstatus = 'F')
