@@ -29,29 +29,28 @@ def test_whole_query_against_slow(spark):
     at = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
-    known = {r.doc_id: r.quality for r in labels.collect() if crc32(str(r.doc_id).encode()) % 5}
+    fifth = {r.doc_id: crc32(str(r.doc_id).encode()) % 5 for r in labels.collect()}
+    known = {r.doc_id: r.quality for r in labels.collect()}
     raw, target = Counter(), Counter()
     for i, t in texts.items():
         own = Counter(slow_buckets(t))
         raw += own
-        if known.get(i) == 1:
+        if known.get(i) == 1 and fifth[i] in (1, 2, 3):
             target += own
     def p(c):
         return np.array([(c[b] + 1) / (sum(c.values()) + q.BUCKETS) for b in range(q.BUCKETS)])
     ratio = np.log(p(target)) - np.log(p(raw))
     weight = {i: ratio[slow_buckets(t)].sum() for i, t in texts.items()}
-    good = min(weight[i] for i, y in known.items() if y)
-    bad = max(weight[i] for i, y in known.items() if not y)
-    assert good > bad                                     # the labels part cleanly
+    cut = common.best_cut([(weight[i], y) for i, y in known.items() if fifth[i] == 4])
     keys = {r.doc_id: r.g for r in docs.select("doc_id", q.gumbel(F.col("doc_id")).alias("g")).collect()}
-    k = sum(w >= (good + bad) / 2 for w in weight.values())
+    k = sum(w >= cut for w in weight.values())
     want = sorted(texts, key=lambda i: -(weight[i] + keys[i]))[:k]
     got = q.resample(docs, labels).collect()
     assert {r.doc_id for r in got} == set(want)
     assert all(abs(r.log_weight - weight[r.doc_id]) < 1e-6 for r in got)
-    held = {r.doc_id: r.quality for r in labels.collect() if crc32(str(r.doc_id).encode()) % 5 == 0}
     kept = {r.doc_id for r in got}
-    assert np.mean([(i in kept) == (y == 1) for i, y in held.items()]) > 0.97
+    held = [(i in kept) == (y == 1) for i, y in known.items() if fifth[i] == 0]
+    assert len(held) > 50 and np.mean(held) > 0.95
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -9,8 +9,9 @@ have one role is one canonical turn; where the role changes inside it, another t
 A conversation can be of any length. It is cut into blocks of ``BLOCK`` turn numbers, and a block is
 summed up by the best score from each role before it to each role at its end, a max-plus matrix.
 These are multiplied up a tree with ``FAN`` blocks to a node, the best path's roles at the block ends
-are fixed from the top down, and each block is then decoded by itself. The result is that of Viterbi
-over the whole conversation; no task holds more than a block or ``FAN`` matrices.
+are fixed from the top down, and each block is then decoded by itself. The result is a best path of
+the whole conversation (of equal paths the one with the smaller roles at block ends, then within); no
+task holds more than a block or ``FAN`` matrices.
 """
 from __future__ import annotations
 
@@ -38,6 +39,7 @@ MARKER = re.compile(r"^\s*(?:[>*#\-\[(<|]+\s*)?(?:\*\*)?(" + "|".join(sorted(map
 SHAPES = ("plain", "question", "block")
 LENGTHS = (0, 4, 12, 40)                     # words: none, under 4, under 12, under 40, more
 BLOCK, FAN = 256, 256
+NO_TURN = -(1 << 62)                         # block of messages without a turn number, before all others
 STAY = 0.98                                  # of a line's role within a message
 
 MESSAGE = T.StructType().add("conv_id", "long").add("block", "long").add("turn", "long").add("text", "string")
@@ -157,7 +159,7 @@ def messages_of(conversations: DataFrame, conv_col: str, turn_col: str, text_col
     turn = F.col(turn_col).cast("long")
     return (conversations.select(F.col(conv_col).cast("long").alias("conv_id"), turn.alias("turn"),
                                  F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
-            .select("conv_id", F.expr(f"cast(floor(coalesce(turn, -{BLOCK}) / {BLOCK}) as bigint)").alias("block"), "turn", "text"))
+            .select("conv_id", F.expr(f"coalesce(cast(floor(turn / {BLOCK}) as bigint), {NO_TURN})").alias("block"), "turn", "text"))
 
 
 def fit(labelled: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",

@@ -7,7 +7,8 @@ are labelled good. A document's importance weight is the ratio of its probabilit
 so its log is a sum over its n-grams. Gumbel top-k then samples without replacement in proportion to
 the weights: k documents with the largest log weight plus a Gumbel variable from a hash of the id.
 
-The target model is fitted on at most ``TARGET_ROWS`` labelled rows, those of the smallest hashes; the
+The target model is fitted on at most ``TARGET_ROWS`` labelled rows, those of the smallest hashes, and
+the cut that gives k on as many others; the
 raw counts and the scores cover whole texts of all documents. k is found exactly by four counting
 passes over 16 bits each of the keys, so no list of keys is sorted in one place.
 """
@@ -99,12 +100,16 @@ def add_log_weight(docs: DataFrame, ratios: np.ndarray, column: str, text_col: s
     return add_columns(docs, setup, [T.StructField(column, T.DoubleType())], text_col, keep)
 
 
-def learnable(labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(doc_id, label) of at most ``rows`` labelled documents, those of the smallest hashes, never of
-    the fifth that is held out (CRC-32 of the id's text divisible by 5). A document with more than one
-    label has the largest."""
+TARGET_FIFTHS, CUT_FIFTHS = (1, 2, 3), (4,)
+
+
+def learnable(labels: DataFrame, label: str, rows: int, fifths: tuple[int, ...]) -> DataFrame:
+    """(doc_id, label) of at most ``rows`` labelled documents, those of the smallest hashes, of some
+    fifths by the CRC-32 of the id's text; fifth 0 is held out from all learning. A document with more
+    than one label has the largest."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-             .filter("doc_id is not null and label is not null and crc32(cast(doc_id as string)) % 5 <> 0"))
+             .filter("doc_id is not null and label is not null")
+             .filter((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).isin(*fifths)))
     return (known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
             .groupBy("doc_id").agg(F.max("label").alias("label")))
 
@@ -112,7 +117,7 @@ def learnable(labels: DataFrame, label: str, rows: int) -> DataFrame:
 def quality_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    rows: int = TARGET_ROWS, buckets: int = BUCKETS) -> np.ndarray:
     """Log ratio of each bucket: documents labelled good against all documents."""
-    good = learnable(labels, "quality", rows).filter("label = 1")
+    good = learnable(labels, "quality", rows, TARGET_FIFTHS).filter("label = 1")
     return log_ratios(ngram_counts(docs, good, id_col, text_col, buckets))
 
 
@@ -162,8 +167,9 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              weight: str = "log_weight", key: str = "gumbel_key") -> DataFrame:
     """The sampled rows: columns ``keep`` (default: the id) with the log weight and the Gumbel key.
 
-    ``size`` is k. Without it k is the number of documents above the weight that best parts the labelled
-    rows of quality 1 from those of quality 0; if either kind is missing, all documents.
+    ``size`` is k. Without it k is the number of documents above the weight that best parts the rows
+    labelled 1 from those labelled 0, among rows that the target model wasn't fitted to; if either kind
+    is missing, all documents.
     A null or empty text has log weight 0. Repeated rows of an id share a key and stay or go together;
     rows with a null id do too. An empty table gives none. Names that clash are the caller's to choose,
     by ``weight`` and ``key``.
@@ -173,9 +179,10 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     base = docs.select(*dict.fromkeys([*keep, id_col, text_col]))
     scored = stored(add_log_weight(base, ratios, weight, text_col, list(dict.fromkeys([*keep, id_col]))), "quality")
     if size is None:
-        known = learnable(labels, "quality", rows).withColumnRenamed("doc_id", "_labelled")
-        pairs = scored.join(F.broadcast(known), scored[id_col].cast("long") == F.col("_labelled")).select(weight, "label")
-        cut = best_cut([(w, y) for w, y in pairs.distinct().collect()])      # at most `rows` documents
+        known = learnable(labels, "quality", rows, CUT_FIFTHS)
+        own = scored.select(F.col(id_col).cast("long").alias("doc_id"), F.col(weight).alias("weight"))
+        pairs = own.join(F.broadcast(known), "doc_id").distinct()            # at most `rows` documents
+        cut = best_cut([(r.weight, r.label) for r in pairs.collect()])
         size = scored.count() if cut is None else scored.filter(F.col(weight) >= cut).count()
     return sample_weights(scored, weight, id_col, size, seed, key).select(*keep, weight, key)
 

@@ -271,7 +271,7 @@ def train(texts: list[tuple[int, int, list[list[str]]]], epochs: int = EPOCHS, s
     by_text = [(best[t], y) for t, (_, y, _) in enumerate(texts)]
     cut = best_cut([(float(x), int(y)) for x, y in by_text])
     if cut is not None:
-        net.weights["bias"] -= np.float32(cut)
+        net.weights["bias"] -= np.float32(max(cut, best[-1] + 0.5))       # no words: under a half
     return net
 
 
