@@ -87,7 +87,6 @@ def test_cap_then_distinct(spark):
     for n, want in ((0, 0), (1, 1), (3, 1), (4, 2), (6, 2), (7, 3), (100, 3)):
         assert C.cap_then_distinct(counted, n, ["id", "v"]).count() == want
     assert sorted(tuple(r) for r in C.cap_then_distinct(counted, 4, ["id", "v"]).collect()) == [(1, "a"), (2, "b")]
-    assert sorted(tuple(r) for r in C.distinct_then_cap(df, 2, ["id", "v"]).collect()) == [(1, "a"), (2, "b")]
 
 
 def test_enum_quarantine_and_paths(spark):

@@ -70,9 +70,6 @@ EVAL_INTERVAL = 10
 VALIDATION_BATCH = 100
 TEST_BATCH = 500
 INIT_STDDEV = 0.001
-DRAW_INDEX_RANGE = 65536          # image index drawn uniformly in [0, 65536)
-FEATURE_WIDTH = 2048
-MODEL_INPUT = (299, 299, 3)
 
 # --- fixed values: scoring -------------------------------------------------------
 TOP_K_LENGTH = 2

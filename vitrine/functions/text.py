@@ -26,11 +26,6 @@ def join_path(*parts: Column | str) -> Column:
     return F.concat_ws("/", *[_c(p) for p in parts])
 
 
-def literal_path(*parts) -> Column:
-    """Path from a mix of literal strings and columns (literals given via F.lit)."""
-    return F.concat_ws("/", *parts)
-
-
 def cache_path(path: Column | str, ext: str = ".txt") -> Column:
     return F.concat(_c(path), F.lit(ext))
 
@@ -42,12 +37,3 @@ def label_from_path(path: Column | str) -> Column:
 
 def base_name(path: Column | str) -> Column:
     return F.regexp_extract(_c(path), r"([^/]+)$", 1)
-
-
-def url_decode_label(label: Column | str) -> Column:
-    return F.url_decode(_c(label))
-
-
-def url_encode_label(label: Column | str) -> Column:
-    """Labels become folder names; '/' and other reserved characters are encoded."""
-    return F.url_encode(_c(label))

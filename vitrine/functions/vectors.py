@@ -1,11 +1,9 @@
-"""Vector columns: CSV text, one-hot, linear layer, softmax, argmax, log-sum-exp.
+"""Vector columns: CSV text, one-hot, softmax, argmax, log-sum-exp.
 
-All are array expressions evaluated inside the JVM; a model is a small K x D literal.
+All are array expressions evaluated inside the JVM.
 """
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,37 +31,12 @@ def wrap_index(index: Column | str, n: Column | str | int) -> Column:
     return F.pmod(_c(index), nn)
 
 
-def dot(x: Column, w: Column) -> Column:
-    return F.aggregate(F.zip_with(x, w, lambda a, b: a.cast("double") * b.cast("double")),
-                       F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-
-
-def matrix_literal(rows: list[list[float]]) -> Column:
-    """array<array<double>> literal from one JSON string (two JVM calls whatever the size;
-    the optimizer folds it to a single constant). Values round-trip exactly."""
-    text = json.dumps([[float(v) for v in r] for r in rows])
-    return F.from_json(F.lit(text), "array<array<double>>")
-
-
-def vector_literal(values: list[float]) -> Column:
-    return F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
-
-
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and pass it to ``body`` (a lambda column): Catalyst may
     otherwise inline an expensive expression at every reference inside a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def linear(x: Column | str, weights: list[list[float]], bias: list[float]) -> Column:
-    """x . W^T + b for a K x D weight literal -> array<double> of K logits."""
-    xv = _c(x)
-    w_lit = matrix_literal(weights)
-    b_lit = vector_literal(bias)
-    return let(xv, lambda xx: F.zip_with(F.transform(w_lit, lambda w: dot(xx, w)), b_lit,
-                                         lambda a, b: a + b))
-
-
 def softmax(z: Column | str) -> Column:
     """exp(z - max z) / sum(exp(z - max z)); z, the shifted exponentials and their sum
     are each computed once per row."""

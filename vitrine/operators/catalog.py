@@ -147,10 +147,6 @@ def cap_then_distinct(rows: DataFrame, n: int, order_cols: list[str], copies_col
             .filter(F.col("_before") < n).drop("_before", copies_col))
 
 
-def distinct_then_cap(rows: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
-    return rows.distinct().orderBy(*order_cols).limit(n)
-
-
 LABEL_SALTS = 64
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as FV
 from ..functions import vectors as V
+from ..operators import lookup as LK
 from ..operators import rules as R
 from ..operators import scoring as SC
 from ..sources.tables import read_table
@@ -187,7 +188,24 @@ SELECT two.vec_id, expected, color1, round(score1, {DEC}) AS score1, color2, rou
 FROM two JOIN ex USING (vec_id)"""
 
 
+def top_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top three classes of each vector, named by a join to a label list that lacks the last class."""
+    m = SC.fixed_model(COLOR_LABELS, DIM)
+    f = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"))
+    top = SC.top_labels(SC.score(f, m), m, ["vec_id"], FV.TOP_K_COLOR).drop("label")
+    labels = m.to_table(spark).filter(F.col("label_id") < len(COLOR_LABELS) - 1)
+    return LK.attach_label(top, labels).withColumn("score", F.round("score", DEC))
+
+
+SQL["top_colors"] = f"""WITH {logits_sql(len(COLOR_LABELS))},
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class_id DESC) AS rank FROM p)
+SELECT vec_id, CAST(rank AS INTEGER) AS rank, CAST(class_id AS INTEGER) AS label_id, round(score, {DEC}) AS score,
+       {_case('class_id', COLOR_LABELS[:-1])} AS label
+FROM r WHERE rank <= {FV.TOP_K_COLOR}"""
+
+
 QUERIES = {
+    "top_colors": top_colors,
     "color_check": color_check,
     "softmax_scores": softmax_scores,
     "topk_labels": topk_labels,

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as FV
-from ..functions.text import normalize_label
+from ..functions.text import base_name, cache_path, join_path, label_from_path, normalize_label
 from ..operators import splits as S
 from ..sources.tables import STANDIN_SQL_CTES, Catalogue, read_table
 
@@ -80,7 +80,36 @@ SELECT label, split, key,
        row_number() OVER (PARTITION BY label, split ORDER BY key) - 1 AS idx FROM splitted"""
 
 
+def variant_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants of a key share its split: each document's key with two ``_nohash_`` endings."""
+    keys = document_index(spark, sf_dir).withColumn("variant", F.explode(F.array(F.lit("_nohash_0"), F.lit("_nohash_b_nohash_1"))))
+    return S.assign_split(keys.withColumn("key", F.concat("key", "variant")).drop("variant"), "key")
+
+
+SQL["variant_split"] = f"""WITH idx_ AS (
+  SELECT doc_id, lang AS label, source || '/' || CAST(doc_id AS VARCHAR) || unnest(['_nohash_0', '_nohash_b_nohash_1']) AS key
+  FROM documents), {SPLIT_SQL}
+SELECT * FROM splitted"""
+
+
+def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of files below label folders, the cache file of each, and folder and name parsed back."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = join_path(F.lit("images"), "lang", F.concat("source", F.lit("-"), F.col("doc_id").cast("string"), F.lit(".jpg")))
+    paths = docs.select("doc_id", path.alias("path"))
+    return paths.select("doc_id", "path", cache_path("path").alias("cache"), label_from_path("path").alias("label"),
+                        base_name("path").alias("name"))
+
+
+SQL["image_paths"] = """
+SELECT doc_id, 'images/' || lang || '/' || source || '-' || doc_id || '.jpg' AS path,
+       'images/' || lang || '/' || source || '-' || doc_id || '.jpg.txt' AS cache, lang AS label,
+       source || '-' || doc_id || '.jpg' AS name FROM documents"""
+
+
 QUERIES = {
+    "variant_split": variant_split,
+    "image_paths": image_paths,
     "label_normalize": label_normalize,
     "hash_split": hash_split,
     "split_counts": split_counts,

@@ -70,7 +70,7 @@ def table_scan_query(table: str, split_column: str, num_partitions: int,
                      columns: list[str] | None = None) -> str:
     """``SELECT <columns>, mod(<split>, N) AS id_mod FROM <table>`` for a bucketed scan."""
     cols = ", ".join(columns) if columns else "t.*"
-    return f"SELECT {cols}, mod(t.{split_column}, {num_partitions}) AS {FV.BUCKET_COLUMN} FROM {table} t"
+    return bucketed_query(f"SELECT {cols}, {{bucket}} FROM {table} t", f"t.{split_column}", num_partitions)
 
 
 def read_table_bucketed(spark: SparkSession, profile: dict[str, str], table: str, split_column: str,

@@ -3,9 +3,9 @@
 New index files (manifest rows: key + input columns) dropped into a folder are picked
 up by a file stream; each micro-batch runs the same get-or-compute step as the batch
 path (``left_anti`` against the cache -> extractor -> append). A replayed batch after a
-failure finds its vectors already cached and computes nothing, so the cache ends up
-exactly-once even though the sink is a plain parquet append. The checkpoint location
-lives under the shared ``spark.checkpoint.dir``.
+failure finds the vectors that were committed already cached and computes the rest. A batch
+whose append failed half way may leave rows behind and append them again; reads are not
+affected, as they take one current row per key. The checkpoint location lives under the shared ``spark.checkpoint.dir``.
 """
 from __future__ import annotations
 
