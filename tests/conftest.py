@@ -11,9 +11,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from vitrine.session import build_session
+    from vitrine.session import build_session, clear_scratch
     s = build_session("local[8]", shuffle_partitions=8, app_name="vitrine-tests")
     yield s
+    clear_scratch(s)
 
 
 @pytest.fixture

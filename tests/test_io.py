@@ -351,3 +351,9 @@ def test_landing_splits_a_hot_label(spark, tmp_dir):
     small_files = [f for f in os.listdir(os.path.join(out, "label_folder=l1")) if f.endswith(".parquet")]
     assert len(hot_files) > 1 and len(small_files) <= len(hot_files)
     assert spark.read.parquet(out).count() == 60_000
+
+
+def test_scratch_is_the_application_s_own(spark):
+    from vitrine.session import ensure_checkpoint_dir, scratch_path
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and spark.sparkContext.applicationId in a and a.startswith(ensure_checkpoint_dir(spark))

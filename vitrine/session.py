@@ -37,6 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in PLAN_SETTINGS.items():
         builder = builder.config(k, v)
@@ -67,10 +68,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or conf
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitrine-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/vitrine/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below the shared checkpoint folder, in this application's own part."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application, through the file system that holds them. For the
+    end of a run: results that were not written elsewhere can't be read after it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 _SHIPPED: set[int] = set()
