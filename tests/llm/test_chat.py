@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from vitrine.llm import chat as c
@@ -18,7 +19,8 @@ def test_markers(line, marker, rest):
 def slow_paths(model, messages):
     """Every path of a short conversation."""
     from itertools import product
-    steps = list(model.steps(messages))
+    steps = list(model.steps([c.codes_of(x) for x in messages]))
+
     def score(path):
         return sum(m[a, b] for m, a, b in zip(steps, (c.START, *path), path))
     return max(product(range(c.START), repeat=len(steps)), key=lambda p: (round(score(p), 9), [-x for x in reversed(p)]))
@@ -27,45 +29,54 @@ def slow_paths(model, messages):
 def test_viterbi_against_all_paths():
     model = c.Model.prior()
     for messages in (["hello", "User: x?\nmore", "yes", "Bot: a"], ["System: s", "a", "b", "c"], ["a\nb\nUser: c"], [""]):
-        assert tuple(c.best_path(c.only(c.START), list(model.steps(messages)))) == slow_paths(model, messages)
-
-
-def slow_turns(model, rows):
-    """Whole conversations at once."""
-    from itertools import groupby
-    out = []
-    convs = {}
-    for conv, turn, text in sorted({(a, b, t or "") for a, b, t in rows}, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2])):
-        convs.setdefault(conv, []).append((turn, text))
-    for conv, messages in convs.items():
-        path = iter(c.best_path(c.only(c.START), list(model.steps([t for _, t in messages]))))
-        for turn, text in messages:
-            lines = [(next(path), c.observe(x)[3]) for x in text.split("\n")]
-            for part, (role, own) in enumerate(groupby(lines, key=lambda x: x[0])):
-                content = "\n".join(x for _, x in own).strip()
-                out.append((conv, turn, part, c.ROLES[role], content, c.render(c.ROLES[role], content)))
-    return sorted(out, key=str)
+        steps = list(model.steps([c.codes_of(x) for x in messages]))
+        assert tuple(c.best_path(c.only(c.START), steps)) == slow_paths(model, messages)
+
+
+def in_order(rows):
+    """Distinct messages by conversation, as they are read: by turn, then by Spark's hash of the text."""
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), seed=42) + (1 << 63)) % (1 << 64)
+    out = {}
+    for conv, turn, text in sorted({(a, b, t or "") for a, b, t in rows},
+                                   key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, signed(r[2]))):
+        out.setdefault(conv, []).append((turn, text))
+    return out
+
+
+def score(steps, path):
+    return sum(m[a, b] for m, a, b in zip(steps, (c.START, *path), path))
 
 
 @pytest.mark.parametrize("block,fan", [(256, 256), (4, 3), (1, 2)])
 def test_blocks_against_whole(spark, monkeypatch, block, fan):
+    """A best path of whole conversations: of its score, as paths of equal lines may tie."""
     monkeypatch.setattr(c, "BLOCK", block)
     rng = np.random.default_rng(block)
-    marks = ["", "", "", "User: ", "AI: ", "System: ", "Tool: ", "\n"]
-    rows = [(k, int(t), marks[rng.integers(8)] + "word " * int(rng.integers(0, 6)) + ["", "?", "\nmore"][rng.integers(3)])
+    marks = ["", "", "", "User: ", "AI: ", "System: ", "Tool: "]
+    rows = [(k, int(t), marks[rng.integers(7)] + f"{k}.{t} " + "word " * int(rng.integers(0, 6)) + "?" * int(rng.integers(2)))
             for k, n in ((1, 90), (2, 1), (3, 7), (None, 5)) for t in range(-3, n)]
     rows += [(3, 2, None), (3, None, "x"), (3, 2, "tie"), (3, 2, "tie")]
     df = spark.createDataFrame([(*r, "role", 1) for r in rows], "conv_id long, turn long, text string, role string, block int")
     model = c.Model.prior()
-    for table in model.seen:                               # no two paths are equal
-        table += rng.normal(0, 0.05, table.shape)
-    model.move[:, :c.START] += rng.normal(0, 0.05, (c.START + 1, c.START))
     ends = c.block_ends(c.messages_of(df, "conv_id", "turn", "text"), model, fan)
     monkeypatch.setattr(c, "block_ends", lambda *a: ends)
-    assert sorted(map(tuple, c.canonical_turns(df, model).collect()), key=str) == slow_turns(model, rows)
+    got = {(r.conv_id, r.turn, r.content): r.role for r in c.canonical_turns(df, model).collect()}
+    assert len(got) == len(set(rows))
+    for conv, messages in in_order(rows).items():
+        steps = list(model.steps([c.codes_of(t) for _, t in messages]))
+        best = c.best_path(c.only(c.START), steps)
+        own = [c.ROLES.index(got[conv, turn, c.observe(t)[3].strip()]) for turn, t in messages]
+        assert score(steps, own) == pytest.approx(score(steps, best), abs=1e-9)
     assert c.canonical_turns(df.filter("false"), model).count() == 0
 
 
+def test_messages_of_several_roles(spark):
+    rows = [(1, 0, "User: a?\nmore\nAI: b\n\nc\n"), (1, 1, "Tool: t"), (1, 1, "Tool: t")]
+    got = c.canonical_turns(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    assert sorted((r.turn, r.part, r.role, r.content) for r in got) == [
+        (0, 0, "user", "a?\nmore"), (0, 1, "assistant", "b\n\nc"), (1, 0, "tool", "t")]
+
+
 def test_roles_are_recovered(spark):
     """On the whole table, against the roles that the transcripts don't show."""
     at = "/root/testdata/sf0.01"

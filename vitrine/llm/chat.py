@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from itertools import groupby
+from itertools import product as product_of
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import slices, stored
 
 ROLES = ("system", "user", "assistant", "tool")
 START = len(ROLES)                           # the state before a conversation
@@ -38,15 +39,22 @@ MARKER = re.compile(r"^\s*(?:[>*#\-\[(<|]+\s*)?(?:\*\*)?(" + "|".join(sorted(map
                     + r")(?:\*\*)?\s*(?:[\])>|]+\s*:?|:)(?:\*\*)?[ \t]*", re.I)
 SHAPES = ("plain", "question", "block")
 LENGTHS = (0, 4, 12, 40)                     # words: none, under 4, under 12, under 40, more
+CODES = list(product_of(range(1 + len(ROLES)), range(len(SHAPES)), range(len(LENGTHS) + 1)))
 BLOCK, FAN = 256, 256
 NO_TURN = -(1 << 62)                         # block of messages without a turn number, before all others
 STAY = 0.98                                  # of a line's role within a message
 
-MESSAGE = T.StructType().add("conv_id", "long").add("block", "long").add("turn", "long").add("text", "string")
+CODED = (T.StructType().add("conv_id", "long").add("block", "long").add("turn", "long").add("hash", "long")
+         .add("codes", "binary"))
 TURN = (T.StructType().add("conv_id", "long").add("turn", "long").add("part", "integer").add("role", "string")
         .add("content", "string").add("rendered", "string"))
 
 
+def codes_of(text: str) -> bytes:
+    """What the model sees of a message: a byte for each line."""
+    return bytes(CODES.index(observe(line)[:3]) for line in text.split("\n"))
+
+
 def observe(line: str) -> tuple[int, int, int, str]:
     """(marker, shape, length, the line without its marker); marker 0 is none, else 1 + role."""
     found = MARKER.match(line)
@@ -91,15 +99,17 @@ class Model:
         n = len(ROLES)
         return cls(np.zeros(n), np.zeros((n, n)), [np.zeros((n, 1 + n)), np.zeros((n, len(SHAPES))), np.zeros((n, len(LENGTHS) + 1))])
 
-    def emission(self, line: str) -> np.ndarray:
-        marker, shape, length, _ = observe(line)
-        return np.append(self.seen[0][:, marker] + self.seen[1][:, shape] + self.seen[2][:, length], 0.0)
+    def emissions(self) -> np.ndarray:
+        """By code of a line, the score of seeing it in each state."""
+        return np.array([np.append(self.seen[0][:, m] + self.seen[1][:, s] + self.seen[2][:, n], 0.0) for m, s, n in CODES])
 
-    def steps(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """For each line of each message, the score of going from one role to the next and seeing it."""
-        for text in texts:
-            for nth, line in enumerate(text.split("\n")):
-                yield (self.within if nth else self.move) + self.emission(line)
+    def steps(self, messages: list[bytes]) -> Iterator[np.ndarray]:
+        """For each line of each coded message, the score of going from one role to the next and seeing it."""
+        emission = self.emissions()
+        first, later = self.move + emission[:, None], self.within + emission[:, None]
+        for codes in messages:
+            for nth, code in enumerate(codes):
+                yield (later if nth else first)[code]
 
 
 def product(steps: Iterator[np.ndarray]) -> np.ndarray:
@@ -155,20 +165,46 @@ def in_runs(df: DataFrame, keys: list[str], order: list[str], each: Callable[[tu
 
 
 def messages_of(conversations: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
-    """Distinct messages by block; a null turn comes before all others, a null text is empty."""
+    """Messages by block, with a hash that orders ties and tells copies; a null text is empty. Copies
+    within an Arrow batch are one row, so a message that very many rows repeat is few."""
     turn = F.col(turn_col).cast("long")
-    return (conversations.select(F.col(conv_col).cast("long").alias("conv_id"), turn.alias("turn"),
-                                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
-            .select("conv_id", F.expr(f"coalesce(cast(floor(turn / {BLOCK}) as bigint), {NO_TURN})").alias("block"), "turn", "text"))
+    rows = conversations.select(F.col(conv_col).cast("long").alias("conv_id"), turn.alias("turn"),
+                                F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("conv_id", F.expr(f"coalesce(cast(floor(turn / {BLOCK}) as bigint), {NO_TURN})").alias("block"), "turn",
+                       F.xxhash64("text").alias("hash"), "text")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = dict(zip(reversed(list(zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))))), range(batch.num_rows - 1, -1, -1)))
+            yield batch.take(pa.array(sorted(first.values()), pa.int64()))
+
+    return rows.mapInArrow(once, rows.schema)
+
+
+def coded(messages: DataFrame) -> DataFrame:
+    """The messages as the model sees them: a few bytes in place of each text."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                codes = pa.array([codes_of(t) for t in part.column(4).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], codes], names=CODED.names)
+
+    return messages.mapInArrow(code, CODED)
+
+
+def without_copies(rows: Iterator[tuple]) -> list[tuple]:
+    """Ordered rows (conv_id, block, turn, hash, ...) with each (turn, hash) once."""
+    return [next(group) for _, group in groupby(rows, key=lambda r: r[2:4])]
 
 
 def fit(labelled: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
         text_col: str = "text") -> Model:
-    """Counts over turns with a known role. Only counts come to the driver: one row for each pair of
-    roles and each observation."""
+    """Counts over turns with a known role; repeated rows count as often. Only counts come to the
+    driver: one row for each pair of roles and each observation."""
     rows = (labelled.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                             F.lower(role_col).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-            .filter(F.col("role").isin(*ROLES)).distinct())
+            .filter(F.col("role").isin(*ROLES)))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +238,7 @@ def block_ends(messages: DataFrame, model: Model, fan: int = FAN) -> DataFrame:
     ends = T.StructType().add("conv_id", "long").add("block", "long").add("came", "integer").add("left", "integer")
 
     def block_matrix(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
-        yield (*key, product(model.steps([r[3] for r in rows])).ravel().tolist())
+        yield (*key, product(model.steps([r[4] for r in without_copies(rows)])).ravel().tolist())
 
     def node_matrix(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
         yield (*key, product(np.array(r[3]).reshape(n, n) for r in rows).ravel().tolist())
@@ -216,7 +252,7 @@ def block_ends(messages: DataFrame, model: Model, fan: int = FAN) -> DataFrame:
         for r, a, b in zip(rows, [came, *path], path):
             yield key[0], r[2], a, b
 
-    levels = [stored(in_runs(messages, ["conv_id", "block"], ["turn", "text"], block_matrix, level), "chat-blocks")]
+    levels = [stored(in_runs(coded(messages), ["conv_id", "block"], ["turn", "hash"], block_matrix, level), "chat-blocks")]
     while not levels[-1].groupBy("conv_id").count().filter(F.col("count") > fan).isEmpty():
         up = levels[-1].select("conv_id", F.expr(f"cast(floor(block / {fan}) as bigint)").alias("up"), "block", "m")
         levels.append(stored(in_runs(up, ["conv_id", "up"], ["block"], node_matrix, level), "chat-nodes"))
@@ -243,31 +279,30 @@ def canonical_turns(conversations: DataFrame, model: Model | None = None, conv_c
                     text_col: str = "text") -> DataFrame:
     """(conv_id, turn, part, role, content, rendered) of each canonical turn.
 
-    Messages are read in order of turn, ties by text; a message that repeats conversation, turn and
+    Messages are read in order of turn, ties by a hash of the text; a message that repeats conversation, turn and
     text counts once. A null turn comes first, a null text is an empty message, which has a role and
     an empty turn; rows with a null conversation are one conversation. A message of several roles
     gives several parts. An empty table gives none; other columns, a role among them, are not looked at.
     """
     model = model or Model.prior()
     messages = messages_of(conversations, conv_col, turn_col, text_col)
-    ends = block_ends(messages, model).select("conv_id", "block", F.lit(None).cast("long").alias("turn"),
-                                              F.lit(None).cast("string").alias("text"), "came", "left")
+    none = F.lit(None)
+    ends = block_ends(messages, model).select("conv_id", "block", none.cast("long").alias("turn"), none.cast("long").alias("hash"),
+                                              none.cast("string").alias("text"), "came", "left", F.lit(0).alias("nth"))
 
     def decode(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
-        rows = list(rows)                    # a block's messages, after its ends
-        (came, left), rows = rows[0][4:6], rows[1:]
-        path = iter(best_path(only(START if came is None else came), list(model.steps([r[3] for r in rows])), left))
-        for _, _, turn, text, *_ in rows:
+        came, left = next(rows)[5:7]         # a block's ends stand before its messages
+        rows = without_copies(rows)
+        steps = list(model.steps([codes_of(r[4]) for r in rows]))
+        path = iter(best_path(only(START if came is None else came), steps, left))
+        for _, _, turn, _, text, *_ in rows:
             lines = [(next(path), observe(line)[3]) for line in text.split("\n")]
             for part, (role, own) in enumerate(groupby(lines, key=lambda x: x[0])):
                 content = "\n".join(line for _, line in own).strip()
                 yield key[0], turn, part, ROLES[role], content, render(ROLES[role], content)
 
-    none = F.lit(None).cast("int")
-    tagged = messages.select("*", none.alias("came"), F.col("text").isNull().cast("int").alias("left"))
-    both = ends.withColumn("nth", F.lit(0)).union(
-        tagged.select("conv_id", "block", "turn", "text", "came", none.alias("left"), F.lit(1).alias("nth")))
-    return in_runs(both, ["conv_id", "block"], ["nth", "turn", "text"], decode, TURN)
+    both = ends.union(messages.select("*", none.cast("int").alias("came"), none.cast("int").alias("left"), F.lit(1).alias("nth")))
+    return in_runs(both, ["conv_id", "block"], ["nth", "turn", "hash"], decode, TURN)
 
 
 def parse_transcripts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:

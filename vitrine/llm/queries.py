@@ -75,15 +75,15 @@ STYLES = {"system": ("System: ", "[system] ", "**System:** ", "### Context: "),
           "tool": ("Tool: ", "[function] ", "**Observation:** ", "### Tool result: ")}
 
 
-def transcripts(conversations: DataFrame) -> DataFrame:
-    """Messages as a transcript has them: without roles, most with a speaker marker in the style of
-    their conversation, three in ten without one (by a hash of conversation and turn)."""
+def transcripts(conversations: DataFrame, role_too: bool = False) -> DataFrame:
+    """Messages as a transcript has them: without roles (but for fitting), most with a speaker marker in
+    the style of their conversation, three in ten without one (by a hash of conversation and turn)."""
     style = F.pmod(F.xxhash64("conv_id"), F.lit(4)).cast("int")
     marker = F.lit("")
     for role, forms in STYLES.items():
         marker = F.when(F.lower("role") == role, F.array(*map(F.lit, forms))[style]).otherwise(marker)
     bare = F.pmod(F.xxhash64("conv_id", "turn", F.lit("bare")), F.lit(10)) < 3
-    return conversations.select("conv_id", "turn", F.concat(F.when(bare, "").otherwise(marker),
+    return conversations.select("conv_id", "turn", *(["role"] if role_too else []), F.concat(F.when(bare, "").otherwise(marker),
                                                             F.coalesce("text", F.lit(""))).alias("text"))
 
 
@@ -91,10 +91,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical turns of the conversations' transcripts. The model is fitted to the turns of the
     conversations outside the held-out fifth, as their transcripts show them."""
     conversations = _table(spark, sf_dir, "conversations")
-    shown = transcripts(conversations)
-    known = (conversations.filter(~held_out(F.col("conv_id"))).select("conv_id", "turn", "role", F.col("text").alias("plain"))
-             .join(shown, ["conv_id", "turn"]).filter(F.endswith("text", F.coalesce("plain", F.lit("")))))
-    return chat.canonical_turns(shown, chat.fit(known.select("conv_id", "turn", "role", "text")))
+    known = transcripts(conversations.filter(~held_out(F.col("conv_id"))), role_too=True)
+    return chat.canonical_turns(transcripts(conversations), chat.fit(known))
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash, op3_url_filter, op4_warc, op5_digest, op6_token_counts,
