@@ -11,7 +11,7 @@
    the file's colour -> enriched JSON (all colours in one pass).
 
 Each flow is one lazy plan per sink; nothing is gathered on the driver except the model
-(K x D, size-checked) and scalar counts.
+(K x D) and scalar counts.
 """
 from __future__ import annotations
 
@@ -112,7 +112,7 @@ def train_from_index(spark: SparkSession, index: DataFrame, cache_path: str, mod
     vectors = (FE.read_cache(spark, cache_path, model_version=model_version)
                .select(F.col("key").alias(key_col), "features"))
     data = (split.select(key_col, "label", "split")
-            .join(F.broadcast(classes), "label")
+            .join(classes, "label")
             .join(vectors, key_col)
             .withColumnRenamed("label_id", "true_id"))
     model = T.train_lbfgs(data.filter(F.col("split") == "training"), labels, max_iter=max_iter)
