@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +121,10 @@ class Network:
         mean = np.add.reduceat(self.weights["char"][chars], starts, axis=0) / count[:, None].astype(np.float32)
         return self.weights["word"][own] + mean, (own, chars, count)
 
+    def table(self, words: list[str], most: int = 1 << 14) -> np.ndarray:
+        """The input vectors of many words, ``most`` at a time: their sequences are many times as many."""
+        return np.concatenate([self.inputs(words[at:at + most])[0] for at in range(0, len(words), most)])
+
     def read(self, side: str, gates: np.ndarray, news: np.ndarray, index: np.ndarray, real: np.ndarray,
              keep: list | None = None) -> np.ndarray:
         """States (steps, windows, HIDDEN) of one direction. ``index`` has the row of each step and window
@@ -277,7 +282,7 @@ def train(texts: list[tuple[int, int, list[list[str]]]], epochs: int = EPOCHS, s
 
 def window_logits(net: Network, windows: list[list[str]]) -> np.ndarray:
     words, index, real = batch_of(windows)
-    return net.forward(net.inputs(words)[0], index, real)
+    return net.forward(net.table(words), index, real)
 
 
 def text_scores(net: Network, texts: list[str], block: int = 4096, most_words: int = 1 << 20) -> np.ndarray:
@@ -291,7 +296,7 @@ def text_scores(net: Network, texts: list[str], block: int = 4096, most_words: i
         nonlocal ids, pending, owner, total
         if not owner:
             return
-        table = net.inputs(list(ids))[0]
+        table = net.table(list(ids))
         data = np.concatenate([*pending, np.zeros(WINDOW, np.int64)])
         starts = np.concatenate([s for s, _, _ in owner])
         length = np.concatenate([n for _, n, _ in owner])
@@ -350,7 +355,8 @@ def training_windows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                                                  names=["doc_id", "label", "windows"])
 
     rows = marked.mapInArrow(run, "doc_id long, label int, windows array<string>").distinct().collect()
-    return [(d, y, [w.split(" ") if w else [] for w in ws])
+    # a word is one string, however often it occurs
+    return [(d, y, [[intern(x) for x in w.split(" ")] if w else [] for w in ws])
             for d, y, ws in sorted(rows, key=lambda r: (r[0], r[2]))]
 
 
