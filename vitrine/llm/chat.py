@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import groupby
 from itertools import product as product_of
 
@@ -40,6 +41,7 @@ MARKER = re.compile(r"^\s*(?:[>*#\-\[(<|]+\s*)?(?:\*\*)?(" + "|".join(sorted(map
 SHAPES = ("plain", "question", "block")
 LENGTHS = (0, 4, 12, 40)                     # words: none, under 4, under 12, under 40, more
 CODES = list(product_of(range(1 + len(ROLES)), range(len(SHAPES)), range(len(LENGTHS) + 1)))
+CODE = {seen: at for at, seen in enumerate(CODES)}
 BLOCK, FAN = 256, 256
 NO_TURN = -(1 << 62)                         # block of messages without a turn number, before all others
 STAY = 0.98                                  # of a line's role within a message
@@ -52,7 +54,7 @@ TURN = (T.StructType().add("conv_id", "long").add("turn", "long").add("part", "i
 
 def codes_of(text: str) -> bytes:
     """What the model sees of a message: a byte for each line."""
-    return bytes(CODES.index(observe(line)[:3]) for line in text.split("\n"))
+    return bytes([CODE[observe(line)[:3]] for line in text.split("\n")])
 
 
 def observe(line: str) -> tuple[int, int, int, str]:
@@ -99,14 +101,16 @@ class Model:
         n = len(ROLES)
         return cls(np.zeros(n), np.zeros((n, n)), [np.zeros((n, 1 + n)), np.zeros((n, len(SHAPES))), np.zeros((n, len(LENGTHS) + 1))])
 
-    def emissions(self) -> np.ndarray:
-        """By code of a line, the score of seeing it in each state."""
-        return np.array([np.append(self.seen[0][:, m] + self.seen[1][:, s] + self.seen[2][:, n], 0.0) for m, s, n in CODES])
+    @cached_property
+    def by_code(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """By code of a line, the score of going from one role to the next and seeing it: for a message's
+        first line, and for the others."""
+        seen = [np.append(self.seen[0][:, m] + self.seen[1][:, s] + self.seen[2][:, n], 0.0) for m, s, n in CODES]
+        return [self.move + x for x in seen], [self.within + x for x in seen]
 
     def steps(self, messages: list[bytes]) -> Iterator[np.ndarray]:
-        """For each line of each coded message, the score of going from one role to the next and seeing it."""
-        emission = self.emissions()
-        first, later = self.move + emission[:, None], self.within + emission[:, None]
+        """The scores of each line of each coded message."""
+        first, later = self.by_code
         for codes in messages:
             for nth, code in enumerate(codes):
                 yield (later if nth else first)[code]
@@ -293,10 +297,11 @@ def canonical_turns(conversations: DataFrame, model: Model | None = None, conv_c
     def decode(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
         came, left = next(rows)[5:7]         # a block's ends stand before its messages
         rows = without_copies(rows)
-        steps = list(model.steps([codes_of(r[4]) for r in rows]))
+        seen = [[observe(line) for line in r[4].split("\n")] for r in rows]
+        steps = list(model.steps([bytes([CODE[x[:3]] for x in lines]) for lines in seen]))
         path = iter(best_path(only(START if came is None else came), steps, left))
-        for _, _, turn, _, text, *_ in rows:
-            lines = [(next(path), observe(line)[3]) for line in text.split("\n")]
+        for (_, _, turn, *_), lines in zip(rows, seen):
+            lines = [(next(path), line[3]) for line in lines]
             for part, (role, own) in enumerate(groupby(lines, key=lambda x: x[0])):
                 content = "\n".join(line for _, line in own).strip()
                 yield key[0], turn, part, ROLES[role], content, render(ROLES[role], content)
