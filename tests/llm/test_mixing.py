@@ -85,3 +85,29 @@ def test_sql_with_nulls(spark, edge_docs, tmp_path):
     mixed = m.mix_sources(edge_docs.select("doc_id", "text", "source"))
     got = [(r.doc_id, r.text, r.source, r.copy, round(r.rate, 6)) for r in mixed.collect()]
     assert sorted(got, key=str) == sorted(rows, key=str)
+
+
+def test_rates_above_a_part(spark):
+    """A small source reaches its share whatever number of repetitions that takes."""
+    docs = spark.range(20_020).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20, "small").otherwise("large").alias("source"))
+    mixed = m.mix_sources(docs, weights={"small": 0.5, "large": 0.5})
+    rate = 20_020 * 0.5 / 20
+    rows = mixed.filter("source = 'small'").select("doc_id", "copy", "rate").collect()
+    assert rate > 7 * m.MAX_RATE and {round(r.rate, 6) for r in rows} == {round(rate, 6)}
+    assert abs(len(rows) - 10_010) < 500                        # five standard deviations
+    steps = {x: spark.range(1).select(m.poisson_steps(F.lit(x)).alias("s")).first().s for x in (64.0, rate - 7 * 64)}
+
+    def drawn(purpose, left):
+        u = int(hashlib.md5(f"{m.SEED}:{purpose}".encode()).hexdigest()[:13], 16) * 2.0 ** -52
+        return sum(s <= u for s in steps[left])
+    want = {i: drawn(f"count:{i}", rate - 7 * 64) + sum(drawn(f"part:{k}:{i}", 64.0) for k in range(1, 8)) for i in range(20)}
+    assert Counter((r.doc_id, r.copy) for r in rows) == Counter((i, c) for i, n in want.items() for c in range(n))
+
+
+def test_parts_are_poisson(spark):
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"))
+    for rate in (64.0, 130.0):
+        n = [r["count"] for r in m.mix_sources(docs, size=rate).groupBy("doc_id").count().collect()]
+        mean = sum(n) / 4_000
+        assert abs(mean - rate) < 5 * (rate / 4_000) ** 0.5
+        assert sum((x - mean) ** 2 for x in n) / 4_000 == pytest.approx(rate, rel=0.12)

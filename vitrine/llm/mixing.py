@@ -3,6 +3,7 @@
 A source with n documents and share w of the mixture has the mean rate w * total / n. Each document
 is repeated k times, k drawn from the Poisson distribution of that mean by inverting it at a uniform
 number from a hash of the document's id: no state, the same draw wherever and whenever a task runs.
+A mean above ``MAX_RATE`` is drawn in parts, each from its own hash, whose sum is Poisson of the mean.
 The copies are then put in a global order by another hash. All of it is DataFrame expressions.
 """
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import free_name
 
 SEED = "mix-1"
-MAX_RATE = 64.0                              # a source is repeated no more than this on average
+MAX_RATE = 64.0                              # mean of one part of a draw
 BROADCAST_SOURCES = 2_000                    # a source's row has its name and about 200 numbers
 UNIT = 2.0 ** -52
 
@@ -42,12 +43,13 @@ def poisson_steps(rate: Column, most: float = MAX_RATE) -> Column:
 
 def target_rates(docs: DataFrame, source_col: str = "source", weights: dict[str, float] | None = None,
                  power: float = 0.5, size: float = 1.0) -> DataFrame:
-    """(source, n_docs, rate, steps): one row for each source of ``docs``, null included.
+    """(source, n_docs, rate, steps, parts, part_steps): one row for each source of ``docs``, null included.
 
     ``weights`` gives the sources' shares (they are scaled to sum to one over the sources there are; a
     source it doesn't name has none). Without it a source's share is in proportion to n_docs ** power.
-    ``size`` is the mixture's expected number of documents over the input's. A rate above ``MAX_RATE``
-    is held there.
+    ``size`` is the mixture's expected number of documents over the input's. ``parts`` is how often
+    ``MAX_RATE`` goes into the rate with something left; ``steps`` are those of what is left, and
+    ``part_steps`` of one part (null where there are none).
     """
     counts = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n_docs"))
     if weights is None:
@@ -58,10 +60,12 @@ def target_rates(docs: DataFrame, source_col: str = "source", weights: dict[str,
             share = F.when(F.col("source") == name, F.lit(float(weights[name]))).otherwise(share)
     counts = counts.withColumn("share", share)
     total = counts.agg(F.sum("share").alias("shares"), F.sum("n_docs").alias("docs"))
-    rate = F.when(F.col("shares") > 0, F.least(F.lit(MAX_RATE), F.lit(float(size)) * F.col("docs") * F.col("share")
-                                               / F.col("shares") / F.col("n_docs"))).otherwise(F.lit(0.0))
-    return (counts.join(F.broadcast(total)).withColumn("rate", rate)       # total is one row
-            .select("source", "n_docs", "rate", poisson_steps(F.col("rate")).alias("steps")))
+    rate = F.when(F.col("shares") > 0, F.lit(float(size)) * F.col("docs") * F.col("share")
+                  / F.col("shares") / F.col("n_docs")).otherwise(F.lit(0.0))
+    parts = F.greatest(F.ceil(F.col("rate") / MAX_RATE) - 1, F.lit(0)).cast("int")
+    return (counts.join(F.broadcast(total)).withColumn("rate", rate).withColumn("parts", parts)   # total is one row
+            .select("source", "n_docs", "rate", poisson_steps(F.col("rate") - F.col("parts") * MAX_RATE).alias("steps"), "parts",
+                    F.when(F.col("parts") > 0, poisson_steps(F.lit(MAX_RATE))).alias("part_steps")))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: dict[str, float] | None = None,
@@ -74,9 +78,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     rate keep their names and the new ones get underscores in front. An empty table gives none.
     """
     rates = target_rates(docs, source_col, weights, power, size)
-    names = {x: free_name(docs, x) for x in ("copy", "rate", "steps", "drawn", "order_key", "mix_source")}
+    names = {x: free_name(docs, x) for x in ("copy", "rate", "steps", "parts", "part_steps", "drawn", "order_key", "mix_source")}
     side = rates.select(F.col("source").alias(names["mix_source"]), F.col("rate").alias(names["rate"]),
-                        F.col("steps").alias(names["steps"]))
+                        *[F.col(x).alias(names[x]) for x in ("steps", "parts", "part_steps")])
     if rates.select("source").limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         joined = docs.join(F.broadcast(side), docs[source_col].cast("string").eqNullSafe(F.col(names["mix_source"])))
     else:                                     # AQE splits a hot source, as the other side has one row of it
@@ -84,6 +88,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     # the count is the number of steps at or below the uniform number
     drawn = joined.withColumn(names["drawn"], uniform(seed, "count", F.col(id_col)))
     times = F.size(F.filter(F.col(names["steps"]), lambda s: s <= F.col(names["drawn"])))
+
+    def part(acc: Column, k: Column) -> Column:
+        at = uniform(seed, "part", k, F.col(id_col))
+        return acc + F.size(F.filter(F.col(names["part_steps"]), lambda s: s <= at))
+
+    parts = F.col(names["parts"])
+    times = times + F.when(parts > 0, F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), part)).otherwise(F.lit(0))
     copies = drawn.withColumn(names["copy"], F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1))))
     keyed = copies.withColumn(names["order_key"], uniform(seed, "order", F.col(id_col), F.col(names["copy"])))
     return (keyed.orderBy(names["order_key"], F.col(id_col), F.col(names["copy"]))
