@@ -265,3 +265,30 @@ def test_jobs_per_step(spark):
         return len(tracker.getJobIdsForGroup(group))
 
     assert jobs(12) - jobs(2) <= 3 * 10
+
+
+def test_registered_fit_reads_the_whole_training_split(spark, monkeypatch):
+    """Every row of the split reaches the trainer, and the result is the best fit to them, by Newton's method."""
+    import pytest
+
+    from vitrine.plans import registry
+
+    given, train = [], T.train_lbfgs
+    monkeypatch.setattr(T, "train_lbfgs", lambda df, *a, **how: given.append((df, train(df, *a, **how))) or given[-1][1])
+    out = registry.queries()["train_full"](spark, SF).collect()
+    every = {str(r.vec_id) for r in S.assign_split(SQ.features(spark, SF).withColumn("key", F.col("vec_id").cast("string")), "key")
+             .filter("split = 'training'").collect()}
+    (df, model), = given
+    rows = df.select("key", "features", "true_id").collect()
+    assert {r.key for r in rows} == every and len(rows) == len(every) == out[0].n
+    assert len(out) == 5 * 65 and all(r.fitted for r in out)
+    X = np.hstack([np.ones((len(rows), 1)), np.array([r.features for r in rows], dtype=np.float64)])
+    Y = np.eye(5)[[r.true_id for r in rows]]
+    loss = lambda W: float(np.mean(np.log(np.exp(X @ W.T).sum(axis=1)) - (Y * (X @ W.T)).sum(axis=1)))
+    W, d = np.zeros((5, X.shape[1])), X.shape[1]
+    for _ in range(30):
+        P = np.exp(X @ W.T)
+        P /= P.sum(axis=1, keepdims=True)
+        H = np.block([[(X * (P[:, i] * ((i == j) - P[:, j]))[:, None]).T @ X for j in range(5)] for i in range(5)]) / len(X)
+        W -= np.linalg.solve(H + 1e-9 * np.eye(5 * d), ((P - Y).T @ X / len(X)).ravel()).reshape(W.shape)
+    assert loss(np.column_stack([model.bias, model.weights])) == pytest.approx(loss(W), abs=1e-5)

@@ -10,6 +10,7 @@ from ..functions import vectors as V
 from ..operators import augment as AU
 from ..operators import features as FE
 from ..operators import sampling as SA
+from ..operators import scoring as SC
 from ..operators import splits as S
 from ..operators import training as T
 from ..session import scratch_path
@@ -163,6 +164,7 @@ FROM embeddings"""
 
 
 # ---------------------------------------------------------------- training
+FULL_ITER, FULL_TOL, FULL_GRADIENT = 200, 1e-9, 1e-3
 SGD_SEED, SGD_STEPS, SGD_BATCH, SGD_EVAL, SGD_VALIDATION, SGD_TEST, SGD_RATE = "sgd", 3, 40, 2, 30, 50, 0.05
 
 
@@ -203,6 +205,23 @@ def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("split", "n", F.round("accuracy", DEC).alias("accuracy"), F.round("mean_xent", DEC).alias("mean_xent"))
 
 
+def train_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The L-BFGS fit to every row of the training split, written by the model sink and read back. Of each
+    weight (dim -1 is the bias): its class, the rows fitted to, the mean over them of the class's own
+    values there, and whether the model's expected mean is that one, which only the best fit's is."""
+    path = scratch_path(spark, "full-model")
+    rows = _training_frame(spark, sf_dir).filter(F.col("split") == "training")
+    sinks.write_model(T.train_lbfgs(rows, FV.SHIPPED_LABELS, max_iter=FULL_ITER, tol=FULL_TOL).to_table(spark), path)
+    found = SC.SoftmaxModel.from_table(spark.read.parquet(path))
+    own = (rows.select("true_id", F.posexplode(F.concat(F.array(F.lit(1.0)), F.col("features").cast("array<double>"))).alias("at", "x"))
+           .groupBy((F.col("true_id")).alias("class_id"), (F.col("at") - 1).cast("int").alias("dim")).agg(F.sum("x").alias("total")))
+    n = rows.count()
+    return (T.gradient(rows, found).join(own, ["class_id", "dim"], "left")
+            .select("class_id", found.label_of("class_id").alias("label"), "dim", F.lit(n).cast("bigint").alias("n"),
+                    F.round(F.coalesce("total", F.lit(0.0)) / n, DEC).alias("own_mean"),
+                    (F.abs("grad") < FULL_GRADIENT).alias("fitted")))
+
+
 def _draws_sql(name: str, what: str, split: str, n: int) -> str:
     """A class-balanced batch list: draw number, vector and class."""
     return f"""
@@ -279,6 +298,12 @@ SELECT r.split, count(*) AS n, round(avg(CAST(t.k = t.class_id AS DOUBLE)), {DEC
 FROM rows_ r JOIN every t ON t.id = r.vec_id AND t.place = 1
      JOIN every own ON own.id = r.vec_id AND own.k = own.class_id GROUP BY r.split"""
 
+SQL["train_full"] = _SGD_SQL + f""",
+split_rows AS (SELECT vec_id, class_id FROM rows_ WHERE split = 'training')
+SELECT w.class_id, {SQ._case('w.class_id', FV.SHIPPED_LABELS)} AS label, w.dim, (SELECT count(*) FROM split_rows) AS n,
+       round(coalesce(sum(x.x), 0) / (SELECT count(*) FROM split_rows), {DEC}) AS own_mean, true AS fitted
+FROM w0 w LEFT JOIN (split_rows r JOIN x USING (vec_id)) ON r.class_id = w.class_id AND x.dim = w.dim GROUP BY w.class_id, w.dim"""
+
 
 # ---------------------------------------------------------------- augmentation
 def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,6 +421,7 @@ QUERIES = {
     "vector_csv": feature_csv_roundtrip,
     "sgd_steps": sgd_steps,
     "train_softmax": train_softmax,
+    "train_full": train_full,
     "training_metrics": training_metrics,
     "augment_draws": augment_draws,
     "augment_flip_crop_brightness": augment_flip_crop_brightness,
