@@ -63,3 +63,20 @@ def test_files_round_trip(spark, tmp_path):
             data = data[4:]
             found.append((fields["WARC-Record-ID"], fields["WARC-Type"], block.decode()))
     assert sorted(found) == sorted((r.record_id, r.record_type, r.block) for r in records.collect())
+
+
+def test_tags_that_drop_nothing_after_them():
+    """A self-closed svg is empty, and a custom element is not the element its name begins with."""
+    for tag in ("<svg/>", '<svg class="i" />', "<SVG viewBox='0 0 1 1'/>", "<svg-icon name=x></svg-icon>", "<template-card>",
+                "<style-guide/>", "<textarea-x></textarea-x>", "<script-a>", "<noscript-b>"):
+        page = f"<p>one {tag} two</p><title>T</title><p>three <a href=/y>l</a>"
+        assert warc.plain_text(page) == "one two\nT\nthree l", tag
+        made = {r["record_type"]: r for r in warc.derive(dict.fromkeys(("page_id", "record_id", "record_date", "payload_digest", "block_digest"))
+                                                         | {"target_uri": "http://a.org/x", "block": page.encode()})}
+        meta = json.loads(made["metadata"]["block"])
+        assert (meta["title"], meta["links"]) == ("T", ["http://a.org/y"]), tag
+    for gone in ("<svg><title>no</title></svg>", "<svg\nwidth=1><svg/>no</svg >", "<template>no<template-card>no</template>",
+                 "<style>no</style-x>no</style>", "<script src=x>no</script\n>", "<textarea/>no</textarea>"):
+        assert warc.plain_text(f"one {gone} two") == "one two", gone
+    assert warc.plain_text("one <svg no") == warc.plain_text("one <style") == "one"
+    assert warc.plain_text("<title-bar>a</title-bar>") == "a" and warc.TITLE.search("<title-bar>a") is None

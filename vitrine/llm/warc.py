@@ -33,9 +33,11 @@ DERIVED = ("page_id long, record_type string, record_id string, refers_to string
            "target_uri string, record_date string, content_type string, content_length long, block_digest string, "
            "source_payload_digest string, source_block_digest string, header string, block string")
 
-DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea)\b[^>]*(?:>|\Z).*?(?:</\1\s*>|\Z)",
+# a name ends at white space, '/' or '>', so <svg-icon> is another element; of these only svg can close itself
+DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<svg(?:/|\s[^>]*/)>"
+                     r"|<(script|style|noscript|template|svg|textarea)(?=[\s/>]|\Z)[^>]*(?:>|\Z).*?(?:</\1(?=[\s/>])[^>]*>|\Z)",
                      re.S | re.I)
-TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
 BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|"
                    r"hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|th|thead|title|tr|ul)\b[^>]*(?:>|\Z)", re.I)
 TAG = re.compile(r"<[a-zA-Z/!?][^>]*(?:>|\Z)")
