@@ -103,3 +103,23 @@ def test_transcripts_and_marks_of_the_form(spark, edge_docs):
     assert len([r for r in rows if r[0] in (2, 3)]) == 2
     assert all(r.rendered.count("<|im_end|>") == 1 for r in c.parse_transcripts(docs).collect())
     assert c.parse_transcripts(edge_docs).count() > 10
+
+
+def test_blocks_are_bounded_whatever_the_turns(spark, monkeypatch):
+    """Neither a null turn, a null conversation nor a turn number that restarts makes a block larger."""
+    monkeypatch.setattr(c, "BLOCK", 8)
+    rng = np.random.default_rng(8)
+    marks = ["", "", "User: ", "AI: "]
+    rows = [(conv, turn, marks[rng.integers(4)] + f"{conv} {turn} {i}" + "?" * int(rng.integers(2)))
+            for conv, turn, n in ((None, None, 150), (1, 0, 90), (1, 1, 90), (2, None, 40), (0, 5, 30), (None, 3, 20)) for i in range(n)]
+    rows += rows[:30] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(7)
+    sizes = c.messages_of(df, "conv_id", "turn", "text").groupBy("conv_id", "block").count().collect()
+    assert max(r["count"] for r in sizes) == 8 and sum(r["count"] for r in sizes) == len(set(rows))
+    model = c.Model.prior()
+    got = {(r.conv_id, r.turn, r.content): r.role for r in c.canonical_turns(df, model).collect()}
+    assert len(got) == len(set(rows))
+    for conv, messages in in_order(rows).items():
+        steps = list(model.steps([c.codes_of(t) for _, t in messages]))
+        own = [c.ROLES.index(got[conv, turn, c.observe(t)[3].strip()]) for turn, t in messages]
+        assert score(steps, own) == pytest.approx(score(steps, c.best_path(c.only(c.START), steps)), abs=1e-9)

@@ -6,17 +6,19 @@ and observation probabilities are counted on labelled turns over fixed prior cou
 best path gives the role of each line; lines of one message seldom change it. A message whose lines
 have one role is one canonical turn; where the role changes inside it, another turn begins.
 
-A conversation can be of any length. It is cut into blocks of ``BLOCK`` turn numbers, and a block is
+A conversation can be of any length. It is cut into blocks of ``BLOCK`` messages by their places in it, whatever
+their turn numbers, and a block, which holds a few bytes for each message, is
 summed up by the best score from each role before it to each role at its end, a max-plus matrix.
 These are multiplied up a tree with ``FAN`` blocks to a node, the best path's roles at the block ends
 are fixed from the top down, and each block is then decoded by itself. The result is a best path of
-the whole conversation (of equal paths the one with the smaller roles at block ends, then within); no
-task holds more than a block or ``FAN`` matrices.
+the whole conversation (of equal paths the one with the smaller roles at block ends, then within). The
+roles are then put to the texts message by message; no task holds more than the codes of a block, a
+message's text or ``FAN`` matrices.
 """
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 from itertools import groupby
 from itertools import product as product_of
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ranking import index_within_group
 from .common import slices, stored
 
 ROLES = ("system", "user", "assistant", "tool")
@@ -43,11 +46,10 @@ LENGTHS = (0, 4, 12, 40)                     # words: none, under 4, under 12, u
 CODES = list(product_of(range(1 + len(ROLES)), range(len(SHAPES)), range(len(LENGTHS) + 1)))
 CODE = {seen: at for at, seen in enumerate(CODES)}
 BLOCK, FAN = 256, 256
-NO_TURN = -(1 << 62)                         # block of messages without a turn number, before all others
 STAY = 0.98                                  # of a line's role within a message
 
-CODED = (T.StructType().add("conv_id", "long").add("block", "long").add("turn", "long").add("hash", "long")
-         .add("codes", "binary"))
+CODED = T.StructType().add("conv_id", "long").add("turn", "long").add("hash", "long").add("codes", "binary")
+DECODED = T.StructType().add("conv_id", "long").add("turn", "long").add("hash", "long").add("roles", "binary")
 TURN = (T.StructType().add("conv_id", "long").add("turn", "long").add("part", "integer").add("role", "string")
         .add("content", "string").add("rendered", "string"))
 
@@ -108,7 +110,7 @@ class Model:
         seen = [np.append(self.seen[0][:, m] + self.seen[1][:, s] + self.seen[2][:, n], 0.0) for m, s, n in CODES]
         return [self.move + x for x in seen], [self.within + x for x in seen]
 
-    def steps(self, messages: list[bytes]) -> Iterator[np.ndarray]:
+    def steps(self, messages: Iterable[bytes]) -> Iterator[np.ndarray]:
         """The scores of each line of each coded message."""
         first, later = self.by_code
         for codes in messages:
@@ -168,38 +170,41 @@ def in_runs(df: DataFrame, keys: list[str], order: list[str], each: Callable[[tu
             .sortWithinPartitions(*keys, *order).mapInArrow(run, schema))
 
 
-def messages_of(conversations: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
-    """Messages by block, with a hash that orders ties and tells copies; a null text is empty. Copies
-    within an Arrow batch are one row, so a message that very many rows repeat is few."""
-    turn = F.col(turn_col).cast("long")
-    rows = conversations.select(F.col(conv_col).cast("long").alias("conv_id"), turn.alias("turn"),
+def texts_of(conversations: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
+    """Messages with a hash that orders ties and tells copies; a null text is empty. Copies within an
+    Arrow batch are one row, so a message that very many rows repeat is few."""
+    rows = conversations.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("conv_id", F.expr(f"coalesce(cast(floor(turn / {BLOCK}) as bigint), {NO_TURN})").alias("block"), "turn",
-                       F.xxhash64("text").alias("hash"), "text")
+    rows = rows.select("conv_id", "turn", F.xxhash64("text").alias("hash"), "text")
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = dict(zip(reversed(list(zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))))), range(batch.num_rows - 1, -1, -1)))
+            first = dict(zip(reversed(list(zip(*(batch.column(i).to_pylist() for i in range(3))))), range(batch.num_rows - 1, -1, -1)))
             yield batch.take(pa.array(sorted(first.values()), pa.int64()))
 
     return rows.mapInArrow(once, rows.schema)
 
 
-def coded(messages: DataFrame) -> DataFrame:
+def coded(texts: DataFrame) -> DataFrame:
     """The messages as the model sees them: a few bytes in place of each text."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                codes = pa.array([codes_of(t) for t in part.column(4).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], codes], names=CODED.names)
+                codes = pa.array([codes_of(t) for t in part.column(3).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], codes], names=CODED.names)
 
-    return messages.mapInArrow(code, CODED)
+    return texts.mapInArrow(code, CODED)
 
 
-def without_copies(rows: Iterator[tuple]) -> list[tuple]:
-    """Ordered rows (conv_id, block, turn, hash, ...) with each (turn, hash) once."""
-    return [next(group) for _, group in groupby(rows, key=lambda r: r[2:4])]
+def messages_of(conversations: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
+    """(conv_id, block, turn, hash, codes): distinct coded messages, ``BLOCK`` to a block by their places
+    in the conversation's order of turn and hash, whatever the turn numbers are."""
+    found = coded(texts_of(conversations, conv_col, turn_col, text_col)).dropDuplicates(["conv_id", "turn", "hash"])
+    # numbered by columns without nulls, as the numbers are joined by them
+    known = stored(found, "chat-codes").select("*", F.col("conv_id").isNull().alias("none"), F.coalesce("conv_id", F.lit(0)).alias("conv"))
+    return (index_within_group(known, ["none", "conv"], ["turn", "hash"])
+            .select("conv_id", F.expr(f"idx div {BLOCK}").alias("block"), "turn", "hash", "codes"))
 
 
 def fit(labelled: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -242,7 +247,7 @@ def block_ends(messages: DataFrame, model: Model, fan: int = FAN) -> DataFrame:
     ends = T.StructType().add("conv_id", "long").add("block", "long").add("came", "integer").add("left", "integer")
 
     def block_matrix(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
-        yield (*key, product(model.steps([r[4] for r in without_copies(rows)])).ravel().tolist())
+        yield (*key, product(model.steps(r[4] for r in rows)).ravel().tolist())
 
     def node_matrix(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
         yield (*key, product(np.array(r[3]).reshape(n, n) for r in rows).ravel().tolist())
@@ -256,7 +261,7 @@ def block_ends(messages: DataFrame, model: Model, fan: int = FAN) -> DataFrame:
         for r, a, b in zip(rows, [came, *path], path):
             yield key[0], r[2], a, b
 
-    levels = [stored(in_runs(coded(messages), ["conv_id", "block"], ["turn", "hash"], block_matrix, level), "chat-blocks")]
+    levels = [stored(in_runs(messages, ["conv_id", "block"], ["turn", "hash"], block_matrix, level), "chat-blocks")]
     while not levels[-1].groupBy("conv_id").count().filter(F.col("count") > fan).isEmpty():
         up = levels[-1].select("conv_id", F.expr(f"cast(floor(block / {fan}) as bigint)").alias("up"), "block", "m")
         levels.append(stored(in_runs(up, ["conv_id", "up"], ["block"], node_matrix, level), "chat-nodes"))
@@ -292,22 +297,28 @@ def canonical_turns(conversations: DataFrame, model: Model | None = None, conv_c
     messages = messages_of(conversations, conv_col, turn_col, text_col)
     none = F.lit(None)
     ends = block_ends(messages, model).select("conv_id", "block", none.cast("long").alias("turn"), none.cast("long").alias("hash"),
-                                              none.cast("string").alias("text"), "came", "left", F.lit(0).alias("nth"))
+                                              none.cast("binary").alias("codes"), "came", "left", F.lit(0).alias("nth"))
 
     def decode(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
         came, left = next(rows)[5:7]         # a block's ends stand before its messages
-        rows = without_copies(rows)
-        seen = [[observe(line) for line in r[4].split("\n")] for r in rows]
-        steps = list(model.steps([bytes([CODE[x[:3]] for x in lines]) for lines in seen]))
-        path = iter(best_path(only(START if came is None else came), steps, left))
-        for (_, _, turn, *_), lines in zip(rows, seen):
-            lines = [(next(path), line[3]) for line in lines]
-            for part, (role, own) in enumerate(groupby(lines, key=lambda x: x[0])):
-                content = "\n".join(line for _, line in own).strip()
-                yield key[0], turn, part, ROLES[role], content, render(ROLES[role], content)
+        rows = list(rows)
+        path = iter(best_path(only(START if came is None else came), list(model.steps(r[4] for r in rows)), left))
+        for _, _, turn, order, codes, *_ in rows:
+            yield key[0], turn, order, bytes(next(path) for _ in codes)
+
+    def write(key: tuple, rows: Iterator[tuple]) -> Iterator[tuple]:
+        roles, text = next(rows)[3], next(rows)[4]      # a message's roles stand before its copies
+        lines = [(role, observe(line)[3]) for role, line in zip(roles, text.split("\n"), strict=True)]
+        for part, (role, own) in enumerate(groupby(lines, key=lambda x: x[0])):
+            content = "\n".join(line for _, line in own).strip()
+            yield key[0], key[1], part, ROLES[role], content, render(ROLES[role], content)
 
     both = ends.union(messages.select("*", none.cast("int").alias("came"), none.cast("int").alias("left"), F.lit(1).alias("nth")))
-    return in_runs(both, ["conv_id", "block"], ["nth", "turn", "hash"], decode, TURN)
+    decoded = in_runs(both, ["conv_id", "block"], ["nth", "turn", "hash"], decode, DECODED)
+    texts = texts_of(conversations, conv_col, turn_col, text_col)
+    both = (decoded.select("*", none.cast("string").alias("text"), F.lit(0).alias("nth"))
+            .union(texts.select("conv_id", "turn", "hash", none.cast("binary").alias("roles"), "text", F.lit(1).alias("nth"))))
+    return in_runs(both, ["conv_id", "turn", "hash"], ["nth"], write, TURN)
 
 
 def parse_transcripts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
