@@ -5,7 +5,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontaminate, digest, mixing, quality, simhash, token_counts, toxicity, url_filter, warc
+from . import (chat, decontaminate, digest, mixing, quality, repair, simhash, token_counts, token_files, toxicity,
+               url_filter, warc, whitening)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -95,8 +96,40 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.canonical_turns(transcripts(conversations), chat.fit(known))
 
 
+WORD_TOKENIZER, END_ID = "word_bpe_49k.json", 2
+
+
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32), all from the files written in this run."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    token_files.write_ids(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), END_ID)
+    return token_files.read_checksums(spark, path)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Messages with a twentieth each dropped, emptied, stripped of its full stops, repeated, made the user's."""
+    own = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    rows = conversations.select("conv_id", "turn", own["role"].alias("role"), own["text"].alias("text"),
+                                (F.crc32(F.concat(own["conv_id"], F.lit(":"), own["turn"]).cast("binary")) % 20).alias("how"))
+    text = F.when(F.col("how") == 1, "").when(F.col("how") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.when(F.col("how") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return (rows.filter("how <> 0").select("conv_id", "turn", F.when(F.col("how") == 4, "user").otherwise(F.col("role")).alias("role"),
+                                           text.alias("text"), F.explode(copies).alias("copy")).drop("copy"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.repair(damaged(conversations), conversations)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_simhash, op3_url_filter, op4_warc, op5_digest, op6_token_counts,
-                                   op7_toxicity, op8_mixing, op9_quality, op10_chat)}
+                                   op7_toxicity, op8_mixing, op9_quality, op10_chat, op11_token_files, op12_repair, op13_whitening)}
 
 
 def _any_of(terms: tuple[str, ...]) -> str:
