@@ -1,10 +1,19 @@
-"""Feature vectors: pluggable extraction and an incremental cache table.
+"""Feature vectors: pluggable extraction and an incremental cache.
 
-The cache is a parquet table (key, model_version, content_hash, batch_id, seq, features), only
-ever appended to. A key's current row for a model version is the one of the largest ``seq``,
-the number of the fill that wrote it; ``read_cache`` returns these alone. Filling computes the
-index rows that have no current row, or one of another content: running it again computes
-nothing, adding images computes only those, and an image that changes back is computed again.
+Below the cache's folder, a fill is three things, written in this order:
+
+``vectors/fill=<id>/``   (key, model_version, content_hash, batch_id, seq, features)
+``keys/fill=<id>/``      the same rows without their vectors: the index that fills look keys up in
+``fills/``               one row (fill, model_version, seq, rows, bits, replaces): the fill is there from now
+                         on. ``bits`` is a Bloom filter of its keys, at most ``MOST_BITS`` bits whatever the
+                         fill's size.
+
+A fill that broke off has no row in ``fills`` and is never read. ``seq`` counts the fills of a model
+version; a key's current row is the one of the largest, and ``read_cache`` returns these alone. Filling
+computes the index rows that have no current row, or one of another content: running it again computes
+nothing, adding images computes only those, and an image that changes back is computed again. Only keys
+and content hashes are read to find that out; inputs are read for rows that are computed, vectors never.
+``compact_cache`` writes the current rows of all fills as one fill, which replaces them.
 """
 from __future__ import annotations
 
@@ -13,12 +22,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..session import delete_folder, ship_package, stored
 
 
 # extractor: pandas frame of input columns -> (n x dim) float array
@@ -84,64 +95,222 @@ def missing_keys(index: DataFrame, cache: DataFrame, index_key: str, cache_key:
     return index.join(c, index_key, "left_anti")
 
 
-CACHE_SCHEMA = ("key {key_type}, model_version string, content_hash string, batch_id string, seq bigint, "
-                "features array<float>")
+KEY_COLUMNS = "key {key_type}, model_version string, content_hash string, batch_id string, seq bigint"
+FILLS_SCHEMA = "fill string, model_version string, seq bigint, rows bigint, bits binary, replaces array<string>"
+BITS_A_KEY, MOST_BITS, PROBES = 12, 1 << 23, 4
+FILTERS = 64                                 # fills whose filters are tried; with more, every key is looked up
 
 
-def read_cache_rows(spark: SparkSession, path: str, key_type: str = "string") -> DataFrame:
-    """Every row ever appended; none where no table has been written yet."""
-    schema = CACHE_SCHEMA.format(key_type=key_type)
+def live_fills(spark: SparkSession, path: str, model_version: str | None = None, bits: bool = False) -> list:
+    """Rows (fill, model_version, seq, rows[, bits]) of the fills that no compaction has replaced, by seq: a few
+    numbers for each. Only a missing folder counts as an empty cache."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        fills = spark.read.schema(FILLS_SCHEMA).parquet(f"{path}/fills")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
+        return []
+    if model_version is not None:
+        fills = fills.filter(F.col("model_version") == model_version)
+    rows = fills.select("fill", "model_version", "seq", "rows", "replaces", *(["bits"] if bits else [])).collect()
+    gone = {f for r in rows for f in r["replaces"] or []}
+    return sorted((r for r in rows if r["fill"] not in gone), key=lambda r: (r["seq"], r["fill"]))
+
+
+def _read_fills(spark: SparkSession, path: str, what: str, fills: list, schema: str) -> DataFrame:
+    if not fills:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{what}/fill={r['fill']}" for r in fills])
+
+
+def read_keys(spark: SparkSession, path: str, key_type: str = "string", model_version: str | None = None) -> DataFrame:
+    """The key index: every row of the live fills, without vectors."""
+    return _read_fills(spark, path, "keys", live_fills(spark, path, model_version), KEY_COLUMNS.format(key_type=key_type))
+
+
+def read_cache_rows(spark: SparkSession, path: str, key_type: str = "string", model_version: str | None = None) -> DataFrame:
+    """Every row of the live fills with its vector, superseded ones too."""
+    schema = KEY_COLUMNS.format(key_type=key_type) + ", features array<float>"
+    return _read_fills(spark, path, "vectors", live_fills(spark, path, model_version), schema)
+
+
+def _newest(keys: DataFrame) -> DataFrame:
+    """(key, model_version, _newest(seq, batch_id, content_hash), _rows)."""
+    return keys.groupBy("key", "model_version").agg(
+        F.max(F.struct("seq", "batch_id", "content_hash")).alias("_newest"), F.count(F.lit(1)).alias("_rows"))
 
 
 def read_cache(spark: SparkSession, path: str, key_type: str = "string",
                model_version: str | None = None) -> DataFrame:
-    """The current row of each key and model version (of rows that a first fill wrote twice, the one
-    of the largest batch id). Rows written without ``seq`` count as the oldest."""
-    rows = read_cache_rows(spark, path, key_type)
-    if model_version is not None:
-        rows = rows.filter(F.col("model_version") == model_version)
-    newest = F.struct(F.coalesce("seq", F.lit(0)), "batch_id", F.xxhash64("features"))
-    keys = ["key"] if model_version is not None else ["key", "model_version"]
-    current = rows.groupBy(*keys).agg(
-        F.max_by(F.struct("model_version", "content_hash", "batch_id", "seq", "features"), newest).alias("_r"))
-    return current.select("key", "_r.*")
+    """The current row of each key and model version (of two fills of one number, that of the larger batch id).
 
+    Vectors are not shuffled: superseded rows are found in the key index and left out by an anti join, which
+    the planner broadcasts while they are few; with one fill a version there are none."""
+    rows = read_cache_rows(spark, path, key_type, model_version)
+    versions = [r["model_version"] for r in live_fills(spark, path, model_version)]
+    if len(versions) == len(set(versions)):
+        return rows
+    keys = read_keys(spark, path, key_type, model_version)
+    many = _newest(keys).filter("_rows > 1").select(F.col("key").alias("_key"), F.col("model_version").alias("_version"), "_newest")
+    old = (keys.join(many, F.col("key").eqNullSafe(F.col("_key")) & (F.col("model_version") == F.col("_version")))
+           .filter(F.struct("seq", "batch_id", "content_hash") < F.col("_newest"))
+           .select("_key", "_version", F.col("seq").alias("_seq"), F.col("batch_id").alias("_batch")))
+    return rows.join(old, F.col("key").eqNullSafe(F.col("_key")) & (F.col("model_version") == F.col("_version"))
+                     & (F.col("seq") == F.col("_seq")) & (F.col("batch_id") == F.col("_batch")), "left_anti")
 
-def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col: str,
-               input_cols: list[str], factory: Callable[[], Extractor], model_version: str,
-               dim: int, key_type: str = "string", content_hash_col: str | None = None) -> int:
-    """Compute and append vectors for index keys without a current row for this model version
-    (and, with ``content_hash_col``, of this content; a NULL hash equals a NULL hash). A key
-    that the index has more than once is taken once, with the smallest content hash, then
-    inputs. Returns the number of vectors added."""
-    import uuid
 
-    batch_id = uuid.uuid4().hex
-    rows = read_cache_rows(spark, cache_path, key_type).filter(F.col("model_version") == model_version)
-    seq = 1 + (rows.agg(F.max("seq")).first()[0] or 0)
-    cache = read_cache(spark, cache_path, key_type, model_version)
+# ---- Bloom filters of keys
+
+def _probes(first: np.ndarray, second: np.ndarray, size: int) -> np.ndarray:
+    """Places of each key in a filter of ``size`` bits, a power of two."""
+    step = np.arange(PROBES, dtype=np.uint64)[:, None]
+    return (first.view(np.uint64) + step * (second.view(np.uint64) | np.uint64(1))) & np.uint64(size - 1)
+
+
+def _two_hashes(key: str) -> list:
+    return [F.xxhash64(key).alias("_h1"), F.xxhash64(F.lit("second"), key).alias("_h2")]
+
+
+def build_filter(keys: DataFrame, rows: int) -> bytes:
+    """A filter of the keys: each task gives the words it sets, which an aggregation joins. It has a power
+    of two of bits, ``MOST_BITS`` at most; a larger fill's filter lets more keys pass to the look-up."""
+    size = min(MOST_BITS, 1 << max(10, (rows * BITS_A_KEY - 1).bit_length()))
+
+    def run(batches):
+        bits = np.zeros(size, bool)
+        for batch in batches:
+            bits[_probes(batch.column(0).to_numpy(), batch.column(1).to_numpy(), size)] = True
+        words = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], names=["at", "word"])
+
+    out = np.zeros(size // 64, np.int64)
+    for at, word in (keys.select(*_two_hashes("key")).mapInArrow(run, "at long, word long")
+                     .groupBy("at").agg(F.bit_or("word")).collect()):
+        out[at] = word
+    return out.tobytes()
+
+
+def with_filters(keys: DataFrame, key_col: str, filters: list[bytes]) -> DataFrame:
+    """The keys with ``_may``: false where no filter has the key."""
+    names = keys.columns
+    hashed = keys.select(*names, *_two_hashes(key_col))
+
+    def run(batches):
+        sets = [np.unpackbits(np.frombuffer(f, np.uint8)) for f in filters]
+        for batch in batches:
+            h1, h2 = (batch.column(len(names) + i).to_numpy() for i in (0, 1))
+            may = np.zeros(batch.num_rows, bool)
+            for bits in sets:
+                may |= bits[_probes(h1, h2, len(bits))].all(axis=0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(may)], names=[*names, "_may"])
+
+    return hashed.mapInArrow(run, T.StructType([*keys.schema.fields, T.StructField("_may", T.BooleanType())]))
+
+
+# ---- filling
+
+def uncached_keys(spark: SparkSession, index: DataFrame, cache_path: str, key_col: str, model_version: str,
+                  key_type: str = "string", content_hash_col: str | None = None) -> DataFrame:
+    """(key_col, _content_hash) of the index keys without a current row for this model version (and, with
+    ``content_hash_col``, of this content). A NULL hash is a content, and a NULL key a key. A key that the
+    index has more than once is taken once, with the smallest hash. Of the index only these two columns are
+    read, of the cache only its key index; keys that no fill's filter has are not looked up there."""
+    ship_package(spark)
     chash = F.col(content_hash_col).cast("string") if content_hash_col else F.lit(None).cast("string")
-    first = F.min(F.struct(chash.alias("_content_hash"), *input_cols)).alias("_first")
-    keyed = (index.groupBy(F.col(key_col).cast(key_type).alias(key_col)).agg(first)
-             .select(key_col, "_first.*"))
-    cached = cache.select(F.col("key").alias("_key"), F.col("content_hash").alias("_cached"))
-    same = F.col(key_col) == F.col("_key")
+    keyed = (index.select(F.col(key_col).cast(key_type).alias(key_col), chash.alias("_content_hash"))
+             .groupBy(key_col).agg(F.min("_content_hash").alias("_content_hash")))
+    fills = live_fills(spark, cache_path, model_version, bits=True)
+    if not fills:
+        return keyed
+    keys = _read_fills(spark, cache_path, "keys", fills, KEY_COLUMNS.format(key_type=key_type))
+    cached = keys.select("key", "content_hash") if len(fills) == 1 else _newest(keys).select("key", "_newest.content_hash")
+    cached = cached.withColumnsRenamed({"key": "_key", "content_hash": "_cached"})
+    same = F.col(key_col).eqNullSafe(F.col("_key"))
     if content_hash_col:
         same = same & F.col("_content_hash").eqNullSafe(F.col("_cached"))
-    todo = keyed.join(cached, same, "left_anti")
-    vecs = extract_features(todo, factory, model_version, key_col, input_cols, dim,
-                            keep_cols=["_content_hash"])
-    added = Observation()
-    (vecs.select(F.col(key_col).cast(key_type).alias("key"),
-                 F.lit(model_version).alias("model_version"),
-                 F.col("_content_hash").alias("content_hash"),
-                 F.lit(batch_id).alias("batch_id"), F.lit(seq).cast("bigint").alias("seq"), "features")
-     .observe(added, F.count(F.lit(1)).alias("n"))
-     .write.mode("append").parquet(cache_path))
-    return added.get["n"]
+    if len(fills) > FILTERS:
+        return keyed.join(cached, same, "left_anti")
+    flagged = with_filters(keyed, key_col, [bytes(r["bits"]) for r in fills])
+    known = flagged.filter("_may").join(cached, same, "left_anti")
+    return flagged.filter("not _may").union(known).drop("_may")
+
+
+def _commit(spark: SparkSession, path: str, fill: str, model_version: str, seq: int, key_type: str, replaces: list[str]) -> int:
+    """Write the key index of a fill's vectors, then the row that makes it one. Returns its number of rows."""
+    schema = KEY_COLUMNS.format(key_type=key_type)
+    here = [{"fill": fill}]
+    _read_fills(spark, path, "vectors", here, schema).write.parquet(f"{path}/keys/fill={fill}")
+    keys = _read_fills(spark, path, "keys", here, schema)
+    rows = keys.count()
+    row = (fill, model_version, seq, rows, bytearray(build_filter(keys, rows)), replaces)
+    spark.createDataFrame([row], FILLS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/fills")
+    return rows
+
+
+def add_vectors(spark: SparkSession, vectors: DataFrame, cache_path: str, model_version: str, key_type: str = "string",
+                batch_id: str | None = None) -> int:
+    """Append ready vectors (key, content_hash, features), keys distinct, as one fill. Returns their number."""
+    import uuid
+
+    ship_package(spark)
+    fill = uuid.uuid4().hex
+    seq = 1 + max((r["seq"] for r in live_fills(spark, cache_path, model_version)), default=0)
+    (vectors.select(F.col("key").cast(key_type).alias("key"), F.lit(model_version).alias("model_version"),
+                    F.col("content_hash").cast("string").alias("content_hash"), F.lit(batch_id or fill).alias("batch_id"),
+                    F.lit(seq).cast("bigint").alias("seq"), F.col("features").cast("array<float>").alias("features"))
+     .write.parquet(f"{cache_path}/vectors/fill={fill}"))
+    return _commit(spark, cache_path, fill, model_version, seq, key_type, [])
+
+
+def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col: str,
+               input_cols: list[str], factory: Callable[[], Extractor], model_version: str,
+               dim: int, key_type: str = "string", content_hash_col: str | None = None,
+               fetch: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """Compute and append vectors for the index's ``uncached_keys``; returns their number. Inputs are the
+    index's ``input_cols`` in the rows of such a key and hash (the smallest, where they differ), or what
+    ``fetch`` adds to (key_col, _content_hash) rows. When no key is missing neither is read, and nothing written."""
+    todo = stored(uncached_keys(spark, index, cache_path, key_col, model_version, key_type, content_hash_col), "uncached")
+    if todo.isEmpty():
+        return 0
+    if fetch is not None:
+        rows = fetch(todo)
+    else:
+        chash = F.col(content_hash_col).cast("string") if content_hash_col else F.lit(None).cast("string")
+        wanted = todo.select(F.col(key_col).alias("_key"), F.col("_content_hash").alias("_wanted"))
+        of_key = index.select(F.col(key_col).cast(key_type).alias(key_col), chash.alias("_content_hash"),
+                              F.struct(*input_cols).alias("_inputs"))
+        rows = (of_key.join(wanted, F.col(key_col).eqNullSafe(F.col("_key")) & F.col("_content_hash").eqNullSafe(F.col("_wanted")),
+                            "left_semi")
+                .groupBy(key_col).agg(F.min(F.struct("_content_hash", "_inputs")).alias("_first"))
+                .select(key_col, "_first._content_hash", "_first._inputs.*"))
+    vecs = extract_features(rows, factory, model_version, key_col, input_cols, dim, keep_cols=["_content_hash"])
+    return add_vectors(spark, vecs.select(F.col(key_col).alias("key"), F.col("_content_hash").alias("content_hash"), "features"),
+                       cache_path, model_version, key_type)
+
+
+def compact_cache(spark: SparkSession, path: str, model_version: str, key_type: str = "string") -> int:
+    """Write the current rows of a version's fills, as they are, as one fill that replaces them. Returns how many
+    superseded rows it leaves out. The old folders stay for readers that have begun; see ``drop_replaced``. A
+    fill committed meanwhile is not replaced."""
+    import uuid
+
+    ship_package(spark)
+    fills = live_fills(spark, path, model_version)
+    if len(fills) < 2:
+        return 0
+    fill = uuid.uuid4().hex
+    read_cache(spark, path, key_type, model_version).hint("rebalance").write.parquet(f"{path}/vectors/fill={fill}")
+    kept = _commit(spark, path, fill, model_version, fills[-1]["seq"], key_type, [r["fill"] for r in fills])
+    return sum(r["rows"] for r in fills) - kept
+
+
+def drop_replaced(spark: SparkSession, path: str) -> int:
+    """Delete the folders of replaced fills; returns their number. For when no reader has begun before the
+    compaction."""
+    rows = spark.read.schema(FILLS_SCHEMA).parquet(f"{path}/fills").select("replaces").collect()
+    gone = sorted({f for r in rows for f in r["replaces"] or []})
+    for fill in gone:
+        for what in ("vectors", "keys"):
+            delete_folder(spark, f"{path}/{what}/fill={fill}")
+    return len(gone)

@@ -110,18 +110,19 @@ def weighted_sum(vec: str):
 
 
 def feature_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed the cache with the embeddings, fill it for every document, read it back: each
-    vector by a weighted sum of its values."""
+    """Seed the cache with the embeddings, fill it for every document, fill it again (which adds nothing), merge
+    its fills and read it back: each vector by a weighted sum of its values."""
     path = scratch_path(spark, "feature-cache")
     emb = read_table(spark, sf_dir, "embeddings")
-    (emb.select(F.col("vec_id").cast("string").alias("key"), F.lit("v1").alias("model_version"),
-                F.lit("seed").alias("batch_id"), F.lit(0).cast("bigint").alias("seq"), F.col("embedding").alias("features"))
-     .write.mode("overwrite").parquet(path))
+    FE.add_vectors(spark, emb.select(F.col("vec_id").alias("key"), F.lit(None).alias("content_hash"), F.col("embedding").alias("features")),
+                   path, "v1", batch_id="seed")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    FE.fill_cache(spark, docs, path, "doc_id", ["text"], FE.text_histogram_factory(64), "v1", 64)
+    added = [FE.fill_cache(spark, docs, path, "doc_id", ["text"], FE.text_histogram_factory(64), "v1", 64) for _ in range(2)]
+    FE.compact_cache(spark, path, "v1")
     cache = FE.read_cache(spark, path)
     return cache.select("key",
                         F.when(F.col("batch_id") == "seed", "cached").otherwise("computed").alias("origin"),
+                        F.lit(added[0]).cast("bigint").alias("added"), F.lit(added[1]).cast("bigint").alias("added_again"),
                         F.size("features").alias("n_dims"), F.round(weighted_sum("features"), 4).alias("checksum"))
 
 
@@ -134,11 +135,12 @@ cells AS (SELECT key, n, ('0x' || substr(h, 2 * i + 1, 2))::INTEGER % 64 AS cell
           FROM bytes GROUP BY ALL),
 sums AS (SELECT key, sum(CAST(CAST(CAST(c AS DOUBLE) / n AS FLOAT) AS DOUBLE) * (cell + 1)) AS s
          FROM (SELECT key, n, cell, sum(c) AS c FROM cells GROUP BY ALL) GROUP BY key)
-SELECT CAST(vec_id AS VARCHAR) AS key, 'cached' AS origin, CAST(len(embedding) AS INTEGER) AS n_dims,
+SELECT CAST(vec_id AS VARCHAR) AS key, 'cached' AS origin, (SELECT count(*) FROM new) AS added, 0 AS added_again,
+       CAST(len(embedding) AS INTEGER) AS n_dims,
        round(list_sum(list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * i)), 4) AS checksum
 FROM embeddings
 UNION ALL
-SELECT key, 'computed', 64, round(coalesce(s, 0), 4) FROM new LEFT JOIN sums USING (key)"""
+SELECT key, 'computed', (SELECT count(*) FROM new), 0, 64, round(coalesce(s, 0), 4) FROM new LEFT JOIN sums USING (key)"""
 
 
 def feature_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

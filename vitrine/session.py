@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that shape the physical plans this package relies on.
 PLAN_SETTINGS = {
@@ -80,10 +80,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all scratch tables of this application, through the file system that holds them. For the
     end of a run: results that were not written elsewhere can't be read after it."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    delete_folder(spark, _scratch_root(spark))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once, lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[int] = set()
 
 
