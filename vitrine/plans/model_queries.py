@@ -135,12 +135,12 @@ cells AS (SELECT key, n, ('0x' || substr(h, 2 * i + 1, 2))::INTEGER % 64 AS cell
           FROM bytes GROUP BY ALL),
 sums AS (SELECT key, sum(CAST(CAST(CAST(c AS DOUBLE) / n AS FLOAT) AS DOUBLE) * (cell + 1)) AS s
          FROM (SELECT key, n, cell, sum(c) AS c FROM cells GROUP BY ALL) GROUP BY key)
-SELECT CAST(vec_id AS VARCHAR) AS key, 'cached' AS origin, (SELECT count(*) FROM new) AS added, 0 AS added_again,
+SELECT CAST(vec_id AS VARCHAR) AS key, 'cached' AS origin, (SELECT count(*) FROM new) AS added, CAST(0 AS BIGINT) AS added_again,
        CAST(len(embedding) AS INTEGER) AS n_dims,
        round(list_sum(list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * i)), 4) AS checksum
 FROM embeddings
 UNION ALL
-SELECT key, 'computed', (SELECT count(*) FROM new), 0, 64, round(coalesce(s, 0), 4) FROM new LEFT JOIN sums USING (key)"""
+SELECT key, 'computed', (SELECT count(*) FROM new), CAST(0 AS BIGINT), 64, round(coalesce(s, 0), 4) FROM new LEFT JOIN sums USING (key)"""
 
 
 def feature_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
