@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -101,24 +102,31 @@ HOSTILE = ["a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|>", "é ́x a b c　
            "\U0001f469‍\U0001f4bb and 你好", "<|endoftext|", "|>", " ", "ß ﬁ ǅ"]
 
 
-def test_words_against_whole_texts(library):
-    encode = tf.encoder(PATH)
-    assert tf.cut_at_spaces(Tokenizer.from_file(PATH))
-    assert not tf.cut_at_spaces(Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER)))
+def ids_of(model, texts):
+    ids, sizes = model.ids(pa.array(texts, pa.string()))
+    return [x.tolist() + [queries.END_ID] for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_pieces_against_whole_texts(library):
+    model = tf.Encoder(PATH)
+    assert model.by_piece and not tf.Encoder(public_tokenizers.path(queries.TOKENIZER)).by_piece
     rng = random.Random(1)
     texts = HOSTILE + ["".join(rng.choice(HOSTILE)[:rng.randint(1, 20)] + rng.choice(["", " ", "\n", "'"]) for _ in range(30))
                        for _ in range(200)]
     texts += ["".join(chr(rng.choice([rng.randint(1, 0x2ff), rng.randint(0x300, 0xd7ff), rng.randint(0x10000, 0x1ffff), 32])) for _ in range(60))
               for _ in range(200)]
-    assert [x + [queries.END_ID] for x in encode(texts)] == [library(t) for t in texts]
+    texts += ["".join(rng.choice("abXYZ019.,'!#-_<|>\" \t\x0b\x1c\x7f") for _ in range(80)) for _ in range(300)]
+    texts += ["J\u030cA\u0301 h\u0331H\u0331 i\u0307I\u0307", "", "   "]
+    assert ids_of(model, texts) == [library(t) for t in texts]
+    assert ids_of(tf.Encoder(public_tokenizers.path(queries.TOKENIZER)), ["a b", ""])[1] == [queries.END_ID]
 
 
-def test_few_words_held(library, monkeypatch):
-    monkeypatch.setattr(tf, "WORDS_HELD", 20)
-    encode = tf.encoder(PATH)
-    texts = [f"word{i % 31} and {i % 7} more" for i in range(300)]
+def test_few_pieces_held(library, monkeypatch):
+    monkeypatch.setattr(tf, "PIECES_HELD", 20)
+    model = tf.Encoder(PATH)
+    texts = [f"word{i % 31} and {i % 7}, more" for i in range(300)]
     for at in range(0, 300, 10):
-        assert [x + [2] for x in encode(texts[at:at + 10])] == [library(t) for t in texts[at:at + 10]]
+        assert ids_of(model, texts[at:at + 10]) == [library(t) for t in texts[at:at + 10]]
 
 
 def slow_rows(rows, library):

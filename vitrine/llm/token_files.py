@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,8 @@ BLOCKS_A_FILE = 512
 SHARD_IDS = 1 << 27                          # more shards than shuffle partitions beyond this many
 STRIDE = 256                                 # ids from one checkpoint to the next
 SAMPLED_KEYS = 1_000_000                     # most keys sampled to balance the shards
-WORDS_HELD = 1 << 17                         # words whose ids a task remembers
+PIECES_HELD = 1 << 19                        # pieces whose ids a Python worker remembers
+MARK = "<|"                                  # how added tokens begin
 NULL_ID = -(1 << 63)                         # where a null id sorts
 
 
@@ -190,9 +192,11 @@ def blocks(data: bytes) -> Iterator[Block]:
 
 # ---- encoding
 
-def cut_at_spaces(tokenizer) -> bool:
-    """Whether a text's ids are those of its words, parted at ASCII spaces, one after the other: known
-    of tokenizers that normalise by character, drop white space, and have no added token with a space."""
+def encodes_by_piece(tokenizer) -> bool:
+    """Whether a text's ids are those of its pieces, one after the other, where pieces are parted at ASCII white
+    space, and a word of ASCII alone is lower-cased and parted between its letters or digits and other signs
+    (but for apostrophes). Known of byte-level tokenizers that normalise by character, lower-case, drop
+    white space, and have no added token with a space."""
     import json
     import string
 
@@ -205,57 +209,126 @@ def cut_at_spaces(tokenizer) -> bool:
 
     before = flat(parts["normalizer"], "normalizers")
     split, *rest = flat(parts["pre_tokenizer"], "pretokenizers") or [None]
-    plain = all(p["type"] in ("NFC", "Lowercase") or (p["type"] == "Replace" and p["pattern"] == {"Regex": r"\s+"}
-                                                      and p["content"] == " ") for p in before)
-    # no match reaches over or looks past a space
+    plain = [p["type"] for p in before].count("Lowercase") == 1 and all(
+        p["type"] in ("NFC", "Lowercase") or (p["type"] == "Replace" and p["pattern"] == {"Regex": r"\s+"} and p["content"] == " ")
+        for p in before)
     pattern = split["pattern"].get("Regex", "(?") if split and split["type"] == "Split" else "(?"
-    probe = " ".join(string.printable) + "  a\t\tb\n1 \r.\u00e9 \u0301"
-    dropped = ("(?" not in pattern and split["behavior"] == "Removed" and split["invert"]
-               and not any(re.search(r"\s", m) for m in regex.findall(pattern, probe)))
-    later = all(p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in rest)
-    added = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]))
+    later = [p["type"] for p in rest] == ["ByteLevel"] and not (rest[0]["add_prefix_space"] or rest[0]["use_regex"])
+    added = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])) and t["content"].startswith(MARK)
                 for t in parts["added_tokens"])
-    return plain and dropped and later and added and parts["model"]["type"] == "BPE"
+    if not (plain and later and added and parts["model"]["type"] == "BPE" and "(?" not in pattern
+            and split["behavior"] == "Removed" and split["invert"]):
+        return False
+    # no match reaches over a space or from one kind of sign to the other
+    kinds = string.ascii_lowercase + string.digits, "".join(c for c in string.punctuation if c != "'")
+    pairs = [x + y for x in kinds[0] for y in kinds[1]] + [y + x for x in kinds[0] for y in kinds[1]]
+    probe = " ".join(string.printable) + "  a\t\tb\n1 \r.\u00e9 \u0301"
+    return (not any(re.search(r"\s", m) for m in regex.findall(pattern, probe))
+            and all(regex.findall(pattern, x) == [x[0], x[1]] for x in pairs))
 
 
-def encoder(path: str):
-    """A function from texts to the library's ids of each, without added special tokens. Where ids may be
-    taken word by word, the words seen lately are not encoded again."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"       # one thread per task
-    from tokenizers import Tokenizer
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places starts[i], starts[i] + 1, ... of every i, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
-    model = Tokenizer.from_file(path)
-    model.no_truncation()
-    model.no_padding()
 
-    def whole(texts: list[str]) -> list[list[int]]:
-        out = []
-        for at in range(0, len(texts), 32):              # encodings are many times their text
-            out += [e.ids for e in model.encode_batch_fast(texts[at:at + 32], add_special_tokens=False)]
-        return out
+class Encoder:
+    """The library's ids of texts, without added special tokens. Where ids may be taken piece by piece, each
+    different piece goes to the library once, and the last ``PIECES_HELD`` or so are remembered."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # one thread per task
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)
+        self.model.no_truncation()
+        self.model.no_padding()
+        self.by_piece = encodes_by_piece(self.model)
+        self.size = {i: len(t.removesuffix(self.model.model.end_of_word_suffix or ""))
+                     for t, i in self.model.get_vocab(with_added_tokens=False).items()} if self.by_piece else {}
+        self.bytes_of = np.array([self.size.get(i, 0) for i in range(max(self.size, default=0) + 1)])
+        self.forget()
 
-    if not cut_at_spaces(model):
-        return whole
-    space, known = re.compile("[ \t\n\r]+"), {}
-
-    def by_word(texts: list[str]) -> list[list[int]]:
-        words = [space.split(t) for t in texts]
-        new = [w for w in dict.fromkeys(w for ws in words for w in ws) if w not in known]
-        if len(known) + len(new) > WORDS_HELD:
-            known.clear()
-            new = list(dict.fromkeys(w for ws in words for w in ws))
-        for at in range(0, len(new), 1024):
-            part = new[at:at + 1024]
-            known.update(zip(part, [e.ids for e in model.encode_batch_fast(part, add_special_tokens=False)]))
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}                  # piece to its number
+        self.starts, self.sizes, self.pool = [], [], []
+        self.filled = 0
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         out = []
-        for ws in words:
-            ids: list[int] = []
-            for w in ws:
-                ids += known[w]
-            out.append(ids)
+        for at in range(0, len(texts), 32):              # encodings are many times their text
+            out += [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts[at:at + 32], add_special_tokens=False)]
         return out
 
-    return by_word
+    def _learn(self, pieces: list[str]) -> None:
+        """ASCII pieces are encoded many at a time; the bytes that their ids stand for part them again."""
+        plain = [p for p in pieces if p.isascii() and MARK not in p]
+        rest = [p for p in pieces if not (p.isascii() and MARK not in p)]
+        for at in range(0, len(plain), 1024):
+            some = plain[at:at + 1024]
+            ids = self._whole([" ".join(some)])[0]
+            seen, ends = np.cumsum(self.bytes_of[ids]), np.cumsum([len(p) for p in some])
+            cuts = np.searchsorted(seen, ends)
+            if not len(ids) or cuts[-1] >= len(ids) or (seen[cuts] != ends).any():
+                rest += some
+                continue
+            sizes = np.diff(cuts + 1, prepend=0)
+            self._add(some, ids, sizes)
+        for at in range(0, len(rest), 1024):
+            found = self._whole(rest[at:at + 1024])
+            self._add(rest[at:at + 1024], np.concatenate(found), np.array([len(x) for x in found]))
+
+    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.known)
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
+        self.starts.append(self.filled + np.cumsum(sizes) - sizes)
+        self.sizes.append(sizes)
+        self.pool.append(ids)
+        self.filled += len(ids)
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        new = [p for p in pieces if p not in self.known]
+        if new and len(self.known) + len(new) > PIECES_HELD:
+            self.forget()
+            new = pieces
+        self._learn(new)
+        self.starts, self.sizes, self.pool = ([np.concatenate(x)] if x else [np.zeros(0, np.int64)]
+                                              for x in (self.starts, self.sizes, self.pool))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, how many of each text) of an Arrow array without nulls."""
+        if not self.by_piece:
+            found = self._whole(texts.to_pylist())
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+        words = pc.ascii_split_whitespace(texts)
+        different = words.flatten().dictionary_encode()
+        own = different.dictionary                       # each different word, and its pieces
+        simple = pc.and_(pc.string_is_ascii(own), pc.invert(pc.match_substring(own, MARK)))
+        low = pc.ascii_lower(own)
+        for pattern in ("([a-z0-9])([^a-z0-9'])", "([^a-z0-9' ])([a-z0-9])"):
+            low = pc.replace_substring_regex(low, pattern, r"\1 \2")
+        cut = pc.split_pattern(pc.if_else(simple, low, own), " ")
+        pieces = cut.flatten().dictionary_encode()
+        numbers = self._numbers(pieces.dictionary.to_pylist())[pieces.indices.to_numpy()]
+        starts, sizes, pool = self.starts[0], self.sizes[0], self.pool[0]
+        of_words = pool[ragged(starts[numbers], sizes[numbers])]
+        ends = np.concatenate([[0], np.cumsum(sizes[numbers])])[cut.offsets.to_numpy()]
+        word_starts, word_sizes = ends[:-1], np.diff(ends)
+        at = different.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(word_sizes[at])])[words.offsets.to_numpy()]
+        return of_words[ragged(word_starts[at], word_sizes[at])], np.diff(ends)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for each Python worker and file, so that tasks share what was encoded."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, width: str) -> DataFrame:
@@ -268,16 +341,18 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, width: str) ->
                                     F.monotonically_increasing_id().alias("salt"), "text")
 
     def setup():
-        encode = encoder(SparkFiles.get(name))
+        model = encoder(SparkFiles.get(name))
 
         def compute(part: pa.RecordBatch) -> list[pa.Array]:
-            texts, n, ids = strings(part.column("text")), [], []
-            for at in range(0, len(texts), 256):
-                for own in encode(texts[at:at + 256]):
-                    own = np.array([*own, end_id], width)
-                    n.append(len(own))
-                    ids.append(own.tobytes())
-            return [pa.array(n, pa.int64()), pa.array(ids, pa.binary())]
+            ids, sizes = model.ids(pc.fill_null(part.column("text"), ""))
+            ends = np.cumsum(sizes + 1)
+            out = np.full(len(ids) + len(sizes), end_id, width)
+            inner = np.ones(len(out), bool)
+            inner[ends - 1] = False
+            out[inner] = ids
+            offsets = np.concatenate([[0], ends]).astype(np.int64) * out.itemsize
+            binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+            return [pa.array(sizes + 1, pa.int64()), binary.cast(pa.binary())]
         return compute
 
     return add_columns(rows, setup, [T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType())],
