@@ -247,24 +247,145 @@ def test_feature_cache_content_hash(spark, tmp_dir):
     assert FE.fill_cache(spark, changed, cache, "doc_id", ["content"], fac, "v1", 8, content_hash_col="h") == 1
 
 
-def test_jobs_per_step(spark):
-    """Batches are drawn and joined once; after that a step is a job, and an evaluation a few."""
+def _sgd_inputs(spark):
     data = S.assign_split(SQ.features(spark, SF).withColumn("key", F.col("vec_id").cast("string")), "key")
     labelled = data.withColumn("label", SQ.model().label_of("true_id"))
-    pool = S.indexed_split_lists(labelled, "label", "key")
+    return S.indexed_split_lists(labelled, "label", "key"), data.select("key", "features")
+
+
+def test_schedule_is_one_job_whatever_the_steps(spark):
+    pool, feats = _sgd_inputs(spark)
     tracker = spark.sparkContext.statusTracker()
 
     def jobs(steps):
         group = f"sgd-{steps}"
         spark.sparkContext.setJobGroup(group, group)
         try:
-            T.train_sgd(spark, pool, data.select("key", "features"), FV.SHIPPED_LABELS, steps=steps, batch=20, eval_interval=100,
+            T.train_sgd(spark, pool, feats, FV.SHIPPED_LABELS, steps=steps, batch=20, eval_interval=10,
                         validation_batch=10, test_batch=10, init=SQ.model())
         finally:
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return len(tracker.getJobIdsForGroup(group))
 
-    assert jobs(12) - jobs(2) <= 3 * 10
+    assert jobs(200) == jobs(2)
+
+
+def test_schedule_against_a_loop(spark):
+    """The same draws, a step at a time in NumPy: the same model and measures, whatever the tasks."""
+    from vitrine.operators import sampling as SA
+    from vitrine.operators import schedule as SCH
+
+    pool, feats = _sgd_inputs(spark)
+    vector = {r.key: np.array(r.features, dtype=np.float64) for r in feats.collect()}
+    steps, batch, rate = 60, 30, 0.05
+    init = T.init_model(FV.SHIPPED_LABELS, 64, seed=3)
+    model, metrics = T.train_sgd(spark, pool, feats, FV.SHIPPED_LABELS, steps, batch, rate, 7, 25, 40, "x", init=init)
+    measured = [s for s in range(steps) if s % 7 == 0 or s + 1 == steps]
+
+    def drawn(n, split, what):
+        rows = sorted((r.draw_id, r.class_id, r.key) for r in
+                      SA.balanced_draws(spark, pool, n, split, f"x:{what}", FV.SHIPPED_LABELS).collect())
+        return np.array([vector[k] for _, _, k in rows]), np.array([c for _, c, _ in rows])
+
+    W, b = np.array(init.weights), np.array(init.bias)
+    X, y = drawn(steps * batch, "training", "train")
+    V_, v = drawn(len(measured) * 25, "validation", "validation")
+    E, e = drawn(40, "testing", "test")
+    hits = lambda X, y: float(((X @ W.T + b).argmax(axis=1) == y).mean())                     # noqa: E731
+    want = []
+    for s in range(steps):
+        own = slice(s * batch, (s + 1) * batch)
+        gw, gb = _numpy_grad(X[own], y[own], W, b)
+        W, b = W - rate * gw, b - rate * gb
+        if s in measured:
+            z = X[own] @ W.T + b
+            xent = float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(batch), y[own]]))
+            at = slice(measured.index(s) * 25, measured.index(s) * 25 + 25)
+            want.append((s, hits(X[own], y[own]), xent, hits(V_[at], v[at]), hits(E, e) if s + 1 == steps else None))
+    got = [tuple(r) for r in metrics.orderBy("step").collect()]
+    assert [g[0] for g in got] == measured
+    for g, w in zip(got, want):
+        assert g[:2] == w[:2] and g[3:] == w[3:] and abs(g[2] - w[2]) < 1e-12
+    assert np.abs(np.array(model.weights) - W).max() < 1e-12 and np.abs(np.array(model.bias) - b).max() < 1e-12
+
+    rows = spark.createDataFrame([(int(s), 0, int(c), x.tolist()) for s, (x, c) in zip(np.arange(steps * batch) // batch, zip(X, y))],
+                                 "step int, part int, true_id int, features array<double>")
+    few = rows.filter("step < 4")                            # a step of several tasks waits a second for its exchange
+    one, alone = SCH.run_schedule(few, init, 4, {SCH.TRAIN: batch}, rate, [0, 3], 1)
+    five, apart = SCH.run_schedule(few, init, 4, {SCH.TRAIN: batch}, rate, [0, 3], 5)
+    assert np.abs(np.array(five.weights) - one.weights).max() < 1e-12 and np.allclose([a[:3] for a in alone], [a[:3] for a in apart], atol=1e-12)
+
+
+def test_schedule_misses_no_row(spark):
+    import pytest
+
+    from vitrine.operators import schedule as SCH
+
+    rows = spark.createDataFrame([(s, 0, 0, [1.0, 2.0]) for s in (0, 0, 1)], "step int, part int, true_id int, features array<double>")
+    init = SC.fixed_model(["a", "b"], 2)
+    with pytest.raises(Exception, match="1 of 2 rows"):
+        SCH.run_schedule(rows, init, 2, {SCH.TRAIN: 2}, 0.1, [], 2)
+    with pytest.raises(Exception, match="beyond the last"):
+        SCH.run_schedule(rows.filter("step <> 0 or true").limit(3).union(rows.filter("step = 1")), init, 1, {SCH.TRAIN: 2}, 0.1, [], 1)
+
+
+LOST = """
+import os, sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from vitrine.operators import schedule as SCH, scoring as SC
+spark = SparkSession.builder.master("local[3,4]").config("spark.ui.enabled", "false").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+rows = spark.range(12).selectExpr("cast(id % 4 as int) step", "0 part", "cast(id % 2 as int) true_id", "array(id / 12, 1 - id / 6) features")
+init, found = SC.fixed_model(["a", "b"], 2), []
+for lose in (False, True):
+    kept = SCH.gradient_sum
+    def breaks(x, y, w, kept=kept, lose=lose):
+        from pyspark import BarrierTaskContext
+        if lose and BarrierTaskContext.get().partitionId() == 1 and not os.path.exists({flag!r}):
+            open({flag!r}, "w").close()
+            raise RuntimeError("lost")
+        return kept(x, y, w)
+    descend = SCH.run_schedule
+    SCH.gradient_sum = breaks
+    scope = dict(SCH.run_schedule.__globals__, gradient_sum=breaks)
+    import types
+    run = types.FunctionType(SCH.run_schedule.__code__, scope, argdefs=SCH.run_schedule.__defaults__)
+    found.append(run(rows, init, 4, {{0: 3}}, 0.1, [3], 3))
+    SCH.gradient_sum = kept
+assert os.path.exists({flag!r})
+assert found[0][0].weights == found[1][0].weights and found[0][1] == found[1][1], found
+print("same")
+"""
+
+
+def test_schedule_runs_again_after_a_lost_task(tmp_dir):
+    """In a session of its own, which lets tasks fail: a task breaks in the first attempt, the stage runs whole
+    again, and the model is the same to the last bit."""
+    import subprocess
+    import sys
+
+    script = os.path.join(tmp_dir, "lost.py")
+    with open(script, "w") as f:
+        f.write(LOST.format(repo=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), flag=os.path.join(tmp_dir, "flag")))
+    out = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=240)
+    assert out.stdout.strip().endswith("same"), out.stderr[:3000]
+
+
+def test_untrained_model_is_not_fitted(spark, monkeypatch):
+    from vitrine.plans import registry
+
+    monkeypatch.setattr(T, "train_lbfgs", lambda df, labels, **how: SC.SoftmaxModel(list(labels), [[0.0] * 64] * 5, [0.0] * 5))
+    out = registry.queries()["train_full"](spark, SF).collect()
+    assert len(out) == 5 * 65 and not any(r.fitted for r in out)
+
+
+def test_original_schedule_runs(spark):
+    from vitrine.plans import registry
+
+    rows = registry.queries()["sgd_schedule"](spark, "/root/testdata/sf0.001").orderBy("step").collect()
+    assert [r.step for r in rows] == [*range(0, 4000, 10), 3999] and rows[-1].test_accuracy is not None
+    assert rows[-1].cross_entropy < rows[0].cross_entropy and all(r.test_accuracy is None for r in rows[:-1])
 
 
 def test_registered_fit_reads_the_whole_training_split(spark, monkeypatch):

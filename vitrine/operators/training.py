@@ -5,22 +5,24 @@
   one small aggregation keyed by (class, dim).
 * ``train_lbfgs`` — the default trainer: ``pyspark.ml`` multinomial logistic regression
   (distributed L-BFGS over tree aggregation).
+* ``train_descent`` — a few steps of gradient descent over all rows, a job a step.
 * ``train_sgd`` — the mini-batch gradient-descent schedule (steps, batch, rate, eval
   interval): the class-balanced batches of all steps are drawn by hash and joined to their
-  vectors once, stored by step, and read step by step.
+  vectors once, and one barrier job runs all steps (``schedule``).
 * ``evaluate`` — accuracy and mean cross-entropy per split.
 """
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from .. import fixed_values as FV
 from ..functions import vectors as V
-from ..session import scratch_path, ship_package
+from ..session import ship_package
+from . import schedule as SCH
 from .augment import Augmentation, augment_images, augment_params
 from .guards import literal_broadcast
 from .scoring import SoftmaxModel
@@ -130,6 +132,18 @@ def train_lbfgs(df: DataFrame, labels: list[str], features_col: str = "features"
     return SoftmaxModel(list(labels), W.tolist(), b.tolist())
 
 
+def train_descent(df: DataFrame, init: SoftmaxModel, steps: int, learning_rate: float = FV.LEARNING_RATE,
+                  features_col: str = "features", class_col: str = "true_id") -> SoftmaxModel:
+    """The model after steps of gradient descent, each by the mean gradient over every row of ``df``."""
+    model = init
+    for _ in range(steps):
+        w = np.concatenate([np.asarray(model.bias)[:, None], np.asarray(model.weights)], axis=1)
+        for c, d, g in gradient(df, model, features_col, class_col).collect():       # K x (D+1) numbers
+            w[c, d + 1] -= learning_rate * g
+        model = SoftmaxModel(list(model.labels), w[:, 1:].tolist(), w[:, 0].tolist())
+    return model
+
+
 def evaluate(df: DataFrame, model: SoftmaxModel, group_cols: list[str],
              features_col: str = "features", class_col: str = "true_id") -> DataFrame:
     """n, accuracy (argmax, lowest index wins) and mean cross-entropy per group."""
@@ -142,59 +156,7 @@ def evaluate(df: DataFrame, model: SoftmaxModel, group_cols: list[str],
                  F.avg("_xent").alias("mean_xent")))
 
 
-STEP_SCHEMA = "kind string, class_id int, dim int, value double"
-
-
-def _step_fn(weights, bias, features_col: str, class_col: str):
-    """One task's share of a step, in one pass: the gradient's sums, and the rows, hits and summed
-    cross-entropy of the batch."""
-    fold = _partials_fn(weights, bias, features_col, class_col)
-
-    def run(batches):
-        held = list(batches)                   # a batch of a step, or a share of it
-        for part in fold(iter(held)):
-            yield pd.DataFrame({"kind": "gradient", "class_id": part["class_id"], "dim": part["dim"], "value": part["g"]})
-        n, hits, xent = 0, 0, 0.0
-        W, b = np.asarray(weights, dtype=np.float64), np.asarray(bias, dtype=np.float64)
-        for pdf in held:
-            if len(pdf):
-                z = np.stack(pdf[features_col].to_numpy()).astype(np.float64) @ W.T + b
-                y = pdf[class_col].to_numpy().astype(np.int64)
-                top = z.max(axis=1)
-                n += len(y)
-                hits += int((z.argmax(axis=1) == y).sum())
-                xent += float((top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - z[np.arange(len(y)), y]).sum())
-        yield pd.DataFrame({"kind": ["n", "hits", "xent"], "class_id": np.int32(0), "dim": np.int32(0),
-                            "value": [float(n), float(hits), xent]})
-    return run
-
-
-def _batch_pass(df: DataFrame, model: SoftmaxModel, features_col: str) -> tuple[np.ndarray, dict[str, float]]:
-    """(mean gradient, K x (D+1) with the bias first; sums by kind) of one batch, in one job."""
-    rows = df.select(features_col, checked_class("true_id", model.num_classes))
-    k, d = np.asarray(model.weights).shape
-    grad, sums = np.zeros((k, d + 1)), {"n": 0.0, "hits": 0.0, "xent": 0.0}
-    for kind, c, dim, value in rows.mapInPandas(_step_fn(model.weights, model.bias, features_col, "true_id"),
-                                                STEP_SCHEMA).collect():
-        if kind == "gradient":
-            grad[c, dim + 1] += value
-        else:
-            sums[kind] += value
-    return grad / max(1.0, sums["n"]), sums
-
-
-def _store_batches(vectors: DataFrame, n: int, what: str) -> str:
-    """Write (step, true_id, features), a folder a step, and check that no draw lost its vector."""
-    spark = vectors.sparkSession
-    path, seen = scratch_path(spark, f"batches-{what}"), Observation()
-    (vectors.observe(seen, F.count(F.lit(1)).alias("n")).repartition("step")
-     .write.partitionBy("step").parquet(path))
-    if seen.get["n"] != n:
-        raise ValueError(f"{seen.get['n']} of {n} {what} draws have one vector")
-    return path
-
-
-def _augmented(draws: DataFrame, pixels: DataFrame, key_col: str, augment: Augmentation, seed: str, factory,
+def augmented_draws(draws: DataFrame, pixels: DataFrame, key_col: str, augment: Augmentation, seed: str, factory,
                model_version: str, dim: int, features_col: str) -> DataFrame:
     """(step, true_id, features): fresh vectors of the drawn images, each augmented by its draw."""
     from .features import extract_features
@@ -225,9 +187,9 @@ def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels:
 
     Where augmented images vary, each training draw's image is augmented from ``pixels`` (key,
     pixels) and passed through ``extractor_factory``; validation and test always use the cached
-    vectors. The batches of all steps are drawn, joined to their vectors and stored first, in a
-    few jobs; then a step is one job over its own folder, and an evaluation one more for each
-    of its batches. The driver loops over *steps* (a parameter), never over data."""
+    vectors. The batches of all steps are drawn and joined to their vectors at once, and one
+    job runs the whole schedule (``schedule.run_schedule``). A class that ``labels`` doesn't
+    have, or a draw without a vector, fails it."""
     from .sampling import balanced_draws
     from .splits import check_class_count
 
@@ -243,43 +205,31 @@ def train_sgd(spark: SparkSession, pool: DataFrame, features: DataFrame, labels:
 
     def draws(n: int, size: int, split: str, what: str) -> DataFrame:
         d = balanced_draws(spark, pool, n * size, split, f"{seed}:{what}", labels)
-        return d.withColumn("step", F.expr(f"cast(draw_id div {size} as int)")).withColumnRenamed("key", key_col)
+        return d.withColumn("turn", F.expr(f"cast(draw_id div {size} as int)")).withColumnRenamed("key", key_col)
 
-    def cached(n: int, size: int, split: str, what: str) -> str | None:
-        """Stored batches; none where the split has no images."""
+    def cached(n: int, size: int, split: str, what: str) -> DataFrame | None:
+        """(turn, true_id, features) of n batches; none where the split has no images."""
         if pool.filter(F.col("split") == split).isEmpty():
             return None
         d = draws(n, size, split, what).join(feats, key_col)
-        return _store_batches(d.select("step", F.col("class_id").alias("true_id"), features_col), n * size, what)
+        return d.select("turn", F.col("class_id").alias("true_id"), F.col(features_col).alias("features"))
 
     if distort:
-        vectors = _augmented(draws(steps, batch, "training", "train"), pixels, key_col, augment, f"{seed}:augment",
-                             extractor_factory, model_version, dim, features_col)
-        train = _store_batches(vectors, steps * batch, "train")
+        drawn = draws(steps, batch, "training", "train").withColumnRenamed("turn", "step")
+        train = augmented_draws(drawn, pixels, key_col, augment, f"{seed}:augment", extractor_factory, model_version, dim, "features")
+        train = train.withColumnRenamed("step", "turn")
     else:
         train = cached(steps, batch, "training", "train")
-    validation = cached(len(measured), validation_batch, "validation", "validation")
-    test = cached(1, test_batch, "testing", "test")
-
-    def stored_batch(path: str, step: int) -> DataFrame:
-        return spark.read.parquet(f"{path}/step={step}")
-
-    def accuracy(path: str | None, step: int) -> float | None:
-        if path is None:
-            return None
-        sums = _batch_pass(stored_batch(path, step), model, features_col)[1]
-        return sums["hits"] / sums["n"]
-
-    metrics = []
-    for step in range(steps):
-        grad, _ = _batch_pass(stored_batch(train, step), model, features_col)
-        model = SoftmaxModel(model.labels, (np.asarray(model.weights) - learning_rate * grad[:, 1:]).tolist(),
-                             (np.asarray(model.bias) - learning_rate * grad[:, 0]).tolist())
-        if step in measured:
-            seen = _batch_pass(stored_batch(train, step), model, features_col)[1]
-            metrics.append((step, seen["hits"] / seen["n"], seen["xent"] / seen["n"],
-                            accuracy(validation, measured.index(step)),
-                            accuracy(test, 0) if step + 1 == steps else None))
+    at = F.array(*map(F.lit, measured))
+    parts = [(SCH.TRAIN, batch, train, F.col("turn")),
+             (SCH.VALIDATION, validation_batch, cached(len(measured), validation_batch, "validation", "validation"), F.get(at, F.col("turn"))),
+             (SCH.TEST, test_batch, cached(1, test_batch, "testing", "test"), F.lit(steps - 1))]
+    rows = [df.select(step.alias("step"), F.lit(part).alias("part"), "true_id", "features") for part, _, df, step in parts if df is not None]
+    every = rows[0]
+    for more in rows[1:]:
+        every = every.union(more)
+    model, metrics = SCH.run_schedule(every, model, steps, {part: size for part, size, df, _ in parts if df is not None},
+                                      learning_rate, measured)
     mdf = spark.createDataFrame(
         metrics, "step int, train_accuracy double, cross_entropy double, "
                  "validation_accuracy double, test_accuracy double")

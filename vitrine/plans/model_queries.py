@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import fixed_values as FV
 from .. import sinks
@@ -166,8 +167,9 @@ FROM embeddings"""
 
 
 # ---------------------------------------------------------------- training
-FULL_ITER, FULL_TOL, FULL_GRADIENT = 200, 1e-9, 1e-3
-SGD_SEED, SGD_STEPS, SGD_BATCH, SGD_EVAL, SGD_VALIDATION, SGD_TEST, SGD_RATE = "sgd", 3, 40, 2, 30, 50, 0.05
+FULL_ITER, FULL_TOL, FULL_GRADIENT = 200, 1e-9, 2e-3
+SGD_SEED, SGD_STEPS, SGD_EVAL, SGD_RATE = "sgd", 3, 2, 0.05
+DESCENT_STEPS = 3
 
 
 def _training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,22 +181,51 @@ def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.indexed_split_lists(_training_frame(spark, sf_dir), "label", "key")
 
 
-def _sgd(spark: SparkSession, sf_dir: str, **how) -> tuple:
-    vectors = _training_frame(spark, sf_dir).select("key", "features")
-    return T.train_sgd(spark, _pool(spark, sf_dir), vectors, FV.SHIPPED_LABELS, SGD_STEPS, SGD_BATCH, SGD_RATE, SGD_EVAL,
-                       SGD_VALIDATION, SGD_TEST, SGD_SEED, init=SQ.model(), **how)
+def _sgd(spark: SparkSession, sf_dir: str, vectors: DataFrame, init: SC.SoftmaxModel, **how) -> tuple:
+    """Each batch has as many draws as its split has images, so the work grows with the pool."""
+    pool = _pool(spark, sf_dir)
+    n = dict(pool.groupBy("split").count().collect())
+    return T.train_sgd(spark, pool, vectors, FV.SHIPPED_LABELS, SGD_STEPS, n.get("training", 0), SGD_RATE, SGD_EVAL,
+                       n.get("validation", 0), n.get("testing", 0), SGD_SEED, init=init, **how)
+
+
+def _metrics(metrics: DataFrame) -> DataFrame:
+    return metrics.select("step", *[F.round(c, DEC).alias(c) for c in metrics.columns if c != "step"])
 
 
 def sgd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps of gradient descent from the fixed model over hash-drawn batches: the schedule's metrics."""
-    metrics = _sgd(spark, sf_dir)[1]
-    return metrics.select("step", *[F.round(c, DEC).alias(c) for c in metrics.columns if c != "step"])
+    vectors = _training_frame(spark, sf_dir).select("key", "features")
+    return _metrics(_sgd(spark, sf_dir, vectors, SQ.model())[1])
+
+
+def sgd_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original schedule, 4,000 steps of 100 draws with a measure at every tenth and a test of 500 at the
+    last, from the truncated normal start, in one barrier job."""
+    vectors = _training_frame(spark, sf_dir).select("key", "features")
+    return T.train_sgd(spark, _pool(spark, sf_dir), vectors, FV.SHIPPED_LABELS, seed=SGD_SEED)[1]
+
+
+def sgd_augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps where images vary: each draw's image is augmented afresh and its vector computed, while validation
+    and test take the cached vectors of the images as they are: the schedule's metrics."""
+    pixels = _pixels(spark, sf_dir).select(F.col("vec_id").cast("string").alias("key"), "pixels")
+    factory = mean_rows_factory(IMG[0])
+    cached = FE.extract_features(pixels.select("key", F.flatten("pixels").alias("flat")), factory, "v1", "key", ["flat"], IMG[0])
+    return _metrics(_sgd(spark, sf_dir, cached, SC.fixed_model(FV.SHIPPED_LABELS, IMG[0]), pixels=pixels, augment=AUG_TRAIN,
+                         extractor_factory=factory)[1])
+
+
+def _descent(spark: SparkSession, sf_dir: str) -> SC.SoftmaxModel:
+    rows = _training_frame(spark, sf_dir).filter(F.col("split") == "training")
+    return T.train_descent(rows, SQ.model(), DESCENT_STEPS, SGD_RATE)
 
 
 def train_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The model after those steps, written by the model sink and read back."""
+    """The model after steps of gradient descent over every row of the training split, written by the model
+    sink and read back."""
     path = scratch_path(spark, "model")
-    sinks.write_model(_sgd(spark, sf_dir)[0].to_table(spark), path)
+    sinks.write_model(_descent(spark, sf_dir).to_table(spark), path)
     return spark.read.parquet(path).select(
         F.col("label_id").alias("class_id"), "label",
         F.posexplode(F.concat(F.array("bias"), "weights")).alias("at", "value")).select(
@@ -203,14 +234,16 @@ def train_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy and cross-entropy of that model over the whole splits."""
-    out = T.evaluate(_training_frame(spark, sf_dir), _sgd(spark, sf_dir)[0], ["split"])
+    out = T.evaluate(_training_frame(spark, sf_dir), _descent(spark, sf_dir), ["split"])
     return out.select("split", "n", F.round("accuracy", DEC).alias("accuracy"), F.round("mean_xent", DEC).alias("mean_xent"))
 
 
 def train_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The L-BFGS fit to every row of the training split, written by the model sink and read back. Of each
     weight (dim -1 is the bias): its class, the rows fitted to, the mean over them of the class's own
-    values there, and whether the model's expected mean is that one, which only the best fit's is."""
+    values there, and whether the model is the best fit: at that the model's expected mean is the own one
+    for every weight, here to ``FULL_GRADIENT`` over the root of n, far below what chance leaves
+    between the two in a model that was not fitted."""
     path = scratch_path(spark, "full-model")
     rows = _training_frame(spark, sf_dir).filter(F.col("split") == "training")
     sinks.write_model(T.train_lbfgs(rows, FV.SHIPPED_LABELS, max_iter=FULL_ITER, tol=FULL_TOL).to_table(spark), path)
@@ -218,39 +251,53 @@ def train_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = (rows.select("true_id", F.posexplode(F.concat(F.array(F.lit(1.0)), F.col("features").cast("array<double>"))).alias("at", "x"))
            .groupBy((F.col("true_id")).alias("class_id"), (F.col("at") - 1).cast("int").alias("dim")).agg(F.sum("x").alias("total")))
     n = rows.count()
-    return (T.gradient(rows, found).join(own, ["class_id", "dim"], "left")
+    off = T.gradient(rows, found).withColumn("worst", F.max(F.abs("grad")).over(Window.partitionBy()))       # K x (D+1) rows
+    return (off.join(own, ["class_id", "dim"], "left")
             .select("class_id", found.label_of("class_id").alias("label"), "dim", F.lit(n).cast("bigint").alias("n"),
                     F.round(F.coalesce("total", F.lit(0.0)) / n, DEC).alias("own_mean"),
-                    (F.abs("grad") < FULL_GRADIENT).alias("fitted")))
+                    (F.col("worst") < FULL_GRADIENT / max(1, n) ** 0.5).alias("fitted")))
 
 
-def _draws_sql(name: str, what: str, split: str, n: int) -> str:
-    """A class-balanced batch list: draw number, vector and class."""
+def _size_sql(split: str) -> str:
+    return f"(SELECT count(*) FROM rows_ WHERE split = '{split}')"
+
+
+def _draws_sql(name: str, what: str, split: str, batches: int) -> str:
+    """A class-balanced batch list: draw number, vector and class; a batch has as many as the split has images."""
     return f"""
 {name} AS (
-  SELECT r.range AS draw_id, m.vec_id, c.class_id
-  FROM range(0, {n}) r
+  SELECT r.range AS draw_id, r.range // {_size_sql(split)} AS turn, m.vec_id, c.class_id
+  FROM range(0, {batches} * {_size_sql(split)}) r
   JOIN classes c ON c.split = '{split}' AND c.place = {_u60(f'{SGD_SEED}:{what}', 'r.range', 'label')} % c.n_classes
   JOIN members m ON m.split = '{split}' AND m.class_id = c.class_id
        AND m.place = {_u60(f'{SGD_SEED}:{what}', 'r.range', 'image')} % c.n)"""
 
 
-def _scored_sql(name: str, weights: str, rows: str) -> str:
+def _scored_sql(name: str, weights: str, rows: str, x: str = "x") -> str:
     """Probabilities p, hit and cross-entropy of each row of ``rows`` (id, vec_id, class_id)."""
     return f"""
 {name}_z AS (SELECT b.id, b.vec_id, b.class_id, w.class_id AS k, sum(w.w * x.x) AS z
-             FROM ({rows}) b JOIN x USING (vec_id) JOIN {weights} w ON w.dim = x.dim GROUP BY ALL),
+             FROM ({rows}) b JOIN {x} x USING (vec_id) JOIN {weights} w ON w.dim = x.dim GROUP BY ALL),
 {name}_p AS (SELECT *, exp(z - max(z) OVER (PARTITION BY id)) AS e, max(z) OVER (PARTITION BY id) AS top FROM {name}_z),
 {name} AS (SELECT *, e / sum(e) OVER (PARTITION BY id) AS p, top + ln(sum(e) OVER (PARTITION BY id)) AS lse,
                   row_number() OVER (PARTITION BY id ORDER BY z DESC, k) AS place FROM {name}_p)"""
 
 
+def _step_sql(step: int, batch: str, x: str = "x") -> str:
+    """The scored batch s<step>, and the weights after it."""
+    return _scored_sql(f"s{step}", f"w{step}", batch, x) + f""",
+w{step + 1} AS (SELECT w.class_id, w.dim, w.w - {SGD_RATE} * g.g AS w
+      FROM w{step} w JOIN (SELECT s.k, x.dim, sum((s.p - CAST(s.k = s.class_id AS INTEGER)) * x.x) / {_size_sql('training')} AS g
+                           FROM s{step} s JOIN {x} x USING (vec_id) GROUP BY s.k, x.dim) g ON g.k = w.class_id AND g.dim = w.dim)"""
+
+
 def _accuracy_sql(name: str) -> str:
     return f"(SELECT avg(CAST(k = class_id AS DOUBLE)) FROM {name} WHERE place = 1)"
 
 
-def _sgd_sql() -> str:
-    parts = [f"""
+def _rows_sql(dim: int) -> str:
+    """keyed, parted, rows_, members, classes, x (bias first) and the fixed model w0 of ``dim`` dimensions."""
+    return f"""
 keyed AS (SELECT vec_id, CAST(label % {SQ.K} AS INTEGER) AS class_id, CAST(vec_id AS VARCHAR) AS key FROM embeddings),
 parted AS (SELECT *, CAST(('0x' || right(sha1(key), 4))::INTEGER AS DOUBLE) * (CAST(100 AS DOUBLE) / CAST(65535.0 AS DOUBLE)) AS pct
            FROM keyed),
@@ -264,43 +311,50 @@ x AS (SELECT vec_id, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS dim, C
       UNION ALL SELECT vec_id, -1, 1.0 FROM embeddings),
 w0 AS (SELECT CAST(c.range AS INTEGER) AS class_id, CAST(d.range AS INTEGER) AS dim,
               CASE WHEN d.range < 0 THEN 0.0 ELSE CAST(((c.range * 31 + d.range * 17) % 13) - 6 AS DOUBLE) / 10.0 END AS w
-       FROM range(0, {SQ.K}) c, range(-1, {SQ.DIM}) d)""",
-             _draws_sql("train_draws", "train", "training", SGD_STEPS * SGD_BATCH)]
-    measured = [s for s in range(SGD_STEPS) if s % SGD_EVAL == 0 or s + 1 == SGD_STEPS]
-    parts.append(_draws_sql("validation_draws", "validation", "validation", len(measured) * SGD_VALIDATION))
-    parts.append(_draws_sql("test_draws", "test", "testing", SGD_TEST))
+       FROM range(0, {SQ.K}) c, range(-1, {dim}) d)"""
+
+
+MEASURED = [s for s in range(SGD_STEPS) if s % SGD_EVAL == 0 or s + 1 == SGD_STEPS]
+_ALL_DRAWS = [_draws_sql("train_draws", "train", "training", SGD_STEPS),
+              _draws_sql("validation_draws", "validation", "validation", len(MEASURED)),
+              _draws_sql("test_draws", "test", "testing", 1)]
+
+
+def _schedule_sql(train_id: str = "vec_id", x_train: str = "x", x_cached: str = "x") -> list[str]:
+    """The steps over the draws. A training draw's vector is that of its ``train_id`` in ``x_train``."""
+    parts = []
     for step in range(SGD_STEPS):
-        batch = f"SELECT draw_id AS id, vec_id, class_id FROM train_draws WHERE draw_id // {SGD_BATCH} = {step}"
-        parts.append(_scored_sql(f"s{step}", f"w{step}", batch))
-        parts.append(f"""
-w{step + 1} AS (SELECT w.class_id, w.dim, w.w - {SGD_RATE} * g.g AS w
-      FROM w{step} w JOIN (SELECT s.k, x.dim, sum((s.p - CAST(s.k = s.class_id AS INTEGER)) * x.x) / {SGD_BATCH} AS g
-                           FROM s{step} s JOIN x USING (vec_id) GROUP BY s.k, x.dim) g ON g.k = w.class_id AND g.dim = w.dim)""")
-        if step in measured:
-            at = measured.index(step)
-            val = f"SELECT draw_id AS id, vec_id, class_id FROM validation_draws WHERE draw_id // {SGD_VALIDATION} = {at}"
-            parts += [_scored_sql(f"t{step}", f"w{step + 1}", batch), _scored_sql(f"v{step}", f"w{step + 1}", val)]
-    parts.append(_scored_sql("final_test", f"w{SGD_STEPS}", "SELECT draw_id AS id, vec_id, class_id FROM test_draws"))
-    parts.append(_scored_sql("every", f"w{SGD_STEPS}", "SELECT vec_id AS id, vec_id, class_id FROM rows_"))
-    return "WITH" + ",".join(parts)
-
-
-_SGD_SQL = _sgd_sql()
-SQL["sgd_steps"] = _SGD_SQL + " UNION ALL ".join(f"""
+        batch = f"SELECT draw_id AS id, {train_id} AS vec_id, class_id FROM train_draws WHERE turn = {step}"
+        parts.append(_step_sql(step, batch, x_train))
+        if step in MEASURED:
+            val = f"SELECT draw_id AS id, vec_id, class_id FROM validation_draws WHERE turn = {MEASURED.index(step)}"
+            parts += [_scored_sql(f"t{step}", f"w{step + 1}", batch, x_train), _scored_sql(f"v{step}", f"w{step + 1}", val, x_cached)]
+    parts.append(_scored_sql("final_test", f"w{SGD_STEPS}", "SELECT draw_id AS id, vec_id, class_id FROM test_draws", x_cached))
+    return parts
+
+
+_METRICS_SQL = " UNION ALL ".join(f"""
 SELECT {s} AS step, round({_accuracy_sql(f't{s}')}, {DEC}) AS train_accuracy,
        round((SELECT avg(lse - z) FROM t{s} WHERE k = class_id), {DEC}) AS cross_entropy,
        round({_accuracy_sql(f'v{s}')}, {DEC}) AS validation_accuracy,
        {f"round({_accuracy_sql('final_test')}, {DEC})" if s + 1 == SGD_STEPS else 'CAST(NULL AS DOUBLE)'} AS test_accuracy"""
-                                                 for s in range(SGD_STEPS) if s % SGD_EVAL == 0 or s + 1 == SGD_STEPS)
-SQL["train_softmax"] = _SGD_SQL + f"""
-SELECT class_id, {SQ._case('class_id', FV.SHIPPED_LABELS)} AS label, dim, round(w, {DEC}) AS value FROM w{SGD_STEPS}"""
-SQL["training_metrics"] = _SGD_SQL + f"""
+                                  for s in MEASURED)
+_SGD_SQL = "WITH" + ",".join([_rows_sql(SQ.DIM), *_ALL_DRAWS, *_schedule_sql()])
+SQL["sgd_steps"] = _SGD_SQL + _METRICS_SQL
+
+_TRAIN_ROWS = "SELECT vec_id AS id, vec_id, class_id FROM rows_ WHERE split = 'training'"
+_DESCENT_SQL = "WITH" + ",".join([
+    _rows_sql(SQ.DIM), *[_step_sql(step, _TRAIN_ROWS) for step in range(DESCENT_STEPS)],
+    _scored_sql("every", f"w{DESCENT_STEPS}", "SELECT vec_id AS id, vec_id, class_id FROM rows_")])
+SQL["train_softmax"] = _DESCENT_SQL + f"""
+SELECT class_id, {SQ._case('class_id', FV.SHIPPED_LABELS)} AS label, dim, round(w, {DEC}) AS value FROM w{DESCENT_STEPS}"""
+SQL["training_metrics"] = _DESCENT_SQL + f"""
 SELECT r.split, count(*) AS n, round(avg(CAST(t.k = t.class_id AS DOUBLE)), {DEC}) AS accuracy,
        round(avg(own.lse - own.z), {DEC}) AS mean_xent
 FROM rows_ r JOIN every t ON t.id = r.vec_id AND t.place = 1
      JOIN every own ON own.id = r.vec_id AND own.k = own.class_id GROUP BY r.split"""
 
-SQL["train_full"] = _SGD_SQL + f""",
+SQL["train_full"] = "WITH" + _rows_sql(SQ.DIM) + f""",
 split_rows AS (SELECT vec_id, class_id FROM rows_ WHERE split = 'training')
 SELECT w.class_id, {SQ._case('w.class_id', FV.SHIPPED_LABELS)} AS label, w.dim, (SELECT count(*) FROM split_rows) AS n,
        round(coalesce(sum(x.x), 0) / (SELECT count(*) FROM split_rows), {DEC}) AS own_mean, true AS fitted
@@ -316,6 +370,7 @@ def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 AUG_DRAW = AU.Augmentation(*CROP, flip=True, crop=10, scale=20, brightness=20)
 AUG_PLAIN = AU.Augmentation(*CROP, flip=True, brightness=20)
 AUG_SCALE = AU.Augmentation(*IMG, crop=10, scale=20)
+AUG_TRAIN = AU.Augmentation(*IMG, flip=True, crop=10, scale=20, brightness=20)
 
 
 def augment_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,23 +452,32 @@ def mean_rows_factory(dim: int):
 
 
 def augmented_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Draws of training images, each augmented afresh and passed through an extractor: what a step
-    trains on where images vary."""
-    draws = SA.balanced_draws(spark, _pool(spark, sf_dir), SGD_BATCH, "training", f"{SGD_SEED}:train", FV.SHIPPED_LABELS)
+    """As many draws as there are training images, each augmented afresh and passed through an extractor: what
+    a step trains on where images vary."""
+    pool = _pool(spark, sf_dir)
+    n = pool.filter(F.col("split") == "training").count()
+    draws = SA.balanced_draws(spark, pool, n, "training", f"{SGD_SEED}:train", FV.SHIPPED_LABELS)
     pixels = _pixels(spark, sf_dir).select(F.col("vec_id").cast("string").alias("key"), "pixels")
-    out = T._augmented(draws.withColumn("step", F.col("draw_id").cast("int")), pixels, "key", AUG_DRAW, AUG_SEED,
-                       mean_rows_factory(CROP[0]), "v1", CROP[0], "features")
+    out = T.augmented_draws(draws.withColumn("step", F.col("draw_id").cast("int")), pixels, "key", AUG_DRAW, AUG_SEED,
+                            mean_rows_factory(CROP[0]), "v1", CROP[0], "features")
     return out.select(F.col("step").cast("bigint").alias("draw_id"), "true_id", F.posexplode("features").alias("dim", "v")).select(
         "draw_id", "true_id", F.col("dim").cast("int").alias("dim"), F.round(F.col("v").cast("double"), 4).alias("value"))
 
 
-SQL["augmented_batch"] = _SGD_SQL + f""",
-drawn AS (SELECT d.draw_id, d.class_id, e.embedding FROM train_draws d JOIN embeddings e USING (vec_id)
-          WHERE d.draw_id < {SGD_BATCH}),
-{_params_sql(AUG_DRAW, 'drawn', 'draw_id')}, {_pixels_sql(AUG_DRAW)}
+_DRAWN_SQL = "drawn AS (SELECT d.draw_id, d.turn, d.class_id, e.embedding FROM train_draws d JOIN embeddings e USING (vec_id))"
+SQL["augmented_batch"] = "WITH" + ",".join([_rows_sql(SQ.DIM), _draws_sql("train_draws", "train", "training", 1), _DRAWN_SQL,
+                                            _params_sql(AUG_DRAW, 'drawn', 'draw_id'), _pixels_sql(AUG_DRAW)]) + """
 SELECT draw_id, class_id AS true_id, r AS dim, round(CAST(CAST(avg(value) AS FLOAT) AS DOUBLE), 4) AS value
 FROM pixel GROUP BY draw_id, class_id, r"""
 
+SQL["sgd_augmented"] = "WITH" + ",".join([
+    _rows_sql(IMG[0]), *_ALL_DRAWS, _DRAWN_SQL, _params_sql(AUG_TRAIN, 'drawn', 'draw_id', f"{SGD_SEED}:augment"), _pixels_sql(AUG_TRAIN), f"""
+xt AS (SELECT draw_id AS vec_id, r AS dim, CAST(CAST(avg(value) AS FLOAT) AS DOUBLE) AS x FROM pixel GROUP BY draw_id, r
+       UNION ALL SELECT draw_id, -1, 1.0 FROM drawn),
+xc AS (SELECT vec_id, CAST(dim // {IMG[1]} AS INTEGER) AS dim, CAST(CAST(avg(x) AS FLOAT) AS DOUBLE) AS x FROM x WHERE dim >= 0
+       GROUP BY vec_id, dim // {IMG[1]} UNION ALL SELECT vec_id, -1, 1.0 FROM embeddings)""",
+    *_schedule_sql("draw_id", "xt", "xc")]) + _METRICS_SQL
+
 
 QUERIES = {
     "softmax_gradient_step": softmax_gradient_step,
@@ -422,6 +486,8 @@ QUERIES = {
     "feature_fill": feature_fill,
     "vector_csv": feature_csv_roundtrip,
     "sgd_steps": sgd_steps,
+    "sgd_schedule": sgd_schedule,
+    "sgd_augmented": sgd_augmented,
     "train_softmax": train_softmax,
     "train_full": train_full,
     "training_metrics": training_metrics,
