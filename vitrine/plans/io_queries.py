@@ -225,24 +225,33 @@ FROM recs LEFT JOIN named ON named.vec_id = recs.c_custkey""")
 
 
 # ---------------------------------------------------------------- image folders
+LISTED_ROWS = 2_000                          # customers' lines in a file, about
+
+
 def image_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that Spark writes from the customers, a folder for each market segment, listed as image
-    folders are, with their bytes attached again by path."""
+    """Files that Spark writes from the customers, a folder for each market segment and a file for every
+    ``LISTED_ROWS`` customers or so of it, listed as image folders are, with their bytes attached again by
+    path, to the listing and to rows of a path that is not there."""
     cust = read_table(spark, sf_dir, "customer")
     path = scratch_path(spark, "images")
-    (cust.select(F.col("c_mktsegment").alias("folder"), F.col("c_custkey").cast("string").alias("value"))
-     .repartition("folder").write.partitionBy("folder").text(path))
+    share = F.pmod(F.xxhash64("c_custkey"), F.lit(max(1, cust.count() // (5 * LISTED_ROWS))))
+    (cust.select(F.col("c_mktsegment").alias("folder"), F.col("c_custkey").cast("string").alias("value"), share.alias("share"))
+     .repartition("folder", "share").drop("share").write.partitionBy("folder").text(path))
     listing = SRC.list_images(spark, path, extensions=["txt"])
-    whole = SRC.attach_image_bytes(listing, spark, path, "path", extensions=["txt"])
+    absent = listing.groupBy("label", "dir").agg(F.concat(F.lit(path), F.lit("/none/"), F.first("dir")).alias("path"),
+                                                 F.lit("part-none").alias("base_name"), F.lit(0).cast("bigint").alias("length"))
+    rows = listing.unionByName(absent)
+    whole = SRC.attach_image_bytes(rows, spark, path, "path", extensions=["txt"])
     return (whole.groupBy("label", "dir").agg(F.sum("length").alias("n_bytes"),
                                               F.sum(F.octet_length("content").cast("bigint")).alias("n_content"),
+                                              F.count(F.when(F.col("content").isNull(), 1)).alias("n_absent"),
                                               F.min(F.col("base_name").startswith("part-")).alias("is_part")))
 
 
 SQL["image_listing"] = """
 SELECT regexp_replace(lower('folder=' || c_mktsegment), '[^a-z0-9]+', ' ', 'g') AS label, 'folder=' || c_mktsegment AS dir,
        CAST(sum(length(CAST(c_custkey AS VARCHAR)) + 1) AS BIGINT) AS n_bytes,
-       CAST(sum(length(CAST(c_custkey AS VARCHAR)) + 1) AS BIGINT) AS n_content, true AS is_part
+       CAST(sum(length(CAST(c_custkey AS VARCHAR)) + 1) AS BIGINT) AS n_content, CAST(1 AS BIGINT) AS n_absent, true AS is_part
 FROM customer GROUP BY c_mktsegment"""
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from .. import fixed_values as FV
 from ..functions.text import base_name, label_from_path, normalize_label
+from ..operators import joins as JN
+from . import listing as LS
 
 MANIFEST_SCHEMA = ("productId bigint, imageUrl string, imagePath string, colorNormalId int, "
                    "productType string, dressLengthValue string")
@@ -66,7 +68,7 @@ def list_images(spark: SparkSession, root: str, extensions: list[str] | None = N
     """(label, dir, path, base_name, length) of image files exactly one folder below ``root``
     (files in the root itself and in nested folders are not images of a label); the file
     bytes are not read. label = the normalised folder name."""
-    df = _one_folder_below(spark, root, extensions).select("path", "length")
+    df = _one_folder_below(spark, root, extensions)
     return (df.withColumn("dir", label_from_path("path"))
             .withColumn("label", normalize_label("dir"))
             .withColumn("base_name", base_name("path"))
@@ -74,14 +76,16 @@ def list_images(spark: SparkSession, root: str, extensions: list[str] | None = N
 
 
 def _one_folder_below(spark: SparkSession, root: str, extensions: list[str] | None) -> DataFrame:
+    """(path, length): through tasks where ``listing`` can read the root's file system, else through Spark's own
+    file listing, whose file statuses pass through the driver."""
     exts = extensions or FV.IMAGE_EXTENSIONS
-    files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", "*.{" + ",".join(exts) + "}")
-             .load(root.rstrip("/") + "/*/*"))
+    if LS.readable(root):
+        return LS.list_folders(spark, root, exts)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join(exts) + "}")
+             .load(root.rstrip("/") + "/*/*").select("path", "length"))
     # the pattern also reaches into folders below that: keep paths of two more segments than the root
-    at = spark._jvm.org.apache.hadoop.fs.Path(root)
-    whole = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().getPath()
-    return files.filter(F.size(F.split(bare_path(F.col("path")), "/")) == len(whole.rstrip("/").split("/")) + 2)
+    depth = len(LS.parts_of(root.rstrip("/"))[2].split("/")) + 2
+    return files.filter(F.size(F.split(bare_path(F.col("path")), "/")) == depth)
 
 
 def label_collisions(listing: DataFrame) -> DataFrame:
@@ -92,7 +96,17 @@ def label_collisions(listing: DataFrame) -> DataFrame:
 
 
 def read_image_bytes(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
-    return _one_folder_below(spark, root, extensions).select("path", "content")
+    """(path, length, content) of the images below ``root``, packed into tasks by size."""
+    return _with_bytes(spark, _one_folder_below(spark, root, extensions), root)
+
+
+def _with_bytes(spark: SparkSession, rows: DataFrame, root: str, file_col: str = "path", length_col: str = "length") -> DataFrame:
+    """Rows with their file's ``content``."""
+    if LS.readable(root):
+        return LS.read_files(rows, file_col, length_col)
+    # a file system that only Spark's readers know: the bytes are joined, and shuffled
+    files = spark.read.format("binaryFile").load(root.rstrip("/") + "/*/*").select(F.col("path").alias("_path"), "content")
+    return rows.join(files, F.col(file_col) == F.col("_path"), "left").drop("_path")
 
 
 def bare_path(path: Column) -> Column:
@@ -104,13 +118,17 @@ def bare_path(path: Column) -> Column:
 def attach_image_bytes(manifest: DataFrame, spark: SparkSession, root: str, path_col: str = "image_path",
                        extensions: list[str] | None = None) -> DataFrame:
     """Manifest rows with the bytes of their image file (``content``; NULL when the file
-    is absent). The folder is scanned by the ``binaryFile`` source and joined on the file
-    path — no list of paths passes through the driver. Only paths that the manifest has are
-    joined with their bytes; paths are compared without scheme and authority."""
-    wanted = manifest.select(bare_path(F.col(path_col)).alias("_p")).filter("_p is not null").distinct()
-    files = (read_image_bytes(spark, root, extensions)
-             .select(bare_path(F.col("path")).alias("_p"), "content").join(wanted, "_p", "left_semi"))
-    return manifest.join(files, bare_path(F.col(path_col)) == F.col("_p"), "left").drop("_p")
+    is absent). The paths are joined with the folder's listing, without scheme and authority, and only then
+    are the files read: once for all rows of a file in a task, and behind every shuffle, so that no exchange
+    carries bytes. Rows without a path go around the join."""
+    names = manifest.columns
+    known = manifest.filter(F.col(path_col).isNotNull())
+    files = _one_folder_below(spark, root, extensions).select(
+        bare_path(F.col("path")).alias("_p"), F.col("path").alias("_file"), F.col("length").alias("_length"))
+    matched = JN.skew_split_join(known.withColumn("_p", bare_path(F.col(path_col))), files, "_p", how="left")
+    rows = matched.select(*names, "_file", "_length").union(
+        manifest.filter(F.col(path_col).isNull()).select("*", F.lit(None).cast("string"), F.lit(None).cast("bigint")))
+    return _with_bytes(spark, rows, root, "_file", "_length").select(*names, "content")
 
 
 def read_vector_text(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
