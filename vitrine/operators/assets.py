@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as FV
 from ..functions.urls import expected_file_name
-from .joins import DEFAULT_HOT_ROWS, skew_split_join
+from .joins import skew_split_join, spread_join
 
 DEFAULT_ASSET_ROOT = "assets"
 
@@ -53,17 +53,20 @@ def landed_image_ids(assets: DataFrame, suffix: str = FV.IMAGE_ROLE_SUFFIX[FV.DE
 def attach_assets(manifest: DataFrame, assets: DataFrame, label_col: str = "label",
                   root: str = DEFAULT_ASSET_ROOT,
                   suffix: str = FV.IMAGE_ROLE_SUFFIX[FV.DEFAULT_ROLE],
-                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                  hot_rows: int | None = None) -> DataFrame:
     """Left join of the manifest to the landed-asset listing on the image id.
 
     Equivalent to matching the URL's file name against the listing, but the join key is
     the numeric id the manifest already has: no string is built per fact row to join.
     ``image_path`` = root/label/file_name when the asset landed, else NULL; rows are
     never dropped here (a flag, not a filter). The listing side is distinct on the id,
-    so the left join cannot multiply manifest rows; an image on very many rows is salted.
+    so the left join cannot multiply manifest rows. Rows without an image id are spread over
+    the tasks; AQE splits an image on very many rows, or ``hot_rows`` counts and salts such.
     """
     landed = landed_image_ids(assets, suffix).withColumn("_landed", F.lit(True))
-    out = (skew_split_join(manifest, landed, "image_id", hot_rows, "left")
+    joined = (spread_join(manifest, landed, "image_id", "left") if hot_rows is None
+              else skew_split_join(manifest, landed, "image_id", hot_rows, "left"))
+    out = (joined
            .withColumn("file_name", expected_file_name("image_id", suffix)))
     return (out.withColumn("has_asset", F.coalesce(F.col("_landed"), F.lit(False)))
             .withColumn("image_path",

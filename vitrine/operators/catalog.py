@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from .. import fixed_values as FV
 from ..functions.urls import image_url, to_id
 from ..sources.tables import Catalogue
-from .joins import DEFAULT_HOT_ROWS, skew_split_join
+from .joins import DEFAULT_HOT_ROWS, skew_split_join, spread_join
 
 DEFAULT_MODULUS = 16
 
@@ -73,14 +73,14 @@ def with_image_url(df: DataFrame, prefix: str | None = None,
 
 
 def colorway_images(cat: Catalogue, category, modulus: int = DEFAULT_MODULUS,
-                    state_id: int = FV.PUBLISHED_STATE_ID,
-                    hot_rows: int = DEFAULT_HOT_ROWS, category_col: str = "category") -> DataFrame:
+                    state_id: int = FV.PUBLISHED_STATE_ID, category_col: str = "category") -> DataFrame:
     """Six-table chain product -> type, -> UPC -> colourway -> colourway image -> image.
 
     The bucket is of the image row's product id, which need not be the product's. Eligible
     products are found first; the UPC fact is filtered by them, the colourway side by the
     colourways that remain, each before its own DISTINCT. Descriptive product and type
-    columns (product-sized) are attached once at the end.
+    columns (product-sized) are attached once at the end. No fact is counted first: each of
+    the four joins is shuffled for itself, and AQE splits its hot keys.
     """
     prod = cat.product.filter((F.col("state_id") == state_id) & (F.col(category_col) == category))
     details = (prod.select("product_id", "product_desc", "vendor_code", "product_type_id")
@@ -89,23 +89,23 @@ def colorway_images(cat: Catalogue, category, modulus: int = DEFAULT_MODULUS,
                      "product_type_id")
                .drop("product_type_id")
                .distinct())
-    upc = (skew_split_join(cat.upc.select("product_id", "product_colorway_id"),
-                           details.select("product_id").distinct(), "product_id", hot_rows)
+    upc = (spread_join(cat.upc.select("product_id", "product_colorway_id"),
+                       details.select("product_id").distinct(), "product_id")
            .distinct())
     wanted = upc.select("product_colorway_id").distinct()
     colorway_image = (cat.product_colorway_image.select("product_colorway_id", "product_image_id")
                       .join(wanted, "product_colorway_id", "left_semi")
                       .join(cat.product_colorway.select("product_colorway_id"), "product_colorway_id",
                             "left_semi"))
-    images = (skew_split_join(colorway_image,
-                              cat.image.select("product_image_id", "image_id", F.col("product_id").alias("_owner")),
-                              "product_image_id", hot_rows)
+    images = (spread_join(colorway_image,
+                          cat.image.select("product_image_id", "image_id", F.col("product_id").alias("_owner")),
+                          "product_image_id")
               .select("product_colorway_id", "image_id", "_owner")
               .distinct())
-    pairs = (skew_split_join(upc, images, "product_colorway_id", hot_rows)
+    pairs = (spread_join(upc, images, "product_colorway_id")
              .select("product_id", "image_id", bucket("_owner", modulus).alias(FV.BUCKET_COLUMN))
              .distinct())
-    return (skew_split_join(pairs, details, "product_id", hot_rows)
+    return (spread_join(pairs, details, "product_id")
             .select(to_id("product_id").alias("product_id"), "product_desc", "vendor_code",
                     to_id("image_id").alias("image_id"), "product_type_name",
                     "short_description", "product_type_description", FV.BUCKET_COLUMN))

@@ -21,6 +21,13 @@ are salted explicitly, per key and exactly:
 The counts read the fact a second time unless the fact is itself a shuffle output (a
 DISTINCT or aggregate), whose stage AQE reuses; with no hot key AQE drops the join to the
 empty key table at runtime. No row is dropped or duplicated.
+
+A fact row without a key matches nothing, but a left join keeps it, and a shuffle by the key alone
+would bring all of them to one task. Such rows are salted too, whatever their number.
+
+``spread_join`` does without counts: both sides get a salt that is zero for every row with a key, so
+that both are shuffled for this join alone, and AQE may split a partition that turns out large. It is
+the one to take where counting would run an expensive fact twice.
 """
 from __future__ import annotations
 
@@ -29,12 +36,19 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 100_000                       # of 16 bytes each: what is broadcast has a bound
+NULL_SHARES = 1 << 16                        # that rows without a key are salted into
+
+
+def row_spread(df: DataFrame):
+    """A number of each row, the same however often a task runs: rows that are alike differ by the
+    partition they are in."""
+    return F.xxhash64(*[F.col(c) for c, t in df.dtypes if "map<" not in t], F.spark_partition_id())
 
 
 def hot_keys(fact: DataFrame, key: str, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """(key, _buckets) for keys with more than hot_rows rows, the ``MAX_HOT_KEYS`` hottest at most
     (a key beyond these has under a MAX_HOT_KEYS-th of the rows)."""
-    return (fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return (fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
             .filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
             .select(key, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_buckets")))
 
@@ -43,11 +57,10 @@ def salted_sides(fact: DataFrame, dim: DataFrame, key: str,
                  hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Fact and dimension with a ``_salt`` column, ready to join on (key, _salt)."""
     hot = F.broadcast(hot_keys(fact, key, hot_rows))
-    spread = F.xxhash64(*[F.col(c) for c in fact.columns])
-    f = (fact.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_buckets").isNotNull(),
-                                     F.pmod(spread, F.col("_buckets"))).otherwise(F.lit(0)).cast("int"))
-         .drop("_buckets"))
+    f = (fact.withColumn("_spread", row_spread(fact)).join(hot, key, "left")
+         .withColumn("_salt", F.when(F.col("_buckets").isNotNull(), F.pmod(F.col("_spread"), F.col("_buckets")))
+                     .when(F.col(key).isNull(), F.pmod(F.col("_spread"), F.lit(NULL_SHARES))).otherwise(F.lit(0)).cast("int"))
+         .drop("_buckets", "_spread"))
     d = (dim.join(hot, key, "left")
          .withColumn("_salt", F.explode(F.when(F.col("_buckets").isNotNull(),
                                                F.sequence(F.lit(0), F.col("_buckets") - 1))
@@ -64,3 +77,15 @@ def skew_split_join(fact: DataFrame, dim: DataFrame, key: str,
         raise ValueError(f"not a join that keeps to the fact's side: {how}")
     f, d = salted_sides(fact, dim, key, hot_rows)
     return f.join(d, [key, "_salt"], how).drop("_salt")
+
+
+def spread_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """The same join without counts: rows without a key are salted, and both sides are shuffled for this join
+    alone, so that AQE may split the partitions of a hot key by their measured size."""
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"not a join that keeps to the fact's side: {how}")
+    share = F.when(F.col(key).isNull(), 1 + F.pmod(row_spread(fact), F.lit(NULL_SHARES))).otherwise(F.lit(0))
+    # zero, but not a literal: the planner would do without it and reuse a partitioning that can't be split
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    return (fact.withColumn("_salt", share.cast("int")).join(dim.withColumn("_salt", zero.cast("int")), [key, "_salt"], how)
+            .drop("_salt"))
