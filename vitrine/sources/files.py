@@ -9,6 +9,7 @@ from .. import fixed_values as FV
 from ..functions.text import base_name, label_from_path, normalize_label
 from ..operators import joins as JN
 from . import listing as LS
+from . import ranges as RG
 
 MANIFEST_SCHEMA = ("productId bigint, imageUrl string, imagePath string, colorNormalId int, "
                    "productType string, dressLengthValue string")
@@ -20,9 +21,17 @@ def read_json_arrays(spark: SparkSession, paths: str | list[str], schema: str =
     """Files holding one JSON array each (``array_files``) or JSON lines. An absent key
     reads as NULL; the file each row came from is kept (e.g. the label a per-label file
     stands for). Keys that ``schema`` doesn't list come along with the types the files show,
-    unless ``other_keys`` is off; finding those reads the files once more. An array file is
-    parsed whole by one task; files are the parallel unit."""
+    unless ``other_keys`` is off; finding those reads the files once more, an array file by one task.
+    With it off, an array is read by as many tasks as it has ranges (``ranges.json_elements``); what is not
+    an object is a row of NULLs."""
     known = T._parse_datatype_string(schema)
+    if array_files and not other_keys and all(map(LS.readable, [paths] if isinstance(paths, str) else paths)):
+        found = RG.json_elements(spark, paths)
+        parts = [c for c in found.columns if c not in ("path", "source", "offset", "element")]
+        names = {f.name.lower() for f in known}
+        return found.select(F.from_json("element", known).alias("_row"), *[c for c in parts if c.lower() not in names],
+                            F.col("source").alias(source_col)).select(
+            *[F.col("_row")[f.name].alias(f.name) for f in known], *[c for c in parts if c.lower() not in names], source_col)
     reader = spark.read.option("multiLine", array_files)
     if other_keys:
         names = {f.name for f in known}
@@ -53,15 +62,9 @@ def read_class_uids(spark: SparkSession, path: str) -> DataFrame:
 
     A uid belongs to the last id above it; an id without a uid, and a uid without an id, make
     no row. Of several uids of an id the last in its file holds (of several files, the one of
-    the largest path). Read whole per file (pairs must stay together); files are the parallel
-    unit."""
-    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_file"))
-    pair = r'(?m)^  target_class: (\d+)[^\n]*\n(?:(?!  target_class: )[^\n]*\n)*?  target_class_string: "([^"]*)"'
-    ids = F.regexp_extract_all(F.col("value"), F.lit(pair), F.lit(1))
-    uids = F.regexp_extract_all(F.col("value"), F.lit(pair), F.lit(2))
-    z = whole.select("_file", F.posexplode(F.arrays_zip(ids.alias("i"), uids.alias("u"))).alias("_pos", "p"))
-    return (z.groupBy(F.col("p.i").cast("int").alias("class_id"))
-            .agg(F.max_by(F.col("p.u"), F.struct("_file", "_pos")).alias("uid")))
+    the largest path). A file is read by as many tasks as it has ranges."""
+    pairs = RG.class_pairs(spark, path)
+    return pairs.groupBy("class_id").agg(F.max_by("uid", F.struct("path", "offset")).alias("uid"))
 
 
 def list_images(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
