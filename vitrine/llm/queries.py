@@ -89,8 +89,9 @@ def transcripts(conversations: DataFrame, role_too: bool = False) -> DataFrame:
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical turns of the conversations' transcripts. The model is fitted to the turns of the
-    conversations outside the held-out fifth, as their transcripts show them."""
+    """Canonical turns of the conversations' transcripts, which are parsed by their lines: neither roles nor where
+    a message begins is passed on. The model is fitted to the messages of the conversations outside the
+    held-out fifth, as their transcripts show them."""
     conversations = _table(spark, sf_dir, "conversations")
     known = transcripts(conversations.filter(~held_out(F.col("conv_id"))), role_too=True)
     return chat.canonical_turns(transcripts(conversations), chat.fit(known))
