@@ -1,8 +1,8 @@
 """Softmax-regression training and evaluation on feature vectors.
 
 * ``gradient`` — one gradient of the mean softmax cross-entropy. Each task folds its rows
-  into a K x (D+1) partial sum with NumPy (``mapInPandas``); the partials are reduced by
-  one small aggregation keyed by (class, dim).
+  into a K x (D+1) partial sum with NumPy (``mapInPandas``), a binary row for each block of
+  classes; these rows are added in a tree of two levels, a block at a time.
 * ``train_lbfgs`` — the default trainer: ``pyspark.ml`` multinomial logistic regression
   (distributed L-BFGS over tree aggregation).
 * ``train_descent`` — a few steps of gradient descent over all rows, a job a step.
@@ -27,18 +27,25 @@ from .augment import Augmentation, augment_images, augment_params
 from .guards import literal_broadcast
 from .scoring import SoftmaxModel
 
-GRAD_SCHEMA = "class_id int, dim int, g double, n bigint"
+BLOCK_BYTES = 4 << 20                        # of a block of classes in a partial sum
+PARTIAL_SCHEMA = "block int, share int, n bigint, sums binary"
 
 
-def _partials_fn(weights, bias, features_col: str, class_col: str):
+def block_classes(dim: int) -> int:
+    """Classes whose sums make a block."""
+    return max(1, BLOCK_BYTES // (8 * (dim + 1)))
+
+
+def _partials_fn(weights, bias, features_col: str, class_col: str, shares: int):
+    """One task's sums: a binary row of K_b x (D + 1) numbers, bias first, for each block of classes."""
     W = np.asarray(weights, dtype=np.float64)
     b = np.asarray(bias, dtype=np.float64)
     k, d = W.shape
 
     def fold(batches):
-        G = np.zeros((k, d))
-        gb = np.zeros(k)
-        n = 0
+        from pyspark import TaskContext
+
+        G, n = np.zeros((k, d + 1)), 0
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -49,21 +56,42 @@ def _partials_fn(weights, bias, features_col: str, class_col: str):
             P = np.exp(Z)
             P /= P.sum(axis=1, keepdims=True)
             P[np.arange(len(y)), y] -= 1.0           # softmax - one_hot
-            G += P.T @ X
-            gb += P.sum(axis=0)
+            G[:, 1:] += P.T @ X
+            G[:, 0] += P.sum(axis=0)
             n += len(y)
         if n == 0:
             return
-        vals = np.concatenate([gb[:, None], G], axis=1).reshape(-1)
-        yield pd.DataFrame({
-            "class_id": np.repeat(np.arange(k), d + 1).astype(np.int32),
-            "dim": np.tile(np.arange(-1, d), k).astype(np.int32),
-            "g": vals,
-            "n": np.full(k * (d + 1), n, dtype=np.int64),
-        })
+        share = TaskContext.get().partitionId() % shares
+        step = block_classes(d)
+        for at in range(0, k, step):
+            yield pd.DataFrame({"block": [at // step], "share": [share], "n": [n], "sums": [G[at:at + step].tobytes()]})
     return fold
 
 
+def _added(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """The sums of rows with equal keys, added as they stream by: a task holds one block at a time."""
+    out_share = "share" in keys
+
+    def run(batches):
+        here, n, sums = None, 0, None
+
+        def done():
+            return pd.DataFrame({"block": [here[0]], "share": [here[1] if out_share else 0], "n": [n], "sums": [sums.tobytes()]})
+
+        for pdf in batches:
+            for block, share, count, raw in pdf.itertuples(index=False, name=None):
+                key = (block, share) if out_share else (block,)
+                if key != here:
+                    if here is not None:
+                        yield done()
+                    here, n, sums = key, 0, 0.0
+                n, sums = n + count, sums + np.frombuffer(raw)
+        if here is not None:
+            yield done()
+
+    return partials.repartition(*keys).sortWithinPartitions(*keys, "n").mapInPandas(run, PARTIAL_SCHEMA)
+
+
 def checked_class(class_col: str, num_classes: int):
     """The class id; a row whose id is NULL or not one of the classes fails the job, as leaving it
     out would change the result."""
@@ -78,10 +106,21 @@ def gradient(df: DataFrame, model: SoftmaxModel, features_col: str = "features",
     """(class_id, dim, grad): mean gradient of the cross-entropy; dim -1 is the bias."""
     ship_package(df.sparkSession)
     rows = df.select(features_col, checked_class(class_col, model.num_classes))
-    partials = rows.mapInPandas(_partials_fn(model.weights, model.bias, features_col, class_col),
-                                GRAD_SCHEMA)
-    return (partials.groupBy("class_id", "dim")
-            .agg((F.sum("g") / F.sum("n")).alias("grad")))
+    dim, tasks = np.asarray(model.weights).shape[1], rows.rdd.getNumPartitions()
+    partials = rows.mapInPandas(_partials_fn(model.weights, model.bias, features_col, class_col, max(1, int(tasks ** 0.5))),
+                                PARTIAL_SCHEMA)
+    step = block_classes(dim)
+
+    def unpack(batches):
+        for pdf in batches:
+            for block, _, n, raw in pdf.itertuples(index=False, name=None):
+                sums = np.frombuffer(raw).reshape(-1, dim + 1) / n
+                for at in range(0, len(sums), 64):
+                    some = sums[at:at + 64]
+                    yield pd.DataFrame({"class_id": np.repeat(np.arange(len(some)) + block * step + at, dim + 1).astype(np.int32),
+                                        "dim": np.tile(np.arange(-1, dim), len(some)).astype(np.int32), "grad": some.ravel()})
+
+    return _added(_added(partials, ["block", "share"]), ["block"]).mapInPandas(unpack, "class_id int, dim int, grad double")
 
 
 def gradient_step(df: DataFrame, model: SoftmaxModel, learning_rate: float = FV.LEARNING_RATE,

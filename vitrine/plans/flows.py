@@ -82,7 +82,7 @@ def check_lengths(recs: DataFrame, features: DataFrame, model: SC.SoftmaxModel,
     """Every record once, with cvResult, cvScore, cvResult2, cvScore2 and warning where its imagePath
     has a vector. Records are scored in place: several may share an image."""
     vectors = R.one_vector(features.filter("imagePath is not null"), "imagePath")
-    top = SC.first_two(SC.score(J.spread_join(recs, vectors, "imagePath", "left"), model), model, "cvResult")
+    top = SC.first_two(SC.score_top(J.spread_join(recs, vectors, "imagePath", "left"), model, 2), model, "cvResult")
     checked = R.length_warning(top, "dressLengthValue", "cvResult1", rules)
     added = {"cvResult": F.col("cvResult1"), "cvScore": R.score_text("score1"), "cvScore2": R.score_text("score2")}
     out = R.only_scored(checked.withColumns(added), ["cvResult", "cvScore", "cvResult2", "cvScore2", "warning"])
@@ -150,7 +150,7 @@ def check_colors(recs: DataFrame, expected_col: str, features: DataFrame, model:
     """Every record once, with color1, score1, color2, score2 and warning against its own expected
     colour where its imageName has a vector."""
     vectors = R.one_vector(features.filter("imageName is not null"), "imageName")
-    top = SC.first_two(SC.score(J.spread_join(recs, vectors, "imageName", "left"), model), model, "color")
+    top = SC.first_two(SC.score_top(J.spread_join(recs, vectors, "imageName", "left"), model, 2), model, "color")
     checked = R.color_warning(top, expected_col, "color1", literal=literal)
     text = {"score1": R.score_text("score1"), "score2": R.score_text("score2")}
     out = R.only_scored(checked.withColumns(text), ["color1", "score1", "color2", "score2", "warning"])

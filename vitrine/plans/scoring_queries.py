@@ -73,7 +73,7 @@ SELECT vec_id, CAST(class_id AS INTEGER) AS label_id, round(score, {DEC}) AS sco
 
 
 def topk_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (SC.top_labels(scored(spark, sf_dir), model(), ["vec_id"], FV.TOP_K_LENGTH)
+    return (SC.top_labels(SC.score_top(features(spark, sf_dir), model(), FV.TOP_K_LENGTH), model(), ["vec_id"], FV.TOP_K_LENGTH)
             .withColumn("score", F.round("score", DEC)))
 
 
@@ -85,7 +85,7 @@ FROM r WHERE rank <= {FV.TOP_K_LENGTH}"""
 
 
 def validated_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    two = SC.first_two(scored(spark, sf_dir), model())
+    two = SC.first_two(SC.score_top(features(spark, sf_dir), model(), 2), model())
     checked = R.length_warning(two, "source_label", "label1")
     return checked.select("vec_id", "source_label", "label1", F.round("score1", DEC).alias("score1"),
                           "label2", F.round("score2", DEC).alias("score2"), "warning")
@@ -166,7 +166,7 @@ def color_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = emb.select("vec_id", F.col("embedding").alias("features"),
                    F.element_at(F.array(*[F.lit(c) for c in FV.COLOR_PALETTE]),
                                 (F.col("label") % len(FV.COLOR_PALETTE) + 1).cast("int")).alias("expected"))
-    top = SC.first_two(SC.score(f, m), m, "color")
+    top = SC.first_two(SC.score_top(f, m, 2), m, "color")
     lit = R.color_warning(top, "expected", "color1", literal=True).withColumnRenamed("warning", "warning_literal")
     out = R.color_warning(lit, "expected", "color1")
     return out.select("vec_id", "expected", "color1", F.round("score1", DEC).alias("score1"),
@@ -192,7 +192,7 @@ def top_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top three classes of each vector, named by a join to a label list that lacks the last class."""
     m = SC.fixed_model(COLOR_LABELS, DIM)
     f = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"))
-    top = SC.top_labels(SC.score(f, m), m, ["vec_id"], FV.TOP_K_COLOR).drop("label")
+    top = SC.top_labels(SC.score_top(f, m, FV.TOP_K_COLOR), m, ["vec_id"], FV.TOP_K_COLOR).drop("label")
     labels = m.to_table(spark).filter(F.col("label_id") < len(COLOR_LABELS) - 1)
     return LK.attach_label(top, labels).withColumn("score", F.round("score", DEC))
 
