@@ -134,3 +134,21 @@ def test_more_fills_than_filters(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(FE, "FILTERS", 1)
     cache = os.path.join(tmp_dir, "cache")
     assert [fill(spark, [(k, "t", "h") for k in ks], cache) for ks in ([1], [1, 2], [1, 2, 3], [3])] == [1, 1, 1, 0]
+
+
+def test_inputs_are_shuffled_once(spark, stored_docs):
+    """With a shuffled semi join too, one exchange at most carries the texts."""
+    todo = stored_docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("h").alias("_content_hash"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        rows = FE._inputs_of(stored_docs, todo, "doc_id", ["text"], "string", "h")
+        assert len(rows.collect()) == 3000
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert sum("Exchange hashpartitioning" in line for line in final.split("\n")) == 2         # the texts, the keys

@@ -263,6 +263,24 @@ def add_vectors(spark: SparkSession, vectors: DataFrame, cache_path: str, model_
     return _commit(spark, cache_path, fill, model_version, seq, key_type, [])
 
 
+def _inputs_of(index: DataFrame, todo: DataFrame, key_col: str, input_cols: list[str], key_type: str,
+               content_hash_col: str | None) -> DataFrame:
+    """(key_col, _content_hash, *input_cols), a row for each of ``todo``. Join and grouping are by the same
+    columns, none of which is null, so inputs are shuffled once."""
+    chash = F.col(content_hash_col).cast("string") if content_hash_col else F.lit(None).cast("string")
+    ids = ["_key", "_no_key", "_hash", "_no_hash"]
+
+    def with_ids(df: DataFrame) -> DataFrame:
+        return df.withColumns({"_key": F.coalesce(key_col, F.lit("0").cast(key_type)), "_no_key": F.col(key_col).isNull(),
+                               "_hash": F.coalesce("_content_hash", F.lit("")), "_no_hash": F.col("_content_hash").isNull()})
+
+    given = with_ids(index.select(F.col(key_col).cast(key_type).alias(key_col), chash.alias("_content_hash"),
+                                  F.struct(*input_cols).alias("_inputs")))
+    first = given.join(with_ids(todo).select(*ids), ids, "left_semi").groupBy(*ids).agg(F.min("_inputs").alias("_inputs"))
+    return first.select(F.when(~F.col("_no_key"), F.col("_key")).alias(key_col),
+                        F.when(~F.col("_no_hash"), F.col("_hash")).alias("_content_hash"), "_inputs.*")
+
+
 def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col: str,
                input_cols: list[str], factory: Callable[[], Extractor], model_version: str,
                dim: int, key_type: str = "string", content_hash_col: str | None = None,
@@ -276,14 +294,7 @@ def fill_cache(spark: SparkSession, index: DataFrame, cache_path: str, key_col:
     if fetch is not None:
         rows = fetch(todo)
     else:
-        chash = F.col(content_hash_col).cast("string") if content_hash_col else F.lit(None).cast("string")
-        wanted = todo.select(F.col(key_col).alias("_key"), F.col("_content_hash").alias("_wanted"))
-        of_key = index.select(F.col(key_col).cast(key_type).alias(key_col), chash.alias("_content_hash"),
-                              F.struct(*input_cols).alias("_inputs"))
-        rows = (of_key.join(wanted, F.col(key_col).eqNullSafe(F.col("_key")) & F.col("_content_hash").eqNullSafe(F.col("_wanted")),
-                            "left_semi")
-                .groupBy(key_col).agg(F.min(F.struct("_content_hash", "_inputs")).alias("_first"))
-                .select(key_col, "_first._content_hash", "_first._inputs.*"))
+        rows = _inputs_of(index, todo, key_col, input_cols, key_type, content_hash_col)
     vecs = extract_features(rows, factory, model_version, key_col, input_cols, dim, keep_cols=["_content_hash"])
     return add_vectors(spark, vecs.select(F.col(key_col).alias("key"), F.col("_content_hash").alias("content_hash"), "features"),
                        cache_path, model_version, key_type)
