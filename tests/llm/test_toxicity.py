@@ -2,6 +2,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.llm import toxicity as x
 
@@ -109,12 +110,49 @@ def test_labels_are_learned(spark, fitted):
 
 
 def test_sample_is_bounded_and_not_held_out(fitted):
+    """Ids and their texts: one id on a third of the rows, with other texts, is one row."""
     docs, labels, _ = fitted
-    got = x.training_windows(docs, labels.union(labels), toxic_rows=10, clean_rows=20, windows=3)
+    hot = docs.crossJoin(docs.sparkSession.range(3)).withColumn("text", F.concat("text", F.col("id").cast("string"))).select(docs.columns)
+    rows = x.sample_rows(docs.union(hot), labels.union(labels), toxic_rows=10, clean_rows=20)
+    assert rows.count() == rows.select("doc_id").distinct().count() == 30
+    got = x.training_windows(rows, windows=3)
     assert len(got) == 30 and sum(y for _, y, _ in got) == 10
     assert all(crc32(str(d).encode()) % 5 for d, _, _ in got) and max(len(ws) for _, _, ws in got) <= 3
 
 
+def test_windows_are_chosen_from_the_whole_text():
+    """The highest windows of a long text are among those taken, wherever they are."""
+    net = small_network(5)
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in rng.integers(0, 30, 5000)]
+    every = list(x.window_starts(len(words)))
+    logit = [float(x.window_logits(net, [words[s:s + x.WINDOW]])[0]) for s in every]
+    got = x.chosen_starts(words, 24, net)
+    assert len(got) <= 24 and {every[i] for i in np.argsort(-np.array(logit), kind="stable")[:12]} <= set(got)
+    assert len(x.chosen_starts(words, 24, None)) == 24 and x.chosen_starts([], 24, net) == [0]
+    assert x.chosen_starts(words[:700], 24, net) == list(range(0, 700, x.WINDOW))
+
+
+def test_clean_texts_of_every_language_and_length(spark):
+    """At sf0.1, clean texts by language and length: held-out and training folds; at most 2 % flagged in classes
+    of 100 and more, and two texts in smaller ones."""
+    at = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    net = x.fit(docs, labels)
+    words = F.size(F.split("text", r"\s+"))
+    rows = x.add_scores(docs, net).join(labels, "doc_id").select(
+        "lang", F.when(words < 800, "short").when(words < 3000, "long").otherwise("very long").alias("length"),
+        (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held"), "toxic", (F.col("score") >= 0.5).alias("hit"))
+    table = rows.groupBy("toxic", "held", "lang", "length").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("hit").cast("int")).alias("hits")).collect()
+    for r in sorted(table):
+        print(tuple(r))
+    for r in table:
+        if r.toxic == 0:
+            assert r.hits <= max(2, 0.02 * r.n), r
+    toxic = [r for r in table if r.toxic and r.held]
+    assert sum(r.hits for r in toxic) >= 0.9 * sum(r.n for r in toxic)
+
+
 def test_edge_rows(spark, edge_docs, empty_docs, fitted):
     _, labels, net = fitted
     rows = x.add_scores(edge_docs.drop("score"), net).collect()

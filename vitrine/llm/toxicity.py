@@ -6,18 +6,19 @@ a word never seen is known by its parts. One gated recurrent layer reads a windo
 forwards and one backwards; attention weighs the states, and their weighted sum gives the logit. A
 text's score is that of its highest window, over all windows at a distance of ``STRIDE`` words.
 
-Labels hold for whole texts, while most windows of a toxic text are not. So training starts from all
-windows of the sampled texts, and after each pass keeps as positive only the windows of toxic texts
-that score above nearly all windows of other texts, or highest in their own. After ``WEAK`` passes a
-new network starts from these. At the end the bias is moved so that a half parts the sampled texts
-best.
+Labels hold for whole texts, while most windows of a toxic text are not. So a first network learns from
+windows spread evenly over the sampled texts, and after each of its ``WEAK`` passes keeps as positive only
+the windows of toxic texts that score above nearly all windows of other texts, or highest in their own. It then
+scores all overlapping windows of the sampled texts, however long, in Spark, and a new network learns from
+the highest of each text and some others: of toxic texts what makes them so, of others what is nearest
+to it. At the end the sampled texts are scored whole, as any text is, and the bias is moved so that a half
+parts these scores best.
 
 One column of the embeddings starts as the contrast between the two kinds of texts: how far the shares
 that have the word, or the sequence, lie apart beyond chance. With that a few hundred labels do.
 
-The sample is at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` other labelled rows, those of the
-smallest hashes outside the held-out fifth, with at most ``WINDOWS`` evenly spaced windows each.
-Scoring reads whole texts.
+The sample is at most ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` other labelled ids, those of the smallest
+hashes outside the held-out fifth, each with one text; a gradient sees ``WINDOWS`` windows of a text at most.
 """
 from __future__ import annotations
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, best_cut, free_name, slices, strings
+from .common import add_columns, best_cut, free_name, slices, stored, strings
 
 WINDOW, STRIDE = 32, 16
 TOXIC_ROWS, CLEAN_ROWS, WINDOWS = 1200, 1800, 24
@@ -230,8 +231,9 @@ def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return found, np.add.reduceat(values[order], starts, axis=0)
 
 
-def train(texts: list[tuple[int, int, list[list[str]]]], epochs: int = EPOCHS, seed: int = 11) -> Network:
-    """Fit a network to (text, label, windows of words); adaptive steps, deterministic for a seed."""
+def train(texts: list[tuple[int, int, list[list[str]]]], epochs: int = EPOCHS, seed: int = 11, judge: Network | None = None) -> Network:
+    """Fit a network to (text, label, windows of words); adaptive steps, deterministic for a seed. Which windows of
+    toxic texts count as such is for ``judge`` to say before the first pass, and for the network after each."""
     vocabulary = vocabulary_of(texts)
     rng = np.random.default_rng(seed)
     windows = [(t, y, w) for t, (_, y, ws) in enumerate(texts) for w in ws]
@@ -240,18 +242,29 @@ def train(texts: list[tuple[int, int, list[list[str]]]], epochs: int = EPOCHS, s
     label = np.array([y for _, y, _ in windows], np.float32)
     toxic, clean = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     used = np.ones(len(windows), bool)
-    best: dict[int, float] = {}
     batch = min(BATCH, max(16, len(windows) // 100))                 # a small sample needs as many steps
     own = [sorted({w for window in ws for w in window}) or [""] for _, _, ws in texts]
     first = {"word": contrast([np.array([vocabulary.get(w, 0) for w in ws]) for ws in own], [y for _, y, _ in texts], 1 + len(vocabulary)),
              "char": contrast([character_rows(ws)[0] for ws in own], [y for _, y, _ in texts], CHAR_ROWS)}
     first["word"][0] = 0
-    for epoch in range(WEAK + epochs):
-        if epoch in (0, WEAK):               # what the weak labels taught is not kept
-            net = Network.fresh(vocabulary, seed)
-            for name, by_row in first.items():
-                net.weights[name][:, 0] = by_row
-            past = {k: np.full_like(v, 1e-6) for k, v in net.weights.items()}
+    net = Network.fresh(vocabulary, seed)
+    for name, by_row in first.items():
+        net.weights[name][:, 0] = by_row
+    past = {k: np.full_like(v, 1e-6) for k, v in net.weights.items()}
+
+    def keep_positive(judge: Network) -> None:
+        logit = np.concatenate([window_logits(judge, [w for _, _, w in windows[at:at + 4096]])
+                                for at in range(0, len(windows), 4096)])
+        best: dict[int, float] = {}
+        for t, x in zip(text.tolist(), logit.tolist()):
+            best[t] = max(best.get(t, -np.inf), x)
+        # like few windows of other texts, or the likeliest of its own
+        high = np.quantile(logit[clean], 0.995) if len(clean) else -np.inf
+        used[toxic] = [logit[i] > high or logit[i] == best[text[i]] for i in toxic]
+
+    if judge is not None:
+        keep_positive(judge)
+    for _ in range(epochs):
         order = rng.permutation(np.flatnonzero(used))
         for at in range(0, len(order), batch):
             some = order[at:at + batch]
@@ -264,19 +277,7 @@ def train(texts: list[tuple[int, int, list[list[str]]]], epochs: int = EPOCHS, s
             for name, (which, grad) in rows.items():
                 past[name][which] += grad * grad
                 net.weights[name][which] -= RATE * grad / np.sqrt(past[name][which])
-        logit = np.concatenate([window_logits(net, [w for _, _, w in windows[at:at + 4096]])
-                                for at in range(0, len(windows), 4096)])
-        best = {}
-        for t, x in zip(text.tolist(), logit.tolist()):
-            best[t] = max(best.get(t, -np.inf), x)
-        # like few windows of other texts, or the likeliest of its own
-        high = np.quantile(logit[clean], 0.995) if len(clean) else -np.inf
-        used[toxic] = [logit[i] > high or logit[i] == best[text[i]] for i in toxic]
-    # the bias puts a half where the sampled texts part best
-    by_text = [(best[t], y) for t, (_, y, _) in enumerate(texts)]
-    cut = best_cut([(float(x), int(y)) for x, y in by_text])
-    if cut is not None:
-        net.weights["bias"] -= np.float32(max(cut, best[-1] + 0.5))       # no words: under a half
+        keep_positive(net)
     return net
 
 
@@ -326,11 +327,10 @@ def text_scores(net: Network, texts: list[str], block: int = 4096, most_words: i
     return 0.5 * (1 + np.tanh(0.5 * out.astype(np.float64)))
 
 
-def training_windows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, windows: int = WINDOWS
-                     ) -> list[tuple[int, int, list[list[str]]]]:
-    """(doc_id, label, windows) of the bounded sample of labelled rows. A document with more than one
-    label counts as toxic if one of them says so."""
+def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
+    """(doc_id, label, text) of the bounded sample of labelled ids, stored: of an id's texts the one of the
+    smallest hash. A document with more than one label counts as toxic if one of them says so."""
     known = (labels.select(F.col("doc_id").cast("long").alias("known_id"), F.col("toxic").cast("int").alias("label"))
              .filter("known_id is not null and label is not null and crc32(cast(known_id as string)) % 5 <> 0")
              .groupBy("known_id").agg(F.max("label").alias("label")))
@@ -338,31 +338,70 @@ def training_windows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     for label, rows in ((1, toxic_rows), (0, clean_rows)):
         part = known.filter(F.col("label") == label).orderBy(F.xxhash64("known_id"), "known_id").limit(rows)
         sample = part if sample is None else sample.union(part)
-    marked = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(sample), F.col("doc_id") == F.col("known_id"))         # at most toxic_rows + clean_rows
-              .select("doc_id", "text", "label"))
+    marked = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+              .join(F.broadcast(sample), F.col("doc_id") == F.col("known_id")))        # at most toxic_rows + clean_rows
+    one = marked.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return stored(one.repartition(docs.sparkSession.sparkContext.defaultParallelism), "toxicity-sample")
+
+
+def logits_at(net: Network, words: list[str], starts: np.ndarray, block: int = 4096) -> np.ndarray:
+    """The logit of the window at each start, ``block`` at a time."""
+    return np.concatenate([window_logits(net, [words[s:s + WINDOW] for s in starts[at:at + block]]) for at in range(0, len(starts), block)])
+
+
+def chosen_starts(words: list[str], windows: int, net: Network | None) -> list[int]:
+    """All windows side by side of a text that has no more than ``windows`` of them. Of a longer one, without a
+    network as many spread evenly; else the half of them that score highest among all overlapping ones, and
+    the other half spread evenly."""
+    starts = range(0, max(1, len(words)), WINDOW)
+    if len(starts) <= windows:
+        return list(starts)
+    spread = [starts[i * len(starts) // windows] for i in range(windows)]
+    if net is None:
+        return spread
+    every = np.array(window_starts(len(words)))
+    logit = logits_at(net, words, every)
+    best = every[np.argsort(-logit, kind="stable")[:windows // 2]].tolist()
+    return sorted({*best, *spread[::2]})
+
+
+def training_windows(rows: DataFrame, net: Network | None = None, windows: int = WINDOWS) -> list[tuple[int, int, list[list[str]]]]:
+    """(doc_id, label, windows) of the sampled rows; see ``chosen_starts``."""
+    shared = rows.sparkSession.sparkContext.broadcast((net.weights, net.vocabulary) if net else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Network(*shared.value) if shared.value else None
         for batch in batches:
             for part in slices(batch):
                 cut = []
-                for text in strings(part.column(1)):
+                for text in strings(part.column(2)):
                     words = words_of(text)
-                    starts = range(0, max(1, len(words)), WINDOW)
-                    take = starts if len(starts) <= windows else [starts[i * len(starts) // windows] for i in range(windows)]
-                    cut.append([" ".join(words[s:s + WINDOW]) for s in take])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(cut, pa.list_(pa.string()))],
+                    cut.append([" ".join(words[s:s + WINDOW]) for s in chosen_starts(words, windows, own)])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(cut, pa.list_(pa.string()))],
                                                  names=["doc_id", "label", "windows"])
 
-    rows = marked.mapInArrow(run, "doc_id long, label int, windows array<string>").distinct().collect()
+    found = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, windows array<string>").collect()
     # a word is one string, however often it occurs
     return [(d, y, [[intern(x) for x in w.split(" ")] if w else [] for w in ws])
-            for d, y, ws in sorted(rows, key=lambda r: (r[0], r[2]))]
+            for d, y, ws in sorted(found, key=lambda r: (r[0], r[2]))]
+
+
+def place_half(net: Network, rows: DataFrame) -> Network:
+    """The network with its bias where a half parts the whole texts of the sample best."""
+    found = [(min(max(s, 1e-9), 1 - 1e-9), y) for s, y in add_scores(rows, net, "score", keep=["label"]).select("score", "label").collect()]
+    cut = best_cut([(float(np.log(s / (1 - s))), int(y)) for s, y in found])
+    if cut is not None:
+        nothing = float(window_logits(net, [[]])[0])                  # no words: under a half
+        net.weights["bias"] = net.weights["bias"] - np.float32(max(cut, nothing + 0.5))
+    return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, **how) -> Network:
-    """A network for ``docs``, trained on the driver on the bounded sample."""
-    return train(training_windows(docs, labels, **how))
+def fit(docs: DataFrame, labels: DataFrame, windows: int = WINDOWS, **how) -> Network:
+    """A network for ``docs``, trained on the driver on windows of the bounded sample; which, and where a half
+    lies, is found on whole texts by tasks."""
+    rows = sample_rows(docs, labels, **how)
+    first = train(training_windows(rows, None, windows), WEAK)
+    return place_half(train(training_windows(rows, first, windows), judge=first), rows)
 
 
 def add_scores(docs: DataFrame, net: Network, column: str = "score", text_col: str = "text",
