@@ -96,24 +96,19 @@ SQL["landing_by_label"] = CQ.SQL["asset_attach"].replace(
 
 
 # ---------------------------------------------------------------- two-hop class lookup
+NAMELESS = 7                                 # of so many parts one has no name line
+
+
 def _lookup_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Spark-derived lookup files in the classifier formats: ``uid<TAB>name`` lines from
-    nation, and ``target_class`` / ``target_class_string`` record pairs for every nation
-    (resolvable) and every region (uids with no name: the error report)."""
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
-    names_path = scratch_path(spark, "synsets")
-    (nation.select(F.concat_ws("\t", F.concat(F.lit("n"), F.lpad(F.col("n_nationkey").cast("string"), 8, "0")),
-                               F.col("n_name")).alias("value"))
-     .write.text(names_path))
-    records = nation.select((F.col("n_nationkey") + 100).alias("c"),
-                            F.concat(F.lit("n"), F.lpad(F.col("n_nationkey").cast("string"), 8, "0")).alias("u")
-                            ).unionByName(
-        region.select((F.col("r_regionkey") + 900).alias("c"),
-                      F.concat(F.lit("r"), F.lpad(F.col("r_regionkey").cast("string"), 8, "0")).alias("u")))
-    map_path = scratch_path(spark, "class-map")
-    (records.select(F.concat(F.lit("entry {\n  target_class: "), F.col("c").cast("string"),
-                             F.lit('\n  target_class_string: "'), F.col("u"), F.lit('"\n}')).alias("value"))
+    """Spark-derived lookup files in the classifier formats, a record for each part:
+    ``target_class`` / ``target_class_string`` line pairs for all of them, and ``uid<TAB>name`` lines
+    for those whose key ``NAMELESS`` doesn't divide (the others make the error report)."""
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("c"), "p_name")
+    uid = F.concat(F.lit("n"), F.lpad(F.col("c").cast("string"), 8, "0"))
+    names_path, map_path = scratch_path(spark, "synsets"), scratch_path(spark, "class-map")
+    part.filter(F.col("c") % NAMELESS != 0).select(F.concat_ws("\t", uid, "p_name").alias("value")).write.text(names_path)
+    (part.select(F.concat(F.lit("entry {\n  target_class: "), F.col("c").cast("string"),
+                          F.lit('\n  target_class_string: "'), uid, F.lit('"\n}')).alias("value"))
      .write.text(map_path))
     return names_path, map_path
 
@@ -132,11 +127,11 @@ def label_two_hop_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing
 
 
-SQL["label_two_hop"] = """
-SELECT CAST(n_nationkey + 100 AS INTEGER) AS class_id, n_name AS label FROM nation"""
-SQL["label_two_hop_missing"] = """
-SELECT CAST(r_regionkey + 900 AS INTEGER) AS class_id, 'r' || lpad(CAST(r_regionkey AS VARCHAR), 8, '0') AS uid
-FROM region"""
+SQL["label_two_hop"] = f"""
+SELECT CAST(p_partkey AS INTEGER) AS class_id, p_name AS label FROM part WHERE p_partkey % {NAMELESS} <> 0"""
+SQL["label_two_hop_missing"] = f"""
+SELECT CAST(p_partkey AS INTEGER) AS class_id, 'n' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS uid
+FROM part WHERE p_partkey % {NAMELESS} = 0"""
 
 
 # ---------------------------------------------------------------- record checks
