@@ -1,6 +1,13 @@
 import gzip
+import html
 import json
+import random
+import re
+import time
 from pathlib import Path
+from urllib.parse import urljoin
+
+import pytest
 
 from vitrine.llm import warc
 
@@ -80,3 +87,104 @@ def test_tags_that_drop_nothing_after_them():
         assert warc.plain_text(f"one {gone} two") == "one two", gone
     assert warc.plain_text("one <svg no") == warc.plain_text("one <style") == "one"
     assert warc.plain_text("<title-bar>a</title-bar>") == "a" and warc.TITLE.search("<title-bar>a") is None
+
+
+def slow_links(page, base):
+    """A character at a time: tags end at the next '>', a link is the first href with white space before it."""
+    found, i = [], 0
+    while i < len(page):
+        name = next((n for n in ("area", "link", "a") if page[i:i + 1 + len(n)].lower() == "<" + n
+                     and not (page[i + 1 + len(n):i + 2 + len(n)] or " ").replace("_", "a").isalnum()), None)
+        if name is None:
+            i += 1
+            continue
+        end = i
+        while end < len(page) and page[end] != ">":
+            end += 1
+        at, j = None, i
+        while j < end and at is None:
+            if page[j].isspace() and page[j + 1:j + 5].lower() == "href":
+                k = j + 5
+                while k < end and page[k].isspace():
+                    k += 1
+                if k < end and page[k] == "=":
+                    k += 1
+                    while k < min(end + 1, len(page)) and page[k].isspace():
+                        k += 1
+                    at = k
+            j += 1
+        i = min(end + 1, len(page))
+        if at is None or at >= len(page):
+            continue
+        stop = at
+        if page[at] in "\"'":
+            stop = at + 1
+            while stop < len(page) and page[stop] != page[at]:
+                stop += 1
+            if stop == len(page):
+                continue
+            value, stop = page[at + 1:stop], stop + 1
+        else:
+            while stop < len(page) and not page[stop].isspace() and page[stop] not in "\"'>":
+                stop += 1
+            value = page[at:stop]
+            if not value:
+                continue
+        i = max(i, stop)
+        target = html.unescape(value).strip()
+        try:
+            target = urljoin(base, target)
+        except ValueError:
+            pass
+        if target not in found:
+            found.append(target)
+    return found
+
+
+def slow_text(page):
+    """A character at a time, for pages without what ``DROPPED`` takes out: block tags become line ends, wherever
+    they begin; then the other tags go."""
+    blocks = re.search(r"\?:(.*?)\)", warc.BREAK.pattern, re.S)[1].replace("h[1-6]", "h1|h2|h3|h4|h5|h6").split("|")
+
+    def cut(page, is_tag, put):
+        out, i = [], 0
+        while i < len(page):
+            if page[i] == "<" and is_tag(page[i + 1:i + 20]):
+                end = page.find(">", i)
+                i = len(page) if end < 0 else end + 1
+                out.append(put)
+            else:
+                out.append(page[i])
+                i += 1
+        return "".join(out)
+
+    def block(after):
+        after = after.removeprefix("/").lower()
+        return any(after.startswith(n) and not (after[len(n):len(n) + 1] or " ").replace("_", "a").isalnum() for n in blocks)
+
+    page = "".join(" " if c.isspace() else c for c in page)
+    out = cut(cut(page, block, "\n"), lambda x: x[:1] in tuple("/!?") or (x[:1].isascii() and x[:1].isalpha()), "")
+    lines = [" ".join(line.split()) for line in html.unescape(out).split("\n")]
+    return "\n".join(x for x in lines if x)
+
+
+def test_pages_against_slow_scans(spark):
+    rng = random.Random(4)
+    bits = ["<a ", "<a\n", "<A HREF=", " href=", "href = ", "'x y'", '"u?a=1&amp;b"', "v", ">", "</a>", "<area ", "<link\t", "<abbr ", "<a-b ",
+            "<p>", "</div >", "<b>", "text", " & ", "&lt;", "\u00a0", "é", "<br/>", "\"", "'", "< ", "/", "<h2 class=z>", "\n", "<!x>", "data-href=q "]
+    cases = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    cases += [warc.DROPPED.sub(" ", r.html or "") for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    for page in cases:
+        assert warc.links_of(page, "http://a.org/b/") == slow_links(page, "http://a.org/b/"), page
+        assert warc.plain_text(page) == slow_text(page), page
+
+
+@pytest.mark.parametrize("bit", ["<a ", "<a href=", "<a href='", '<a href=">', "<title ", "<title>", "<p ", "<!-- ", "<svg ", "<script ", "</title ", "&#"])
+def test_a_million_bytes_of_open_tags(bit):
+    page = bit * (1_000_000 // len(bit))
+    start = time.process_time()
+    warc.links_of(page, "http://a.org/")
+    warc.title_of(page)
+    assert time.process_time() - start < 1
+    warc.plain_text(page)
+    assert time.process_time() - start < 3

@@ -37,11 +37,14 @@ DERIVED = ("page_id long, record_type string, record_id string, refers_to string
 DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<svg(?:/|\s[^>]*/)>"
                      r"|<(script|style|noscript|template|svg|textarea)(?=[\s/>]|\Z)[^>]*(?:>|\Z).*?(?:</\1(?=[\s/>])[^>]*>|\Z)",
                      re.S | re.I)
-TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+# tags end at the next '>' or with the page, so a search that begins at one never fails behind it
+TITLE, TITLE_END = re.compile(r"<title(?=[\s/>])[^>]*(?:>|\Z)", re.I), re.compile(r"</title\s*>", re.I)
 BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|"
                    r"hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|th|thead|title|tr|ul)\b[^>]*(?:>|\Z)", re.I)
 TAG = re.compile(r"<[a-zA-Z/!?][^>]*(?:>|\Z)")
-LINK = re.compile(r"""<(?:a|area|link)\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+LINK = re.compile(r"<(?:a|area|link)\b[^>]*(?:>|\Z)", re.I)
+HREF = re.compile(r"\shref\s*=\s*", re.I)
+VALUE = re.compile(r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 CHARSET = re.compile(r"charset\s*=\s*\"?([\w.:-]+)", re.I)
 
 
@@ -97,11 +100,28 @@ def plain_text(page: str) -> str:
     return "\n".join(x for x in (" ".join(line.split()) for line in text.split("\n")) if x)
 
 
+def title_of(page: str) -> str | None:
+    """The text of the first title element, with references resolved and white space folded; None without one."""
+    page = DROPPED.sub(" ", page)
+    tag = TITLE.search(page)
+    if not tag or not tag[0].endswith(">"):
+        return None
+    end = TITLE_END.search(page, tag.end())
+    return " ".join(html.unescape(TAG.sub("", page[tag.end():end.start() if end else len(page)])).split())
+
+
 def links_of(page: str, base: str) -> list[str]:
-    """Targets of the page's links against its own address, each once, in order."""
-    found = {}
-    for m in LINK.finditer(DROPPED.sub(" ", page)):
-        target = html.unescape(next(x for x in m.groups() if x is not None)).strip()
+    """Targets of the page's links against its own address, each once, in order. Of a tag the first target counts;
+    one in quotes may hold a '>'. The page is read once, however many tags are left open."""
+    found, page, at = {}, DROPPED.sub(" ", page), 0
+    while tag := LINK.search(page, at):
+        at = tag.end()
+        name = HREF.search(page, tag.start(), tag.end())
+        value = name and VALUE.match(page, name.end())
+        if not value:
+            continue
+        at = max(at, value.end())
+        target = html.unescape(next(x for x in value.groups() if x is not None)).strip()
         try:
             target = urljoin(base, target)
         except ValueError:
@@ -128,10 +148,9 @@ def derive(source: dict) -> list[dict]:
     status, fields, body = parse_http(source["block"] or b"")
     page = decoded(body, fields)
     uri, origin = source["target_uri"], source["record_id"] or ""
-    title = TITLE.search(DROPPED.sub(" ", page))
     meta = {"refers_to": origin, "payload_digest": source["payload_digest"], "block_digest": source["block_digest"],
             "http_status": status, "http_headers": fields,
-            "title": " ".join(html.unescape(TAG.sub("", title[1])).split()) if title else None, "links": links_of(page, uri or "")}
+            "title": title_of(page), "links": links_of(page, uri or "")}
     blocks = {"metadata": ("application/json", json.dumps(meta, ensure_ascii=False)),
               "conversion": ("text/plain; charset=utf-8", plain_text(page))}
     ids = {kind: record_id(origin, kind) for kind in blocks}
