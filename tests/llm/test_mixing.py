@@ -10,10 +10,14 @@ from vitrine.llm import mixing as m
 from vitrine.llm import queries
 
 
+def row_key(*values):
+    return hashlib.md5("\x1f".join("null" if v is None else str(v) for v in values).encode()).hexdigest()
+
+
 def slow(rows, rates, seed=m.SEED):
     out = []
     for doc_id, source in rows:
-        name = "null" if doc_id is None else str(doc_id)
+        name = row_key(doc_id, source)
         u = int(hashlib.md5(f"{seed}:count:{name}".encode()).hexdigest()[:13], 16) * 2.0 ** -52
         k, p = 0, math.exp(-rates[source])
         total = p
@@ -77,14 +81,43 @@ def test_native(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
-def test_sql_with_nulls(spark, edge_docs, tmp_path):
-    edge_docs.select("doc_id", "text", "source").coalesce(1).write.parquet(str(tmp_path / "d"))
+def against_sql(spark, docs, tmp_path):
+    """The rows of the mixture, which are those of the SQL."""
+    docs.select("doc_id", "text", "source").coalesce(1).write.parquet(str(tmp_path / "d"))
     con = duckdb.connect()
     con.sql(f"create view given as select * from '{tmp_path}/d/*.parquet'")
-    rows = con.sql(f"select doc_id, text, source, copy, round(rate, 6) from ({queries.mixing_sql('given')})").fetchall()
-    mixed = m.mix_sources(edge_docs.select("doc_id", "text", "source"))
+    rows = con.sql(f"select doc_id, text, source, copy, round(rate, 6) from ({queries.mixing_sql(('doc_id', 'text', 'source'), 'given')})").fetchall()
+    mixed = m.mix_sources(docs.select("doc_id", "text", "source"))
     got = [(r.doc_id, r.text, r.source, r.copy, round(r.rate, 6)) for r in mixed.collect()]
     assert sorted(got, key=str) == sorted(rows, key=str)
+    return got
+
+
+def test_sql_with_nulls(spark, edge_docs, tmp_path):
+    against_sql(spark, edge_docs, tmp_path)
+
+
+def test_sql_of_rates_above_a_part(spark, tmp_path):
+    """One row of a source beside many of another: it is repeated about 150 times."""
+    docs = spark.range(20_001).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 1, "one").otherwise("many").alias("source"))
+    got = against_sql(spark, docs, tmp_path)
+    assert {r[4] for r in got if r[2] == "one"} == {round(20_001 / (1 + 20_000 ** 0.5), 6)} and sum(r[2] == "one" for r in got) > 2 * m.MAX_RATE - 40
+
+
+def test_rows_without_an_id_are_drawn_each_for_itself(spark):
+    """Of a source without ids, and of one that has one id, the target weights come out; no task gets more than
+    twice the median, and the order is global."""
+    docs = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+                                      F.col("id").cast("string").alias("text"), F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"))
+    weights = {"s0": 0.6, "s1": 0.3, "s2": 0.1}
+    mixed = m.mix_sources(docs, weights=weights)
+    n = {r.source: r["count"] for r in mixed.groupBy("source").count().collect()}
+    for source, share in weights.items():
+        assert abs(n[source] - share * 30_000) < 5 * (share * 30_000) ** 0.5
+    sizes = sorted(r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    order = [int(hashlib.md5(f"{m.SEED}:order:{row_key(r.doc_id, r.text, r.source)}:{r.copy}".encode()).hexdigest()[:13], 16) for r in mixed.collect()]
+    assert order == sorted(order)
 
 
 def test_rates_above_a_part(spark):
@@ -100,7 +133,8 @@ def test_rates_above_a_part(spark):
     def drawn(purpose, left):
         u = int(hashlib.md5(f"{m.SEED}:{purpose}".encode()).hexdigest()[:13], 16) * 2.0 ** -52
         return sum(s <= u for s in steps[left])
-    want = {i: drawn(f"count:{i}", rate - 7 * 64) + sum(drawn(f"part:{k}:{i}", 64.0) for k in range(1, 8)) for i in range(20)}
+    key = {i: row_key(i, "small") for i in range(20)}
+    want = {i: drawn(f"count:{key[i]}", rate - 7 * 64) + sum(drawn(f"part:{k}:{key[i]}", 64.0) for k in range(1, 8)) for i in range(20)}
     assert Counter((r.doc_id, r.copy) for r in rows) == Counter((i, c) for i, n in want.items() for c in range(n))
 
 

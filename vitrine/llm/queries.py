@@ -158,29 +158,51 @@ def _url_sql() -> str:
         from ruled"""
 
 
-def mixing_sql(source: str = "documents", power: float = 0.5) -> str:
-    """The mixture of a table, in any order; the last select has columns d.* and copy and rate."""
-    def uniform(purpose: str, key: str) -> str:
-        return f"cast(concat('0x', substr(md5(concat('{mixing.SEED}:{purpose}:', {key})), 1, 13)) as bigint) * power(2.0, -52)"
-
+def mixing_sql(columns: tuple[str, ...], source: str = "documents", power: float = 0.5) -> str:
+    """The mixture of a table with these columns, in any order, with copy and rate. A rate above the largest part's
+    is the sum of Poisson parts."""
+    def uniform(purpose: str) -> str:
+        return f"cast(concat('0x', substr(md5(concat('{mixing.SEED}:', {purpose}, ':', row_key)), 1, 13)) as bigint) * power(2.0, -52)"
+
+    most = mixing.MAX_RATE
+    values = ", ".join(f"coalesce(cast({c} as varchar), 'null')" for c in columns)
     return f"""
         with recursive counts as (
             select source, count(*) as n, power(cast(count(*) as double), {power}) as share from {source} group by source),
         rates as (
-            select source, least({mixing.MAX_RATE}, cast(sum(n) over () as double) * share / sum(share) over () / n) as rate
-            from counts),
+            select source, cast(sum(n) over () as double) * share / sum(share) over () / n as rate from counts),
+        parted as (
+            select source, rate, greatest(cast(ceil(rate / {most}) as int) - 1, 0) as parts from rates),
         steps as (
-            select source, rate, 0 as k, exp(-rate) as p, exp(-rate) as total from rates
+            select source, rate - parts * {most} as rest, 0 as k, exp(-(rate - parts * {most})) as p, exp(-(rate - parts * {most})) as total
+            from parted
             union all
-            select source, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) from steps
-            where k < 160 and not (k + 1 > rate and total + p * rate / (k + 1) = total)),
-        drawn as (
-            select d.*, {uniform('count', "coalesce(cast(d.doc_id as varchar), 'null')")} as u from {source} d)
-        select d.* exclude (u), s.k as copy, s.rate
-        from drawn d join steps s on d.source is not distinct from s.source and s.total <= d.u"""
-
-
+            select source, rest, k + 1, p * rest / (k + 1), total + p * rest / (k + 1) from steps
+            where k < 160 and not (k + 1 > rest and total + p * rest / (k + 1) = total)),
+        part_steps as (
+            select 0 as k, exp(cast(-{most} as double)) as p, exp(cast(-{most} as double)) as total
+            union all
+            select k + 1, p * {most} / (k + 1), total + p * {most} / (k + 1) from part_steps
+            where k < 200 and not (k + 1 > {most} and total + p * {most} / (k + 1) = total)),
+        keyed as (
+            select *, row_number() over () as row_at, md5(concat_ws(chr(31), {values})) as row_key from {source}),
+        first_part as (
+            select row_at, count(*) as n from (select row_at, source, {uniform("'count'")} as u from keyed) d
+            join steps s on d.source is not distinct from s.source and s.total <= d.u group by row_at),
+        other_parts as (
+            select row_at, count(*) as n
+            from (select row_at, {uniform("concat('part:', part)")} as u
+                  from (select row_at, row_key, unnest(range(1, parts + 1)) as part
+                        from keyed d join parted r on d.source is not distinct from r.source)) d
+            join part_steps s on s.total <= d.u group by row_at),
+        times as (
+            select row_at, cast(sum(n) as bigint) as n from (select * from first_part union all select * from other_parts) group by row_at)
+        select {", ".join("d." + c for c in columns)}, unnest(range(t.n)) as copy, r.rate
+        from keyed d join times t using (row_at) join parted r on d.source is not distinct from r.source"""
+
+
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SQL = {
     "op3_url_filter": _url_sql(),
-    "op8_mixing": f"select doc_id, text, lang, source, n_chars, cast(copy as int) as copy, round(rate, 6) as rate from ({mixing_sql()})",
+    "op8_mixing": f"select doc_id, text, lang, source, n_chars, cast(copy as int) as copy, round(rate, 6) as rate from ({mixing_sql(DOCUMENT_COLUMNS)})",
 }
