@@ -182,6 +182,60 @@ def test_augmented_images_of_any_size_and_channels(spark):
             assert np.allclose(np.array(r.augmented), want)
 
 
+def test_tensors_of_every_kind(spark):
+    """Bytes, single and double precision, several channels, NULLs and slices: as the slow resize has them."""
+    rng = np.random.default_rng(1)
+    how = AU.Augmentation(4, 5, flip=True, crop=10, scale=30, brightness=20)
+    images = []
+    for i, (dtype, (h, w, c)) in enumerate([("u1", (8, 8, 3)), ("<f4", (3, 9, 1)), ("<f8", (12, 4, 2)), ("u1", (8, 8, 3)), ("<f8", (1, 1, 1))] * 5):
+        x = (rng.random((h, w, c)) * 255).astype(dtype)
+        images.append((i, x))
+    rows = [(i, (*x.shape, bytearray(x.tobytes()))) for i, x in images] + [(90, None), (91, (0, 0, 3, bytearray())), (92, (2, 2, 1, None))]
+    df = spark.createDataFrame(rows, f"k long, img {AU.TENSOR}").coalesce(1)
+    params = AU.augment_params(df, "k", "s", how)
+    made = AU.augment_tensors(params, "img", how)
+    got = {r.k: r for r in made.withColumn("flat", AU.values("augmented")).collect()}
+    assert len(got) == len(rows) and all(got[k].augmented is None and got[k].flat is None for k in (90, 91, 92))
+    for i, x in images:
+        r = got[i]
+        want = slow_resize(x.astype(float), r.scaled_h, r.scaled_w)[r.crop_y:r.crop_y + 4, r.crop_x:r.crop_x + 5]
+        want = (want[:, ::-1] if r.flip else want) * r.brightness
+        assert np.allclose(np.array(r.flat).reshape(4, 5, -1), want)
+        assert (r.augmented.height, r.augmented.width, r.augmented.channels) == (4, 5, x.shape[2])
+        assert np.allclose(np.frombuffer(r.augmented.data).reshape(4, 5, -1), want)
+
+
+def test_packed_arrays(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]), (2, None), (3, [9.0] * 6)], "k long, v array<float>").coalesce(1).filter("k > 1 or k = 1")
+    t = df.select("k", AU.pack("v", F.lit(2), F.lit(3), F.lit(1)).alias("t")).orderBy("k").collect()
+    assert t[1].t is None and np.frombuffer(t[0].t.data, "<f4").tolist() == [1, 2, 3, 4, 5, 6] and t[2].t.height == 2
+    with pytest.raises(Exception, match="shape"):
+        df.select(AU.pack("v", F.lit(2), F.lit(2), F.lit(1))).collect()
+
+
+def test_memory_of_a_batch_of_photographs():
+    """299 x 299 x 3: an Arrow batch of 64 MB of bytes, 239 images, is augmented in under 800 MB (of which the batch's
+    output, eight bytes a value, is 513 MB)."""
+    import tracemalloc
+
+    how = AU.Augmentation(299, 299, flip=True, crop=10, scale=20, brightness=20)
+    rng = np.random.default_rng(0)
+    block = rng.integers(0, 256, (8, 299, 299, 3), dtype=np.uint8)
+    one = 8 * 299 * 299 * 3
+    tracemalloc.start()
+    step = max(1, AU.CHUNK_BYTES // int(8 * 394 * 394 * 3))
+    for low in range(0, 8, step):
+        some = block[low:low + step].astype(np.float64)
+        n = len(some)
+        AU.augmented(some, 394, 394, np.zeros(n, int), np.zeros(n, int), np.ones(n, bool), np.ones(n), 299, 299)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print(f"{step} images at a time, {peak >> 20} MB beside a batch's output of {239 * one >> 20} MB")
+    assert peak < 287 << 20
+
+
 def test_augment_params_ranges(spark):
     df = spark.range(2000).withColumnRenamed("id", "d")
     how = AU.Augmentation(6, 6, flip=True, crop=10, scale=20, brightness=30)

@@ -23,7 +23,8 @@ from .. import fixed_values as FV
 from ..functions import vectors as V
 from ..session import ship_package
 from . import schedule as SCH
-from .augment import Augmentation, augment_images, augment_params
+from .augment import Augmentation, augment_images, augment_params, augment_tensors
+from .augment import values as tensor_values
 from .guards import literal_broadcast
 from .scoring import SoftmaxModel
 
@@ -197,15 +198,19 @@ def evaluate(df: DataFrame, model: SoftmaxModel, group_cols: list[str],
 
 def augmented_draws(draws: DataFrame, pixels: DataFrame, key_col: str, augment: Augmentation, seed: str, factory,
                model_version: str, dim: int, features_col: str) -> DataFrame:
-    """(step, true_id, features): fresh vectors of the drawn images, each augmented by its draw."""
+    """(step, true_id, features): fresh vectors of the drawn images, each augmented by its draw. ``pixels`` are
+    tensors, or nested arrays."""
     from .features import extract_features
 
+    kind = pixels.schema["pixels"].dataType
     images = augment_params(draws.join(pixels.select(key_col, "pixels"), key_col), "draw_id", seed, augment)
-    seen = augment_images(images, "pixels", augment, keep_cols=["draw_id", "step", "class_id"])
-    flat = F.flatten("augmented")
-    if isinstance(pixels.schema["pixels"].dataType.elementType.elementType, ArrayType):
-        flat = F.flatten(flat)
-    vecs = extract_features(seen.select("draw_id", "step", "class_id", flat.alias("flat")), factory, model_version,
+    keep = ["draw_id", "step", "class_id"]
+    if isinstance(kind, ArrayType):          # nested arrays
+        seen = augment_images(images, "pixels", augment, keep_cols=keep)
+        flat = F.flatten(F.flatten("augmented")) if isinstance(kind.elementType.elementType, ArrayType) else F.flatten("augmented")
+    else:
+        seen, flat = augment_tensors(images, "pixels", augment, keep_cols=keep), tensor_values("augmented")
+    vecs = extract_features(seen.select(*keep, flat.alias("flat")), factory, model_version,
                             "draw_id", ["flat"], dim, keep_cols=["step", "class_id"])
     return vecs.select("step", F.col("class_id").alias("true_id"), F.col("features").alias(features_col))
 

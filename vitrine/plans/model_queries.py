@@ -14,7 +14,7 @@ from ..operators import sampling as SA
 from ..operators import scoring as SC
 from ..operators import splits as S
 from ..operators import training as T
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 from ..sources import files as SRC
 from ..sources.tables import read_table
 from . import scoring_queries as SQ
@@ -211,7 +211,8 @@ def sgd_augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     and test take the cached vectors of the images as they are: the schedule's metrics."""
     pixels = _pixels(spark, sf_dir).select(F.col("vec_id").cast("string").alias("key"), "pixels")
     factory = mean_rows_factory(IMG[0])
-    cached = FE.extract_features(pixels.select("key", F.flatten("pixels").alias("flat")), factory, "v1", "key", ["flat"], IMG[0])
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("key"), F.col("embedding").alias("flat"))
+    cached = FE.extract_features(emb, factory, "v1", "key", ["flat"], IMG[0])
     return _metrics(_sgd(spark, sf_dir, cached, SC.fixed_model(FV.SHIPPED_LABELS, IMG[0]), pixels=pixels, augment=AUG_TRAIN,
                          extractor_factory=factory)[1])
 
@@ -363,8 +364,10 @@ FROM w0 w LEFT JOIN (split_rows r JOIN x USING (vec_id)) ON r.class_id = w.class
 
 # ---------------------------------------------------------------- augmentation
 def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, pixels): the embeddings as image tensors of one channel."""
+    ship_package(spark)
     emb = read_table(spark, sf_dir, "embeddings")
-    return emb.select("vec_id", V.reshape("embedding", IMG[0], IMG[1]).alias("pixels"))
+    return emb.select("vec_id", AU.pack("embedding", F.lit(IMG[0]), F.lit(IMG[1]), F.lit(1)).alias("pixels"))
 
 
 AUG_DRAW = AU.Augmentation(*CROP, flip=True, crop=10, scale=20, brightness=20)
@@ -417,10 +420,9 @@ FROM prm"""
 
 def _pixel_rows(spark: SparkSession, sf_dir: str, how: AU.Augmentation) -> DataFrame:
     p = AU.augment_params(_pixels(spark, sf_dir), "vec_id", AUG_SEED, how)
-    a = AU.augment_images(p, "pixels", how, keep_cols=["vec_id"])
-    rows = a.select("vec_id", F.posexplode("augmented").alias("r", "row"))
-    return rows.select("vec_id", "r", F.posexplode("row").alias("c", "v")).select(
-        "vec_id", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"),
+    a = AU.augment_tensors(p, "pixels", how, keep_cols=["vec_id"])
+    return a.select("vec_id", F.posexplode(AU.values("augmented")).alias("at", "v")).select(
+        "vec_id", F.expr(f"cast(at div {how.width} as int)").alias("r"), (F.col("at") % how.width).cast("int").alias("c"),
         F.round("v", DEC).alias("value"))
 
 
