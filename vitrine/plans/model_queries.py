@@ -203,7 +203,7 @@ def sgd_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original schedule, 4,000 steps of 100 draws with a measure at every tenth and a test of 500 at the
     last, from the truncated normal start, in one barrier job."""
     vectors = _training_frame(spark, sf_dir).select("key", "features")
-    return T.train_sgd(spark, _pool(spark, sf_dir), vectors, FV.SHIPPED_LABELS, seed=SGD_SEED)[1]
+    return _metrics(T.train_sgd(spark, _pool(spark, sf_dir), vectors, FV.SHIPPED_LABELS, seed=SGD_SEED)[1])
 
 
 def sgd_augmented(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,6 +343,60 @@ SELECT {s} AS step, round({_accuracy_sql(f't{s}')}, {DEC}) AS train_accuracy,
 _SGD_SQL = "WITH" + ",".join([_rows_sql(SQ.DIM), *_ALL_DRAWS, *_schedule_sql()])
 SQL["sgd_steps"] = _SGD_SQL + _METRICS_SQL
 
+
+
+def _schedule_draws_sql(name: str, what: str, split: str, n: int, size: int) -> str:
+    """n batches of a fixed size: turn, class and the vector with the bias first."""
+    return f"""
+{name} AS MATERIALIZED (
+  SELECT r.range // {size} AS turn, c.class_id, list_prepend(1.0, list_transform(e.embedding, lambda v: CAST(v AS DOUBLE))) AS xs
+  FROM range(0, {n * size}) r
+  JOIN classes c ON c.split = '{split}' AND c.place = {_u60(f'{SGD_SEED}:{what}', 'r.range', 'label')} % c.n_classes
+  JOIN members m ON m.split = '{split}' AND m.class_id = c.class_id
+       AND m.place = {_u60(f'{SGD_SEED}:{what}', 'r.range', 'image')} % c.n
+  JOIN embeddings e ON e.vec_id = m.vec_id)"""
+
+
+def _whole_schedule_sql() -> str:
+    """The 4,000 steps as a recursion over the weights, a list of a list for each class."""
+    measured = [s for s in range(FV.TRAINING_STEPS) if s % FV.EVAL_INTERVAL == 0 or s + 1 == FV.TRAINING_STEPS]
+    start = T.init_model(FV.SHIPPED_LABELS, SQ.DIM)
+    weights = "[" + ", ".join(str([0.0, *w]) for w in start.weights) + "]"
+    z = "list_transform(w, lambda wk: list_dot_product(wk, xs))"
+    e = "list_transform(z, lambda v: exp(v - list_max(z)))"
+    return f"""WITH RECURSIVE {_rows_sql(SQ.DIM)},
+{_schedule_draws_sql('batches', 'train', 'training', FV.TRAINING_STEPS, FV.TRAIN_BATCH)},
+{_schedule_draws_sql('validations', 'validation', 'validation', len(measured), FV.VALIDATION_BATCH)},
+{_schedule_draws_sql('tests', 'test', 'testing', 1, FV.TEST_BATCH)},
+model AS (
+  SELECT 0 AS step, CAST({weights} AS DOUBLE[][]) AS w
+  UNION ALL
+  SELECT any_value(step) + 1, list(wk ORDER BY k) FROM (
+    SELECT step, k, list(old - {FV.LEARNING_RATE} * g / {FV.TRAIN_BATCH} ORDER BY dim) AS wk FROM (
+      SELECT step, k, dim, any_value(w[k][dim]) AS old, sum((p[k] - CAST(k = class_id + 1 AS INTEGER)) * xs[dim]) AS g
+      FROM (SELECT step, w, class_id, xs, list_transform(e, lambda v: v / list_sum(e)) AS p
+            FROM (SELECT *, {e} AS e FROM (SELECT step, w, class_id, xs, {z} AS z FROM model JOIN batches b ON b.turn = model.step))),
+           (SELECT unnest(range(1, {SQ.K + 1})) AS k), (SELECT unnest(range(1, {SQ.DIM + 2})) AS dim)
+      GROUP BY step, k, dim) GROUP BY step, k) HAVING count(*) > 0),
+kept AS MATERIALIZED (
+  SELECT step - 1 AS step, row_number() OVER (ORDER BY step) - 1 AS turn, w FROM model
+  WHERE step > 0 AND ((step - 1) % {FV.EVAL_INTERVAL} = 0 OR step = {FV.TRAINING_STEPS})),
+scored AS (
+  SELECT step, part, avg(CAST(list_position(z, list_max(z)) = class_id + 1 AS DOUBLE)) AS accuracy,
+         avg(list_max(z) + ln(list_sum({e})) - z[class_id + 1]) AS xent
+  FROM (SELECT step, part, class_id, {z} AS z
+        FROM (SELECT k.step, 'train' AS part, w, class_id, xs FROM kept k JOIN batches b ON b.turn = k.step
+              UNION ALL SELECT k.step, 'validation', w, class_id, xs FROM kept k JOIN validations b ON b.turn = k.turn
+              UNION ALL SELECT k.step, 'test', w, class_id, xs FROM kept k JOIN tests b ON k.step + 1 = {FV.TRAINING_STEPS}))
+  GROUP BY step, part)
+SELECT t.step, round(t.accuracy, {DEC}) AS train_accuracy, round(t.xent, {DEC}) AS cross_entropy,
+       round(v.accuracy, {DEC}) AS validation_accuracy, round(e.accuracy, {DEC}) AS test_accuracy
+FROM scored t LEFT JOIN scored v ON v.step = t.step AND v.part = 'validation' LEFT JOIN scored e ON e.step = t.step AND e.part = 'test'
+WHERE t.part = 'train'"""
+
+
+SQL["sgd_schedule"] = _whole_schedule_sql()
+
 _TRAIN_ROWS = "SELECT vec_id AS id, vec_id, class_id FROM rows_ WHERE split = 'training'"
 _DESCENT_SQL = "WITH" + ",".join([
     _rows_sql(SQ.DIM), *[_step_sql(step, _TRAIN_ROWS) for step in range(DESCENT_STEPS)],
