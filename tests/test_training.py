@@ -467,3 +467,40 @@ def test_registered_fit_reads_the_whole_training_split(spark, monkeypatch):
         H = np.block([[(X * (P[:, i] * ((i == j) - P[:, j]))[:, None]).T @ X for j in range(5)] for i in range(5)]) / len(X)
         W -= np.linalg.solve(H + 1e-9 * np.eye(5 * d), ((P - Y).T @ X / len(X)).ravel()).reshape(W.shape)
     assert loss(np.column_stack([model.bias, model.weights])) == pytest.approx(loss(W), abs=1e-5)
+
+
+def test_training_metrics_are_of_the_whole_fit(spark, tmp_dir):
+    """Of own rows: the measures of the best fit to the training split, by Newton's method, and the SQL's."""
+    from tests.oracle_util import canon
+    from vitrine.plans import model_queries as MQ, registry
+
+    import duckdb
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    n = 900
+    X, true = rng.normal(0, 0.125, (n, 64)).astype(np.float32), rng.normal(0, 1, (5, 64))
+    y = (X @ true.T + rng.gumbel(0, 1, (n, 5))).argmax(axis=1)
+    pd.DataFrame({"vec_id": range(n), "embedding": [*X], "label": (y + 5 * (np.arange(n) % 2)).astype(np.int32)}).to_parquet(os.path.join(tmp_dir, "embeddings.parquet"))
+    got = registry.queries()["training_metrics"](spark, tmp_dir)
+    found = {r.split: r for r in got.collect()}
+
+    keyed = spark.createDataFrame([(i, str(i)) for i in range(n)], "i int, key string")
+    split = np.array([r.split for r in S.assign_split(keyed, "key").orderBy("i").collect()])
+    A = np.hstack([np.ones((n, 1)), X.astype(np.float64)])
+    own, Y = A[split == "training"], np.eye(5)[y[split == "training"]]
+    W, d = np.zeros((5, 65)), 65
+    for _ in range(30):
+        P = np.exp(own @ W.T)
+        P /= P.sum(axis=1, keepdims=True)
+        H = np.block([[(own * (P[:, i] * ((i == j) - P[:, j]))[:, None]).T @ own for j in range(5)] for i in range(5)]) / len(own)
+        W -= np.linalg.lstsq(H, ((P - Y).T @ own / len(own)).ravel(), rcond=1e-12)[0].reshape(W.shape)
+    assert set(found) == {"training", "validation", "testing"}
+    for s, r in found.items():
+        z = A[split == s] @ W.T
+        assert r.n == len(z) and abs(r.accuracy - (z.argmax(axis=1) == y[split == s]).mean()) < 1e-6
+        assert abs(r.mean_xent - np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), y[split == s]])) < 1.1e-5
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_dir}/embeddings.parquet')")
+    sql = con.sql(MQ.SQL["training_metrics"])
+    assert canon(sql.fetchall(), sql.columns) == canon([tuple(r) for r in found.values()], got.columns)
