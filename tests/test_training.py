@@ -504,3 +504,92 @@ def test_training_metrics_are_of_the_whole_fit(spark, tmp_dir):
     con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_dir}/embeddings.parquet')")
     sql = con.sql(MQ.SQL["training_metrics"])
     assert canon(sql.fetchall(), sql.columns) == canon([tuple(r) for r in found.values()], got.columns)
+
+
+def _schedule_peak(n, tmp):
+    """Bytes at most that a task of the schedule holds over a stream of n training rows a step, and its results."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from vitrine.operators import schedule as SCH
+
+    def batches():
+        for s, parts in ((0, (SCH.TRAIN, SCH.VALIDATION, SCH.AGAIN)), (1, (SCH.TRAIN, SCH.VALIDATION, SCH.TEST, SCH.AGAIN))):
+            for part in parts:
+                for low in range(0, n if part in (SCH.TRAIN, SCH.AGAIN) else 10_000, 10_000):
+                    x = pa.array(np.sin(np.arange(80_000, dtype=np.float32) + low + part % 3))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(10_000, s, np.int32)), pa.array(np.full(10_000, part, np.int32)),
+                                                      pa.array((np.arange(10_000) % 5).astype(np.int32)),
+                                                      pa.ListArray.from_arrays(np.arange(0, 80_001, 8, dtype=np.int32), x)],
+                                                     names=["step", "part", "true_id", "features"])
+
+    class Frame:
+        """The plan's last steps: the function that a task runs is taken out and run here."""
+
+        sparkSession = tmp
+        schema = {"features": type("f", (), {"dataType": None})}
+
+        def __getattr__(self, name):
+            return lambda *a, **how: self
+
+        def mapInArrow(self, fn, *a, **how):
+            import pyspark
+
+            kept, pyspark.TaskContext.get = pyspark.TaskContext.get, staticmethod(lambda: type("c", (), {"partitionId": lambda self: 0})())
+            tracemalloc.start()
+            try:
+                out, = fn(batches())
+            finally:
+                self.peak = tracemalloc.get_traced_memory()[1]
+                tracemalloc.stop()
+                pyspark.TaskContext.get = kept
+            self.row = out.to_pylist()[0]
+            return self
+
+        def collect(self):
+            return [self.row]
+
+    frame = Frame()
+    model, measured = SCH.run_schedule(frame, SC.fixed_model(FV.SHIPPED_LABELS, 8), 2, {SCH.TRAIN: n, SCH.VALIDATION: 10_000, SCH.TEST: 10_000}, 0.1, [0, 1], 1)
+    return frame.peak, measured
+
+
+def test_memory_of_a_task_does_not_grow_with_the_batch(spark):
+    (small, a), (large, b) = _schedule_peak(20_000, spark), _schedule_peak(400_000, spark)
+    assert [m[0] for m in a] == [m[0] for m in b] == [0, 1] and b[-1][4] is not None
+    assert large < 1.2 * small, (small, large)
+
+
+def test_schedule_of_several_arrow_batches_a_step(spark):
+    """Steps of more rows than an Arrow batch has, measured and not, floats and doubles: as NumPy over whole steps."""
+    from vitrine.operators import schedule as SCH
+
+    rng = np.random.default_rng(6)
+    n, rate = 700, 0.3
+    X, y = rng.normal(0, 1, (3, n, 4)).astype(np.float32), rng.integers(0, 3, (3, n))
+    V_, v = rng.normal(0, 1, (3, 250, 4)).astype(np.float32), rng.integers(0, 3, (3, 250))
+    init = SC.fixed_model(["a", "b", "c"], 4)
+    W, b = np.array(init.weights, dtype=np.float64), np.array(init.bias, dtype=np.float64)
+    want = []
+    for s in range(3):
+        gw, gb = _numpy_grad(X[s].astype(np.float64), y[s], W, b)
+        W, b = W - rate * gw, b - rate * gb
+        if s != 1:
+            z = X[s].astype(np.float64) @ W.T + b
+            want.append((s, float((z.argmax(axis=1) == y[s]).mean()), float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(n), y[s]])),
+                         float(((V_[s] @ W.T + b).argmax(axis=1) == v[s]).mean())))
+    rows = [(s, SCH.TRAIN, int(y[s][i]), X[s][i].tolist()) for s in range(3) for i in range(n)]
+    rows += [(s, SCH.VALIDATION, int(v[s][i]), V_[s][i].tolist()) for s in range(3) for i in range(250)]     # of the step between, too
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(size)
+    spark.conf.set(size, "64")
+    try:
+        for kind, tasks in (("float", 1), ("double", 1), ("float", 2)):
+            df = spark.createDataFrame(rows, f"step int, part int, true_id int, features array<{kind}>")
+            model, got = SCH.run_schedule(df, init, 3, {SCH.TRAIN: n, SCH.VALIDATION: 250}, rate, [0, 2], tasks)
+            assert np.abs(np.array(model.weights) - W).max() < 1e-12 and np.abs(np.array(model.bias) - b).max() < 1e-12
+            assert [g[0] for g in got] == [0, 2] and all(g[4] is None for g in got)
+            assert np.allclose([g[1:4] for g in got], [w[1:] for w in want], atol=1e-12)
+    finally:
+        spark.conf.set(size, kept)

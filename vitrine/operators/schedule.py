@@ -1,7 +1,8 @@
 """A mini-batch schedule in one job: one stage that runs all steps.
 
-The rows of all batches are sorted by step, so a task reads its share as a stream and holds one step's rows.
-Small batches are one task's work. Larger ones are dealt to the tasks of a barrier stage: in a step every
+The rows of all batches are sorted by step, so a task reads its share as a stream and adds up one Arrow batch
+after another: what it holds doesn't grow with the step. The training rows of a measured step come twice, for its
+gradient and, behind that, to be measured by the weights after it. Small batches are one task's work. Larger ones are dealt to the tasks of a barrier stage: in a step every
 task takes the gradient's sum over its rows, the tasks exchange their sums (``allGather``), add them up in
 one order, and move their own copy of the model alike. What a step measured is sent along with the next
 step's sums. The first task returns the model and the measures. Spark runs a barrier stage whole again if it
@@ -20,11 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from ..session import ship_package
 from .scoring import SoftmaxModel
 
-TRAIN, VALIDATION, TEST = range(3)
+TRAIN, VALIDATION, TEST, AGAIN = range(4)    # a step's rows come in this order; AGAIN: those of TRAIN, to be measured
 TASK_BYTES = 64 << 20                        # of a batch's vectors, for one task
 MOST_TASKS = 256
 
@@ -34,27 +36,18 @@ def schedule_tasks(spark, batch: int, dim: int) -> int:
     return max(1, min(MOST_TASKS, spark.sparkContext.defaultParallelism, -(-batch * dim * 8 // TASK_BYTES)))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
-    """((step, part), vectors, classes) of each run of equal step and part."""
-    here, xs, ys = None, [], []
+def _pieces(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
+    """((step, part), vectors, classes) of each run of equal step and part in an Arrow batch."""
     for batch in batches:
         if not batch.num_rows:
             continue
         step, part, y = (batch.column(c).to_numpy() for c in range(3))
-        x = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-        if len(x) != len(y):
+        flat = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+        if len(flat) != len(y) * dim:
             raise ValueError(f"a vector that doesn't have {dim} entries")
         cuts = np.flatnonzero((np.diff(step) != 0) | (np.diff(part) != 0)) + 1
         for a, b in zip([0, *cuts], [*cuts, len(y)]):
-            key = int(step[a]), int(part[a])
-            if key != here:
-                if here is not None:
-                    yield here, np.concatenate(xs), np.concatenate(ys)
-                here, xs, ys = key, [], []
-            xs.append(x[a:b])
-            ys.append(y[a:b])
-    if here is not None:
-        yield here, np.concatenate(xs), np.concatenate(ys)
+            yield (int(step[a]), int(part[a])), flat[a * dim:b * dim].astype(np.float64).reshape(-1, dim), y[a:b]
 
 
 def _probabilities(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -70,11 +63,11 @@ def gradient_sum(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.concatenate([p.sum(axis=0)[:, None], p.T @ x], axis=1)
 
 
-def measured_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> list[float]:
+def measured_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     """[rows, hits, summed cross-entropy]; of equal logits the first class is taken."""
     z = _probabilities(x, w)
     own = z[np.arange(len(y)), y]
-    return [float(len(y)), float((z.argmax(axis=1) == y).sum()), float((np.log(np.exp(z).sum(axis=1)) - own).sum())]
+    return np.array([len(y), (z.argmax(axis=1) == y).sum(), (np.log(np.exp(z).sum(axis=1)) - own).sum()], np.float64)
 
 
 def run_schedule(rows: DataFrame, init: SoftmaxModel, steps: int, sizes: dict[int, int], learning_rate: float,
@@ -107,25 +100,28 @@ def run_schedule(rows: DataFrame, init: SoftmaxModel, steps: int, sizes: dict[in
             return np.sum([np.frombuffer(base64.b64decode(m)) for m in told], axis=0)
 
         w, found, pending = w0.copy(), [], None
-        groups = _groups(batches, width - 1)
-        ahead = next(groups, None)
-        none = np.zeros((0, width - 1)), np.zeros(0, np.int64)
+        pieces = _pieces(batches, width - 1)
+        ahead = next(pieces, None)
+
+        def folded(step: int, part: int, fold, sums: np.ndarray) -> np.ndarray:
+            """The sums over the stream's rows of this step and part, which it leaves behind."""
+            nonlocal ahead
+            while ahead is not None and ahead[0] == (step, part):
+                sums = sums + fold(*ahead[1:], w)
+                ahead = next(pieces, None)
+            return sums
 
         def measures(sums: np.ndarray, step: int) -> None:
-            for part in (VALIDATION, TEST):
-                due = sizes.get(part, 0) if part == VALIDATION or step == last else 0
+            for part in (TRAIN, VALIDATION, TEST):
+                due = sizes.get(part, 0) if part != TEST or step == last else 0
                 if sums[part, 0] != due:
                     raise ValueError(f"{sums[part, 0]:.0f} of {due} rows of a batch at step {step}")
             rate = [float(s[1] / s[0]) if s[0] else None for s in sums]
             found.append((step, rate[TRAIN], float(sums[TRAIN, 2] / sums[TRAIN, 0]), rate[VALIDATION], rate[TEST]))
 
         for step in range(steps):
-            own = {}
-            while ahead is not None and ahead[0][0] == step:
-                own[ahead[0][1]] = ahead[1:]
-                ahead = next(groups, None)
-            x, y = own.get(TRAIN, none)
-            partial = np.concatenate([[len(y)], gradient_sum(x, y, w).ravel(), np.ravel(pending if pending is not None else [])])
+            partial = folded(step, TRAIN, lambda x, y, w: np.concatenate([[len(y)], gradient_sum(x, y, w).ravel()]), np.zeros(1 + w.size))
+            partial = np.concatenate([partial, np.ravel(pending if pending is not None else [])])
             told = total(partial)
             if pending is not None:
                 measures(told[1 + w.size:].reshape(3, 3), step - 1)
@@ -134,7 +130,10 @@ def run_schedule(rows: DataFrame, init: SoftmaxModel, steps: int, sizes: dict[in
                 raise ValueError(f"{told[0]:.0f} of {sizes[TRAIN]} rows of a batch at step {step}")
             w = w - learning_rate * told[1:1 + w.size].reshape(w.shape) / told[0]
             if step in want:
-                pending = np.array([measured_sums(*own.get(part, none), w) for part in (TRAIN, VALIDATION, TEST)])
+                found_in = {part: folded(step, part, measured_sums, np.zeros(3)) for part in (VALIDATION, TEST, AGAIN)}
+                pending = np.array([found_in[part] for part in (AGAIN, VALIDATION, TEST)])
+            while ahead is not None and ahead[0][0] == step:         # of a step that isn't measured
+                ahead = next(pieces, None)
         if ahead is not None:
             raise ValueError(f"rows of step {ahead[0][0]}, beyond the last")
         if pending is not None:
@@ -142,9 +141,12 @@ def run_schedule(rows: DataFrame, init: SoftmaxModel, steps: int, sizes: dict[in
         if context.partitionId() == 0:
             yield pa.RecordBatch.from_arrays([pa.array([json.dumps(found)]), pa.array([w.tobytes()])], names=["measures", "weights"])
 
-    # dealt without a key: which task has which rows doesn't matter
+    # dealt without a key: which task has which rows doesn't matter. Floats are dealt as they are
+    kind = "array<float>" if rows.schema["features"].dataType == ArrayType(FloatType()) else "array<double>"
+    twice = (F.col("part") == TRAIN) & F.col("step").isin(measured)
     dealt = (rows.select(F.col("step").cast("int").alias("step"), F.col("part").cast("int").alias("part"),
-                         F.col("true_id").cast("int").alias("true_id"), F.col("features").cast("array<double>").alias("features"))
+                         F.col("true_id").cast("int").alias("true_id"), F.col("features").cast(kind).alias("features"))
+             .withColumn("part", F.explode(F.when(twice, F.array(F.lit(TRAIN), F.lit(AGAIN))).otherwise(F.array("part"))))
              .repartition(tasks).sortWithinPartitions("step", "part", "true_id", "features"))
     # Spark runs a barrier stage again only where a shuffle follows it: the one row is shuffled
     result = dealt.mapInArrow(descend, "measures string, weights binary", barrier=tasks > 1).repartition(1).collect()[0]
